@@ -1,0 +1 @@
+"""Kept for layout only: all inputs are bounded tables, so there are no streaming jobs."""
