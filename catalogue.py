@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from keepwell.functions.exprs import rounded
 from keepwell.functions.rules import RFM_SHORT_RULES
-from keepwell.operators import cleaning, quality
-from keepwell.plans import cohorts, panel, revenue, rfm
+from keepwell.operators import cleaning, neighbours, quality, sampling
+from keepwell.plans import attribution, cohorts, modelling, panel, revenue, rfm, scoring, segmentation
+from keepwell.plans import metrics as metric
+from keepwell.plans import playbook as plays
+from keepwell.session import materialize
 from keepwell.settings import FEATURES, LEGACY_INACTIVE_STATUSES, Snapshot
 from keepwell.sources import readers, writers
 from keepwell.sources.star import role_tables, source
@@ -25,6 +29,17 @@ SNAPSHOTS = (
 )
 CUTOFF = "2001-01-01"
 
+# fixed values: a linear score to explain
+COEFFICIENTS = {
+    "recency_days": 0.004,
+    "order_frequency": -0.21,
+    "monetary_total": -0.000002,
+    "avg_review_score": -0.35,
+    "last_60d_orders": -0.4,
+    "spending_trend_velocity": -0.15,
+    "avg_delivery_delay_days": 0.03,
+}
+
 
 def query(run):
     """Register under the function's name; the function gets the role tables."""
@@ -424,3 +439,204 @@ def panel_sql(spark, folder):
         {"fact_orders": role_tables(spark, folder)["fact_orders"]},
         {"cutoff": CUTOFF},
     )
+
+
+# -- metrics and thresholds on a fixed score ---------------------------------
+
+def scored_panel(t):
+    """The panel with a closed-form score in place of a model's probability."""
+    mixed = F.col("order_frequency") * 37 + F.col("total_quantity") * 11 + F.floor("monetary_total")
+    return panel_frame(t).withColumn("p", (mixed % 1000).cast("double") / 1000.0)
+
+
+@query
+def metrics(t):
+    measured = metric.binary_metrics(
+        materialize(scored_panel(t).select("split_role", "is_churned", "p")), "is_churned", "p", by=["split_role"]
+    )
+    shares = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "pr_auc", "brier_score", "specificity"]
+    return measured.withColumns({c: rounded(c, 8) for c in shares})
+
+
+@query
+def roc_points(t):
+    return metric.roc_points(scored_panel(t), "is_churned", "p", by=["split_role"])
+
+
+@query
+def pr_points(t):
+    return metric.pr_points(scored_panel(t), "is_churned", "p", by=["split_role"])
+
+
+@query
+def confusion_table(t):
+    return metric.confusion_table(scored_panel(t), "is_churned", "p")
+
+
+@query
+def threshold_sweep(t):
+    return metric.threshold_sweep(scored_panel(t), "is_churned", "p")
+
+
+@query
+def frozen_threshold(t):
+    scored = materialize(scored_panel(t).select("split_role", "is_churned", "p"))
+    return metric.frozen_threshold(scored, "is_churned", "p")
+
+
+# -- segments and the risk table ---------------------------------------------
+
+def clustered_rfm(t):
+    """RFM with a fixed cluster per customer in place of K-means."""
+    return rfm_frame(t).withColumn("cluster_id", F.col("customer_unique_id") % 4)
+
+
+def named_segments(t):
+    clustered = materialize(clustered_rfm(t))
+    return segmentation.name_clusters(clustered, segmentation.cluster_profile(clustered))
+
+
+def risk_frame(t):
+    current = scored_panel(t).filter(F.col("split_role") == "test")
+    return scoring.risk_table(current, "p", named_segments(t))
+
+
+@query
+def risk_table(t):
+    return risk_frame(t)
+
+
+@query
+def crm_audience(t):
+    return scoring.audience(risk_frame(t), ["HIGH", "MEDIUM"], "Champions & High-Value VIPs", 1000.0)
+
+
+@query
+def campaign_roi(t):
+    return metric.campaign_roi(risk_frame(t))
+
+
+@query
+def roi_curve(t):
+    return metric.roi_curve(risk_frame(t))
+
+
+@query
+def exec_kpis(t):
+    monthly = revenue.monthly_revenue(t["fact_orders"], t["dim_customers"], t["fact_order_items"])
+    return scoring.exec_kpis(monthly, risk_frame(t))
+
+
+@query
+def tier_distribution(t):
+    return scoring.distribution(risk_frame(t), "risk_tier")
+
+
+@query
+def segment_distribution(t):
+    return scoring.distribution(named_segments(t), "rfm_segment")
+
+
+@query
+def segment_cards(t):
+    return scoring.segment_cards(named_segments(t))
+
+
+@query
+def cluster_profile(t):
+    return segmentation.cluster_profile(materialize(clustered_rfm(t)))
+
+
+@query
+def segment_sample(t):
+    chosen = sampling.seeded_sample(named_segments(t), "customer_unique_id", 2000, 42)
+    return chosen.select("customer_unique_id", "recency", "frequency", "monetary", "cluster_segment")
+
+
+@query
+def silhouette(t):
+    return segmentation.silhouettes(
+        clustered_rfm(t), segmentation.RFM_COLUMNS, ["cluster_id"], "customer_unique_id",
+        segmentation.SILHOUETTE_SAMPLE, 42,
+    )
+
+
+# -- splits, folds, neighbours -----------------------------------------------
+
+def train_rows(t):
+    return modelling.with_row_id(panel_frame(t).filter(F.col("split_role") == "train"))
+
+
+@query
+def fold_balance(t):
+    folded = sampling.stratified_folds(train_rows(t), "is_churned", "row_id", 5, 42)
+    return folded.groupBy("fold", "is_churned").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def fallback_split(t):
+    current = materialize(panel_frame(t).filter(F.col("split_role") == "test")).drop("split_role")
+    parts = modelling.split(current)
+    counted = [
+        df.groupBy("split_role", "is_churned").agg(F.count(F.lit(1)).alias("n")) for df in parts.values()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query
+def minority_neighbours(t):
+    few = panel_frame(t).filter((F.col("split_role") == "test") & (F.col("is_churned") == 0))
+    found = neighbours.nearest(few, FEATURES, "customer_unique_id", 5, 42)
+    return found.select(
+        F.col("row_id").alias("customer_unique_id"), F.posexplode("near").alias("place", "near")
+    ).select(
+        "customer_unique_id",
+        (F.col("place") + 1).cast("bigint").alias("place"),
+        rounded("near.distances", 6).alias("distance"),
+    )
+
+
+@query
+def smote_balance(t):
+    rows = neighbours.synthetic_minority(materialize(train_rows(t)), FEATURES, "is_churned", "row_id")
+    return rows.groupBy("is_churned").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# -- explanations and recommendations ----------------------------------------
+
+def tested_rows(t):
+    return materialize(panel_frame(t).filter(F.col("split_role") == "test"))
+
+
+@query
+def linear_attribution(t):
+    rows = tested_rows(t)
+    impacts = attribution.linear_impacts(COEFFICIENTS, attribution.feature_means(rows, list(COEFFICIENTS)))
+    factors = attribution.top_factors(impacts, {f: F.col(f) for f in COEFFICIENTS}, 5)
+    return (
+        rows.select("customer_unique_id", F.posexplode(factors).alias("place", "f"))
+        .select(
+            "customer_unique_id",
+            (F.col("place") + 1).cast("bigint").alias("place"),
+            "f.feature",
+            rounded("f.value", 6).alias("value"),
+            rounded("f.shap_impact", 6).alias("shap_impact"),
+            "f.direction",
+        )
+    )
+
+
+@query
+def global_importance(t):
+    return attribution.global_linear_importance(tested_rows(t), COEFFICIENTS)
+
+
+@query
+def playbook(t):
+    """Spend is scaled down for two thirds of the customers, so every play occurs."""
+    risk = risk_frame(t)
+    spend = F.when(F.col("customer_unique_id") % 3 == 0, F.col("lifetime_value")).otherwise(
+        F.col("lifetime_value") / 10000
+    )
+    mixed = risk.withColumn("lifetime_value", rounded(spend, 2))
+    return plays.recommend(mixed, factor="rfm_segment")

@@ -97,17 +97,19 @@ def binary_metrics(
     predicted = F.col(prob) >= 0.5 if predicted is None else predicted
     error = F.col(prob) - F.col(label)
     # exact decimal sum, so the result does not depend on row order
-    squared = F.sum((error * error).cast("decimal(20,16)"))
+    squared = F.sum((error * error).cast("decimal(18,12)"))
     counts = scored.groupBy(*by).agg(
         *[c.alias(n) for n, c in _confusion(label, predicted).items()],
         ratio(squared, F.count(F.lit(1))).alias("brier_score"),
     )
     curve = _curve(scored, label, prob, by)
-    pairs = F.col("neg") * (F.col("pos_upto") - F.col("pos") * F.lit(0.5))
-    step = F.col("pos") * F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
+    # twice the pairs in order (ties half), in decimals: exact and free of overflow
+    pairs = F.col("neg").cast("decimal(18,0)") * (2 * F.col("pos_upto") - F.col("pos")).cast("decimal(19,0)")
+    all_pairs = F.max("pos_total").cast("double") * F.max("neg_total").cast("double") * 2.0
+    precision = F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
     areas = curve.groupBy(*by).agg(
-        ratio(F.sum(pairs), F.first("pos_total") * F.first("neg_total")).alias("roc_auc"),
-        ratio(F.sum(step), F.first("pos_total")).alias("pr_auc"),
+        ratio(F.sum(pairs), all_pairs).alias("roc_auc"),
+        ratio(F.sum(F.col("pos") * precision), F.max("pos_total")).alias("pr_auc"),
     )
     together = counts.join(areas, by) if by else counts.withColumns(
         {c: areas.select(c).scalar() for c in ("roc_auc", "pr_auc")}

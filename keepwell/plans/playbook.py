@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keepwell.functions.exprs import as_column
+from keepwell.functions.exprs import as_column, rounded
 from keepwell.functions.rules import is_high_value
 
 # --- fixed values: the six plays --------------------------------------------
@@ -66,8 +66,7 @@ _TEXTS = ["action_title", "strategy", "recommended_budget", "delivery_channel",
 
 def _number(value: Column, digits: int, grouped: bool) -> Column:
     pattern = f"%,.{digits}f" if grouped else f"%.{digits}f"
-    # decimals keep ties exact, halves go up
-    return F.format_string(pattern, F.round(value.cast("decimal(28,8)"), digits))
+    return F.format_string(pattern, rounded(value, digits))
 
 
 def recommend(

@@ -12,7 +12,7 @@ from keepwell.functions.rules import risk_tier
 from keepwell.plans.playbook import recommend
 
 
-def positive_probability(scored: DataFrame, column: str = "probability") -> Column:
+def positive_probability(column: str = "probability") -> Column:
     """Probability of class 1 from a Spark ML probability vector."""
     return vector_to_array(F.col(column))[1]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from keepwell.functions.rules import RFM_RULES
 from keepwell.settings import FEATURES
 
 # dates that suit the test tables (orders run from 1995 to 2001)
@@ -311,6 +312,52 @@ part(
 FROM rfm_ranked""",
     "rfm_ranked",
 )
-# a fixed score between 0 and 0.99 stands in for a model's probability
-SCORE = "((order_frequency * 37) % 100) / 100.0"
+# a fixed score between 0 and 0.999 stands in for a model's probability
+SCORE = (
+    "CAST((order_frequency * 37 + total_quantity * 11 + CAST(floor(monetary_total) AS BIGINT)) % 1000 AS DOUBLE) / 1000.0"
+)
 part("scored", f"SELECT *, {SCORE} AS p FROM {PANEL_ALL}", PANEL_ALL)
+part(
+    "curve",
+    """SELECT split_role, p, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+  sum(pos) OVER (PARTITION BY split_role) AS all_pos, sum(neg) OVER (PARTITION BY split_role) AS all_neg
+FROM (SELECT split_role, p, CAST(sum(is_churned) AS BIGINT) AS pos, CAST(sum(1 - is_churned) AS BIGINT) AS neg FROM scored GROUP BY 1, 2) t
+WINDOW w AS (PARTITION BY split_role ORDER BY p DESC)""",
+    "scored",
+)
+# a fixed cluster per customer stands in for K-means
+part("clustered", "SELECT *, customer_unique_id % 4 AS cluster_id FROM rfm_scored", "rfm_scored")
+_MEANS = ", ".join(
+    f"CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({c}) AS avg_{c}" for c in ("recency", "frequency", "monetary")
+)
+part(
+    "profile",
+    f"""SELECT cluster_id, customer_count, avg_recency, avg_frequency, avg_monetary, median_monetary, pct_customers,
+  CASE WHEN rk = 1 THEN 'Champions & High-Value VIPs'
+       WHEN avg_recency > 180 AND avg_monetary > mid THEN 'At-Risk High Spenders'
+       WHEN avg_recency <= 150 AND avg_frequency >= 1.5 THEN 'Loyal & Consistent'
+       ELSE 'Hibernating / One-Time Buyers' END AS segment_name
+FROM (SELECT *, {rnd('CAST(customer_count AS DOUBLE) / sum(customer_count) OVER () * 100.0', 2)} AS pct_customers,
+        row_number() OVER (ORDER BY avg_monetary DESC, cluster_id) AS rk, median(avg_monetary) OVER () AS mid
+      FROM (SELECT cluster_id, count(*) AS customer_count, {_MEANS}, quantile_cont(monetary, 0.5) AS median_monetary
+            FROM clustered GROUP BY 1) c) x""",
+    "clustered",
+)
+part(
+    "segments",
+    f"""SELECT c.*, p.segment_name AS cluster_segment, {rfm_case(RFM_RULES)} AS rfm_segment
+FROM clustered c JOIN profile p ON c.cluster_id = p.cluster_id""",
+    "clustered",
+    "profile",
+)
+TIER = "CASE WHEN {p} >= 0.7 THEN 'HIGH' WHEN {p} >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END"
+part(
+    "risk",
+    f"""SELECT s.customer_unique_id, s.customer_unique_id AS customer_id, {rnd('s.p', 4)} AS churn_probability,
+  {TIER.format(p=rnd('s.p', 4))} AS risk_tier, COALESCE(g.cluster_segment, 'Standard') AS segment,
+  COALESCE(g.rfm_segment, 'Standard') AS rfm_segment, {rnd('s.monetary_total', 2)} AS lifetime_value,
+  {rnd('s.recency_days', 1)} AS recency, s.order_frequency AS frequency, {rnd('s.avg_order_value', 2)} AS avg_order_value
+FROM scored s LEFT JOIN segments g ON s.customer_unique_id = g.customer_unique_id WHERE s.split_role = 'test'""",
+    "scored",
+    "segments",
+)

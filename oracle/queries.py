@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from keepwell.functions.rules import RFM_NTILE_RULES, RFM_RULES, RFM_SHORT_RULES
+from keepwell.functions.exprs import linspace
+from keepwell.functions.rules import HIGH_VALUE_TERMS, RFM_NTILE_RULES, RFM_RULES, RFM_SHORT_RULES
+from keepwell.plans.playbook import PLAYS
 from keepwell.settings import FEATURES
 from oracle.base import (
     CUTOFF,
@@ -545,3 +547,252 @@ q(
 WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}' GROUP BY order_status""",
 )
 SNAPSHOT_DATES = [d for _, d, _ in SNAPSHOTS]
+
+
+# -- metrics and thresholds --------------------------------------------------
+GRID50 = linspace(0.10, 0.95, 50)
+GRID20 = linspace(0.15, 0.85, 20)
+
+
+def _values(grid: list[float], name: str) -> str:
+    rows = ", ".join(f"(CAST({g!r} AS DOUBLE))" for g in grid)
+    return f"(VALUES {rows}) {name}(th)"
+
+
+def _confusion(pred: str) -> str:
+    return f"""count(CASE WHEN is_churned = 0 AND NOT ({pred}) THEN 1 END) AS true_negatives,
+  count(CASE WHEN is_churned = 0 AND {pred} THEN 1 END) AS false_positives,
+  count(CASE WHEN is_churned = 1 AND NOT ({pred}) THEN 1 END) AS false_negatives,
+  count(CASE WHEN is_churned = 1 AND {pred} THEN 1 END) AS true_positives"""
+
+
+PRECISION = "COALESCE(CAST(true_positives AS DOUBLE) / nullif(true_positives + false_positives, 0), 0.0)"
+RECALL = "COALESCE(CAST(true_positives AS DOUBLE) / nullif(true_positives + false_negatives, 0), 0.0)"
+F1 = "COALESCE(CAST(2 * true_positives AS DOUBLE) / nullif(2 * true_positives + false_positives + false_negatives, 0), 0.0)"
+SPECIFICITY = "COALESCE(CAST(true_negatives AS DOUBLE) / nullif(true_negatives + false_positives, 0), 0.0)"
+q(
+    "metrics",
+    ["curve"],
+    f"""SELECT c.split_role, {rnd('CAST(true_positives + true_negatives AS DOUBLE) / (true_positives + true_negatives + false_positives + false_negatives)', 8)} AS accuracy,
+  {rnd(PRECISION, 8)} AS precision, {rnd(RECALL, 8)} AS recall, {rnd(F1, 8)} AS f1_score, {rnd('roc_auc', 8)} AS roc_auc,
+  {rnd('pr_auc', 8)} AS pr_auc, {rnd('brier_score', 8)} AS brier_score, true_negatives, false_positives, false_negatives,
+  true_positives, {rnd(SPECIFICITY, 8)} AS specificity
+FROM (SELECT split_role, {_confusion('p >= 0.5')}, avg((p - is_churned) * (p - is_churned)) AS brier_score FROM scored GROUP BY 1) c
+JOIN (SELECT split_role, sum(CAST(neg AS DOUBLE) * (tp - pos / 2.0)) / (max(all_pos) * CAST(max(all_neg) AS DOUBLE)) AS roc_auc,
+        sum(pos * CAST(tp AS DOUBLE) / (tp + fp)) / max(all_pos) AS pr_auc FROM curve GROUP BY 1) a ON a.split_role = c.split_role""",
+)
+q(
+    "roc_points",
+    ["curve"],
+    """SELECT split_role, p AS threshold, CAST(fp AS DOUBLE) / CAST(all_neg AS DOUBLE) AS fpr,
+  CAST(tp AS DOUBLE) / CAST(all_pos AS DOUBLE) AS tpr FROM curve""",
+)
+q(
+    "pr_points",
+    ["curve"],
+    """SELECT split_role, p AS threshold, CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) AS precision,
+  CAST(tp AS DOUBLE) / CAST(all_pos AS DOUBLE) AS recall FROM curve""",
+)
+q(
+    "confusion_table",
+    ["scored"],
+    """SELECT a.v AS actual, b.v AS predicted,
+  (SELECT count(*) FROM scored WHERE is_churned = a.v AND (CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) = b.v) AS n
+FROM (VALUES (0), (1)) a(v), (VALUES (0), (1)) b(v)""",
+)
+
+
+def _sweep(where: str) -> str:
+    return f"""SELECT {rnd('th', 3)} AS threshold, {rnd(PRECISION, 4)} AS precision, {rnd(RECALL, 4)} AS recall, {rnd(F1, 4)} AS f1_score,
+  true_positives, false_positives, true_negatives, false_negatives,
+  CAST(false_positives * 10.0 + false_negatives * 120.0 AS DOUBLE) AS total_business_cost,
+  true_positives + false_positives AS targeted_customers, CAST((true_positives + false_positives) * 10.0 AS DOUBLE) AS campaign_cost,
+  CAST(floor((true_positives + false_positives) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS expected_saved_customers,
+  CAST(floor((true_positives + false_positives) * CAST(0.2 AS DOUBLE)) * 120.0 - (true_positives + false_positives) * 10.0 AS DOUBLE) AS net_saved_value
+FROM (SELECT th, {_confusion('p >= th')} FROM scored CROSS JOIN {_values(GRID50, 'g')} {where} GROUP BY th) s"""
+
+
+q("threshold_sweep", ["scored"], _sweep(""))
+_AT = f"""SELECT '{{name}}' AS choice, threshold, {rnd(PRECISION, 4)} AS precision, {rnd(RECALL, 4)} AS recall, {rnd(F1, 4)} AS f1_score,
+  true_positives, false_positives, true_negatives, false_negatives,
+  CAST(false_positives * 10.0 + false_negatives * 120.0 AS DOUBLE) AS total_business_cost,
+  CAST((false_positives + true_negatives) * 10.0 AS DOUBLE) AS target_all_cost
+FROM (SELECT t.threshold, {_confusion('p >= t.threshold')} FROM scored CROSS JOIN {{source}} t WHERE split_role = 'test' GROUP BY 1) s"""
+q(
+    "frozen_threshold",
+    ["scored"],
+    ", best AS (SELECT threshold, total_business_cost FROM ("
+    + _sweep("WHERE split_role = 'val'")
+    + ") s ORDER BY total_business_cost, threshold LIMIT 1), both_choices AS ("
+    + _AT.format(name="frozen", source="best")
+    + " UNION ALL "
+    + _AT.format(name="default", source="(SELECT CAST(0.5 AS DOUBLE) AS threshold)")
+    + f""") SELECT b.*, (SELECT total_business_cost FROM best) AS validation_cost,
+  {rnd("(d.total_business_cost - b.total_business_cost) / greatest(d.total_business_cost, 1.0) * 100.0", 2)} AS cost_reduction_pct
+FROM both_choices b JOIN both_choices d ON d.choice = 'default'""",
+)
+_TARGETED = "count(CASE WHEN churn_probability >= {th} THEN 1 END)"
+_SAVED = "floor(targeted_customers * CAST(0.25 AS DOUBLE))"
+q(
+    "campaign_roi",
+    ["risk"],
+    f"""SELECT targeted_customers, CAST(targeted_customers * 15 AS DOUBLE) AS campaign_cost, CAST({_SAVED} AS BIGINT) AS saved_customers,
+  CAST({_SAVED} * 150 AS DOUBLE) AS gross_saved_margin, CAST({_SAVED} * 150 - targeted_customers * 15 AS DOUBLE) AS net_roi,
+  {rnd(f'({_SAVED} * 150 - targeted_customers * 15) / greatest(targeted_customers * 15, 1.0) * 100.0', 2)} AS roi_pct
+FROM (SELECT {_TARGETED.format(th='0.45')} AS targeted_customers FROM risk) t""",
+)
+q(
+    "roi_curve",
+    ["risk"],
+    f"""SELECT {rnd('th', 6)} AS threshold, targeted_customers, CAST({_SAVED} * 150 - targeted_customers * 15 AS DOUBLE) AS net_profit
+FROM (SELECT th, {_TARGETED.format(th='th')} AS targeted_customers FROM risk CROSS JOIN {_values(GRID20, 'g')} GROUP BY th) t""",
+)
+
+# -- risk table and screens --------------------------------------------------
+q("risk_table", ["risk"], "SELECT * FROM risk")
+q(
+    "crm_audience",
+    ["risk"],
+    "SELECT * FROM risk WHERE risk_tier IN ('HIGH', 'MEDIUM') AND segment = 'Champions & High-Value VIPs' AND lifetime_value >= 1000.0",
+)
+q(
+    "exec_kpis",
+    ["risk", *BOTH],
+    f""", months AS (SELECT strftime(o.order_purchase_timestamp, '%Y-%m') AS m, count(DISTINCT o.order_id) AS orders,
+    ROUND(sum(i.price + i.freight_value), 2) AS revenue
+  FROM fact_orders o JOIN dim_customers c ON o.customer_id = c.customer_id JOIN fact_order_items i ON o.order_id = i.order_id
+  WHERE {SALE} GROUP BY 1),
+money AS (SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders FROM months)
+SELECT total_revenue, total_orders, count(*) AS total_customers, {rnd('total_revenue / total_orders', 2)} AS avg_order_value,
+  {rnd('CAST(count(CASE WHEN churn_probability >= 0.5 THEN 1 END) AS DOUBLE) / count(*) * 100.0', 2)} AS churn_rate_pct,
+  count(CASE WHEN risk_tier = 'HIGH' THEN 1 END) AS high_risk_customers,
+  {rnd('CAST(count(CASE WHEN frequency > 1 THEN 1 END) AS DOUBLE) / count(*) * 100.0', 2)} AS repeat_rate_pct
+FROM risk CROSS JOIN money GROUP BY 1, 2""",
+)
+q("tier_distribution", ["risk"], "SELECT risk_tier AS value, count(*) AS customers FROM risk GROUP BY 1")
+q("segment_distribution", ["segments"], "SELECT rfm_segment AS value, count(*) AS customers FROM segments GROUP BY 1")
+q(
+    "segment_cards",
+    ["segments"],
+    f"""SELECT cluster_segment AS segment, count(*) AS customers,
+  {', '.join(rnd(f'CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({c})', 2) + f' AS avg_{c}' for c in ('monetary', 'recency', 'frequency'))},
+  {rnd('CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100.0', 1)} AS share_pct FROM segments GROUP BY 1""",
+)
+q("cluster_profile", ["profile"], "SELECT * FROM profile")
+q(
+    "segment_sample",
+    ["segments"],
+    "SELECT customer_unique_id, recency, frequency, monetary, cluster_segment FROM segments ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 2000",
+)
+_DISTANCE = "sqrt(power(CAST(a.recency AS DOUBLE) - b.recency, 2) + power(CAST(a.frequency AS DOUBLE) - b.frequency, 2) + power(CAST(a.monetary AS DOUBLE) - b.monetary, 2))"
+q(
+    "silhouette",
+    ["clustered"],
+    f""", pts AS (SELECT * FROM clustered ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 15000),
+sums AS (SELECT a.customer_unique_id AS id, a.cluster_id AS own, b.cluster_id AS other, sum({_DISTANCE}) AS total, count(*) AS n
+  FROM pts a CROSS JOIN pts b GROUP BY 1, 2, 3),
+ab AS (SELECT id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b,
+  max(CASE WHEN own = other THEN n END) AS size FROM sums GROUP BY 1)
+SELECT 'cluster_id' AS label_column, {rnd('avg(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 4)} AS silhouette FROM ab""",
+)
+
+# -- splits, folds, neighbours -----------------------------------------------
+q(
+    "fold_balance",
+    [PANEL_ALL],
+    f"""SELECT CAST((rk - 1) % 5 AS INT) AS fold, is_churned, count(*) AS n FROM (
+  SELECT is_churned, row_number() OVER (PARTITION BY is_churned ORDER BY customer_unique_id) AS rk
+  FROM {PANEL_ALL} WHERE split_role = 'train') t GROUP BY 1, 2""",
+)
+q(
+    "fallback_split",
+    [PANEL_ALL],
+    f"""SELECT split_role, is_churned, count(*) AS n FROM (
+  SELECT is_churned, CASE WHEN (rk - 1) / CAST(n AS DOUBLE) < 0.7 THEN 'train' WHEN (rk - 1) / CAST(n AS DOUBLE) < 0.85 THEN 'val' ELSE 'test' END AS split_role
+  FROM (SELECT is_churned, row_number() OVER (PARTITION BY is_churned ORDER BY md5('42:' || customer_unique_id), customer_unique_id) AS rk,
+          count(*) OVER (PARTITION BY is_churned) AS n FROM {PANEL_ALL} WHERE split_role = 'test') r) t GROUP BY 1, 2""",
+)
+_SQUARES = " + ".join(f"power(CAST(a.{f} AS DOUBLE) - b.{f}, 2)" for f in FEATURES)
+q(
+    "minority_neighbours",
+    [PANEL_ALL],
+    f""", few AS (SELECT * FROM {PANEL_ALL} WHERE split_role = 'test' AND is_churned = 0)
+SELECT customer_unique_id, CAST(place AS BIGINT) AS place, {rnd('distance', 6)} AS distance FROM (
+  SELECT a.customer_unique_id, sqrt({_SQUARES}) AS distance,
+    row_number() OVER (PARTITION BY a.customer_unique_id ORDER BY sqrt({_SQUARES}), b.customer_unique_id) AS place
+  FROM few a JOIN few b ON a.customer_unique_id <> b.customer_unique_id) t WHERE place <= 5""",
+)
+q(
+    "smote_balance",
+    [PANEL_ALL],
+    f"""SELECT l.is_churned, m.n AS rows FROM (SELECT DISTINCT is_churned FROM {PANEL_ALL} WHERE split_role = 'train') l
+CROSS JOIN (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM {PANEL_ALL} WHERE split_role = 'train' GROUP BY is_churned) c) m""",
+)
+
+# -- explanations and recommendations ----------------------------------------
+# fixed values: a linear score to explain
+COEFFICIENTS = {
+    "recency_days": 0.004,
+    "order_frequency": -0.21,
+    "monetary_total": -0.000002,
+    "avg_review_score": -0.35,
+    "last_60d_orders": -0.4,
+    "spending_trend_velocity": -0.15,
+    "avg_delivery_delay_days": 0.03,
+}
+_IMPACTS = " UNION ALL ".join(
+    f"SELECT t.customer_unique_id, {i} AS pos, '{f}' AS feature, CAST(t.{f} AS DOUBLE) AS value, "
+    f"CAST({w!r} AS DOUBLE) * (t.{f} - m.{f}) AS impact FROM tested t CROSS JOIN means m"
+    for i, (f, w) in enumerate(COEFFICIENTS.items())
+)
+_TESTED = f""", tested AS (SELECT * FROM {PANEL_ALL} WHERE split_role = 'test'),
+means AS (SELECT {', '.join(f'avg(CAST({f} AS DOUBLE)) AS {f}' for f in COEFFICIENTS)} FROM tested)"""
+q(
+    "linear_attribution",
+    [PANEL_ALL],
+    _TESTED
+    + f"""
+SELECT customer_unique_id, CAST(place AS BIGINT) AS place, feature, {rnd('value', 6)} AS value, {rnd('impact', 6)} AS shap_impact,
+  CASE WHEN impact > 0 THEN 'Pushes Risk HIGHER' ELSE 'Lowers Risk' END AS direction
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY abs(impact) DESC, pos) AS place FROM ({_IMPACTS}) i) r
+WHERE place <= 5""",
+)
+q(
+    "global_importance",
+    [PANEL_ALL],
+    _TESTED
+    + f""", chosen AS (SELECT customer_unique_id FROM tested ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 3000)
+SELECT feature, {rnd('avg(abs(impact))', 5)} AS importance FROM ({_IMPACTS}) i
+WHERE customer_unique_id IN (SELECT customer_unique_id FROM chosen) GROUP BY 1""",
+)
+_HIGH_VALUE = (
+    "(" + " OR ".join(f"contains(lower(segment), '{t}')" for t in HIGH_VALUE_TERMS) + " OR lifetime_value >= 300.0)"
+)
+_PLAY = """CASE WHEN hv AND risk_tier = 'HIGH' THEN 'value_high' WHEN hv AND risk_tier = 'MEDIUM' THEN 'value_medium'
+  WHEN hv AND risk_tier = 'LOW' THEN 'value_low' WHEN risk_tier = 'HIGH' THEN 'other_high'
+  WHEN risk_tier = 'MEDIUM' THEN 'other_medium' ELSE 'other' END"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_PLAYS = ", ".join("(" + ", ".join(_text(v) for v in p.values()) + ")" for p in PLAYS)
+_STRATEGY = "p.strategy"
+for _mark, _expr in {
+    "{spend}": "format('{:,.2f}', lifetime_value)",
+    "{risk}": "format('{:.1f}', CAST(ROUND(CAST(churn_probability * 100 AS DECIMAL(28,8)), 1) AS DOUBLE)) || '%'",
+    "{days}": "CAST(CAST(ROUND(CAST(recency AS DECIMAL(28,8)), 0) AS BIGINT) AS VARCHAR)",
+    "{factor}": "rfm_segment",
+}.items():
+    _STRATEGY = f"replace({_STRATEGY}, '{_mark}', {_expr})"
+q(
+    "playbook",
+    ["risk"],
+    f""", mixed AS (SELECT *, CASE WHEN customer_unique_id % 3 = 0 THEN lifetime_value ELSE lifetime_value / 10000 END AS spend FROM risk),
+valued AS (SELECT * EXCLUDE (spend, lifetime_value), {rnd('spend', 2)} AS lifetime_value FROM mixed),
+judged AS (SELECT *, {_HIGH_VALUE} AS hv FROM valued)
+SELECT j.* EXCLUDE (hv), hv AS is_high_value, p.action_title, {_STRATEGY} AS strategy, p.recommended_budget, p.delivery_channel, p.operational_urgency
+FROM judged j JOIN (VALUES {_PLAYS}) p(play, action_title, strategy, recommended_budget, delivery_channel, operational_urgency)
+  ON p.play = {_PLAY}""",
+)
