@@ -12,7 +12,7 @@ from keepwell.operators import cleaning, neighbours, quality, sampling
 from keepwell.plans import attribution, cohorts, modelling, panel, revenue, rfm, scoring, segmentation
 from keepwell.plans import metrics as metric
 from keepwell.plans import playbook as plays
-from keepwell.session import materialize
+from keepwell.session import materialize, shared_folder
 from keepwell.settings import FEATURES, LEGACY_INACTIVE_STATUSES, Snapshot
 from keepwell.sources import readers, writers
 from keepwell.sources.star import role_tables, source
@@ -640,3 +640,118 @@ def playbook(t):
     )
     mixed = risk.withColumn("lifetime_value", rounded(spend, 2))
     return plays.recommend(mixed, factor="rfm_segment")
+
+
+# -- fitted models -----------------------------------------------------------
+
+# fixed values: the settings the grid search selects on the original data
+BEST_SETTINGS = modelling.BoostSettings(max_depth=3, learning_rate=0.03, trees=150, subsample=0.8)
+
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(name: str, spark, folder: str, make):
+    """Several queries report on the same fitted model; fit it once per session and folder."""
+    key = (name, spark.sparkContext.applicationId, folder)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def champion(spark, folder):
+    def make():
+        panel_rows = materialize(panel_frame(role_tables(spark, folder)))
+        return modelling.fit_champion(modelling.split(panel_rows), BEST_SETTINGS)
+
+    return _once("champion", spark, folder, make)
+
+
+def champion_paths(spark, folder):
+    def make():
+        target = f"{shared_folder(spark)}/keepwell-model-{spark.sparkContext.applicationId}-{abs(hash(folder))}"
+        saved = attribution.saved_boosted_path(spark, champion(spark, folder).model, target)
+        return attribution.read_paths(spark, saved)
+
+    return _once("paths", spark, folder, make)
+
+
+def segmented(spark, folder):
+    def make():
+        customers, profile, model = segmentation.segment_customers(rfm_frame(role_tables(spark, folder)))
+        return customers, profile, model
+
+    return _once("segments", spark, folder, make)
+
+
+def current_rows(spark, folder):
+    return _once("current", spark, folder, lambda: tested_rows(role_tables(spark, folder)))
+
+
+@raw_query
+def segments(spark, folder):
+    return segmented(spark, folder)[0]
+
+
+@raw_query
+def segment_profiles(spark, folder):
+    return segmented(spark, folder)[1]
+
+
+@query
+def cluster_eval(t):
+    return segmentation.evaluate_k(rfm_frame(t))
+
+
+@raw_query
+def champion_holdout(spark, folder):
+    return champion(spark, folder).metrics
+
+
+@raw_query
+def champion_thresholds(spark, folder):
+    return champion(spark, folder).thresholds
+
+
+@raw_query
+def champion_frozen_threshold(spark, folder):
+    return champion(spark, folder).frozen
+
+
+@raw_query
+def batch_scores(spark, folder):
+    scored = champion(spark, folder).model.transform(current_rows(spark, folder))
+    return scoring.risk_table(
+        scored.withColumn("p", scoring.positive_probability()), "p", segmented(spark, folder)[0]
+    )
+
+
+@raw_query
+def tree_attribution(spark, folder):
+    return attribution.tree_attribution(current_rows(spark, folder), champion_paths(spark, folder)).select(
+        "customer_unique_id", F.posexplode("important_factors").alias("place", "f")
+    ).select("customer_unique_id", "place", "f.*")
+
+
+@raw_query
+def tree_importance(spark, folder):
+    return attribution.global_tree_importance(current_rows(spark, folder), champion_paths(spark, folder))
+
+
+@raw_query
+def customer_reports(spark, folder):
+    scored = champion(spark, folder).model.transform(current_rows(spark, folder)).withColumn(
+        "probability_raw", scoring.positive_probability()
+    )
+    explained = attribution.tree_attribution(
+        scored, champion_paths(spark, folder), top_n=4, keep=["probability_raw", "monetary_total", "recency_days", "order_frequency"]
+    ).join(
+        segmented(spark, folder)[0].select("customer_unique_id", "cluster_segment", "rfm_segment"),
+        "customer_unique_id",
+        "left",
+    )
+    return scoring.customer_report(explained, factors="important_factors")
+
+
+@query
+def model_compare(t):
+    return modelling.compare_models(materialize(panel_frame(t).filter(F.col("split_role") == "train")))
