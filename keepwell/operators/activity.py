@@ -27,35 +27,41 @@ def daily_activity(orders: DataFrame, customer: str, ts: str) -> DataFrame:
 def gaps(orders: DataFrame, customer: str, ts: str, digits: int = 1) -> DataFrame:
     """Per customer: number, sum, smallest and largest gap in days to the previous order.
 
-    Gaps inside a day and gaps between active days are found separately, so no
-    window ever holds more than one customer-day, or one row per day.
+    Orders at the same instant become one row first (their gaps are zero); gaps
+    inside an hour and gaps between active hours are then found separately.  So
+    no window grows with the number of orders: one holds the instants of one
+    customer-hour, the other one row per hour of a customer's history.
     """
-    day = F.date_trunc("day", ts).alias("day")
-    inside = W.partitionBy(customer, "day").orderBy(ts)
-    previous = F.lag(ts).over(inside)
-    per_day = (
+    instants = (
         orders.filter(F.col(ts).isNotNull())
-        .select(customer, ts, day)
-        .withColumn("gap", _gap(previous, F.col(ts), digits))
-        .groupBy(customer, "day")
+        .groupBy(customer, F.col(ts).alias("at"))
+        .agg((F.count(F.lit(1)) - 1).alias("repeats"))
+        .withColumn("hour", F.date_trunc("hour", "at"))
+    )
+    previous = F.lag("at").over(W.partitionBy(customer, "hour").orderBy("at"))
+    per_hour = (
+        instants.withColumn("gap", _gap(previous, F.col("at"), digits))
+        .groupBy(customer, "hour")
         .agg(
-            F.min(ts).alias("first_ts"),
-            F.max(ts).alias("last_ts"),
+            F.min("at").alias("first_ts"),
+            F.max("at").alias("last_ts"),
+            F.sum("repeats").alias("repeats"),
             F.count("gap").alias("n"),
             F.sum("gap").alias("total"),
             F.min("gap").alias("low"),
             F.max("gap").alias("high"),
         )
     )
-    last_before = F.lag("last_ts").over(W.partitionBy(customer).orderBy("day"))
+    last_before = F.lag("last_ts").over(W.partitionBy(customer).orderBy("hour"))
+    zero = F.lit(0).cast(f"decimal(18,{digits})")
     return (
-        per_day.withColumn("gap", _gap(last_before, F.col("first_ts"), digits))
+        per_hour.withColumn("gap", _gap(last_before, F.col("first_ts"), digits))
         .groupBy(customer)
         .agg(
-            (F.sum("n") + F.count("gap")).alias("gap_count"),
-            (F.coalesce(F.sum("total"), F.lit(0)) + F.coalesce(F.sum("gap"), F.lit(0))).alias("gap_sum"),
-            F.least(F.min("low"), F.min("gap")).alias("gap_min"),
-            F.greatest(F.max("high"), F.max("gap")).alias("gap_max"),
+            (F.sum("repeats") + F.sum("n") + F.count("gap")).alias("gap_count"),
+            (F.coalesce(F.sum("total"), zero) + F.coalesce(F.sum("gap"), zero)).alias("gap_sum"),
+            F.least(F.min("low"), F.min("gap"), F.when(F.sum("repeats") > 0, zero)).alias("gap_min"),
+            F.greatest(F.max("high"), F.max("gap"), F.when(F.sum("repeats") > 0, zero)).alias("gap_max"),
         )
         .filter(F.col("gap_count") > 0)
     )

@@ -22,7 +22,8 @@ from keepwell.functions.exprs import shuffle_key
 from keepwell.operators.ordering import number_rows
 from keepwell.session import materialize
 
-_BLOCK_ROWS = 4000
+_BLOCK_ROWS = 2000
+_CHUNK = 32
 _MAX_CELLS = 1000
 
 
@@ -31,24 +32,23 @@ def _top_k(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFr
     left = np.array(queries["vector"].tolist(), dtype="float64")
     right = np.array(candidates["c_vector"].tolist(), dtype="float64")
     ids = candidates["c_row_id"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    right, ids = right[order], ids[order]
+    query_ids = queries["row_id"].to_numpy()
+    keep = min(k, len(ids))
     near_ids, near_distances, near_vectors = [], [], []
-    for query_id, query in zip(queries["row_id"].to_numpy(), left):
-        distance = np.sqrt(((right - query) ** 2).sum(axis=1))
-        distance[ids == query_id] = np.inf
-        best = np.argsort(distance, kind="stable")[: k + 1]
-        best = best[np.isfinite(distance[best])][:k]
-        near_ids.append(ids[best].tolist())
-        near_distances.append(distance[best].tolist())
-        near_vectors.append(right[best].tolist())
+    for start in range(0, len(left), _CHUNK):
+        chunk = left[start : start + _CHUNK]
+        distances = np.sqrt(((chunk[:, None, :] - right[None, :, :]) ** 2).sum(axis=2))
+        distances[query_ids[start : start + _CHUNK, None] == ids[None, :]] = np.inf
+        limits = np.partition(distances, keep - 1, axis=1)[:, keep - 1]
+        for distance, limit in zip(distances, limits):
+            # everything up to the k-th distance, so that equal distances are settled by id
+            close = np.flatnonzero((distance <= limit) & np.isfinite(distance))
+            best = close[np.lexsort((ids[close], distance[close]))][:k]
+            near_ids.append(ids[best].tolist())
+            near_distances.append(distance[best].tolist())
+            near_vectors.append(right[best].tolist())
     return pd.DataFrame(
-        {
-            "row_id": queries["row_id"].to_numpy(),
-            "ids": near_ids,
-            "distances": near_distances,
-            "vectors": near_vectors,
-        }
+        {"row_id": query_ids, "ids": near_ids, "distances": near_distances, "vectors": near_vectors}
     )
 
 

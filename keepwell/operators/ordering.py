@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import as_column
-from keepwell.session import materialize
+from keepwell.session import materialize, small_side
 
 _POSITION_BITS = (1 << 33) - 1
 
@@ -36,9 +36,9 @@ def _blocks(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFr
 def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
     """Adds ``row_no`` (1-based) and ``row_count`` per group, over a total order.
 
-    ``by`` is for a fixed, short list of groups (metrics, splits, labels): the
-    block table has one row per block and group, so it is small enough to
-    broadcast.  ``order`` must end in a unique column.
+    ``by`` is meant for few groups (metrics, splits, labels): the block table has
+    one row per block and group and is broadcast when it is small.  ``order``
+    must end in a unique column.
     """
     by = list(by)
     stored = _blocks(df, by, order)
@@ -55,7 +55,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ())
         F.sum("_here").over(whole).alias("row_count"),
     )
     return (
-        stored.join(F.broadcast(blocks), ["_block", *by])
+        stored.join(small_side(blocks), ["_block", *by])
         .withColumn("row_no", F.col("_before") + F.col("_pos") - F.col("_first") + 1)
         .drop("_block", "_pos", "_first", "_before")
     )
@@ -82,7 +82,7 @@ def running_totals(
     inside = (
         W.partitionBy("_block", *by).orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    joined = stored.join(F.broadcast(blocks), ["_block", *by])
+    joined = stored.join(small_side(blocks), ["_block", *by])
     return joined.select(
         *df.columns,
         *[(F.col(f"_{c}_before") + F.sum(c).over(inside)).alias(f"{c}_upto") for c in sums],

@@ -16,7 +16,7 @@ from keepwell.functions.exprs import ratio, rounded
 from keepwell.functions.rules import CLUSTER_RULES, first_match
 from keepwell.operators.ordering import exact_quantiles
 from keepwell.operators.sampling import seeded_sample
-from keepwell.session import materialize
+from keepwell.session import materialize, small_side
 from keepwell.settings import SEED
 
 RFM_COLUMNS = ("recency", "frequency", "monetary")
@@ -100,7 +100,7 @@ def name_clusters(
 ) -> DataFrame:
     """Adds cluster_segment; the profile has one row per cluster."""
     names = profile.select(cluster, F.col("segment_name").alias("cluster_segment"))
-    return clustered.join(F.broadcast(names), cluster, "left")
+    return clustered.join(small_side(names), cluster, "left")
 
 
 def segment_customers(

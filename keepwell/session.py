@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+BROADCAST_ROWS = 100_000
 
 
 def build_session(app: str = "keepwell", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,3 +54,12 @@ def materialize(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` (narrow) rows, else as it is.
+
+    For tables that are small by construction but that the optimizer overrates;
+    beyond the limit the join is an ordinary one.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -212,9 +212,9 @@ q(
     BOTH,
     f"""SELECT *, r_score * 100 + f_score * 10 + m_score AS rfm_score, {rfm_case(RFM_NTILE_RULES)} AS rfm_segment FROM (
 SELECT customer_id, recency, frequency, monetary,
-  ntile(5) OVER (ORDER BY recency DESC, customer_id) AS r_score,
-  ntile(5) OVER (ORDER BY frequency, customer_id) AS f_score,
-  ntile(5) OVER (ORDER BY monetary, customer_id) AS m_score FROM (
+  CAST(ntile(5) OVER (ORDER BY recency DESC, customer_id) AS INT) AS r_score,
+  CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INT) AS f_score,
+  CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INT) AS m_score FROM (
 SELECT c.customer_id, count(DISTINCT o.order_id) AS frequency, {rnd(f'sum({NET})', 2)} AS monetary,
   CAST({rnd(days('max(o.order_purchase_timestamp)', f"TIMESTAMP '{CUTOFF}'"), 0)} AS INT) AS recency
 FROM dim_customers c JOIN fact_orders o ON c.customer_id = o.customer_id
