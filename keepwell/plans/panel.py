@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import (
     MICROS_PER_DAY,
@@ -66,12 +66,28 @@ def _windows(snapshots: Sequence[Snapshot], lookbacks: Sequence[int | None]) ->
     return [_Window(s, i, lb) for lb in lookbacks for i, s in enumerate(snapshots)]
 
 
+def _in_reach(ts: Column, windows: Sequence[_Window], labels: bool) -> Column:
+    """Plain bounds that hold for every row any window needs; these reach the file scan."""
+    ends = [datetime.fromisoformat(w.snapshot.date) for w in windows]
+    if labels:
+        last = max(e + timedelta(days=w.snapshot.horizon_days) for e, w in zip(ends, windows))
+        reach = ts <= instant(str(last))
+    else:
+        reach = ts < instant(str(max(ends)))
+    if all(w.lookback is not None for w in windows):
+        first = min(e - timedelta(days=w.lookback) for e, w in zip(ends, windows))
+        reach = reach & (ts >= instant(str(first)))
+    return reach
+
+
 def _per_window(windows: Sequence[_Window], value) -> Column:
     """value(window) picked by the row's ``window_no``."""
     return F.element_at(F.array(*[value(w) for w in windows]), F.col("window_no") + 1)
 
 
-def _order_grain(tables: Mapping[str, DataFrame], snapshots: Sequence[Snapshot]) -> DataFrame:
+def _order_grain(
+    tables: Mapping[str, DataFrame], snapshots: Sequence[Snapshot], windows: Sequence[_Window]
+) -> DataFrame:
     """One row per order with its customer and the sums of its items, payments and reviews."""
     items = tables["fact_order_items"].groupBy("order_id").agg(
         F.sum("price").alias("price_sum"),
@@ -94,7 +110,8 @@ def _order_grain(tables: Mapping[str, DataFrame], snapshots: Sequence[Snapshot])
         *[F.sum(F.when(c, F.col("review_score"))).alias(f"review_sum_{i}") for i, c in enumerate(seen)],
         *[F.count(F.when(c, F.col("review_score"))).alias(f"review_count_{i}") for i, c in enumerate(seen)],
     )
-    orders = tables["fact_orders"].select(
+    bought = F.col("order_purchase_timestamp")
+    orders = tables["fact_orders"].filter(_in_reach(bought, windows, labels=True)).select(
         "order_id",
         "customer_id",
         "order_status",
@@ -128,7 +145,9 @@ def _categories(tables: Mapping[str, DataFrame], windows: Sequence[_Window]) ->
         for bit in bits[1:]:
             mask = mask.bitwiseOR(bit)
         masks[f"mask_{first // _MASK_BITS}"] = mask
-    orders = tables["fact_orders"].select("order_id", "customer_id", *[m.alias(n) for n, m in masks.items()])
+    orders = tables["fact_orders"].filter(_in_reach(ts, windows, labels=False)).select(
+        "order_id", "customer_id", *[m.alias(n) for n, m in masks.items()]
+    )
     observed = F.lit(False)
     for name in masks:
         observed = observed | (F.col(name) != 0)
@@ -183,7 +202,7 @@ def lookback_panels(
         )
     )
     rows = (
-        _order_grain(tables, snapshots)
+        _order_grain(tables, snapshots, windows)
         .select("*", seen_by.alias("window_no"))
         .filter(F.col("window_no").isNotNull())
         .withColumn("at", _per_window(windows, lambda w: w.at))
@@ -337,15 +356,32 @@ def _label_counts(panel: DataFrame, by: list[str]) -> DataFrame:
 
 
 def target_report(panel: DataFrame) -> DataFrame:
-    """Label counts overall, per split and per snapshot: scope, name, counts, rates, customers."""
-    per_snapshot = _label_counts(panel, ["snapshot_date"]).select(
-        F.lit("snapshot").alias("scope"), F.col("snapshot_date").alias("name"), "*"
-    ).drop("snapshot_date")
-    per_split = _label_counts(panel, ["split_role"]).select(
-        F.lit("split").alias("scope"), F.col("split_role").alias("name"), "*"
-    ).drop("split_role")
-    overall = _label_counts(panel, []).select(F.lit("overall").alias("scope"), F.lit("all").alias("name"), "*")
-    return per_snapshot.unionByName(per_split).unionByName(overall)
+    """Label counts per snapshot, per split and overall: scope, name, counts and rates.
+
+    The panel is read once; the totals are built from its few (snapshot, split) counts.
+    """
+    cells = panel.groupBy("snapshot_date", "split_role").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col(TARGET).cast("bigint")).alias("churn")
+    )
+    one_by_one = cells.groupingSets(
+        [["snapshot_date"], ["split_role"], []], "snapshot_date", "split_role"
+    ).agg(
+        F.sum("rows").alias("observations"),
+        F.sum("churn").alias("churned"),
+        F.grouping("snapshot_date").alias("_no_snapshot"),
+        F.grouping("split_role").alias("_no_split"),
+    )
+    share = ratio("churned", "observations") * 100.0
+    scope = F.when(F.col("_no_snapshot") == 0, "snapshot").when(F.col("_no_split") == 0, "split")
+    return one_by_one.select(
+        scope.otherwise("overall").alias("scope"),
+        F.coalesce("snapshot_date", "split_role", F.lit("all")).alias("name"),
+        "observations",
+        (F.col("observations") - F.col("churned")).alias("retained"),
+        "churned",
+        rounded(share, 2).alias("churn_rate_pct"),
+        rounded(100.0 - share, 2).alias("retention_rate_pct"),
+    )
 
 
 def snapshot_frequency(panel: DataFrame) -> DataFrame:
@@ -402,10 +438,14 @@ def lookback_summary(panels: DataFrame) -> DataFrame:
         F.count_distinct("customer_unique_id").alias("unique_customers"),
         *per_role,
     )
-    largest = sizes.filter(F.col("lookback") == "all")
+
+    def of_all_time(c: str) -> Column:
+        # one row per lookback
+        return F.max(F.when(F.col("lookback") == "all", F.col(c))).over(W.partitionBy(F.lit(0)))
+
     return (
-        sizes.withColumn("observations_lost", largest.select("total_panel_obs").scalar() - F.col("total_panel_obs"))
-        .withColumn("customers_dropped", largest.select("unique_customers").scalar() - F.col("unique_customers"))
+        sizes.withColumn("observations_lost", of_all_time("total_panel_obs") - F.col("total_panel_obs"))
+        .withColumn("customers_dropped", of_all_time("unique_customers") - F.col("unique_customers"))
         .orderBy("lookback")
     )
 
@@ -419,7 +459,8 @@ def leakage_audit(
     windows = _windows(snapshots, lookbacks)
     ts = F.col("order_purchase_timestamp")
     rows = (
-        orders.select(
+        orders.filter(_in_reach(ts, windows, labels=False))
+        .select(
             ts,
             F.col("order_delivered_customer_date").alias("delivered"),
             F.explode(

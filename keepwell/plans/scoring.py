@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import as_column, ratio, rounded
 from keepwell.functions.rules import risk_tier
@@ -157,5 +157,5 @@ def segment_cards(segments: DataFrame, segment: str = "cluster_segment") -> Data
             for c in ("monetary", "recency", "frequency")
         ],
     )
-    total = cards.agg(F.sum("customers")).scalar()
+    total = F.sum("customers").over(W.partitionBy(F.lit(0)))  # one row per segment
     return cards.withColumn("share_pct", rounded(ratio("customers", total) * 100.0, 1)).orderBy("segment")

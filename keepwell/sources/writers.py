@@ -102,7 +102,7 @@ def save_model(model, path: str) -> None:
 
 
 def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count per table and orphan count per reference after a load.
+    """Row count per table and in total, and orphan count per reference, after a load.
 
     Here a NULL child key counts as an orphan, as in LEFT JOIN ... IS NULL.
     """
@@ -115,4 +115,7 @@ def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     missing = orphans(tables, references, null_is_orphan=True).select(
         F.lit("orphans").alias("check"), F.col("reference").alias("subject"), F.col("orphan_count").alias("n")
     )
-    return counts.unionByName(missing)
+    total = counts.agg(F.sum("n").alias("n")).select(
+        F.lit("rows").alias("check"), F.lit("total").alias("subject"), "n"
+    )
+    return counts.unionByName(total).unionByName(missing)

@@ -397,6 +397,8 @@ q(
     ROLES,
     "SELECT 'rows' AS \"check\", table_name AS subject, row_count AS n FROM ("
     + _COUNTS
+    + ") c UNION ALL SELECT 'rows', 'total', CAST(sum(row_count) AS BIGINT) FROM ("
+    + _COUNTS
     + ") c UNION ALL SELECT 'orphans', reference, orphan_count FROM ("
     + _orphans(True, {})
     + ") o",
