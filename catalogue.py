@@ -15,6 +15,7 @@ from keepwell.plans import playbook as plays
 from keepwell.session import materialize, shared_folder
 from keepwell.settings import FEATURES, LEGACY_INACTIVE_STATUSES, Snapshot
 from keepwell.sources import readers, writers
+from keepwell.sources.schemas import REFERENCES
 from keepwell.sources.star import role_tables, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,27 +301,31 @@ def dq_primary_keys(t):
     return quality.check_primary_keys(_checked(t))
 
 
-def _broken(t):
-    """The tables with some parents missing and some child keys NULL."""
-    return {
-        **_checked(t),
-        "dim_customers": t["dim_customers"].filter(F.col("customer_id") % 11 != 0),
-        "dim_products": t["dim_products"].filter(F.col("product_id") % 13 != 0),
-        "dim_sellers": t["dim_sellers"].filter(F.col("seller_id") % 17 != 0),
-        "fact_orders": t["fact_orders"].withColumn(
-            "customer_id", F.when(F.col("order_id") % 19 != 0, F.col("customer_id"))
-        ),
-    }
+# more references to check, some of which do not hold; the last child key is often NULL
+EXTRA_REFERENCES = [
+    ("events", "user_id", "dim_customers", "customer_id"),
+    ("dim_customers", "customer_id", "fact_orders", "customer_id"),
+    ("dim_products", "product_id", "fact_order_items", "product_id"),
+    ("embeddings", "vec_id", "documents", "doc_id"),
+    ("fact_orders", "order_delivered_customer_date", "fact_orders", "order_purchase_timestamp"),
+]
 
 
-@query
-def dq_orphans(t):
-    return quality.orphans(_broken(t))
+def _referenced(spark, folder):
+    given = {n: source(spark, folder, n) for n in ("events", "embeddings", "documents")}
+    return {**_checked(role_tables(spark, folder)), **given}
 
 
-@query
-def dq_orphans_sql(t):
-    return quality.orphans(_broken(t), null_is_orphan=True)
+@raw_query
+def dq_orphans(spark, folder):
+    return quality.orphans(_referenced(spark, folder), [*REFERENCES, *EXTRA_REFERENCES])
+
+
+@raw_query
+def dq_orphans_sql(spark, folder):
+    return quality.orphans(
+        _referenced(spark, folder), [*REFERENCES, *EXTRA_REFERENCES], null_is_orphan=True
+    )
 
 
 @query

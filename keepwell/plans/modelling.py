@@ -328,10 +328,13 @@ def fit_champion(
     fit and frozen; the sweep on the test rows is a report only.
     """
     train, val, test = splits["train"], splits["val"], splits["test"]
-    first = fit_boosted(train, label_counts(train), settings, seed)
+    with ThreadPool(2) as pool:  # neither fit needs the other
+        first, model = pool.map(
+            lambda rows: fit_boosted(rows, label_counts(rows), settings, seed),
+            [train, train.unionByName(val)],
+            chunksize=1,
+        )
     val_scored = score_rows(first, val).select(F.lit("val").alias("split_role"), "label", "p")
-    history = train.unionByName(val)
-    model = fit_boosted(history, label_counts(history), settings, seed)
     test_scored = score_rows(model, test, ["customer_unique_id"])
     both = materialize(
         val_scored.unionByName(

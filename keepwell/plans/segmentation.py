@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,17 +37,25 @@ def scaler(rfm: DataFrame) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {terms} FROM __THIS__")
 
 
-def _best_kmeans(vectors: DataFrame, k: int, restarts: int, seed: int, parallelism: int):
-    """The restart with the least within-cluster distance."""
+def _best_kmeans(
+    vectors: DataFrame, ks: Sequence[int], restarts: int, seed: int, parallelism: int
+) -> dict[int, KMeansModel]:
+    """Per k the restart with the least within-cluster distance; fits run side by side."""
 
-    def fit(offset: int):
+    def fit(job: tuple[int, int]) -> KMeansModel:
+        k, offset = job
         return KMeans(
             k=k, seed=seed + offset, maxIter=300, featuresCol="rfm_vector", predictionCol="cluster_id"
         ).fit(vectors)
 
+    jobs = [(k, offset) for k in ks for offset in range(restarts)]
     with ThreadPool(parallelism) as pool:
-        models = pool.map(fit, range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+        models = pool.map(fit, jobs, chunksize=1)
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(jobs, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def _prepare(rfm: DataFrame) -> tuple[PipelineModel, DataFrame]:
@@ -58,12 +66,12 @@ def _prepare(rfm: DataFrame) -> tuple[PipelineModel, DataFrame]:
 
 
 def fit_segments(
-    rfm: DataFrame, k: int = 4, restarts: int = 10, seed: int = SEED, parallelism: int = 5
+    rfm: DataFrame, k: int = 4, restarts: int = 10, seed: int = SEED, parallelism: int = 8
 ) -> PipelineModel:
     """Scaler, assembler and the best K-means model as one model that can be saved."""
     front, vectors = _prepare(rfm)
-    best = _best_kmeans(vectors.select("rfm_vector"), k, restarts, seed, parallelism)
-    return PipelineModel(stages=[*front.stages, best])
+    best = _best_kmeans(vectors.select("rfm_vector"), [k], restarts, seed, parallelism)
+    return PipelineModel(stages=[*front.stages, best[k]])
 
 
 def assign_clusters(rfm: DataFrame, model: PipelineModel) -> DataFrame:
@@ -177,11 +185,11 @@ def evaluate_k(
     restarts: int = 10,
     seed: int = SEED,
     sample: int = SILHOUETTE_SAMPLE,
-    parallelism: int = 5,
+    parallelism: int = 8,
 ) -> DataFrame:
     """k, inertia, silhouette for each number of clusters."""
     _, vectors = _prepare(rfm)
-    fits = {k: _best_kmeans(vectors.select("rfm_vector"), k, restarts, seed, parallelism) for k in ks}
+    fits = _best_kmeans(vectors.select("rfm_vector"), ks, restarts, seed, parallelism)
     labelled = vectors
     for k, model in fits.items():
         model.setPredictionCol(f"k{k}")

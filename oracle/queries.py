@@ -365,33 +365,29 @@ FROM (SELECT {', '.join(cols)}, count(*) AS copies FROM {source or table} GROUP
 _PK = " UNION ALL ".join(_keys(t, c) for t, c in ROLE_KEYS.items())
 q("dq_primary_keys", ROLES, _PK)
 
-# the same tables with every 11th customer, 13th product and 17th seller missing, and some child keys NULL
-BROKEN = """, broken_customers AS (SELECT * FROM dim_customers WHERE customer_id % 11 <> 0),
-broken_products AS (SELECT * FROM dim_products WHERE product_id % 13 <> 0),
-broken_sellers AS (SELECT * FROM dim_sellers WHERE seller_id % 17 <> 0),
-broken_orders AS (SELECT order_id, CASE WHEN order_id % 19 = 0 THEN NULL ELSE customer_id END AS customer_id FROM fact_orders)"""
-_ALIAS = {
-    "dim_customers": "broken_customers",
-    "dim_products": "broken_products",
-    "dim_sellers": "broken_sellers",
-    "fact_orders": "broken_orders",
-}
+# more references, some of which do not hold; the last child key is often NULL
+EXTRA_REFS = [
+    ("events", "user_id", "dim_customers", "customer_id"),
+    ("dim_customers", "customer_id", "fact_orders", "customer_id"),
+    ("dim_products", "product_id", "fact_order_items", "product_id"),
+    ("embeddings", "vec_id", "documents", "doc_id"),
+    ("fact_orders", "order_delivered_customer_date", "fact_orders", "order_purchase_timestamp"),
+]
 
 
-def _orphans(null_counts: bool, alias: dict[str, str]) -> str:
+def _orphans(null_counts: bool, refs: list[tuple[str, str, str, str]]) -> str:
     texts = []
-    for child, col, parent, key in REFS:
-        c, p = alias.get(child, child), alias.get(parent, parent)
+    for child, col, parent, key in refs:
         extra = "" if null_counts else f" AND c.{col} IS NOT NULL"
         texts.append(
-            f"SELECT '{child}.{col} -> {parent}.{key}' AS reference, count(*) AS orphan_count FROM {c} c "
-            f"LEFT JOIN {p} p ON c.{col} = p.{key} WHERE p.{key} IS NULL{extra}"
+            f"SELECT '{child}.{col} -> {parent}.{key}' AS reference, count(*) AS orphan_count FROM {child} c "
+            f"LEFT JOIN (SELECT DISTINCT {key} FROM {parent}) p ON c.{col} = p.{key} WHERE p.{key} IS NULL{extra}"
         )
     return " UNION ALL ".join(texts)
 
 
-q("dq_orphans", ROLES, BROKEN + "\n" + _orphans(False, _ALIAS))
-q("dq_orphans_sql", ROLES, BROKEN + "\n" + _orphans(True, _ALIAS))
+q("dq_orphans", ROLES, _orphans(False, REFS + EXTRA_REFS))
+q("dq_orphans_sql", ROLES, _orphans(True, REFS + EXTRA_REFS))
 q(
     "load_report",
     ROLES,
@@ -400,7 +396,7 @@ q(
     + ") c UNION ALL SELECT 'rows', 'total', CAST(sum(row_count) AS BIGINT) FROM ("
     + _COUNTS
     + ") c UNION ALL SELECT 'orphans', reference, orphan_count FROM ("
-    + _orphans(True, {})
+    + _orphans(True, REFS)
     + ") o",
 )
 _MONEY = """SELECT 'negative_price' AS check_name, count(CASE WHEN price < 0 THEN 1 END) AS row_count FROM fact_order_items
@@ -426,7 +422,7 @@ q(
 SELECT 'row_count' AS check_name, table_name AS subject, greatest(minimum_rows - row_count, 0) AS row_count FROM ({_COUNTS}) c
 UNION ALL SELECT 'duplicate_key', table_name, duplicate_rows FROM ({_PK}) k
 UNION ALL SELECT 'null_key', table_name, null_rows FROM ({_PK}) k
-UNION ALL SELECT 'orphan', reference, orphan_count FROM ({_orphans(False, {})}) o
+UNION ALL SELECT 'orphan', reference, orphan_count FROM ({_orphans(False, REFS)}) o
 UNION ALL SELECT check_name, 'money', row_count FROM ({_MONEY}) m
 UNION ALL SELECT check_name, 'fact_orders', row_count FROM ({_TIME}) t) s""",
 )
