@@ -21,6 +21,8 @@ def build_session(app: str = "keepwell", master: str | None = None, **conf: str)
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
+        # call sites are not recorded per expression: plans here have thousands
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

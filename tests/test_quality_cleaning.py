@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from keepwell.operators import cleaning, quality
 from keepwell.sources import readers, writers
