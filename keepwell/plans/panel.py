@@ -25,6 +25,9 @@ from keepwell.functions.exprs import (
     ratio,
     rounded,
 )
+from keepwell.operators.activity import second_order_within
+from keepwell.operators.ordering import number_rows, pick_quantiles
+from keepwell.session import materialize
 from keepwell.settings import (
     FEATURE_DEFAULTS,
     FEATURES,
@@ -486,10 +489,9 @@ def leakage_audit(
 
 def feature_stats(panel: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
     """feature, mean, std, median, min, max, zero_pct: exact, rounded as in the audit."""
-    from keepwell.operators.ordering import number_rows, pick_quantiles
-
     pairs = ", ".join(f"'{f}', CAST({f} AS DOUBLE)" for f in features)
-    long = panel.selectExpr(f"stack({len(features)}, {pairs}) AS (feature, value)").filter(
+    # the global sort reads its input twice, so the panel is written first
+    long = materialize(panel.select(*features)).selectExpr(f"stack({len(features)}, {pairs}) AS (feature, value)").filter(
         "value IS NOT NULL"
     )
     numbered = number_rows(long, [F.col("value")], by=["feature"])
@@ -525,8 +527,6 @@ def dormancy(
     orders: DataFrame, customers: DataFrame, panel: DataFrame, days: int = 60
 ) -> DataFrame:
     """Churn share of customers with and without a second order within ``days`` days."""
-    from keepwell.operators.activity import second_order_within
-
     dated = orders.select("customer_id", "order_purchase_timestamp").join(
         customers.select("customer_id", "customer_unique_id"), "customer_id"
     )
