@@ -234,10 +234,10 @@ def clean_orders(spark, folder):
     raw = source(spark, folder, "orders").select(
         key.alias("order_id"),
         F.when(key % 97 == 0, "unknown")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.col("o_orderdate").cast("string"))
         .alias("order_purchase_timestamp"),
         F.when(key % 89 == 0, "2001-13-45")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.col("o_orderdate").cast("date").cast("string"))
         .alias("order_approved_at"),
     )
     return cleaning.clean_orders(raw)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from keepwell.functions.exprs import days_between, rounded
+from keepwell.functions.exprs import days_between, hour_number, rounded
 
 
 def daily_activity(orders: DataFrame, customer: str, ts: str) -> DataFrame:
@@ -15,7 +15,7 @@ def daily_activity(orders: DataFrame, customer: str, ts: str) -> DataFrame:
     """
     return (
         orders.filter(F.col(ts).isNotNull())
-        .groupBy(customer, F.date_trunc("day", ts).alias("day"))
+        .groupBy(customer, F.col(ts).cast("date").alias("day"))
         .agg(
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),
@@ -36,7 +36,7 @@ def gaps(orders: DataFrame, customer: str, ts: str, digits: int = 1) -> DataFram
         orders.filter(F.col(ts).isNotNull())
         .groupBy(customer, F.col(ts).alias("at"))
         .agg((F.count(F.lit(1)) - 1).alias("repeats"))
-        .withColumn("hour", F.date_trunc("hour", "at"))
+        .withColumn("hour", hour_number("at"))
     )
     previous = F.lag("at").over(W.partitionBy(customer, "hour").orderBy("at"))
     per_hour = (

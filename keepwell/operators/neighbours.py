@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from keepwell.functions.exprs import shuffle_key
 from keepwell.operators.ordering import number_rows
-from keepwell.session import materialize
+from keepwell.session import materialize, ship_package
 
 _BLOCK_ROWS = 2000
 _CHUNK = 32
@@ -106,6 +106,7 @@ def _keep_k(near: DataFrame, k: int) -> DataFrame:
 
 def nearest(rows: DataFrame, columns: Sequence[str], id_col: str, k: int, seed: int) -> DataFrame:
     """row_id (long), vector and ``near``: array of (distances, ids, vectors), nearest first."""
+    ship_package(rows.sparkSession)
     vectors = materialize(
         rows.select(
             F.col(id_col).cast("long").alias("row_id"),

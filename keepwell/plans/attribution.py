@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keepwell.functions.exprs import rounded
 from keepwell.operators.sampling import seeded_sample
+from keepwell.session import ship_package
 from keepwell.settings import FEATURES, SEED
 
 # --- fixed values -----------------------------------------------------------
@@ -194,6 +195,7 @@ def tree_impacts(
 ) -> DataFrame:
     """keep columns and ``impacts``: one Shapley value per feature, of the model margin."""
     spark = rows.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(list(paths))
     features, keep = list(features), list(keep)
 

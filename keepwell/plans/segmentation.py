@@ -16,7 +16,7 @@ from keepwell.functions.exprs import ratio, rounded
 from keepwell.functions.rules import CLUSTER_RULES, first_match
 from keepwell.operators.ordering import exact_quantiles
 from keepwell.operators.sampling import seeded_sample
-from keepwell.session import materialize, small_side
+from keepwell.session import materialize, ship_package, small_side
 from keepwell.settings import SEED
 
 RFM_COLUMNS = ("recency", "frequency", "monetary")
@@ -133,6 +133,7 @@ def silhouettes(
     sample of at most ``sample`` rows, which is small enough to send to every
     task; each task measures its share of the sampled rows against it.
     """
+    ship_package(points.sparkSession)
     columns, labels = list(columns), list(labels)
     chosen = materialize(
         seeded_sample(points.select(id_col, *columns, *labels), id_col, sample, seed)

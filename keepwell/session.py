@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -65,3 +67,23 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     beyond the limit the join is an ordinary one.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Called wherever a function of the package runs in tasks, since executors
+    know nothing of the driver's import path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='keepwell-')}/{package.name}", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

@@ -68,3 +68,27 @@ def test_bad_instants_become_null(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string").select(exprs.parse_instant("t").alias("t"))
     assert (df.first()["t"] is not None) == expected
     assert df.schema["t"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_time_arithmetic_does_not_depend_on_the_session_zone(spark):
+    """The zone has clock changes in October 1995 and February 1996."""
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'1995-10-10 00:00:00' AS a, TIMESTAMP_NTZ'1995-10-20 06:07:08.000009' AS b"
+        " UNION ALL SELECT TIMESTAMP_NTZ'1996-03-01 00:00:00', TIMESTAMP_NTZ'1996-01-31 23:59:59.5'"
+        " UNION ALL SELECT NULL, TIMESTAMP_NTZ'1996-01-31 00:00:00'"
+    )
+    chosen = df.select(
+        exprs.micros_between("a", "b").alias("m"), exprs.month_text("b").alias("t"), exprs.hour_number("b").alias("h")
+    )
+    expected = [
+        (10 * 86_400_000_000 + 22_028_000_009, "1995-10", 226158),
+        (-(29 * 86_400_000_000 + 500_000) - 0, "1996-01", 228647),
+        (None, "1996-01", 228624),
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert values(chosen, "m", "t", "h") == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
