@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.llm import decontaminate, quality
+from keepwell.llm import decontaminate, jaccard, pieces, pii, quality
 from keepwell.session import shared_folder
 
 
@@ -19,14 +19,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document, that of the smallest id, of each class of near copies."""
+    return jaccard.representatives(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return decontaminate.clean(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, personal data replaced by the name of its kind; ``n_chars`` follows the text."""
+    return pii.mask(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents with their piece ids; the text is what the pieces decode to."""
+    return pieces.transcribe(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("SentencePiece encoding and decoding", encoding),
 ]
 
 #: compression, similarity classes, segment models and merges have no SQL form

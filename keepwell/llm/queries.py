@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import decontaminate, quality
+from keepwell.llm import decontaminate, jaccard, pieces, pii, quality
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(table(spark, folder, "documents"))
+
+
+def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.pieces(table(spark, folder, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -19,7 +31,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_decontaminate, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_jaccard, op4_pieces, op6_decontaminate, op10_quality)}
 
 SQL: dict[str, str] = {
     # a window starts where all its words follow one another; one row per document
