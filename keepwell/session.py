@@ -61,18 +61,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder inside the shared one; it goes when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it from there.
 
     For wide or large frames that feed several branches: each branch reads only its
-    columns, and the lineage ends here. The folder goes when the session's JVM ends.
+    columns, and the lineage ends here.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    df.write.parquet(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
