@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import decontaminate, jaccard, pieces, pii, quality
+from keepwell.llm import attribution, chat, decontaminate, flatfiles, html, jaccard, language, pieces, pii, quality
+from keepwell.session import scratch
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +16,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op2_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.attribute(table(spark, folder, "documents"))
+
+
 def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(table(spark, folder, "documents"))
 
@@ -23,17 +28,62 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(table(spark, folder, "documents"))
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"  # reads like the marks themselves
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.digest(chat.examples(turns.union(extra)))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(table(spark, folder, "pages"))
+
+
+def op9_flatfiles(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch(spark, "tokens")
+    return flatfiles.read(spark, place, flatfiles.write(table(spark, folder, "documents"), place))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_jaccard, op4_pieces, op6_decontaminate, op10_quality)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_attribution, op3_jaccard, op4_pieces, op5_chat, op6_decontaminate, op7_language, op8_html,
+        op9_flatfiles, op10_quality,
+    )
+}
 
 SQL: dict[str, str] = {
+    # the sizes of the examples follow from the sizes of the escaped turns
+    "op5_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), n AS (
+  SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(14 + length(role) + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g'))
+      + length(regexp_replace(role, '[^\\<#:]', '', 'g'))) OVER (w ROWS UNBOUNDED PRECEDING) AS size
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY r)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY r) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) FILTER (WHERE role = 'assistant' OR r = n) AS BIGINT) AS formatted_chars
+FROM n GROUP BY conv_id
+""",
     # a window starts where all its words follow one another; one row per document
     "op6_decontaminate": r"""
 WITH d AS (
