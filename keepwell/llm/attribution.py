@@ -71,6 +71,7 @@ def spans(text: bytes, ids: list[int], size: np.ndarray) -> tuple[np.ndarray, np
 def allocate(first: np.ndarray, after: np.ndarray, begin: np.ndarray, end: np.ndarray, rule: str) -> tuple:
     """(tokens counted in each section, of these how many also touch something else)."""
     order = np.argsort(begin, kind="stable")
+    order = order[begin[order] < end[order]]
     low, high = begin[order], end[order]
 
     def holder(place: np.ndarray) -> np.ndarray:
@@ -91,8 +92,8 @@ def allocate(first: np.ndarray, after: np.ndarray, begin: np.ndarray, end: np.nd
     counted = at >= 0
     whole = counted & (first >= low[at] if len(low) else counted) & (after <= high[at] if len(low) else counted)
     count, across = (np.zeros(len(begin), np.int64) for _ in range(2))
-    count[order] = np.bincount(at[counted], minlength=len(begin))
-    across[order] = np.bincount(at[counted & ~whole], minlength=len(begin))
+    count[order] = np.bincount(at[counted], minlength=len(order))
+    across[order] = np.bincount(at[counted & ~whole], minlength=len(order))
     return count, across
 
 

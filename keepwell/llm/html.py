@@ -3,8 +3,8 @@
 Every page is read once as a stream of tags: elements that never hold article text
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles; by tag,
 role or class) are left out, and each block of text gives its length, less that of its links, to the
-container it stands in and half of it to the next one out. The best containers of a
-page vote, by generalised path (tags with classes, digits taken out), for their host. Votes are
+container it stands in and half of it to the next one out. The best container of a
+page votes, by generalised path (tags with classes, digits taken out), for their host. Votes are
 added up in Spark, and every page is read again: its text is that of the elements on the
 path its host voted for most, among those the page has; where that holds less than
 ``ENOUGH`` of the best container's score, as on a page of another make, the page's own best one.
@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from keepwell.session import ship_package, written
 
-#: paths of a page that may vote
-VOTES = 3
-ENOUGH = 0.4
+#: paths of a page that vote
+VOTES = 1
+ENOUGH = 0.25
 #: hosts' winning paths are broadcast up to this number
 MOST_HOSTS = 200_000
 #: containers of a path at most that a page remembers apart; deeper ones count for their parent
