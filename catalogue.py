@@ -12,7 +12,7 @@ from keepwell.operators import cleaning, neighbours, quality, sampling
 from keepwell.plans import attribution, cohorts, modelling, panel, revenue, rfm, scoring, segmentation
 from keepwell.plans import metrics as metric
 from keepwell.plans import playbook as plays
-from keepwell.session import materialize, shared_folder
+from keepwell.session import materialize, scratch
 from keepwell.settings import FEATURES, LEGACY_INACTIVE_STATUSES, Snapshot
 from keepwell.sources import readers, writers
 from keepwell.sources.schemas import REFERENCES
@@ -275,14 +275,14 @@ def remediate_orders(t):
     shipped = t["fact_order_items"].groupBy("order_id").agg(
         F.min("shipping_limit_date").alias("order_delivered_customer_date")
     )
+    # every eleventh order names a customer that does not exist
+    customer = F.when(F.col("order_id") % 11 == 0, -F.col("order_id")).otherwise(F.col("customer_id"))
     orders = (
         t["fact_orders"]
-        .select("order_id", "customer_id", "order_purchase_timestamp")
+        .select("order_id", customer.alias("customer_id"), "order_purchase_timestamp")
         .join(shipped, "order_id")
     )
-    return cleaning.remediate_orders(
-        orders, t["dim_customers"].filter(F.col("customer_zip_code_prefix") != 7)
-    )
+    return cleaning.remediate_orders(orders, t["dim_customers"])
 
 
 # -- data quality ------------------------------------------------------------
@@ -340,9 +340,10 @@ def dq_money(t):
 
 @query
 def dq_time(t):
-    known = t["fact_orders"].filter(F.col("order_status") != "unavailable")
+    # unavailable orders have no purchase time here
+    bought = F.when(F.col("order_status") != "unavailable", F.col("order_purchase_timestamp"))
     shipped = t["fact_order_items"].select("order_id", "shipping_limit_date").join(
-        known.select("order_id", "order_purchase_timestamp"), "order_id", "left"
+        t["fact_orders"].select("order_id", bought.alias("order_purchase_timestamp")), "order_id", "left"
     )
     return quality.check_time(shipped, end="shipping_limit_date")
 
@@ -560,10 +561,7 @@ def segment_sample(t):
 
 @query
 def silhouette(t):
-    return segmentation.silhouettes(
-        clustered_rfm(t), segmentation.RFM_COLUMNS, ["cluster_id"], "customer_unique_id",
-        segmentation.SILHOUETTE_SAMPLE, 42,
-    )
+    return segmentation.silhouettes(clustered_rfm(t), segmentation.RFM_COLUMNS, ["cluster_id"])
 
 
 # -- splits, folds, neighbours -----------------------------------------------
@@ -649,9 +647,6 @@ def playbook(t):
 
 # -- fitted models -----------------------------------------------------------
 
-# fixed values: the settings the grid search selects on the original data
-BEST_SETTINGS = modelling.BoostSettings(max_depth=3, learning_rate=0.03, trees=150, subsample=0.8)
-
 _FITTED: dict[tuple, object] = {}
 
 
@@ -665,15 +660,21 @@ def _once(name: str, spark, folder: str, make):
 
 def champion(spark, folder):
     def make():
-        panel_rows = materialize(panel_frame(role_tables(spark, folder)))
-        return modelling.fit_champion(modelling.split(panel_rows), BEST_SETTINGS)
+        return modelling.train_champion(materialize(panel_frame(role_tables(spark, folder))))
 
-    return _once("champion", spark, folder, make)
+    return _once("champion", spark, folder, make)[0]
+
+
+@raw_query
+def tuned_model(spark, folder):
+    """The whole grid of 16 settings, 3 folds each; the champion queries use the best."""
+    champion(spark, folder)
+    return _once("champion", spark, folder, None)[1]
 
 
 def champion_paths(spark, folder):
     def make():
-        target = f"{shared_folder(spark)}/keepwell-model-{spark.sparkContext.applicationId}-{abs(hash(folder))}"
+        target = scratch(spark, "model")
         saved = attribution.saved_boosted_path(spark, champion(spark, folder).model, target)
         return attribution.read_paths(spark, saved)
 
@@ -760,3 +761,10 @@ def customer_reports(spark, folder):
 @query
 def model_compare(t):
     return modelling.compare_models(materialize(panel_frame(t).filter(F.col("split_role") == "train")))
+
+
+@query
+def holdout_comparison(t):
+    """Four candidates fitted on train and measured on test; the fit time is left out, as it never repeats."""
+    parts = modelling.split(materialize(panel_frame(t)))
+    return modelling.holdout_comparison(parts["train"], parts["test"]).drop("fit_time_sec")

@@ -16,12 +16,17 @@ def as_column(c: str | Column) -> Column:
 # -- numbers -----------------------------------------------------------------
 
 def rounded(c: str | Column, digits: int) -> Column:
-    """Half-up rounding on the decimal value, returned as double.
+    """Half-up rounding, done once and returned as double.
 
-    Going through a decimal keeps ties such as 0.145 ties, whatever their
-    binary form, so the result does not depend on how a ratio was computed.
+    Exact decimals are rounded as they are.  A double is moved up by a few units in its last
+    place first, so that ties such as 0.145 stay ties whatever their binary form, while
+    12.499999998 stays below 12.5.
     """
-    return F.round(as_column(c).cast("decimal(28,8)"), digits).cast("double")
+    c = as_column(c)
+    exact = F.round(c.cast("decimal(38,10)"), digits).cast("double")
+    near = F.round(c.cast("double") * F.lit(1 + 1e-14), digits)
+    # the type is known when the plan is made, so only one of the two remains
+    return F.when(F.startswith(F.typeof(c), F.lit("decimal")), exact).otherwise(near)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:
@@ -102,6 +107,12 @@ def days_between(start: str | Column, end: str | Column) -> Column:
     return micros_between(start, end) / F.lit(float(MICROS_PER_DAY))
 
 
+def rounded_days(start: str | Column, end: str | Column, digits: int) -> Column:
+    """Days from start to end, rounded half up on whole microseconds, as double."""
+    unit = MICROS_PER_DAY // 10**digits
+    return F.floor((micros_between(start, end) + unit // 2) / F.lit(unit)).cast("double") / F.lit(float(10**digits))
+
+
 def hour_number(ts: str | Column) -> Column:
     """Hours since 1970 on the wall clock."""
     ts = as_column(ts)
@@ -122,6 +133,23 @@ def parse_instant(c: str | Column) -> Column:
     return as_column(c).try_cast("timestamp_ntz")
 
 
+def strict_number(column: str, kind: str, required: bool = False) -> Column:
+    """Text or number cast to ``kind``; other text, and digits the type cannot hold, are errors.
+
+    NULL and blank text stay NULL, or are errors too if the value is ``required``.
+    """
+    text = F.trim(F.col(column).cast("string"))
+    present = F.when(text != "", text)
+    value = present.try_cast(kind)
+    bad = value.isNull()
+    if kind != "double":
+        value = present.try_cast("decimal(38,18)").try_cast(kind)
+        bad = value.isNull() | (value.cast("decimal(38,18)") != present.try_cast("decimal(38,18)"))
+    message = F.coalesce(F.concat(F.lit(f"{column} is not a {kind}: "), text), F.lit(f"{column} is NULL"))
+    checked = F.when(F.coalesce(bad, F.lit(True)), F.raise_error(message)).otherwise(value)
+    return checked if required else F.when(present.isNotNull(), checked)
+
+
 # -- text --------------------------------------------------------------------
 
 def strip(c: str | Column) -> Column:

@@ -72,7 +72,8 @@ def _gap(start: Column, end: Column, digits: int) -> Column:
 
 
 def second_order_within(orders: DataFrame, customer: str, ts: str, days: int) -> DataFrame:
-    """Per customer: first order time and whether another order followed within ``days`` days."""
+    """Per customer: first order time, when the next day with orders began, whether more than one
+    order fell on the first day, and whether another order followed within ``days`` days."""
     daily = daily_activity(orders, customer, ts)
     by_day = W.partitionBy(customer).orderBy("day")
     ranked = daily.select(
@@ -85,4 +86,5 @@ def second_order_within(orders: DataFrame, customer: str, ts: str, days: int) ->
     followed = (F.col("orders") > 1) | F.coalesce(
         days_between("first_ts", "next_ts") <= F.lit(float(days)), F.lit(False)
     )
-    return ranked.select(customer, "first_ts", followed.cast("int").alias("has_second_order"))
+    same_day = (F.col("orders") > 1).alias("same_day")
+    return ranked.select(customer, "first_ts", "next_ts", same_day, followed.cast("int").alias("has_second_order"))

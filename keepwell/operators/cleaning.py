@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from keepwell.functions.exprs import city_name, parse_instant, state_code
+from keepwell.functions.exprs import city_name, parse_instant, state_code, strict_number
 from keepwell.sources.schemas import EXTRA_TRANSLATIONS, UNKNOWN_CATEGORY
 
 
+MONEY = "decimal(18,2)"
+
+
 def clean_lookup(
     lookup: DataFrame,
     extra: Sequence[tuple[str, str]] = EXTRA_TRANSLATIONS,
@@ -114,19 +117,12 @@ def clean_orders(
     return orders.withColumns({c: parse_instant(c) for c in instants if c in orders.columns})
 
 
-def _strict(column: str, kind: str) -> Column:
-    """Cast that fails on NULL as well as on bad text."""
-    return F.when(
-        F.col(column).isNull(), F.raise_error(F.lit(f"{column} is NULL"))
-    ).otherwise(F.col(column).cast(kind))
-
-
 def clean_order_items(items: DataFrame) -> DataFrame:
     return items.withColumns(
         {
             "shipping_limit_date": parse_instant("shipping_limit_date"),
-            "price": F.col("price").cast("decimal(18,2)"),
-            "freight_value": F.col("freight_value").cast("decimal(18,2)"),
+            "price": strict_number("price", MONEY),
+            "freight_value": strict_number("freight_value", MONEY),
         }
     )
 
@@ -135,9 +131,9 @@ def clean_payments(payments: DataFrame) -> DataFrame:
     """Counts are mandatory integers; amounts are money."""
     return payments.withColumns(
         {
-            "payment_value": F.col("payment_value").cast("decimal(18,2)"),
-            "payment_installments": _strict("payment_installments", "int"),
-            "payment_sequential": _strict("payment_sequential", "int"),
+            "payment_value": strict_number("payment_value", MONEY),
+            "payment_installments": strict_number("payment_installments", "int", required=True),
+            "payment_sequential": strict_number("payment_sequential", "int", required=True),
         }
     )
 
@@ -147,7 +143,7 @@ def clean_reviews(reviews: DataFrame) -> DataFrame:
         {
             "review_creation_date": parse_instant("review_creation_date"),
             "review_answer_timestamp": parse_instant("review_answer_timestamp"),
-            "review_score": _strict("review_score", "int"),
+            "review_score": strict_number("review_score", "int", required=True),
         }
     ).fillna("", ["review_comment_title", "review_comment_message"])
 

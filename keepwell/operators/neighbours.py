@@ -1,30 +1,34 @@
 """Exact nearest neighbours and synthetic minority rows.
 
-Rows are cut into blocks; each task gets one query block and one candidate
-block, does the arithmetic in numpy and returns only the k best per query.
-Blocks that cannot hold a nearer neighbour are left out: the rows are
-clustered, a query keeps its k-th best distance inside its own cluster, and by
-the triangle inequality a cluster farther away than that cannot improve it.
-No pair of rows ever becomes a Spark row.
+Rows are clustered, and clusters are split at medians into blocks of like rows with a
+bounding box each.  A task gets one pair of blocks, does the arithmetic in numpy and
+returns only the k best per query.  Pairs that cannot hold a nearer neighbour are left out: once
+every row has its k best within its own block, a block is compared only with
+blocks whose box is not farther away than the worst of these distances.  The number of blocks
+follows the number of rows; no pair of rows ever becomes a Spark row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import shuffle_key
 from keepwell.operators.ordering import number_rows
 from keepwell.session import materialize, ship_package
 
-_BLOCK_ROWS = 2000
+_BLOCK_ROWS = 1000
 _CHUNK = 32
-_MAX_CELLS = 1000
+#: rows of a cluster that one task splits; a larger cluster is dealt into such parts first
+_PART_ROWS = 500_000
+#: bounding boxes sent to the tasks at a time
+_BOXES = 50_000
 
 
 def _top_k(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -55,36 +59,20 @@ def _top_k(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFr
 _FOUND = "row_id long, ids array<long>, distances array<double>, vectors array<array<double>>"
 
 
-def _search(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """Best k per query over the candidate blocks named in the query rows.
-
-    A block asked for by many queries is searched by several tasks.
-    """
+def _search(pairs: DataFrame, placed: DataFrame, k: int) -> DataFrame:
+    """Best k per query over the pairs (own, block) of blocks."""
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"row_id": [], "ids": [], "distances": [], "vectors": []})
         return _top_k(q, c, k)
 
-    asked = queries.groupBy("block").agg(
-        F.ceil(F.count(F.lit(1)) / _BLOCK_ROWS).alias("slices")
-    )
-    sliced = (
-        queries.select("row_id", "vector", "block")
-        .join(asked, "block")
-        .withColumn("slice", F.pmod(F.xxhash64("row_id"), F.col("slices")))
-        .drop("slices")
-    )
-    wanted = asked.select("block", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
     # own column names keep the two sides of the cogroup apart
-    copies = (
-        candidates.join(wanted, "block")
-        .select("slice", "block", "row_id", "vector")
-        .toDF("c_slice", "c_block", "c_row_id", "c_vector")
-    )
+    queries = placed.select(F.col("block").alias("own"), "row_id", "vector").join(pairs, "own")
+    candidates = placed.join(pairs, "block").select("own", "block", "row_id", "vector")
     parts = (
-        sliced.groupBy("slice", "block")
-        .cogroup(copies.groupBy("c_slice", "c_block"))
+        queries.groupBy("own", "block")
+        .cogroup(candidates.toDF("c_own", "c_block", "c_row_id", "c_vector").groupBy("c_own", "c_block"))
         .applyInPandas(search, _FOUND)
     )
     near = parts.select(
@@ -104,92 +92,101 @@ def _keep_k(near: DataFrame, k: int) -> DataFrame:
     )
 
 
-def nearest(rows: DataFrame, columns: Sequence[str], id_col: str, k: int, seed: int) -> DataFrame:
-    """row_id (long), vector and ``near``: array of (distances, ids, vectors), nearest first."""
-    ship_package(rows.sparkSession)
-    vectors = materialize(
-        rows.select(
-            F.col(id_col).cast("long").alias("row_id"),
-            F.array(*[F.col(c).cast("double") for c in columns]).alias("vector"),
-        )
-    )
+def _split(rows: pd.DataFrame) -> pd.DataFrame:
+    """Cut at the median of the widest column until no block has more than ``_BLOCK_ROWS`` rows."""
+    points = np.array(rows["vector"].tolist(), dtype="float64")
+    block = np.empty(len(rows), dtype=object)
+    name = f"{rows['cell'].iloc[0]}/{rows['part'].iloc[0]}"
+    ids = rows["row_id"].to_numpy()
+    open_parts = [("", np.arange(len(rows)))]
+    while open_parts:
+        path, at = open_parts.pop()
+        if len(at) <= _BLOCK_ROWS:
+            block[at] = f"{name}/{path}"
+            continue
+        widest = int(np.ptp(points[at], axis=0).argmax())
+        order = at[np.lexsort((ids[at], points[at, widest]))]
+        open_parts += [(path + "0", order[: len(order) // 2]), (path + "1", order[len(order) // 2 :])]
+    return pd.DataFrame({"row_id": ids, "vector": rows["vector"], "block": block})
+
+
+def _place(vectors: DataFrame, seed: int) -> DataFrame:
+    """row_id, vector and the block of each row."""
     count = vectors.count()
-    cells = max(1, min(_MAX_CELLS, count // _BLOCK_ROWS))
-    if cells == 1:
-        placed = vectors.withColumn("cell", F.lit(0)).withColumn("to_centre", F.lit(0.0))
-        centres = None
-    else:
-        # clusters of like rows; the centre table has at most _MAX_CELLS rows
+    cells = ceil(sqrt(count / _BLOCK_ROWS))
+    if cells > 1:
         model = KMeans(k=cells, seed=seed, maxIter=5, featuresCol="_v", predictionCol="cell").fit(
             vectors.withColumn("_v", array_to_vector("vector"))
         )
-        centres = np.array([c.tolist() for c in model.clusterCenters()])
-        placed = model.transform(vectors.withColumn("_v", array_to_vector("vector"))).drop("_v")
-        placed = placed.withColumn("to_centre", _distance_to_own(centres)(F.col("vector"), F.col("cell")))
-    # a cell with very many rows is cut into blocks of about _BLOCK_ROWS
-    sizes = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("cell_rows"), F.max("to_centre").alias("radius")
-    )
-    blocks_in_cell = F.ceil(F.col("cell_rows") / _BLOCK_ROWS)
-    placed = materialize(
-        placed.join(F.broadcast(sizes), "cell").select(
-            "row_id",
-            "vector",
-            "cell",
-            F.concat_ws(
-                "/", F.col("cell"), F.pmod(F.xxhash64(F.col("row_id"), F.lit(seed)), blocks_in_cell)
-            ).alias("block"),
+        celled = model.transform(vectors.withColumn("_v", array_to_vector("vector"))).drop("_v")
+    else:
+        celled = vectors.withColumn("cell", F.lit(0))
+    sizes = celled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / _PART_ROWS).alias("parts"))
+    parted = celled.join(F.broadcast(sizes), "cell").withColumn(
+        "part", F.pmod(F.xxhash64(F.col("row_id"), F.lit(seed)), F.col("parts"))
+    )
+    split = parted.select("row_id", "vector", "cell", "part").groupBy("cell", "part")
+    return split.applyInPandas(_split, "row_id long, vector array<double>, block string")
+
+
+def block_pairs(placed: DataFrame, own: DataFrame, k: int, dimensions: int) -> DataFrame:
+    """Pairs (own, block) of different blocks that may hold one of the k nearest of a row of ``own``."""
+    # a row that has not found k yet must look everywhere
+    limit = F.when(F.size("near") >= k, F.element_at("near", -1)["distances"]).otherwise(F.lit(float("inf")))
+    reach = (
+        placed.join(own.select("row_id", limit.alias("limit")), "row_id", "left")
+        .groupBy("block")
+        .agg(
+            F.max(F.coalesce("limit", F.lit(float("inf")))).alias("reach"),
+            *[F.min(F.col("vector")[i]).alias(f"low_{i}") for i in range(dimensions)],
+            *[F.max(F.col("vector")[i]).alias(f"high_{i}") for i in range(dimensions)],
         )
     )
-    candidates = placed.select("block", "row_id", "vector")
-    all_blocks = placed.select("cell", "block").distinct()
-    queries = placed.select("row_id", "vector", "cell")
-    own = _search(queries.join(all_blocks, "cell"), candidates, k)
-    if centres is None:
-        return own.join(placed.select("row_id", "vector"), "row_id")
-    own = materialize(own)
-    radii = {r["cell"]: r["radius"] for r in sizes.collect()}
-    reach = np.array([radii.get(c, -np.inf) for c in range(cells)])
-    bound = F.when(F.size("near") >= k, F.element_at("near", -1)["distances"]).otherwise(
-        F.lit(float("inf"))
-    )
-    wider = queries.join(own, "row_id", "left").withColumn(
-        "bound", F.coalesce(bound, F.lit(float("inf")))
-    )
-    others = wider.select(
-        "row_id",
-        "vector",
-        F.explode(_reachable(centres, reach)(F.col("vector"), F.col("cell"), F.col("bound"))).alias("cell"),
-    )
-    elsewhere = _search(others.join(all_blocks, "cell"), candidates, k)
-    finds = own.unionByName(elsewhere).select("row_id", F.explode("near").alias("near"))
-    together = _keep_k(finds, k)
-    return together.join(placed.select("row_id", "vector"), "row_id")
+    lows, highs = ([f"{side}_{i}" for i in range(dimensions)] for side in ("low", "high"))
+    boxes = materialize(reach.select("block", "reach", F.array(*lows).alias("low"), F.array(*highs).alias("high")))
+    slices = ceil(boxes.count() / _BOXES)
+    found = None
+    for i in range(slices):  # the boxes to compare with, in parts that a task can hold
+        some = boxes.where(F.pmod(F.xxhash64("block"), F.lit(slices)) == i).select("block", "low", "high").collect()
+        part = boxes.mapInPandas(_near_boxes(some), "own string, block string")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
-def _distance_to_own(centres: np.ndarray):
-    @F.pandas_udf(T.DoubleType())
-    def distance(vector: pd.Series, cell: pd.Series) -> pd.Series:
-        points = np.array(vector.tolist(), dtype="float64")
-        return pd.Series(np.sqrt(((points - centres[cell.to_numpy()]) ** 2).sum(axis=1)))
+def _near_boxes(some: list):
+    names = np.array([r.block for r in some], dtype=object)
+    low, high = (np.array([list(r[side]) for r in some], dtype="float64") for side in ("low", "high"))
 
-    return distance
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own, reach, mine_low, mine_high in zip(batch["block"], batch["reach"], batch["low"], batch["high"]):
+                gap = np.maximum(0.0, np.maximum(low - np.array(mine_high), np.array(mine_low) - high))
+                # small slack so that rounding never drops a block
+                hit = np.sqrt((gap**2).sum(axis=1)) <= reach * (1 + 1e-9) + 1e-9
+                hit &= names != own
+                if hit.any():
+                    yield pd.DataFrame({"own": own, "block": names[hit]})
 
+    return compare
 
-def _reachable(centres: np.ndarray, reach: np.ndarray):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def cells(vector: pd.Series, own: pd.Series, bound: pd.Series) -> pd.Series:
-        points = np.array(vector.tolist(), dtype="float64")
-        out = []
-        for point, cell, limit in zip(points, own, bound):
-            nearest_possible = np.sqrt(((centres - point) ** 2).sum(axis=1)) - reach
-            # small slack so that rounding never drops a cell
-            hit = nearest_possible <= limit * (1 + 1e-9) + 1e-9
-            hit[cell] = False
-            out.append(np.flatnonzero(hit).astype("int32").tolist())
-        return pd.Series(out)
 
-    return cells
+def nearest(rows: DataFrame, columns: Sequence[str], id_col: str, k: int, seed: int) -> DataFrame:
+    """row_id (long), vector and ``near``: array of (distances, ids, vectors), nearest first."""
+    ship_package(rows.sparkSession)
+    vectors = materialize(
+        rows.select(
+            F.col(id_col).cast("long").alias("row_id"),
+            F.array(*[F.col(c).cast("double") for c in columns]).alias("vector"),
+        )
+    )
+    placed = materialize(_place(vectors, seed))
+    inside = placed.select(F.col("block").alias("own"), "block").distinct()
+    own = materialize(_search(inside, placed, k))
+    pairs = block_pairs(placed, own, k, len(columns))
+    if pairs is not None:
+        elsewhere = _search(materialize(pairs), placed, k)
+        own = _keep_k(own.unionByName(elsewhere).select("row_id", F.explode("near").alias("near")), k)
+    return own.join(vectors, "row_id")
 
 
 def synthetic_minority(
@@ -210,12 +207,14 @@ def synthetic_minority(
     rows = train.select(*columns, label, id_col)
     counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
     if len(counts) < 2:
-        return rows.drop(id_col)
+        raise ValueError(f"nothing to balance: the only values of {label} are {sorted(counts)}")
     minority, majority = sorted(counts, key=lambda c: (counts[c], c))
     few, missing = counts[minority], counts[majority] - counts[minority]
-    if missing == 0 or few < 2:
+    if missing == 0:
         return rows.drop(id_col)
-    found = nearest(rows.filter(F.col(label) == minority), columns, id_col, min(k, few - 1), seed)
+    if few <= k:
+        raise ValueError(f"{few} rows of the minority do not have {k} neighbours each")
+    found = nearest(rows.filter(F.col(label) == minority), columns, id_col, k, seed)
     each, extra = divmod(missing, few)
     numbered = number_rows(
         found.withColumn("_key", shuffle_key("row_id", seed)), [F.col("_key"), F.col("row_id")]

@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import as_column
-from keepwell.session import materialize, small_side
+from keepwell.session import materialize
 
 _POSITION_BITS = (1 << 33) - 1
 
@@ -36,9 +36,9 @@ def _blocks(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFr
 def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
     """Adds ``row_no`` (1-based) and ``row_count`` per group, over a total order.
 
-    ``by`` is meant for few groups (metrics, splits, labels): the block table has
-    one row per block and group and is broadcast when it is small.  ``order``
-    must end in a unique column.
+    ``by`` is meant for few groups (metrics, splits, labels).  The block table has
+    one row for each block and group in it, and is broadcast: its size follows the
+    number of partitions.  ``order`` must end in a unique column.
     """
     by = list(by)
     stored = _blocks(df, by, order)
@@ -55,7 +55,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ())
         F.sum("_here").over(whole).alias("row_count"),
     )
     return (
-        stored.join(small_side(blocks), ["_block", *by])
+        stored.join(F.broadcast(blocks), ["_block", *by])
         .withColumn("row_no", F.col("_before") + F.col("_pos") - F.col("_first") + 1)
         .drop("_block", "_pos", "_first", "_before")
     )
@@ -82,7 +82,7 @@ def running_totals(
     inside = (
         W.partitionBy("_block", *by).orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    joined = stored.join(small_side(blocks), ["_block", *by])
+    joined = stored.join(F.broadcast(blocks), ["_block", *by])
     return joined.select(
         *df.columns,
         *[(F.col(f"_{c}_before") + F.sum(c).over(inside)).alias(f"{c}_upto") for c in sums],
@@ -150,18 +150,6 @@ def quantile_bins(
     return out
 
 
-def dense_rank_desc(df: DataFrame, value: str, rank_col: str) -> DataFrame:
-    """DENSE_RANK() OVER (ORDER BY value DESC) for a frame of any size.
-
-    Only the distinct values are sorted, and the ranks are joined back.
-    """
-    distinct = df.select(value).distinct()
-    ranks = number_rows(distinct, [F.col(value).desc_nulls_last()]).select(
-        F.col(value).alias("_value"), F.col("row_no").alias(rank_col)
-    )
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
-
-
 # -- exact quantiles ---------------------------------------------------------
 
 def exact_quantiles(
@@ -169,30 +157,61 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group; NULL values are ignored.
 
-    ``percentile`` keeps every distinct value of a group in one task's memory;
-    this sorts the values across tasks and picks the two rows it needs.
+    ``percentile`` keeps every distinct value of a group in one task's memory.  Here
+    equal values are counted first (combined on the map side), so a value that most rows
+    share is one row when the distinct values are sorted across tasks.
     """
     by = list(by)
-    present = df.filter(F.col(value).isNotNull()).select(*by, value)
-    numbered = number_rows(present, [F.col(value)], by=by)
-    return pick_quantiles(numbered, by, value, probs)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    return counted_quantiles(counted, by, value, "_n", probs)
 
 
-def pick_quantiles(
-    numbered: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]
+def counted_quantiles(
+    counted: DataFrame, by: Sequence[str], value: str, count: str, probs: Mapping[str, float]
 ) -> DataFrame:
-    """Quantile columns from the output of :func:`number_rows`."""
-    value_col = F.col(value).cast("double")
-    row, last = F.col("row_no"), F.col("row_count") - 1
+    """The same from a frame with one row per group and distinct value, and its count."""
+    by = list(by)
+    ranked = running_totals(counted, [F.col(value)], [count], by)
+    number, upto, total = F.col(value).cast("double"), F.col(f"{count}_upto"), F.col(f"{count}_total")
     picks = []
     for name, p in probs.items():
-        place = last * F.lit(float(p))
+        place = (total - 1) * F.lit(float(p))
         low = F.floor(place) + 1
-        low_value = F.max(F.when(row == low, value_col))
-        high_value = F.max(F.when(row == F.least(low + 1, F.col("row_count")), value_col))
-        part = F.max(place - F.floor(place))
-        picks.append((low_value + (high_value - low_value) * part).alias(name))
-    return numbered.groupBy(*by).agg(*picks)
+
+        def at(row: Column) -> Column:
+            return F.max(F.when((upto >= row) & (upto - F.col(count) < row), number))
+
+        low_value, high_value = at(low), at(F.least(low + 1, total))
+        picks.append((low_value + (high_value - low_value) * F.max(place - F.floor(place))).alias(name))
+    return ranked.groupBy(*by).agg(*picks)
+
+
+def moments_and_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], name: str = "measure"
+) -> DataFrame:
+    """One row per column: its name, n, mean, std, low, high, zeros and the quantiles; NULLs are ignored.
+
+    The frame is written once.  Moments come from one wide aggregate without a shuffle of
+    rows; for the quantiles only the distinct values of each column travel.
+    """
+    kept = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    wide = kept.agg(
+        *[
+            F.struct(
+                F.lit(c).alias(name),
+                F.count(c).alias("n"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+                F.min(c).alias("low"),
+                F.max(c).alias("high"),
+                F.count_if(F.col(c) == 0).alias("zeros"),
+            ).alias(c)
+            for c in columns
+        ]
+    ).select(F.inline(F.array(*[F.col(c) for c in columns])))
+    pairs = ", ".join(f"'{c}', {c}" for c in columns)
+    long = kept.selectExpr(f"stack({len(columns)}, {pairs}) AS ({name}, value)")
+    return wide.join(exact_quantiles(long, [name], "value", probs), name, "left")
 
 
 def share_rank(df: DataFrame, value: Column, id_col: str, share: float) -> DataFrame:

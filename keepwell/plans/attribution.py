@@ -250,18 +250,21 @@ def importance_from_impacts(explained: DataFrame, features: Sequence[str] = tupl
     )
 
 
+def _chosen(rows: DataFrame, sample: int | None, seed: int) -> DataFrame:
+    return rows if sample is None else seeded_sample(rows, "customer_unique_id", sample, seed)
+
+
 def global_tree_importance(
-    rows: DataFrame, paths: Sequence[LeafPath], sample: int = 3000, seed: int = SEED
+    rows: DataFrame, paths: Sequence[LeafPath], sample: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    chosen = seeded_sample(rows, "customer_unique_id", sample, seed)
-    return importance_from_impacts(tree_impacts(chosen, paths))
+    """Over all rows; ``sample`` draws that many first."""
+    return importance_from_impacts(tree_impacts(_chosen(rows, sample, seed), paths))
 
 
 def global_linear_importance(
-    rows: DataFrame, coefficients: Mapping[str, float], sample: int = 3000, seed: int = SEED
+    rows: DataFrame, coefficients: Mapping[str, float], sample: int | None = None, seed: int = SEED
 ) -> DataFrame:
     """The same for a linear score; means are taken over all rows."""
     impacts = linear_impacts(coefficients, feature_means(rows, list(coefficients)))
-    chosen = seeded_sample(rows, "customer_unique_id", sample, seed)
-    explained = chosen.select(F.array(*impacts.values()).alias("impacts"))
+    explained = _chosen(rows, sample, seed).select(F.array(*impacts.values()).alias("impacts"))
     return importance_from_impacts(explained, list(coefficients))

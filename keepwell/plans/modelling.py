@@ -5,12 +5,18 @@ from __future__ import annotations
 import itertools
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -50,15 +56,18 @@ def with_row_id(panel: DataFrame) -> DataFrame:
 
 
 def split(panel: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
-    """train, val and test by the panel's role; without roles a stratified 70/15/15 split."""
+    """train, val and test by the panel's role; without roles a stratified 70/15/15 split.
+
+    The split orders rows by a key of (customer, snapshot), so it repeats although customers recur.
+    """
     if "split_role" not in panel.columns or panel.filter("split_role = 'train'").isEmpty():
         panel = stratified_split(
-            panel.drop("split_role"),
+            with_row_id(panel.drop("split_role")),
             TARGET,
-            "customer_unique_id",
+            ROW_ID,
             {"train": 0.70, "val": 0.15, "test": 0.15},
             seed,
-        )
+        ).drop(ROW_ID)
     return {role: panel.filter(F.col("split_role") == role) for role in ("train", "val", "test")}
 
 
@@ -81,6 +90,15 @@ def positive_weight(counts: Mapping[int, int]) -> Column:
     return F.when(F.col(TARGET) == 1, counts.get(0, 0) / max(counts.get(1, 0), 1)).otherwise(1.0)
 
 
+#: training rows that one task works on: small fits are bound by the number of tasks
+TASK_ROWS = 50_000
+
+
+def _dealt(train: DataFrame, counts: Mapping[int, int]) -> DataFrame:
+    """The rows in as many parts as their number asks for; every pass of a fit starts that many tasks."""
+    return train.repartition(max(1, -(-sum(counts.values()) // TASK_ROWS)))
+
+
 # -- candidates --------------------------------------------------------------
 
 def _assembler(output: str) -> VectorAssembler:
@@ -96,11 +114,12 @@ def fit_logistic(train: DataFrame, counts: Mapping[int, int], weight: Column | N
             labelCol=TARGET,
             weightCol=WEIGHT,
             maxIter=1000,
+            tol=1e-4,
             regParam=1.0 / max(n, 1),
             standardization=False,
         ),
     ]
-    weighted = train.withColumn(WEIGHT, F.lit(1.0) if weight is None else weight)
+    weighted = _dealt(train, counts).withColumn(WEIGHT, F.lit(1.0) if weight is None else weight)
     return Pipeline(stages=stages).fit(weighted)
 
 
@@ -112,9 +131,10 @@ def fit_forest(train: DataFrame, counts: Mapping[int, int], seed: int = SEED) ->
         numTrees=100,
         maxDepth=8,
         featureSubsetStrategy="sqrt",
+        maxMemoryInMB=1024,  # a level of all trees in one job
         seed=seed,
     )
-    weighted = train.withColumn(WEIGHT, balanced_weight(counts))
+    weighted = _dealt(train, counts).withColumn(WEIGHT, balanced_weight(counts))
     return Pipeline(stages=[_assembler("features"), forest]).fit(weighted)
 
 
@@ -138,12 +158,33 @@ def fit_boosted(
         maxDepth=settings.max_depth,
         stepSize=settings.learning_rate,
         subsamplingRate=settings.subsample,
+        maxMemoryInMB=512,
+        cacheNodeIds=True,
+        checkpointInterval=50,
         seed=seed,
     )
-    weighted = train.withColumn(WEIGHT, positive_weight(counts))
+    weighted = _dealt(train, counts).withColumn(WEIGHT, positive_weight(counts))
     return Pipeline(stages=[_assembler("features"), boosted]).fit(weighted)
 
 
+def first_trees(model: PipelineModel, trees: int) -> PipelineModel:
+    """The boosted model as it was after so many trees."""
+    boosted = model.stages[-1]
+    if trees >= boosted.getNumTrees:
+        return model
+    jvm, java = boosted._java_obj, SparkContext._active_spark_context
+    kept = java._gateway.new_array(java._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
+    weights = java._gateway.new_array(java._jvm.double, trees)
+    for i in range(trees):
+        kept[i], weights[i] = jvm.trees()[i], jvm.treeWeights()[i]
+    short = java._jvm.org.apache.spark.ml.classification.GBTClassificationModel(jvm.uid(), kept, weights)
+    shorter = GBTClassificationModel(short)
+    for name in ("featuresCol", "labelCol", "predictionCol", "rawPredictionCol", "probabilityCol"):
+        shorter._set(**{name: boosted.getOrDefault(name)})
+    shorter._transfer_params_to_java()
+    return PipelineModel(stages=[*model.stages[:-1], shorter])
+
+
 def _fit_oversampled(train: DataFrame, counts: Mapping[int, int], seed: int = SEED) -> PipelineModel:
     rows = materialize(synthetic_minority(train, FEATURES, TARGET, ROW_ID, seed=seed))
     largest = max(counts.values())
@@ -187,9 +228,13 @@ def cross_validate(
     folds: int,
     seed: int = SEED,
     parallelism: int = 8,
+    prefixes: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Metrics per candidate and fold.
 
+    ``prefixes`` names models that consist of the first so many trees of a candidate; they are
+    measured in its place.
+
     Anything a candidate does to its training rows (weights, synthetic rows,
     scaling) sees the training folds only.  All held-out predictions are
     measured together in one grouped job.
@@ -200,8 +245,14 @@ def cross_validate(
     def run(job: tuple[str, int]) -> DataFrame:
         name, fold = job
         model = candidates[name](folded.filter(F.col("fold") != fold), counts[fold])
-        held_out = score_rows(model, folded.filter(F.col("fold") == fold))
-        return held_out.select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "p")
+        parts = (prefixes or {}).get(name)
+        models = {x: first_trees(model, n) for x, n in parts.items()} if parts else {name: model}
+        held_out = folded.filter(F.col("fold") == fold)
+        scored = [
+            score_rows(m, held_out).select(F.lit(x).alias("model"), F.lit(fold).alias("fold"), "label", "p")
+            for x, m in models.items()
+        ]
+        return reduce(DataFrame.unionByName, scored)
 
     jobs = list(itertools.product(candidates, counts))
     with ThreadPool(parallelism) as pool:
@@ -287,12 +338,21 @@ def tune(
 ) -> tuple[BoostSettings, DataFrame]:
     """The settings with the best mean fold ROC-AUC (the first on ties), and all results."""
     settings = list(settings or grid_settings())
+    # boosting adds trees one by one, so the longest fit of otherwise equal settings holds the others
+    longest: dict[BoostSettings, BoostSettings] = {}
+    for s in settings:
+        key = replace(s, trees=0)
+        longest[key] = max(longest.get(key, s), s, key=lambda x: x.trees)
 
     def fit(s: BoostSettings) -> Fit:
         return lambda df, n: fit_boosted(df, n, s, seed)
 
-    candidates = {str(i): fit(s) for i, s in enumerate(settings)}
-    per_fold = cross_validate(train, candidates, folds, seed, parallelism)
+    def cuts(s: BoostSettings) -> dict[str, int]:
+        return {str(i): x.trees for i, x in enumerate(settings) if replace(x, trees=0) == replace(s, trees=0)}
+
+    candidates = {str(settings.index(s)): fit(s) for s in longest.values()}
+    prefixes = {str(settings.index(s)): cuts(s) for s in longest.values()}
+    per_fold = cross_validate(train, candidates, folds, seed, parallelism, prefixes)
     # one row per combination
     means = per_fold.groupBy("model").agg(F.avg("roc_auc").alias("mean_roc_auc")).collect()
     scores = {int(r["model"]): r["mean_roc_auc"] for r in means}

@@ -1,10 +1,10 @@
 """Point-in-time customer features and churn labels for many snapshots at once.
 
-Everything is reduced to one row per order first (items, payments and reviews
-are each pre-summed on ``order_id``), an order is then repeated for the
-windows it falls into, and one aggregation on (customer, window) yields all
-features and the label.  Facts are read once, whatever the number of snapshots
-and lookbacks.
+The orders any window can see come first; items, payments and reviews are cut to these
+orders and summed to one row per order.  An order is then repeated for the windows it falls
+into, and one aggregation on (customer, window) yields all features and the label.  Items,
+payments and reviews are each scanned once, whatever the number of snapshots and lookbacks; the orders'
+dates decide, without a further scan of the facts, which rows are needed.
 """
 
 from __future__ import annotations
@@ -12,21 +12,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import (
     MICROS_PER_DAY,
+    as_column,
     at_least,
     days_between,
     instant,
     micros_between,
     not_excluded,
+    plus_days,
     ratio,
     rounded,
 )
 from keepwell.operators.activity import second_order_within
-from keepwell.operators.ordering import number_rows, pick_quantiles
+from keepwell.operators.ordering import moments_and_quantiles, number_rows
 from keepwell.session import materialize
 from keepwell.settings import (
     FEATURE_DEFAULTS,
@@ -90,15 +93,54 @@ def _per_window(windows: Sequence[_Window], value) -> Column:
 
 def _order_grain(
     tables: Mapping[str, DataFrame], snapshots: Sequence[Snapshot], windows: Sequence[_Window]
-) -> DataFrame:
-    """One row per order with its customer and the sums of its items, payments and reviews."""
-    items = tables["fact_order_items"].groupBy("order_id").agg(
-        F.sum("price").alias("price_sum"),
-        F.count("order_item_id").alias("item_count"),
-        F.sum("freight_value").alias("freight_sum"),
-        F.count("freight_value").alias("freight_count"),
+) -> tuple[DataFrame, list[str]]:
+    """One row per order with its customer and the sums of its items, payments and reviews,
+    and the names of its category masks.
+
+    ``copies`` says how often the order row was loaded: sums count each copy, as a join to the
+    order rows would, and the order itself counts once.
+    """
+    bought = F.col("order_purchase_timestamp")
+    orders = (
+        tables["fact_orders"]
+        .filter(_in_reach(bought, windows, labels=True))
+        .select(
+            "order_id",
+            "customer_id",
+            "order_status",
+            F.col("order_purchase_timestamp").alias("ts"),
+            F.col("order_delivered_customer_date").alias("delivered"),
+            F.col("order_estimated_delivery_date").alias("estimated"),
+        )
+        # everything up to the customers is keyed on the order, so this is the only shuffle of orders until then
+        .repartition("order_id")
+        .groupBy("order_id", "customer_id", "order_status", "ts", "delivered", "estimated")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    # facts matter only where a window observes the order
+    observed = (
+        tables["fact_orders"].filter(_in_reach(bought, windows, labels=False)).select("order_id").repartition("order_id")
+    )
+
+    def facts(name: str) -> DataFrame:
+        return tables[name].join(observed, "order_id", "left_semi")
+
+    slots, n_masks = _category_slots(tables["dim_products"])
+    masks = [f"mask_{i}" for i in range(n_masks)]
+    items = (
+        facts("fact_order_items")
+        .select("order_id", "order_item_id", "product_id", "price", "freight_value")
+        .join(slots, "product_id", "left")
+        .groupBy("order_id")
+        .agg(
+            F.sum("price").alias("price_sum"),
+            F.count("order_item_id").alias("item_count"),
+            F.sum("freight_value").alias("freight_sum"),
+            F.count("freight_value").alias("freight_count"),
+            *[F.bit_or(F.when(F.col("mask_no") == i, F.col("bit"))).alias(m) for i, m in enumerate(masks)],
+        )
     )
-    payments = tables["fact_order_payments"].groupBy("order_id").agg(
+    payments = facts("fact_order_payments").groupBy("order_id").agg(
         F.sum("payment_value").alias("paid_sum"),
         *[
             F.sum(F.when(F.col("payment_type") == kind, F.col("payment_value"))).alias(name)
@@ -109,80 +151,35 @@ def _order_grain(
     )
     # a review counts only at snapshots after its creation: one sum per snapshot
     seen = [F.col("review_creation_date") < instant(s.date) for s in snapshots]
-    reviews = tables["fact_order_reviews"].groupBy("order_id").agg(
+    reviews = facts("fact_order_reviews").groupBy("order_id").agg(
         *[F.sum(F.when(c, F.col("review_score"))).alias(f"review_sum_{i}") for i, c in enumerate(seen)],
         *[F.count(F.when(c, F.col("review_score"))).alias(f"review_count_{i}") for i, c in enumerate(seen)],
     )
-    bought = F.col("order_purchase_timestamp")
-    orders = tables["fact_orders"].filter(_in_reach(bought, windows, labels=True)).select(
-        "order_id",
-        "customer_id",
-        "order_status",
-        F.col("order_purchase_timestamp").alias("ts"),
-        F.col("order_delivered_customer_date").alias("delivered"),
-        F.col("order_estimated_delivery_date").alias("estimated"),
-    )
     customers = tables["dim_customers"].select("customer_id", "customer_unique_id")
-    return (
-        orders.join(customers, "customer_id")
-        .join(items, "order_id", "left")
+    grain = (
+        orders.join(items, "order_id", "left")
         .join(payments, "order_id", "left")
         .join(reviews, "order_id", "left")
+        .join(customers, "customer_id")
     )
+    return grain, masks
 
 
-def _categories(tables: Mapping[str, DataFrame], windows: Sequence[_Window]) -> DataFrame:
-    """customer, window_no, category_diversity.
+def _category_slots(products: DataFrame) -> tuple[DataFrame, int]:
+    """product_id with the mask and the bit of its category, and the number of masks.
 
-    The windows in which a customer bought a category are kept as bits, so the
-    item rows are aggregated once for all windows (62 windows per mask).
+    Categories are a short list next to the products; each gets a bit, so that the distinct categories
+    of any set of orders are a bitwise or.
     """
-    ts = F.col("order_purchase_timestamp")
-    masks = {}
-    for first in range(0, len(windows), _MASK_BITS):
-        bits = [
-            F.when(w.observes(ts), F.lit(1 << k).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-            for k, w in enumerate(windows[first : first + _MASK_BITS])
-        ]
-        mask = bits[0]
-        for bit in bits[1:]:
-            mask = mask.bitwiseOR(bit)
-        masks[f"mask_{first // _MASK_BITS}"] = mask
-    orders = tables["fact_orders"].filter(_in_reach(ts, windows, labels=False)).select(
-        "order_id", "customer_id", *[m.alias(n) for n, m in masks.items()]
-    )
-    observed = F.lit(False)
-    for name in masks:
-        observed = observed | (F.col(name) != 0)
-    orders = orders.filter(observed).join(
-        tables["dim_customers"].select("customer_id", "customer_unique_id"), "customer_id"
-    )
-    named = tables["dim_products"].select(
-        "product_id", F.col("product_category_name_english").alias("category")
-    ).filter(F.col("category").isNotNull())
-    bought = (
-        tables["fact_order_items"]
-        .select("order_id", "product_id")
-        .join(named, "product_id")
-        .groupBy("order_id", "category")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .join(orders, "order_id")
-        .groupBy("customer_unique_id", "category")
-        .agg(*[F.bit_or(n).alias(n) for n in masks])
-    )
-    inside = [
-        F.col(f"mask_{k // _MASK_BITS}").bitwiseAND(F.lit(1 << (k % _MASK_BITS)).cast("bigint")) != 0
-        for k in range(len(windows))
-    ]
-    return (
-        bought.select(
-            "customer_unique_id",
-            F.explode(F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(inside)])).alias("window_no"),
-        )
-        .filter(F.col("window_no").isNotNull())
-        .groupBy("customer_unique_id", "window_no")
-        .agg(F.count(F.lit(1)).alias("category_diversity"))
+    named = products.select("product_id", F.col("product_category_name_english").alias("category"))
+    names = materialize(named.filter(F.col("category").isNotNull()).select("category").distinct())
+    numbered = number_rows(names, [F.col("category")]).select("category", (F.col("row_no") - 1).alias("slot"))
+    slots = named.join(numbered, "category").select(
+        "product_id",
+        F.floor(F.col("slot") / _MASK_BITS).alias("mask_no"),
+        F.expr(f"shiftleft(1L, cast(slot % {_MASK_BITS} as int))").alias("bit"),
     )
+    return slots, max(1, -(-names.count() // _MASK_BITS))
 
 
 def lookback_panels(
@@ -204,9 +201,9 @@ def lookback_panels(
             ]
         )
     )
+    grain, masks = _order_grain(tables, snapshots, windows)
     rows = (
-        _order_grain(tables, snapshots, windows)
-        .select("*", seen_by.alias("window_no"))
+        grain.select("*", seen_by.alias("window_no"))
         .filter(F.col("window_no").isNotNull())
         .withColumn("at", _per_window(windows, lambda w: w.at))
         .withColumn("observed", ts < F.col("at"))
@@ -225,7 +222,7 @@ def lookback_panels(
     delay = F.when(seen & (F.col("delivered") < F.col("at")), micros_between("estimated", "delivered"))
 
     def total(c: str | Column, condition: Column = seen) -> Column:
-        return F.sum(F.when(condition, F.col(c) if isinstance(c, str) else c))
+        return F.sum(F.when(condition, as_column(c) * F.col("copies")))
 
     extra_sums = _extra_aggregates(seen, total, delay) if extras else {}
     sums = rows.groupBy("customer_unique_id", "window_no").agg(
@@ -246,15 +243,15 @@ def lookback_panels(
         F.count_if(within(30)).alias("last_30d_orders"),
         F.count_if(within(60)).alias("last_60d_orders"),
         total("price_sum", within(60)).alias("recent_sum"),
-        F.sum(delay).alias("delay_sum"),
-        F.count(delay).alias("delay_count"),
+        total(delay).alias("delay_sum"),
+        total(delay.isNotNull().cast("int")).alias("delay_count"),
+        *[F.bit_or(F.when(seen, F.col(m))).alias(m) for m in masks],
         F.max((~seen).cast("int")).alias("returned"),
         *[c.alias(name) for name, c in extra_sums.items()],
     )
-    keys = ["customer_unique_id", "window_no"]
     joined = (
         sums.filter(F.col("order_frequency") > 0)
-        .join(_categories(tables, windows), keys, "left")
+        .withColumn("category_diversity", _distinct_bits(masks))
         .withColumn("at", _per_window(windows, lambda w: w.at))
         .withColumn("recency_days", days_between("last_ts", "at"))
         .withColumn("customer_tenure_days", days_between("first_ts", "at"))
@@ -285,6 +282,13 @@ def lookback_panels(
     return out
 
 
+def _distinct_bits(masks: Sequence[str]) -> Column:
+    """How many bits are set in all masks; NULL where there is none, as without any named category."""
+    counts = [F.bit_count(F.coalesce(F.col(m), F.lit(0).cast("bigint"))) for m in masks]
+    number = reduce(Column.__add__, counts)
+    return F.when(number > 0, number.cast("bigint"))
+
+
 def churn_panel(
     tables: Mapping[str, DataFrame],
     snapshots: Sequence[Snapshot] = SNAPSHOTS,
@@ -489,24 +493,15 @@ def leakage_audit(
 
 def feature_stats(panel: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
     """feature, mean, std, median, min, max, zero_pct: exact, rounded as in the audit."""
-    pairs = ", ".join(f"'{f}', CAST({f} AS DOUBLE)" for f in features)
-    # the global sort reads its input twice, so the panel is written first
-    long = materialize(panel.select(*features)).selectExpr(f"stack({len(features)}, {pairs}) AS (feature, value)").filter(
-        "value IS NOT NULL"
-    )
-    numbered = number_rows(long, [F.col("value")], by=["feature"])
-    moments = numbered.groupBy("feature").agg(
-        rounded(F.avg("value"), 4).alias("mean"),
-        rounded(F.stddev_samp("value"), 4).alias("std"),
-        rounded(F.min("value"), 4).alias("min"),
-        rounded(F.max("value"), 4).alias("max"),
-        rounded(ratio(F.count_if(F.col("value") == 0), F.count(F.lit(1))) * 100.0, 2).alias("zero_pct"),
-    )
-    medians = pick_quantiles(numbered, ["feature"], "value", {"median": 0.5}).withColumn(
-        "median", rounded("median", 4)
-    )
-    return moments.join(medians, "feature").select(
-        "feature", "mean", "std", "median", "min", "max", "zero_pct"
+    found = moments_and_quantiles(panel, features, {"median": 0.5}, "feature")
+    return found.select(
+        "feature",
+        rounded("mean", 4).alias("mean"),
+        rounded("std", 4).alias("std"),
+        rounded("median", 4).alias("median"),
+        rounded("low", 4).alias("min"),
+        rounded("high", 4).alias("max"),
+        rounded(ratio("zeros", "n") * 100.0, 2).alias("zero_pct"),
     )
 
 
@@ -526,14 +521,21 @@ def delay_churn(panel: DataFrame, days: float = 3.0) -> DataFrame:
 def dormancy(
     orders: DataFrame, customers: DataFrame, panel: DataFrame, days: int = 60
 ) -> DataFrame:
-    """Churn share of customers with and without a second order within ``days`` days."""
+    """Churn share of customers with and without a second order within ``days`` days of the first.
+
+    Only what was known at the snapshot counts: rows whose ``days`` days were not over by then
+    are left out, and so are orders on or after the snapshot.
+    """
     dated = orders.select("customer_id", "order_purchase_timestamp").join(
         customers.select("customer_id", "customer_unique_id"), "customer_id"
     )
     second = second_order_within(dated, "customer_unique_id", "order_purchase_timestamp", days)
+    at = F.col("snapshot_date").cast("timestamp_ntz")
+    known = (F.col("has_second_order") == 1) & (F.col("same_day") | (F.col("next_ts") < at))
     return (
-        panel.join(second.select("customer_unique_id", "has_second_order"), "customer_unique_id")
-        .groupBy("has_second_order")
+        panel.join(second, "customer_unique_id")
+        .filter(plus_days("first_ts", days) <= at)
+        .groupBy(F.coalesce(known, F.lit(False)).cast("int").alias("has_second_order"))
         .agg(F.count(F.lit(1)).alias("observations"), F.sum(F.col(TARGET).cast("bigint")).alias("churned"))
         .withColumn("churn_rate_pct", rounded(ratio("churned", "observations") * 100.0, 2))
         .orderBy("has_second_order")

@@ -6,12 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keepwell.functions.exprs import days_between, instant, not_excluded, rounded
+from keepwell.functions.exprs import instant, not_excluded, rounded, rounded_days
 from keepwell.functions.rules import RFM_NTILE_RULES, RFM_RULES, first_match
 from keepwell.operators.ordering import (
+    moments_and_quantiles,
     ntile_ends,
-    number_rows,
-    pick_quantiles,
     quantile_bins,
     quantile_ends,
 )
@@ -42,7 +41,7 @@ def rfm_values(
     keep = not_excluded("order_status", INACTIVE_STATUSES) if keep is None else keep
     totals = per_order(items, spend=F.col("price") if amount is None else amount)
     ids = list(dict.fromkeys(["customer_id", customer]))
-    recency = rounded(days_between("latest_order", instant(cutoff)), recency_digits)
+    recency = rounded_days("latest_order", instant(cutoff), recency_digits)
     return (
         orders.filter((F.col("order_purchase_timestamp") < instant(cutoff)) & keep)
         .select("order_id", "customer_id", "order_purchase_timestamp")
@@ -51,7 +50,7 @@ def rfm_values(
         .groupBy(customer)
         .agg(
             F.max("order_purchase_timestamp").alias("latest_order"),
-            F.count("order_id").alias("frequency"),
+            F.count_distinct("order_id").alias("frequency"),
             rounded(F.coalesce(F.sum("spend"), F.lit(0)), 2).alias("monetary"),
         )
         .withColumn("recency", recency)
@@ -120,27 +119,13 @@ def rfm_ntile(
 
 def describe(scored: DataFrame, columns: Sequence[str] = ("recency", "frequency", "monetary")) -> DataFrame:
     """measure, count, mean, std, min, p25, p50, p75, max: exact, over any number of rows."""
-    pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in columns)
-    long = scored.selectExpr(f"stack({len(columns)}, {pairs}) AS (measure, value)").filter(
-        "value IS NOT NULL"
-    )
-    numbered = number_rows(long, [F.col("value")], by=["measure"])
-    moments = numbered.groupBy("measure").agg(
-        F.count("value").alias("count"),
-        rounded(F.avg("value"), 4).alias("mean"),
-        rounded(F.stddev_samp("value"), 4).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quantiles = pick_quantiles(
-        numbered, ["measure"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    )
-    return moments.join(quantiles, "measure").select(
+    found = moments_and_quantiles(scored, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return found.select(
         "measure",
-        "count",
-        "mean",
-        "std",
-        "min",
+        F.col("n").alias("count"),
+        rounded("mean", 4).alias("mean"),
+        rounded("std", 4).alias("std"),
+        F.col("low").alias("min"),
         *[rounded(c, 4).alias(c) for c in ("p25", "p50", "p75")],
-        "max",
+        F.col("high").alias("max"),
     )

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.functions.exprs import ratio, rounded
 from keepwell.functions.rules import CLUSTER_RULES, first_match
 from keepwell.operators.ordering import exact_quantiles
-from keepwell.operators.sampling import seeded_sample
-from keepwell.session import materialize, ship_package, small_side
+from keepwell.session import materialize
 from keepwell.settings import SEED
 
 RFM_COLUMNS = ("recency", "frequency", "monetary")
 _SCALED = [f"scaled_{c}" for c in RFM_COLUMNS]
-SILHOUETTE_SAMPLE = 15_000
 
 
 def scaler(rfm: DataFrame) -> SQLTransformer:
@@ -108,7 +105,7 @@ def name_clusters(
 ) -> DataFrame:
     """Adds cluster_segment; the profile has one row per cluster."""
     names = profile.select(cluster, F.col("segment_name").alias("cluster_segment"))
-    return clustered.join(small_side(names), cluster, "left")
+    return clustered.join(F.broadcast(names), cluster, "left")
 
 
 def segment_customers(
@@ -124,60 +121,45 @@ def segment_customers(
 
 # -- how many clusters -------------------------------------------------------
 
-def silhouettes(
-    points: DataFrame, columns: Sequence[str], labels: Sequence[str], id_col: str, sample: int, seed: int
-) -> DataFrame:
-    """label_column, silhouette: mean Euclidean silhouette of each labelling.
+def silhouettes(points: DataFrame, columns: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """label_column, silhouette: mean silhouette of each labelling over all rows.
 
-    Silhouettes are defined on all pairs, so they are taken over a seeded
-    sample of at most ``sample`` rows, which is small enough to send to every
-    task; each task measures its share of the sampled rows against it.
+    With squared Euclidean distance a row's mean distance to a cluster follows from the
+    cluster's size, sum and sum of squares: |x|^2 + (sum of |y|^2 - 2 x.sum of y) / n.  One
+    small aggregate per labelling and one pass over the rows give the exact value.
     """
-    ship_package(points.sparkSession)
     columns, labels = list(columns), list(labels)
-    chosen = materialize(
-        seeded_sample(points.select(id_col, *columns, *labels), id_col, sample, seed)
-    )
-    local = chosen.drop(id_col).toPandas()
-    coordinates = local[columns].to_numpy("float64")
-    members = {c: pd.get_dummies(local[c]) for c in labels}
-    shared = chosen.sparkSession.sparkContext.broadcast(
-        (coordinates, {c: (m.to_numpy("float64"), list(m.columns)) for c, m in members.items()})
-    )
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everyone, groups = shared.value
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                mine = part[columns].to_numpy("float64")
-                distance = np.sqrt(((mine[:, None, :] - everyone[None, :, :]) ** 2).sum(axis=2))
-                for label in labels:
-                    onehot, names = groups[label]
-                    yield pd.DataFrame(
-                        {
-                            "label_column": label,
-                            "silhouette": _silhouette_rows(distance @ onehot, onehot.sum(axis=0), names, part[label]),
-                        }
-                    )
-
-    parallel = chosen.repartition(chosen.sparkSession.sparkContext.defaultParallelism)
-    rows = parallel.mapInPandas(measure, "label_column string, silhouette double")
-    return rows.groupBy("label_column").agg(rounded(F.avg("silhouette"), 4).alias("silhouette"))
-
-
-def _silhouette_rows(sums: np.ndarray, sizes: np.ndarray, names: list, own: pd.Series) -> np.ndarray:
-    """(b - a) / max(a, b) per row, 0 for a cluster of one."""
-    at = np.array([names.index(x) for x in own])
-    rows = np.arange(len(at))
-    own_size = sizes[at]
-    inner = sums[rows, at] / np.maximum(own_size - 1, 1)
-    means = sums / sizes
-    means[rows, at] = np.inf
-    outer = means.min(axis=1)
-    with np.errstate(invalid="ignore"):
-        value = (outer - inner) / np.maximum(inner, outer)
-    return np.where((own_size <= 1) | ~np.isfinite(value), 0.0, value)
+    square = reduce(Column.__add__, [F.col(c) * F.col(c) for c in columns])
+    rows = materialize(points.select(*[F.col(c).cast("double").alias(c) for c in columns], *labels))
+
+    def one(label: str) -> DataFrame:
+        # one row per cluster
+        clusters = rows.groupBy(F.col(label).alias("own")).agg(
+            F.count(F.lit(1)).cast("double").alias("n"),
+            F.array(*[F.sum(c) for c in columns]).alias("sums"),
+            F.sum(square).alias("squares"),
+        )
+        listed = clusters.agg(F.collect_list(F.struct("own", "n", "sums", "squares")).alias("clusters"))
+        both = rows.select(*columns, F.col(label).alias("label")).crossJoin(F.broadcast(listed))
+
+        def apart(c: Column) -> Column:
+            product = reduce(Column.__add__, [F.col(x) * c["sums"][i] for i, x in enumerate(columns)])
+            return c["n"] * square + c["squares"] - 2.0 * product  # summed over the cluster's rows
+
+        own = F.element_at(F.filter("clusters", lambda c: c["own"] == F.col("label")), 1)
+        inner = F.greatest(apart(own), F.lit(0.0)) / F.greatest(own["n"] - 1, F.lit(1.0))
+        outer = F.array_min(
+            F.transform(
+                F.filter("clusters", lambda c: c["own"] != F.col("label")),
+                lambda c: F.greatest(apart(c), F.lit(0.0)) / c["n"],
+            )
+        )
+        value = F.when((own["n"] > 1) & (F.greatest(inner, outer) > 0), (outer - inner) / F.greatest(inner, outer))
+        return both.agg(rounded(F.avg(F.coalesce(value, F.lit(0.0))), 4).alias("silhouette")).select(
+            F.lit(label).alias("label_column"), "silhouette"
+        )
+
+    return reduce(DataFrame.unionByName, [one(label) for label in labels])
 
 
 def evaluate_k(
@@ -185,7 +167,6 @@ def evaluate_k(
     ks: Sequence[int] = tuple(range(2, 9)),
     restarts: int = 10,
     seed: int = SEED,
-    sample: int = SILHOUETTE_SAMPLE,
     parallelism: int = 8,
 ) -> DataFrame:
     """k, inertia, silhouette for each number of clusters."""
@@ -195,7 +176,7 @@ def evaluate_k(
     for k, model in fits.items():
         model.setPredictionCol(f"k{k}")
         labelled = model.transform(labelled)
-    scores = silhouettes(labelled, _SCALED, [f"k{k}" for k in ks], "customer_unique_id", sample, seed)
+    scores = silhouettes(labelled, _SCALED, [f"k{k}" for k in ks])
     spark = rfm.sparkSession
     inertia = spark.createDataFrame(
         [(k, f"k{k}", float(m.summary.trainingCost)) for k, m in fits.items()],

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-BROADCAST_ROWS = 100_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "keepwell", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,31 +34,13 @@ def build_session(app: str = "keepwell", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="keepwell-")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
-
-    Used where a result feeds several branches, or where a row's position must
-    not change if a lost task is run again.
+    Where that is unset, a folder beside the warehouse's tables, which are shared as well.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return re.sub("^file:/+", "file:///", named).rstrip("/")
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
@@ -82,13 +64,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` (narrow) rows, else as it is.
+#: the name under which plans write a frame that feeds several branches
+materialize = written
+
+
+def size_partitions(spark: SparkSession, *paths: str, partition_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions from the size of the inputs; never less than it was.
 
-    For tables that are small by construction but that the optimizer overrates;
-    beyond the limit the join is an ordinary one.
+    Sizes come from the store's own file system, without a job.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    total = 0
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += files.getContentSummary(hadoop).getLength()
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
 
 
 _SHIPPED: set[str] = set()
@@ -104,8 +96,7 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent
-    archive = shutil.make_archive(
-        f"{tempfile.mkdtemp(prefix='keepwell-')}/{package.name}", "zip", package.parent, package.name
-    )
-    context.addPyFile(archive)
+    folder = tempfile.mkdtemp(prefix="keepwell-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # it is served from here until then
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
     _SHIPPED.add(context.applicationId)

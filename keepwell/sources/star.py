@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keepwell.functions.exprs import plus_days
+from keepwell.operators.cleaning import clean_geolocation
 
 
 # fixed values: the source tables, declared so that opening a file needs no job
@@ -56,6 +57,19 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.concat(F.lower("p_type"), F.lit("_goods")).alias("product_category_name_english"),
         )
     )
+    # several order-scoped ids belong to one person, orders have one or two payments and reviews
+    geolocation = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
+        F.col("c_acctbal").cast("decimal(12,2)").alias("geolocation_lat"),
+        F.col("c_custkey").cast("decimal(12,2)").alias("geolocation_lng"),
+        F.col("c_mktsegment").alias("geolocation_city"),
+        F.col("r_name").alias("geolocation_state"),
+    )
+
+    def numbered(often) -> DataFrame:
+        return orders.withColumn("n", F.explode(F.sequence(F.lit(1), F.when(often, 2).otherwise(1))))
+
+    first = F.col("n") == 1
     return {
         "fact_orders": orders.select(
             key.alias("order_id"),
@@ -87,7 +101,7 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         ),
         "dim_customers": customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("customer_unique_id"),
+            F.expr("c_custkey * 2 div 3").alias("customer_unique_id"),
             F.col("c_nationkey").alias("customer_zip_code_prefix"),
             F.col("n_name").alias("customer_city"),
             F.col("r_name").alias("customer_state"),
@@ -103,21 +117,22 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             ),
             F.col("p_brand").alias("product_brand"),
         ),
-        "fact_order_payments": orders.select(
+        "fact_order_payments": numbered(key % 4 == 0).select(
             key.alias("order_id"),
-            F.lit(1).alias("payment_sequential"),
-            F.when(first_digit.isin("1", "2", "3"), "credit_card")
-            .when(first_digit == "4", "boleto")
+            F.col("n").alias("payment_sequential"),
+            F.when(first & first_digit.isin("1", "2", "3"), "credit_card")
+            .when(first & (first_digit == "4"), "boleto")
             .otherwise("voucher")
             .alias("payment_type"),
-            first_digit.cast("int").alias("payment_installments"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("payment_value"),
+            F.when(first, first_digit.cast("int")).otherwise(1).alias("payment_installments"),
+            F.when(first, F.col("o_totalprice")).otherwise(F.lit(5.0) + key % 7).cast("decimal(18,2)").alias("payment_value"),
         ),
-        "fact_order_reviews": orders.filter(key % 10 != 0).select(
-            key.alias("review_id"),
+        # some reviews carry no score
+        "fact_order_reviews": numbered(key % 5 == 0).select(
+            (key * 2 + F.col("n")).alias("review_id"),
             key.alias("order_id"),
-            (1 + (key * 3) % 5).cast("int").alias("review_score"),
-            plus_days("o_orderdate", ((key * 11) % 60).cast("int")).alias("review_creation_date"),
+            F.when(key % 10 != 0, (1 + (key * F.col("n") * 3) % 5).cast("int")).alias("review_score"),
+            plus_days("o_orderdate", ((key * 11 * F.col("n")) % 60).cast("int")).alias("review_creation_date"),
         ),
         "dim_sellers": supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
             F.col("s_suppkey").alias("seller_id"),
@@ -125,11 +140,6 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.col("n_name").alias("seller_city"),
             F.col("r_name").alias("seller_state"),
         ),
-        "geolocation": customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
-            F.col("c_acctbal").cast("decimal(12,2)").alias("geolocation_lat"),
-            F.col("c_custkey").cast("decimal(12,2)").alias("geolocation_lng"),
-            F.col("c_mktsegment").alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
-        ),
+        "geolocation": geolocation,
+        "dim_geolocation": clean_geolocation(geolocation),
     }

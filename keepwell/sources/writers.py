@@ -51,7 +51,7 @@ def load_jdbc(
     for name in [n for n in DIMENSIONS_FIRST if n in tables]:
         (
             tables[name]
-            .coalesce(connections)
+            .repartition(connections)  # the reading and cleaning before it keep their own parallelism
             .write.mode("overwrite")
             .option("batchsize", batch)
             .jdbc(url, name, properties=dict(properties))

@@ -18,7 +18,8 @@ LOOKBACKS = [180, 365, None]
 
 
 def rnd(expr: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    """Rounded once, half up; the factor keeps decimal ties that binary numbers fall short of."""
+    return f"ROUND(CAST({expr} AS DOUBLE) * 1.00000000000001, {digits})"
 
 
 def dbl(expr: str) -> str:
@@ -78,7 +79,7 @@ FROM lineitem""",
 )
 part(
     "dim_customers",
-    """SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id, c_nationkey AS customer_zip_code_prefix,
+    """SELECT c_custkey AS customer_id, c_custkey * 2 // 3 AS customer_unique_id, c_nationkey AS customer_zip_code_prefix,
   n_name AS customer_city, r_name AS customer_state
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
@@ -102,13 +103,15 @@ part(
        WHEN substr(o_orderpriority, 1, 1) = '4' THEN 'boleto' ELSE 'voucher' END AS payment_type,
   CAST(substr(o_orderpriority, 1, 1) AS INT) AS payment_installments,
   CAST(o_totalprice AS DECIMAL(18,2)) AS payment_value
-FROM orders""",
+FROM orders
+UNION ALL SELECT o_orderkey, 2, 'voucher', 1, CAST(5 + o_orderkey % 7 AS DECIMAL(18,2)) FROM orders WHERE o_orderkey % 4 = 0""",
 )
 part(
     "fact_order_reviews",
-    """SELECT o_orderkey AS review_id, o_orderkey AS order_id, CAST(1 + (o_orderkey * 3) % 5 AS INT) AS review_score,
-  o_orderdate + to_days(CAST((o_orderkey * 11) % 60 AS INT)) AS review_creation_date
-FROM orders WHERE o_orderkey % 10 <> 0""",
+    """SELECT o_orderkey * 2 + n AS review_id, o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 10 <> 0 THEN CAST(1 + (o_orderkey * n * 3) % 5 AS INT) END AS review_score,
+  o_orderdate + to_days(CAST((o_orderkey * 11 * n) % 60 AS INT)) AS review_creation_date
+FROM (SELECT *, 1 AS n FROM orders UNION ALL SELECT *, 2 AS n FROM orders WHERE o_orderkey % 5 = 0) r""",
 )
 part(
     "dim_sellers",
@@ -122,6 +125,12 @@ part(
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 
+part(
+    "dim_geolocation",
+    """SELECT m.geolocation_zip_code_prefix FROM (SELECT DISTINCT geolocation_zip_code_prefix FROM geolocation) m""",
+    "geolocation",
+)
+
 
 # -- point-in-time panel -----------------------------------------------------
 

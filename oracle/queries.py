@@ -314,15 +314,17 @@ q(
     ["fact_order_items", "fact_orders", "dim_customers"],
     """SELECT order_id, customer_id, order_purchase_timestamp,
   CASE WHEN shipped >= order_purchase_timestamp THEN shipped END AS order_delivered_customer_date
-FROM (SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, min(i.shipping_limit_date) AS shipped
+FROM (SELECT o.order_id, CASE WHEN o.order_id % 11 = 0 THEN -o.order_id ELSE o.customer_id END AS customer_id,
+        o.order_purchase_timestamp, min(i.shipping_limit_date) AS shipped
       FROM fact_orders o JOIN fact_order_items i ON o.order_id = i.order_id GROUP BY 1, 2, 3) x
-WHERE customer_id IN (SELECT customer_id FROM dim_customers WHERE customer_zip_code_prefix <> 7)""",
+WHERE customer_id IN (SELECT customer_id FROM dim_customers)""",
 )
 
 # -- data quality ------------------------------------------------------------
 ROLE_KEYS = {
     "dim_category_translation": ["product_category_name"],
     "dim_products": ["product_id"],
+    "dim_geolocation": ["geolocation_zip_code_prefix"],
     "dim_customers": ["customer_id"],
     "dim_sellers": ["seller_id"],
     "fact_orders": ["order_id"],
@@ -342,6 +344,7 @@ REFS = [
 MINIMUMS = {
     "dim_category_translation": 70,
     "dim_products": 30000,
+    "dim_geolocation": 15000,
     "dim_customers": 90000,
     "dim_sellers": 3000,
     "fact_orders": 90000,
@@ -530,8 +533,10 @@ q(
     row_number() OVER (PARTITION BY c.customer_unique_id ORDER BY o.order_purchase_timestamp, o.order_id) AS rk,
     lead(o.order_purchase_timestamp) OVER (PARTITION BY c.customer_unique_id ORDER BY o.order_purchase_timestamp, o.order_id) AS nxt
   FROM fact_orders o JOIN dim_customers c ON o.customer_id = c.customer_id)
-SELECT CASE WHEN r.nxt IS NOT NULL AND {days('r.ts', 'r.nxt')} <= 60 THEN 1 ELSE 0 END AS has_second_order, {_CHURN}
-FROM {PANEL_ALL} p JOIN ranked r ON p.customer_unique_id = r.customer_unique_id AND r.rk = 1 GROUP BY 1""",
+SELECT CASE WHEN r.nxt IS NOT NULL AND {days('r.ts', 'r.nxt')} <= 60 AND r.nxt < CAST(p.snapshot_date AS TIMESTAMP)
+  THEN 1 ELSE 0 END AS has_second_order, {_CHURN}
+FROM {PANEL_ALL} p JOIN ranked r ON p.customer_unique_id = r.customer_unique_id AND r.rk = 1
+WHERE r.ts + to_days(60) <= CAST(p.snapshot_date AS TIMESTAMP) GROUP BY 1""",
 )
 q(
     "split_sizes",
@@ -682,13 +687,12 @@ q(
     ["segments"],
     "SELECT customer_unique_id, recency, frequency, monetary, cluster_segment FROM segments ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 2000",
 )
-_DISTANCE = "sqrt(power(CAST(a.recency AS DOUBLE) - b.recency, 2) + power(CAST(a.frequency AS DOUBLE) - b.frequency, 2) + power(CAST(a.monetary AS DOUBLE) - b.monetary, 2))"
+_DISTANCE = "(power(CAST(a.recency AS DOUBLE) - b.recency, 2) + power(CAST(a.frequency AS DOUBLE) - b.frequency, 2) + power(CAST(a.monetary AS DOUBLE) - b.monetary, 2))"
 q(
     "silhouette",
     ["clustered"],
-    f""", pts AS (SELECT * FROM clustered ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 15000),
-sums AS (SELECT a.customer_unique_id AS id, a.cluster_id AS own, b.cluster_id AS other, sum({_DISTANCE}) AS total, count(*) AS n
-  FROM pts a CROSS JOIN pts b GROUP BY 1, 2, 3),
+    f""", sums AS (SELECT a.customer_unique_id AS id, a.cluster_id AS own, b.cluster_id AS other, sum({_DISTANCE}) AS total, count(*) AS n
+  FROM clustered a CROSS JOIN clustered b GROUP BY 1, 2, 3),
 ab AS (SELECT id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b,
   max(CASE WHEN own = other THEN n END) AS size FROM sums GROUP BY 1)
 SELECT 'cluster_id' AS label_column, {rnd('avg(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 4)} AS silhouette FROM ab""",
@@ -759,9 +763,7 @@ q(
     "global_importance",
     [PANEL_ALL],
     _TESTED
-    + f""", chosen AS (SELECT customer_unique_id FROM tested ORDER BY md5('42:' || customer_unique_id), customer_unique_id LIMIT 3000)
-SELECT feature, {rnd('avg(abs(impact))', 5)} AS importance FROM ({_IMPACTS}) i
-WHERE customer_unique_id IN (SELECT customer_unique_id FROM chosen) GROUP BY 1""",
+    + f""" SELECT feature, {rnd('avg(abs(impact))', 5)} AS importance FROM ({_IMPACTS}) i GROUP BY 1""",
 )
 _HIGH_VALUE = (
     "(" + " OR ".join(f"contains(lower(segment), '{t}')" for t in HIGH_VALUE_TERMS) + " OR lifetime_value >= 300.0)"

@@ -10,7 +10,7 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from keepwell.session import build_session
 
     session = build_session(
@@ -19,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

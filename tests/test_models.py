@@ -47,6 +47,64 @@ def test_neighbours_across_cells_and_blocks(spark, monkeypatch):
         assert got[i] == pytest.approx(expected[i], abs=1e-12), i
 
 
+def test_block_pairs_grow_slower_than_the_square(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_BLOCK_ROWS", 20)
+    counted = []
+    pairs = neighbours.block_pairs
+
+    def watched(*args):
+        out = materialize(pairs(*args))
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "block_pairs", watched)
+    rng = np.random.default_rng(3)
+    for n in (400, 800):
+        data = [(i, float(rng.normal()), float(rng.normal() * 5)) for i in range(n)]
+        df = spark.createDataFrame(data, "id long, x double, y double")
+        assert neighbours.nearest(df, ["x", "y"], "id", 3, 1).count() == n
+    assert 0 < counted[0] and counted[1] < 3.2 * counted[0]  # all pairs of blocks would be four times as many
+
+
+def test_too_few_minority_rows_are_an_error(spark):
+    rows = spark.createDataFrame([(i, float(i), int(i < 3)) for i in range(20)], "id long, x double, y int")
+    with pytest.raises(ValueError, match="3 rows of the minority"):
+        neighbours.synthetic_minority(rows, ["x"], "y", "id", 5)
+    with pytest.raises(ValueError, match="nothing to balance"):
+        neighbours.synthetic_minority(rows.filter("y = 0"), ["x"], "y", "id", 5)
+
+
+def test_first_trees_equal_a_shorter_fit(rows):
+    train = modelling.with_row_id(rows.filter("split_role = 'train'"))
+    counts = modelling.label_counts(train)
+    long = modelling.fit_boosted(train, counts, modelling.BoostSettings(2, 0.1, 6, 0.8))
+    short = modelling.fit_boosted(train, counts, modelling.BoostSettings(2, 0.1, 4, 0.8))
+    cut = modelling.first_trees(long, 4)
+    keep = ["customer_unique_id", "snapshot_date"]
+    a = {tuple(r)[:2]: r["p"] for r in modelling.score_rows(short, train, keep).collect()}
+    b = {tuple(r)[:2]: r["p"] for r in modelling.score_rows(cut, train, keep).collect()}
+    assert a == pytest.approx(b)
+    assert modelling.first_trees(long, 6) is long
+
+
+def test_fallback_split_repeats_for_recurring_customers(rows):
+    every = rows.drop("split_role")
+    parts = [modelling.split(every.repartition(n)) for n in (1, 7)]
+    keys = ["customer_unique_id", "snapshot_date"]
+    for role in ("train", "val", "test"):
+        a, b = (sorted(map(tuple, p[role].select(*keys).collect())) for p in parts)
+        assert a == b and a
+
+
+def test_importance_covers_all_rows(rows):
+    weights = {"recency_days": 1.0}
+    current = rows.filter("split_role = 'test'")
+    mean = current.agg(F.avg("recency_days")).first()[0]
+    want = current.agg(F.avg(F.abs(F.col("recency_days") - mean))).first()[0]
+    got = attribution.global_linear_importance(current, weights).first()["importance"]
+    assert got == pytest.approx(want, abs=1e-4)
+
+
 def test_synthetic_rows_balance_and_lie_between_neighbours(spark):
     data = [(i, float(i), 0.0, 1) for i in range(10)] + [(100 + i, 5.0, 5.0, 0) for i in range(37)]
     train = spark.createDataFrame(data, "id long, x double, z double, y int")
@@ -199,13 +257,13 @@ def test_silhouette_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     points = [(i, float(rng.normal()), float(rng.normal()), int(i % 3 if i < 29 else 9)) for i in range(30)]
     df = spark.createDataFrame(points, "id long, x double, z double, c int")
-    got = segmentation.silhouettes(df, ["x", "z"], ["c"], "id", 1000, 42).first()["silhouette"]
+    got = segmentation.silhouettes(df, ["x", "z"], ["c"]).first()["silhouette"]
     values = []
     for i, x, z, c in points:
         sums = {}
         for j, u, v, d in points:
             if j != i:
-                sums.setdefault(d, []).append(math.dist((x, z), (u, v)))
+                sums.setdefault(d, []).append(math.dist((x, z), (u, v)) ** 2)
         if c not in sums:
             values.append(0.0)
             continue

@@ -29,12 +29,13 @@ def test_entry_runs(spark):
 
 def test_every_query_is_named_and_checked():
     from __spark_entry__ import oracle_sql, queries
+    from catalogue import QUERIES
 
-    names = set(queries())
-    assert set(oracle_sql()) <= names
-    rows_only = names - set(oracle_sql())
+    names = set(QUERIES)
+    assert names <= set(queries()) and set(SQL) <= names and set(SQL) <= set(oracle_sql())
+    rows_only = names - set(SQL)
     assert rows_only == {
         "segments", "segment_profiles", "cluster_eval", "champion_holdout", "champion_thresholds",
         "champion_frozen_threshold", "batch_scores", "tree_attribution", "tree_importance",
-        "customer_reports", "model_compare",
+        "customer_reports", "model_compare", "tuned_model", "holdout_comparison",
     }

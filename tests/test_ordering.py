@@ -75,12 +75,6 @@ def test_several_measures_at_once_with_string_ids(spark):
         assert got[column].tolist() == [1 + sum(r > e for e in ends) for r in rank]
 
 
-def test_dense_rank(spark):
-    df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 5.0), (4, 1.0)], "id int, v double")
-    got = {r["id"]: r["rk"] for r in ordering.dense_rank_desc(df, "v", "rk").collect()}
-    assert got == {1: 2, 2: 1, 3: 2, 4: 3}
-
-
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(5)
     data = pd.DataFrame({"g": ["a"] * 7 + ["b"] * 10 + ["c"], "v": [*rng.normal(size=7), *rng.integers(0, 3, 10).astype(float), 4.0]})
@@ -110,3 +104,38 @@ def test_split_and_folds_are_stratified(spark):
     }
     folds = stratified_folds(df, "y", "id", 5, 42).groupBy("fold", "y").count().collect()
     assert {(r["fold"], r["y"]): r["count"] for r in folds} == {(f, y): 20 if y else 180 for f in range(5) for y in (0, 1)}
+
+
+def test_a_value_that_most_rows_share_is_split(spark, monkeypatch):
+    """95 % of the rows have one value: the sort sees distinct values with their counts."""
+    seen = []
+    blocks = ordering._blocks
+
+    def watched(df, by, order):
+        out = blocks(df, by, order)
+        seen.extend(r["count"] for r in out.groupBy("_block").count().collect())
+        return out
+
+    monkeypatch.setattr(ordering, "_blocks", watched)
+    n = 40000
+    df = spark.range(n).select(F.lit("g").alias("g"), F.when(F.col("id") % 20 != 0, 0.0).otherwise(F.col("id") * 1.0).alias("v"))
+    row = ordering.exact_quantiles(df, ["g"], "v", {"m": 0.5, "q": 0.97, "top": 1.0}).first()
+    values = np.array([0.0 if i % 20 else float(i) for i in range(n)])
+    assert [row["m"], row["q"], row["top"]] == pytest.approx([np.quantile(values, p) for p in (0.5, 0.97, 1.0)])
+    assert sum(seen) == len(set(values)) and max(seen) <= 2 * sum(seen) / len(seen) + 1
+
+
+def test_moments_and_quantiles_of_several_columns(spark):
+    data = pd.DataFrame({"a": [1.0, 2.0, None, 4.0], "b": [0, 0, 0, 7], "c": [None] * 4})
+    df = spark.createDataFrame(data.astype("float64"))
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns])
+    got = {r["measure"]: r for r in ordering.moments_and_quantiles(df, ["a", "b", "c"], {"m": 0.5}).collect()}
+    assert (got["a"]["n"], got["a"]["low"], got["a"]["high"], got["a"]["m"]) == (3, 1.0, 4.0, 2.0)
+    assert (got["b"]["zeros"], got["b"]["m"]) == (3, 0.0) and got["b"]["std"] == pytest.approx(3.5)
+    assert got["c"]["n"] == 0 and got["c"]["m"] is None
+
+
+def test_no_join_is_chosen_by_a_row_count(spark):
+    import keepwell.session
+
+    assert not hasattr(keepwell.session, "small_side")

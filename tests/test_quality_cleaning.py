@@ -137,6 +137,47 @@ def test_missing_raw_file_is_an_error(spark, tmp_path):
         readers.load_raw(spark, folder)
 
 
+def test_two_files_for_one_role_are_an_error(spark, tmp_path):
+    folder = _raw_folder(tmp_path)
+    (tmp_path / "backup_sellers_dataset.csv").write_text((tmp_path / "shop_sellers_dataset.csv").read_text())
+    with pytest.raises(ValueError, match="several raw files for sellers"):
+        readers.load_raw(spark, folder)
+    assert readers.load_raw(spark, folder, {"sellers": "shop_sellers_dataset.csv"})["sellers"].count() == 1
+
+
+@pytest.mark.parametrize(
+    "role, old, new",
+    [
+        ("payments", "12.75", "abc"),
+        ("payments", "12.75", "12.755"),
+        ("payments", "credit_card,2", "credit_card,2.5"),
+        ("geolocation", "-23.5", "south"),
+    ],
+)
+def test_bad_numbers_are_errors(spark, tmp_path, role, old, new):
+    folder = _raw_folder(tmp_path)
+    file = tmp_path / f"shop_{RAW_FILES[role]}_dataset.csv"
+    assert old in file.read_text()
+    file.write_text(file.read_text().replace(old, new))
+    raw = readers.load_raw(spark, folder)
+    with pytest.raises(Exception, match="is not a"):
+        cleaning.clean_all(raw)[{"payments": "fact_order_payments", "geolocation": "dim_geolocation"}[role]].collect()
+
+
+def test_reordered_columns_are_an_error(spark, tmp_path):
+    folder = _raw_folder(tmp_path)
+    (tmp_path / "shop_sellers_dataset.csv").write_text(
+        "seller_zip_code_prefix,seller_id,seller_city,seller_state\n123,s1,campinas,sp\n"
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.load_raw(spark, folder)["sellers"].collect()
+
+
+def test_reviews_are_read_in_parts(spark, tmp_path):
+    reviews = readers.load_raw(spark, _raw_folder(tmp_path))["reviews"]
+    assert "FileScan parquet" in reviews._jdf.queryExecution().toString()
+
+
 def test_table_definitions():
     for name in TABLES:
         text = create_table_sql(name)
