@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from keepwell.functions.rules import RFM_RULES
-from keepwell.settings import FEATURES
+from oracle.values import FEATURES, RFM_RULES
 
 # dates that suit the test tables (orders run from 1995 to 2001)
 SNAPSHOTS = [

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from keepwell.functions.exprs import linspace
-from keepwell.functions.rules import HIGH_VALUE_TERMS, RFM_NTILE_RULES, RFM_RULES, RFM_SHORT_RULES
-from keepwell.plans.playbook import PLAYS
-from keepwell.settings import FEATURES
 from oracle.base import (
     CUTOFF,
     PANEL_180,
@@ -20,6 +16,7 @@ from oracle.base import (
     rnd,
     with_parts,
 )
+from oracle.values import FEATURES, HIGH_VALUE_TERMS, PLAYS, RFM_NTILE_RULES, RFM_RULES, RFM_SHORT_RULES, evenly
 
 SALE = "o.order_status NOT IN ('canceled','unavailable')"
 LEGACY = "o.order_status NOT IN ('cancelled')"
@@ -553,8 +550,8 @@ SNAPSHOT_DATES = [d for _, d, _ in SNAPSHOTS]
 
 
 # -- metrics and thresholds --------------------------------------------------
-GRID50 = linspace(0.10, 0.95, 50)
-GRID20 = linspace(0.15, 0.85, 20)
+GRID50 = evenly(0.10, 0.95, 50)
+GRID20 = evenly(0.15, 0.85, 20)
 
 
 def _values(grid: list[float], name: str) -> str:
