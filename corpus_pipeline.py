@@ -6,12 +6,10 @@ which is written as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keepwell.llm import decontaminate, jaccard, pieces, pii, quality
-from keepwell.session import shared_folder
+from keepwell.session import scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -53,7 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages over ``documents``; each result is written once to the shared folder."""
-    root = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, folder).write.parquet(f"{root}/{i}")
