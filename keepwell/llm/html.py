@@ -61,7 +61,7 @@ LEFT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner billboard "
     "nav navbar navigation menu breadcrumb breadcrumbs topbar header masthead footer sidebar aside rail widget widgets "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
-    "subscription signup login paywall comment comments commentlist disqus reply replies respond share sharing social "
+    "subscription signup login paywall comment comments commentlist disqus reply replies respond responses share sharing social "
     "related recommended recommendations trending popular pagination pager tags toolbar search skip disclaimer form".split()
 )
 
@@ -73,12 +73,24 @@ _TAG = re.compile(
 _FIELD = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BLANK = re.compile(r"\s+")
+_BESIDE = frozenset("has with without no".split())
+_COMPOUND = re.compile(r"(?:cookie|advert|sidebar|breadcrumb|newsletter|footer|navbar|popup|comment(?!ar))[a-z]{0,7}$")
+_FORMS = frozenset("form fieldset label input".split())
 _DIGITS = re.compile(r"\d+")
 
 
-def left_out(tag: str, fields: str) -> tuple[bool, str]:
-    """(whether the element is left out, its part of the path)."""
-    if tag in LEFT_OUT:
+def _names_rest(token: str) -> bool:
+    """Whether a class or id says that an element does not hold article text: by its first or
+    last word, unless it tells of a neighbour, as "has-sidebar" does."""
+    words = [w.lower() for w in _WORDS.findall(token)]
+    if not words or not _BESIDE.isdisjoint(words):
+        return False
+    return words[0] in LEFT_WORDS or words[-1] in LEFT_WORDS or bool(_COMPOUND.match(words[0]))
+
+
+def left_out(tag: str, fields: str, forms: bool = False) -> tuple[bool, str]:
+    """(whether the element is left out, its part of the path); ``forms`` may hold text."""
+    if tag in LEFT_OUT and not (forms and tag in _FORMS):
         return True, tag
     name, out = tag, False
     if fields:
@@ -91,9 +103,7 @@ def left_out(tag: str, fields: str) -> tuple[bool, str]:
             else:
                 # a container of everything may be called "has-sidebar" or the like
                 if tag not in ("html", "body", "article", "main"):
-                    words = [w.lower() for token in value.split() for w in _WORDS.findall(token)]
-                    heads = {w.lower() for token in value.split() for w in _WORDS.findall(token)[:1]}
-                    out |= bool(heads & LEFT_WORDS) or len(words) > 1 and words[-1] in LEFT_WORDS and words[0] not in ("has", "with", "no")
+                    out |= any(map(_names_rest, value.split()))
                 if field == "class":
                     name += "".join(f".{_DIGITS.sub('#', c)}" for c in sorted(set(value.split())))
     return out, name
@@ -102,7 +112,8 @@ def left_out(tag: str, fields: str) -> tuple[bool, str]:
 class Page:
     """Containers of a page: path, score, and the order in which blocks of text belong to them."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, forms: bool = False):
+        self.forms = forms
         self.paths: list[str] = [""]
         self.parent: list[int] = [-1]
         self.score: list[float] = [0.0]
@@ -206,7 +217,7 @@ class Page:
                     close(depth)
             if m[0].endswith("/>") and tag not in INLINE and tag in ("path", "circle", "rect", "use"):
                 continue
-            out, name = left_out(tag, m[3])
+            out, name = left_out(tag, m[3], self.forms)
             if tag in INLINE:
                 if out:
                     silent += 1
@@ -243,6 +254,12 @@ class Page:
         return " ".join(block for i, block in self.blocks if inside[i])
 
 
+def read(source: str) -> Page:
+    """A page; one whose whole text stands inside a form is read with forms."""
+    page = Page(source)
+    return page if page.blocks else Page(source, forms=True)
+
+
 def best_paths(page: Page, n: int = VOTES) -> list[tuple[str, float]]:
     """Up to ``n`` (path, share of the best score), best first; of equals the one that opens first."""
     scores = page.by_path()
@@ -255,7 +272,7 @@ def extract(source: str | None, winners: list[str]) -> tuple[str, str]:
     """(text, path) of a page, given its host's paths from most votes to least."""
     if not source:
         return "", ""
-    page = Page(source)
+    page = read(source)
     scores = page.by_path()
     if not scores:
         return "", ""
@@ -280,7 +297,7 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int =
             sums: dict[tuple[str, str], float] = {}
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
-                    for path, share in best_paths(Page(page)):
+                    for path, share in best_paths(read(page)):
                         sums[name, path] = sums.get((name, path), 0.0) + share
             yield pa.RecordBatch.from_arrays(
                 [

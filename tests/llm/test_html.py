@@ -87,6 +87,11 @@ def test_empty_table_and_extra_columns(spark):
         ("<p>" * 3000 + "deep", "deep"),
         ("<div>" * 3000 + "deep", "deep"),
         ("<" * 3000, "<" * 3000),
+        ("<div class='page-content has-sidebar'>yes</div><div class='has-sidebar-right'>yes</div>", "yes yes"),
+        ("<div class='cookieBar'>no</div><div class=commentform>no</div><div id=commentary>yes</div>", "yes"),
+        ("<div class='entry-footer'>no</div><p class='main-nav'>no</p><div class='address'>yes</div>", "yes"),
+        ("<form id=f><div><p>all in a form</p><script>no</script></div></form>", "all in a form"),
+        ("<p>text</p><form>no</form>", "text"),
     ],
 )
 def test_markup(source, text):
