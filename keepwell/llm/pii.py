@@ -35,8 +35,9 @@ RULES = ("email", "ip", "card", "phone")
 KINDS = (*RULES, "secret")
 MOST_UNITS = 16
 MOST_CHARS = 80
-#: labelled parts the model is fitted on at most
+#: labelled parts the model is fitted on at most, and texts (about) that they are taken from
 SAMPLE = 3000
+SAMPLE_TEXTS = 60_000
 #: how much better than no entity a segment must be
 MARGIN = 2.0
 
@@ -287,9 +288,14 @@ def fit(samples, rounds: int = 40, rate: float = 0.3, decay: float = 1e-3) -> di
     return {f: weights[i] for f, i in number.items()}
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, np.ndarray]:
-    """Weights from ``sample`` parts at most: those of least hash, of all texts, half of them with a span."""
+def train(
+    docs: DataFrame, text: str = "text", sample: int = SAMPLE, texts: int = SAMPLE_TEXTS
+) -> dict[str, np.ndarray]:
+    """Weights from ``sample`` parts at most, half of them with a span: those of least hash in the
+    texts of least hash, about ``texts`` of them."""
     ship_package(docs.sparkSession)
+    share = int(min(1.0, texts / max(1, docs.count())) * (1 << 30))
+    docs = docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 30)) < share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,6 +315,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str
     schema = "cut string, a int, b int, spans array<array<int>>, some boolean"
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, schema)
     # a part met again adds nothing; its spans are fixed by its text
+    found = found.dropDuplicates(["cut", "a", "b"])
     order = F.xxhash64("cut", "a", "b")
     found = found.withColumn("o", order).withColumn("half", F.pmod(F.shiftright("o", 40), F.lit(2)))
     rows = []
