@@ -17,8 +17,11 @@ Two texts link if ``100 * |A and B| >= percent * |A or B|`` for their sets of
    groups of near copies by one comparison for each member.
 5. ``crossing``: every pair of texts that are not yet in one class and share at
    least m prefix shingles (m of the less demanding one) inside the prefixes and
-   positions that the two sizes allow. Nothing is capped.
-6. ``verified``: the sizes of the intersections, from the whole sets.
+   positions that the two sizes allow; shingles met in one class only cannot be among
+   the shared ones, which settles most pairs at their first match. Nothing is capped.
+6. ``verified``: pairs whose parities (an odd or even number of shingles in each of
+   1,024 hash classes) differ in more places than similar sets can are dropped; for the others the size
+   of the intersection is taken from the whole sets.
 
 Texts without words, and nulls, have an empty set and link with nothing. Equal
 texts, ties and repeated rows fall into one class. An empty table gives an empty
@@ -39,11 +42,15 @@ from keepwell.session import ship_package, written
 
 WIDTH = 4
 PERCENT = 85
-MOST_MATCHES = 4
-#: cost of verifying a candidate, in postings read
-VERIFY_COST = 8.0
+MOST_MATCHES = 8
+#: cost of verifying a candidate, in postings read: two whole sets travel for it
+VERIFY_COST = 200.0
+#: up to so many wanted texts are looked up by a broadcast of their keys; more by a shuffle
+MOST_WANTED = 1_000_000
 SKETCH_BITS = 18
 CHUNK_BITS = 12
+#: numbers of 64 bits in a set's parities
+PARITIES = 16
 
 _U = np.uint64
 
@@ -79,9 +86,29 @@ def signatures(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray
     return _sums(owner, mix(value ^ _U(0xA5A5A5A5A5A5A5A5)), n), _sums(owner, mix(value + _U(0x1234567)), n)
 
 
+def parities(owner: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """For each set ``64 * PARITIES`` bits: whether an odd number of its shingles falls to each.
+
+    A shingle that only one of two sets holds changes one bit, so the sets differ by at least
+    as many shingles as their parities differ by bits.
+    """
+    bits = 64 * PARITIES
+    out = np.zeros((n, PARITIES), np.int64)
+    edge = np.searchsorted(owner, np.arange(0, n + 1024, 1024))
+    for i, first in enumerate(range(0, n, 1024)):  # a thousand texts at a time
+        part = slice(edge[i], edge[i + 1])
+        rows = min(1024, n - first)
+        slot = (owner[part] - first) * bits + (value[part] & _U(bits - 1)).astype(np.int64)
+        odd = (np.bincount(slot, minlength=rows * bits) & 1).astype(np.uint8).reshape(rows, bits)
+        out[first : first + rows] = np.packbits(odd, axis=1).view(np.int64)
+    return out
+
+
 def members(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Per text: size and signature of its set; in other rows, blobs of the sketch's counts."""
+    """Per text: size, signature and parities of its set; in other rows, blobs of the sketch's counts."""
     ship_package(docs.sparkSession)
+    marks = [f"b{i}" for i in range(PARITIES)]
+    names = ["key", "n", "hi", "lo", *marks, "chunk", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -101,24 +128,24 @@ def members(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 counts += np.bincount(
                     (value[new[owner]] >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)
                 )
+                odd = parities(owner, value, len(block)).T
                 none = pa.nulls(len(block), pa.int32()), pa.nulls(len(block), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(x.view(np.int64)) for x in (n, hi, lo)), *none],
-                    ["key", "n", "hi", "lo", "chunk", "counts"],
+                    [part.column(0), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (n, hi, lo, *odd)), *none],
+                    names,
                 )
         if kind is not None:
             pack, each = zstandard.ZstdCompressor(level=1), 1 << CHUNK_BITS
             chunks = [i for i in range(len(counts) // each) if counts[i * each : (i + 1) * each].any()]
-            none = [pa.nulls(len(chunks), t) for t in (kind, pa.int64(), pa.int64(), pa.int64())]
+            none = [pa.nulls(len(chunks), t) for t in (kind, *[pa.int64()] * (3 + PARITIES))]
             blobs = [pack.compress(counts[i * each : (i + 1) * each].tobytes()) for i in chunks]
             yield pa.RecordBatch.from_arrays(
-                [*none, pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())],
-                ["key", "n", "hi", "lo", "chunk", "counts"],
+                [*none, pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names
             )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, n long, hi long, lo long, chunk int, counts binary"
+        run, f"key {kind}, n long, hi long, lo long, {', '.join(f'{m} long' for m in marks)}, chunk int, counts binary"
     )
 
 
@@ -231,12 +258,28 @@ def hash_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: in
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["node", "hashes"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(wanted, "node", "left_semi")
-    return rows.mapInArrow(run, f"node {kind}, hashes binary")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    wanted = written(wanted)
+    few = wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED
+    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
+    return rows.mapInArrow(run, f"node {kind}, hashes binary").dropDuplicates(["node"])
+
+
+def alike(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and parities do not rule a link out; the sets themselves are not needed."""
+    marks = [f"b{i}" for i in range(PARITIES)]
+    one = texts.select("key", "n", *marks).dropDuplicates(["key"])
+    x, y = (one.withColumnsRenamed({c: f"{c}{side}" for c in one.columns}) for side in "xy")
+    apart = " + ".join(f"bit_count({m}x ^ {m}y)" for m in marks)
+    least = f"cast(ceil({percent} * (nx + ny) / {100 + percent}) as long)"
+    both = pairs.join(x, F.col("a") == F.col("keyx")).join(y, F.col("b") == F.col("keyy"))
+    return both.where(f"{apart} <= nx + ny - 2 * {least}").select("a", "b")
+
+
+def verified(
+    docs: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, text: str, width: int, percent: int
+) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough; only texts of likely pairs are read out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,44 +292,60 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    pairs = written(alike(pairs, texts, percent))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = hash_sets(docs, nodes, key, text, width)
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return full.mapInArrow(run, pairs.schema)
+    return written(full.mapInArrow(run, pairs.schema))
 
 
 def _sizes(percent: int, a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
+def _filter(percent: int, x: str, y: str) -> str:
+    """What the sizes and places of one shared prefix shingle must allow; columns end in x and y.
+
+    Of the shingles before it, at most ``before`` are in any other text's posting lists.
+    """
+    least = f"cast(ceil({percent} * (s{x} + s{y}) / {100 + percent}) as long)"  # shared shingles the sizes ask for
+    return (
+        f"100 * least(s{x}, s{y}) >= {percent} * greatest(s{x}, s{y})"
+        f" and p{x} < s{x} - {least} + least(m{x}, m{y}) and p{y} < s{y} - {least} + least(m{x}, m{y})"
+        f" and least(b{x}, b{y}) + least(s{x} - p{x}, s{y} - p{y}) >= {least}"
+    )
+
+
+def _ranked(lists: DataFrame) -> DataFrame:
+    """Adds ``before``: how many posting lists the text is in for its rarer shingles."""
+    earlier = Window.partitionBy("node").orderBy("place")
+    return lists.withColumn("before", F.row_number().over(earlier) - 1)
+
+
+def _side(lists: DataFrame, side: str, *more: str) -> DataFrame:
+    return lists.select("h", *(F.col(c).alias(c[0] + side) for c in ("node", "size", "place", "matches", "before", *more)))
+
+
 def stars(lists: DataFrame, percent: int) -> DataFrame:
     """For each text the hub it shares most posting lists with."""
-    hubs = lists.groupBy("h").agg(
-        F.min(F.struct("place", F.xxhash64("node").alias("z"), F.col("node").alias("hub"), "size")).alias("u")
-    )
-    met = (
-        lists.join(hubs.select("h", "u.hub", F.col("u.size").alias("hub_size")), "h")
-        .where(f"node <> hub and {_sizes(percent, 'size', 'hub_size')}")
-        .groupBy("node", "hub")
-        .agg(F.count("*").alias("n"))
-    )
-    return met.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).select(F.col("node").alias("a"), "b")
+    first = F.struct("place", F.xxhash64("node").alias("z"), "node", "size", "matches", "before")
+    hubs = _side(lists.groupBy("h").agg(F.min(first).alias("u")).select("h", "u.*"), "y")
+    met = _side(lists, "x").join(hubs, "h").where("nx <> ny").where(_filter(percent, "x", "y"))
+    met = met.groupBy("nx", "ny").agg(F.count("*").alias("n"))
+    return met.groupBy(F.col("nx").alias("a")).agg(F.max_by("ny", F.struct("n", "ny")).alias("b"))
 
 
 def crossing(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of texts of different classes (column ``root``) that pass the prefix filter."""
     several = lists.groupBy("h").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("h")
-    lists = lists.join(several, "h", "left_semi")
-    x, y = (lists.select("h", *(F.col(c).alias(c[0] + s) for c in ("node", "root", "size", "place", "matches"))) for s in "xy")
-    least = f"cast(ceil({percent} * (sx + sy) / {100 + percent}) as long)"  # shared shingles that the sizes ask for
-    m = "least(mx, my)"
-    close = (
-        x.join(y, "h")
-        .where(f"rx <> ry and nx < ny and {_sizes(percent, 'sx', 'sy')}")
-        .where(f"px < sx - {least} + {m} and py < sy - {least} + {m}")
-        .where(f"least(px, py) + least(sx - px, sy - py) >= {least}")
+    lists = _ranked(lists.join(several, "h", "left_semi"))
+    x, y = (_side(lists, side, "root") for side in "xy")
+    close = x.join(y, "h").where("rx <> ry and nx < ny").where(_filter(percent, "x", "y"))
+    found = close.groupBy(F.col("nx").alias("a"), F.col("ny").alias("b")).agg(
+        F.count("*").alias("n"), F.min(F.least("mx", "my")).alias("m")
     )
-    found = close.groupBy(F.col("nx").alias("a"), F.col("ny").alias("b")).agg(F.count("*").alias("n"), F.min(F.expr(m)).alias("m"))
     return found.where("n >= m").select("a", "b")
 
 
@@ -315,12 +374,10 @@ def link(
             F.expr("info & 255").alias("matches"),
         )
     )
-    sets = written(hash_sets(docs, lists.select("node").distinct(), key, text, width))
-    near = verified(stars(lists, percent), sets, percent)
-    near = written(near)
+    near = verified(docs, stars(lists.withColumn("before", F.col("place")), percent), texts, key, text, width, percent)
     first = components(near)
     rooted = lists.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    far = written(verified(crossing(rooted, percent), sets, percent))
+    far = verified(docs, crossing(rooted, percent), texts, key, text, width, percent)
     final = components(near.union(far))
     named = classes.join(final, "node", "left").select("hi", "lo", "node", F.coalesce("root", "node").alias("root"))
     named = named.withColumnsRenamed({"hi": "hi_", "lo": "lo_"})

@@ -102,6 +102,18 @@ def test_signatures_tell_sets_apart():
     assert hi[0] == hi[1] != hi[2] and lo[0] == lo[1] != lo[2] and hi[3] == 0 != hi[4]
 
 
+def test_parities_never_differ_more_than_the_sets():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(300))) for _ in range(2100)]
+    owner, value = J.shingle_sets(Block([t.encode() for t in texts]), 4)
+    odd = J.parities(owner, value, len(texts)).view(np.uint64)
+    sets = [shingles(t) for t in texts]
+    for i in range(len(texts) - 1):
+        differ = sum(int(x).bit_count() for x in odd[i] ^ odd[i + 1])
+        apart = len(sets[i] ^ sets[i + 1])
+        assert differ <= apart and differ % 2 == apart % 2
+
+
 def test_longer_prefixes_where_candidates_cost_more():
     rng = np.random.default_rng(1)
     value = np.sort(rng.integers(0, 1 << 63, 200).astype(np.uint64))
