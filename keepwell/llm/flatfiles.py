@@ -16,7 +16,7 @@ attempts that succeeded, so a task that is run again does no harm.
 gives every document's place and ids' checksum.
 
 Words repeat, so a block's distinct blank-separated words are encoded by the library once
-and a task keeps up to ``CACHE`` of them; this gives the same ids, as the vocabulary's
+and a task keeps about ``CACHE`` of them; this gives the same ids, as the vocabulary's
 normalisation and splitting never look across white space. Special tokens' strings in a text
 are ordinary text. A null or empty text has the end id only. Rows with equal keys
 are ordered by the text's hash. An empty table gives a manifest without parts.
@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,7 +44,7 @@ from keepwell.llm.arrays import NOT_SPACE, Block, Words, blocks, ragged
 from keepwell.session import ship_package
 
 END_ID = 1
-CACHE = 200_000
+CACHE = 400_000
 READ_DOCS = 4096
 NULL_KEY = -(1 << 63)
 PART = "part int, name string, n_docs long, n_ids long"
@@ -64,11 +66,54 @@ def tokenizer(path: str):
     return out
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with, for characters up to 255."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+    return {c: "".join(letter[x] for x in chr(c).encode()) for c in range(256)}
+
+
 class Encoder:
-    """Ids of blocks of texts; remembers words."""
+    """Ids of blocks of texts; remembers words and their pieces.
+
+    The library spends most of its time on normalising and splitting. Chunks of visible ASCII and of
+    Latin-1 letters need no composition, and their case and splitting follow from a pattern on
+    few characters, so their pieces go straight to the library's model; all others through the
+    whole library.
+    """
+
+    SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str, end_id: int = END_ID):
-        self.library, self.end_id, self.known = tokenizer(path), end_id, {}
+        self.library, self.end_id = tokenizer(path), end_id
+        self.model, self.letters = self.library.model, _byte_letters()
+        # ids as the bytes of 32-bit numbers: joined without a loop over numbers
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.known) > CACHE:
+            self.known.clear()
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        known, pieces, rest = self.known, self.pieces, []
+        for word in words:
+            if word in known:
+                continue
+            text = word.decode()
+            if not self.SIMPLE.fullmatch(text):
+                rest.append(word)
+                continue
+            split = self.PIECES.findall(text.lower())
+            for piece in split:
+                if piece not in pieces:
+                    tokens = self.model.tokenize(piece.translate(self.letters))
+                    pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
+            known[word] = pieces[split[0]] if len(split) == 1 else b"".join([pieces[p] for p in split])
+        for word, e in zip(rest, self.library.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
+            known[word] = array("I", e.ids).tobytes()
 
     def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with an end id after each, number of each text's ids)."""
@@ -76,14 +121,10 @@ class Encoder:
         _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         data = block.data.tobytes()
         distinct = [data[s:e] for s, e in zip(words.start[first].tolist(), words.end[first].tolist())]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [w for w in distinct if w not in self.known]
-        for w, e in zip(new, self.library.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self.known[w] = e.ids
+        self._learn(distinct)
         found = [self.known[w] for w in distinct]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
         each = size[inverse]
         ids = flat[ragged((np.cumsum(size) - size)[inverse], each)]
         count = np.rint(np.bincount(words.owner, each, minlength=len(block))).astype(np.int64)
