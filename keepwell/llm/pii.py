@@ -159,6 +159,20 @@ def features(text: str, start: int, end: int, word: str) -> list[str]:
     return out
 
 
+def possible(span: str) -> list[bool]:
+    """Which kinds a segment can be at all: cards pass the checksum, addresses have four octets."""
+    digits = "".join(_DIGITS.findall(span))
+    plain = not any(c.isalpha() or c == "@" for c in span)
+    octets = span.split(".")
+    return [
+        span.count("@") == 1 and "." in span.rpartition("@")[2],
+        len(octets) == 4 and all(x.isdigit() and len(x) <= 3 and int(x) <= 255 for x in octets),
+        plain and 14 <= len(digits) <= 19 and luhn(digits),
+        plain and 10 <= len(digits) <= 15 and "." not in span[:2],
+        "@" not in span and len(span) >= 8,
+    ]
+
+
 def segments(text: str, begin: int, end: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, list[str]]]]:
     """(units, candidates as (first unit, unit after the last, features)) of a part."""
     units = [m.span() for m in _UNIT.finditer(text, begin, end)]
@@ -177,15 +191,19 @@ def segments(text: str, begin: int, end: int) -> tuple[list[tuple[int, int]], li
     return units, out
 
 
-def best(units, found, weights: dict[str, np.ndarray], margin: float = MARGIN) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the best-scoring segmentation."""
+def best(
+    text: str, units, found, weights: dict[str, np.ndarray], margin: float = MARGIN
+) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the best-scoring segmentation into possible segments."""
     n = len(units)
     ending: list[list[tuple[int, float, int]]] = [[] for _ in range(n + 1)]
     for i, j, names in found:
         score = sum((weights[f] for f in names if f in weights), np.zeros(len(KINDS)))
-        k = int(score.argmax())
-        if score[k] > margin:
-            ending[j].append((i, float(score[k]) - margin, k))
+        if score.max() > margin:
+            score = np.where(possible(text[units[i][0] : units[j - 1][1]]), score, -np.inf)
+            k = int(score.argmax())
+            if score[k] > margin:
+                ending[j].append((i, float(score[k]) - margin, k))
     value, back = [0.0] * (n + 1), [None] * (n + 1)
     for j in range(1, n + 1):
         value[j] = value[j - 1]
@@ -330,7 +348,7 @@ def model_spans(text: str, rules, weights) -> list[tuple[int, int, int]]:
     out = []
     if weights and _TRIGGER.search(text):
         for begin, end in parts(text):
-            for s, k, e in best(*segments(text, begin, end), weights):
+            for s, k, e in best(text, *segments(text, begin, end), weights):
                 if not any(s < y and x < e for x, _, y in rules):
                     out.append((s, k, e))
     return out

@@ -71,6 +71,7 @@ def test_best_segmentation_equals_enumeration(weights):
             top = {}
             for i, j, names in found:
                 score = sum((weights[f] for f in names if f in weights), np.zeros(len(P.KINDS))) - P.MARGIN
+                score = np.where(P.possible(text[units[i][0] : units[j - 1][1]]), score, -np.inf)
                 top[i, j] = (float(score.max()), int(score.argmax()))
             most = 0.0
             for n in range(len(units) + 1):
@@ -78,7 +79,7 @@ def test_best_segmentation_equals_enumeration(weights):
                     # every pair of neighbouring cuts may be a segment or not
                     value = sum(max(0.0, top.get(pair, (0.0, 0))[0]) for pair in itertools.pairwise(cuts))
                     most = max(most, value)
-            got = P.best(units, found, weights)
+            got = P.best(text, units, found, weights)
             starts, ends = {s: i for i, (s, _) in enumerate(units)}, {e: i + 1 for i, (_, e) in enumerate(units)}
             value = sum(top[starts[s], ends[e]][0] for s, _, e in got)
             assert value == pytest.approx(most)
@@ -93,6 +94,11 @@ def test_the_model_finds_what_the_rules_miss(weights):
     assert P.model_spans("+1 (348) 555-9642", rules, weights) == []  # rules' spans stay as they are
 
 
+def test_impossible_segments_are_not_found(weights):
+    for text in ("no 4111 1111 1111 1112 x", "host 10.2.3.400 is up", "x 12 y", "user@localhost z", "at 2024-01-15 10:30"):
+        assert P.rule_spans(text) == P.model_spans(text, [], weights) == []
+
+
 def test_find_and_mask(spark, documents, texts, weights):
     rows = P.find(documents, weights=weights).collect()
     assert len(rows) == len(texts)
