@@ -29,8 +29,7 @@ from keepwell.functions.exprs import (
     rounded,
 )
 from keepwell.operators.activity import second_order_within
-from keepwell.operators.ordering import moments_and_quantiles, number_rows
-from keepwell.session import materialize
+from keepwell.operators.ordering import moments_and_quantiles
 from keepwell.settings import (
     FEATURE_DEFAULTS,
     FEATURES,
@@ -172,8 +171,9 @@ def _category_slots(products: DataFrame) -> tuple[DataFrame, int]:
     of any set of orders are a bitwise or.
     """
     named = products.select("product_id", F.col("product_category_name_english").alias("category"))
-    names = materialize(named.filter(F.col("category").isNotNull()).select("category").distinct())
-    numbered = number_rows(names, [F.col("category")]).select("category", (F.col("row_no") - 1).alias("slot"))
+    names = named.filter(F.col("category").isNotNull()).select("category").distinct()
+    # a list of names, not of products: one task numbers it
+    numbered = names.select("category", (F.row_number().over(W.orderBy("category")) - 1).alias("slot"))
     slots = named.join(numbered, "category").select(
         "product_id",
         F.floor(F.col("slot") / _MASK_BITS).alias("mask_no"),
