@@ -87,7 +87,7 @@ def summed(weights: np.ndarray, numbers: np.ndarray, count: np.ndarray) -> np.nd
     return np.add.reduceat(weights[numbers], np.cumsum(count) - count, axis=0)
 
 
-class Words_(Words):
+class FeatureWords(Words):
     """Words with the features of the distinct ones."""
 
     def __init__(self, block: Block):
@@ -164,7 +164,7 @@ def fit(runs: list[tuple[str, str]], rounds: int = 30, rate: float = 0.5, decay:
         return [], np.zeros((0, 0)), np.zeros((0, 0))
     # every run is followed by a part of the next one in an order by hash, mostly of another language
     order = np.argsort(mix(np.arange(len(runs), dtype=_U) + _U(7)))
-    words = Words_(Block([runs[i][1].encode() for i in order]))
+    words = FeatureWords(Block([runs[i][1].encode() for i in order]))
     number = {label: i for i, label in enumerate(labels)}
     of_run = np.array([number[runs[i][0]] for i in order])
     truth = of_run[words.owner]
@@ -249,7 +249,7 @@ def predict(docs: DataFrame, model, key: str = "doc_id", text: str = "text") ->
             for part, block in blocks(batch, "__text"):
                 names, scores = [UNKNOWN] * len(block), [0.0] * len(block)
                 if labels:
-                    words = Words_(block)
+                    words = FeatureWords(block)
                     found, _, _ = marginals(words.scores(weights), words.count, transition)
                     mass = np.stack(
                         [np.bincount(words.owner, found[:, j], minlength=len(block)) for j in range(len(labels))], axis=1

@@ -37,8 +37,8 @@ def test_long_texts_do_not_underflow():
 
 
 def test_features_depend_on_the_word_alone():
-    one = L.Words_(Block([b"Haus und Hof", b"hof"]))
-    two = L.Words_(Block([b"der hof"]))
+    one = L.FeatureWords(Block([b"Haus und Hof", b"hof"]))
+    two = L.FeatureWords(Block([b"der hof"]))
     split = lambda w: {w.hash.tolist()[i]: np.split(w.numbers, np.cumsum(w.features)[:-1])[w.kind[i]].tolist() for i in range(len(w))}
     a, b = split(one), split(two)
     shared = set(a) & set(b)
@@ -50,7 +50,7 @@ RUNS = [("de", "das haus und der hof ist gross"), ("en", "the house and the yard
 
 def test_code_switched_text_is_labelled_by_word():
     labels, weights, transition = L.fit(RUNS)
-    words = L.Words_(Block([b"the house and the yard das haus und der hof"]))
+    words = L.FeatureWords(Block([b"the house and the yard das haus und der hof"]))
     got, _, _ = L.marginals(words.scores(weights), words.count, transition)
     assert [labels[i] for i in got.argmax(axis=1)] == ["en"] * 5 + ["de"] * 5
     assert transition[0, 0] > transition[0, 1] and transition[1, 1] > transition[1, 0]
