@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that powers have inverses modulo 2^64
@@ -27,7 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(exponent: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse up to 2^exponent entries."""
     n = 1 << exponent
@@ -45,8 +45,8 @@ def spans_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     ``codes`` are random 64-bit values of the symbols. A prefix sum of
     code * base^position makes the cost independent of the slices' lengths.
     """
-    exponent = max(12, int(len(codes)).bit_length())
-    power, inverse = _powers(exponent)
+    # one table serves all ordinary blocks; a longer text gets a longer one
+    power, inverse = _powers(max(BLOCK_BYTES.bit_length(), len(codes).bit_length()))
     total = np.empty(len(codes) + 1, _U)
     total[0] = 0
     np.cumsum(codes * power[: len(codes)], out=total[1:])
@@ -150,12 +150,13 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, Block]]:
-    """Consecutive parts of a batch of at most about ``BLOCK_BYTES`` of text each."""
+def blocks(batch: pa.RecordBatch, text: str, limit: int | None = None) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """Consecutive parts of a batch of at most about ``limit`` (``BLOCK_BYTES``) of text each."""
+    limit = limit or BLOCK_BYTES
     values = text_bytes(batch.column(batch.schema.get_field_index(text)))
     start = size = 0
     for i, value in enumerate(values):
-        if size and size + len(value) > BLOCK_BYTES:
+        if size and size + len(value) > limit:
             yield batch.slice(start, i - start), Block(values[start:i])
             start, size = i, 0
         size += len(value) + 1

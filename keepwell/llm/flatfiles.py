@@ -46,6 +46,8 @@ from keepwell.session import ship_package
 END_ID = 1
 CACHE = 400_000
 READ_DOCS = 4096
+#: text whose distinct words are encoded together
+WORD_BYTES = 2 << 20
 NULL_KEY = -(1 << 63)
 PART = "part int, name string, n_docs long, n_ids long"
 
@@ -147,7 +149,7 @@ def write(
         encode, part = Encoder(path, end_id), TaskContext.get().partitionId()
         name, docs_in, ids_in, files = f"part-{part:06d}-{uuid.uuid4().hex}", 0, 0, []
         for batch in batches:
-            for rows, block in blocks(batch, "__text"):
+            for rows, block in blocks(batch, "__text", WORD_BYTES):
                 if not files:
                     files = [store.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "offsets", "keys")]
                     files[1].write(np.zeros(1, "<u8").tobytes())
