@@ -23,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from keepwell.session import ship_package, written
 
@@ -312,9 +312,11 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int =
         run, "host string, path string, votes long"
     )
     summed = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    # a host's paths are few next to its pages; only the foremost are kept
-    ranked = summed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path"))).alias("r"))
-    return ranked.select("host", F.slice(F.transform("r", lambda x: x["path"]), 1, keep).alias("paths"))
+    # the limit is applied in each task before the hosts' rows meet, so a host of many paths is no large group
+    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
+    first = summed.withColumn("place", place).where(F.col("place") <= keep)
+    ranked = first.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("r"))
+    return ranked.select("host", F.transform("r", lambda x: x["path"]).alias("paths"))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

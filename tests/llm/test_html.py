@@ -57,6 +57,15 @@ def test_hosts_agree_on_a_path(spark):
     assert H.main_text(pages).count() == len(rows)
 
 
+def test_a_host_keeps_its_foremost_paths(spark):
+    rows = [(i, "http://h/", page(f"<p>{'x ' * 40}</p>", tag=f"x-{'abcdefghij'[i % 10]}")) for i in range(55)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    (row,) = H.votes(pages, keep=3).collect()
+    assert len(row.paths) == 3 and all("/x-" in p for p in row.paths) and row.paths == sorted(row.paths)
+    plan = H.votes(pages, keep=3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 1
+
+
 def test_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(H, "MOST_HOSTS", 0)
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
