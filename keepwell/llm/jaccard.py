@@ -268,7 +268,11 @@ def hash_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: in
 def alike(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes and parities do not rule a link out; the sets themselves are not needed."""
     marks = [f"b{i}" for i in range(PARITIES)]
-    one = texts.select("key", "n", *marks).dropDuplicates(["key"])
+    pairs = written(pairs)
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    few = nodes.limit(MOST_WANTED + 1).count() <= MOST_WANTED
+    met = texts.join(F.broadcast(nodes) if few else nodes, "key", "left_semi")
+    one = met.select("key", "n", *marks).dropDuplicates(["key"])
     x, y = (one.withColumnsRenamed({c: f"{c}{side}" for c in one.columns}) for side in "xy")
     apart = " + ".join(f"bit_count({m}x ^ {m}y)" for m in marks)
     least = f"cast(ceil({percent} * (nx + ny) / {100 + percent}) as long)"
@@ -362,7 +366,8 @@ def link(
     rows = written(members(docs, key, text, width))
     texts = rows.where("chunk is null")
     counts = sketch(rows)
-    classes = texts.where("n > 0 and key is not null").groupBy("hi", "lo").agg(F.min("key").alias("node"))
+    # written, so that the last join has plain shuffles on both sides and Spark can split a class with very many copies
+    classes = written(texts.where("n > 0 and key is not null").groupBy("hi", "lo").agg(F.min("key").alias("node")))
     filed = postings(docs, counts, key, text, width, percent, most).repartition("h")
     filed = filed.groupBy("h", "hi", "lo").agg(F.min("info").alias("info"))
     filed = filed.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n")
