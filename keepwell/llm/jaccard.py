@@ -22,6 +22,9 @@ Two texts link if ``100 * |A and B| >= percent * |A or B|`` for their sets of
 6. ``verified``: pairs whose parities (an odd or even number of shingles in each of
    1,024 hash classes) differ in more places than similar sets can are dropped; for the others the size
    of the intersection is taken from the whole sets.
+7. ``pairs`` and ``links``: every link lies inside a component, so the classes of each
+   component are compared all with all, in blocks of at most about ``BLOCK`` classes; two blocks
+   meet in one task, where numpy counts what their sets share. No link between different texts is left out.
 
 Texts without words, and nulls, have an empty set and link with nothing. Equal
 texts, ties and repeated rows fall into one class. An empty table gives an empty
@@ -49,6 +52,9 @@ VERIFY_COST = 200.0
 MOST_WANTED = 1_000_000
 SKETCH_BITS = 18
 CHUNK_BITS = 12
+#: classes of a component, and shingles of these, that are compared in one task with as many others (about)
+BLOCK = 128
+BLOCK_SHINGLES = 1 << 18
 #: numbers of 64 bits in a set's parities
 PARITIES = 16
 
@@ -395,6 +401,115 @@ def link(
     )
 
 
+def shared(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], n_x: int, n_y: int) -> np.ndarray:
+    """Size of the intersection of each of ``n_x`` sets with each of ``n_y``; sets are given as (owner, value)."""
+    common = np.intersect1d(x[1], y[1])
+    sides = []
+    for owner, value in (x, y):
+        at = np.minimum(np.searchsorted(common, value), max(0, len(common) - 1))
+        met = common[at] == value if len(common) else np.zeros(len(value), bool)
+        owner, at = owner[met], at[met]
+        order = np.argsort(at, kind="stable")
+        sides.append((owner[order], at[order]))
+    out, step = np.zeros((n_x, n_y), np.int64), 4096
+    for first in range(0, len(common), step):
+        dense = []
+        for (owner, at), n in zip(sides, (n_x, n_y)):
+            part = slice(*np.searchsorted(at, (first, first + step)))
+            rows = np.zeros((n, step), np.float32)
+            rows[owner[part], at[part] - first] = 1
+            dense.append(rows)
+        out += (dense[0] @ dense[1].T).astype(np.int64)  # a chunk's counts are exact in 32 bits
+    return out
+
+
+def _compared(docs: DataFrame, linked: DataFrame, key: str, text: str, width: int, percent: int, counted: bool):
+    """The links (a, b) between classes, a < b, or (node, n): the rows that each class's links lead to."""
+    kind = docs.schema[key].dataType.simpleString()
+    classes = linked.where(F.col("class_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("component_id", "class_id")
+    classes = classes.agg(F.count("*").alias("copies"), F.max("n_shingles").alias("size"))
+    groups = classes.groupBy("component_id").agg(F.count("*").alias("g"), F.sum("size").alias("total"))
+    groups = groups.where("g > 1").select(
+        "component_id", F.expr(f"cast(greatest(ceil(g / {BLOCK}), ceil(total / {BLOCK_SHINGLES})) as int)").alias("blocks")
+    )
+    wanted = classes.join(groups, "component_id").select(
+        "component_id", F.col("class_id").alias("node"), "copies", "blocks",
+        F.expr("cast(pmod(xxhash64(class_id), blocks) as int)").alias("block"),
+    )
+    wanted = written(wanted)
+    few = wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED
+    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(wanted) if few else wanted, "node")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component_id", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "node", "copies", "text",
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lo, hi, block = (table.column(c).to_numpy() for c in ("lo", "hi", "block"))
+        nodes, copies, texts = (table.column(c).to_pylist() for c in ("node", "copies", "text"))
+        place = {node: i for i, node in reversed(list(enumerate(nodes)))}  # a repeated key is one class
+        sides = []
+        for b in (lo[0], hi[0]):
+            mine = [i for i in place.values() if block[i] == b]
+            owner, value = shingle_sets(Block([(texts[i] or "").encode() for i in mine]), width)
+            sides.append((mine, owner, value, np.bincount(owner, minlength=len(mine))))
+        (mine, owner, value, n), (yours, owner_, value_, n_) = sides
+        both = shared((owner, value), (owner_, value_), len(mine), len(yours))
+        near = 100 * both >= percent * (n[:, None] + n_[None, :] - both)
+        near &= (n[:, None] > 0) & (n_[None, :] > 0)
+        if lo[0] == hi[0]:
+            near = np.triu(near, 1)
+        i, j = np.nonzero(near)
+        a, b = [nodes[mine[k]] for k in i.tolist()], [nodes[yours[k]] for k in j.tolist()]
+        if not counted:
+            a, b = [min(x) for x in zip(a, b)], [max(x) for x in zip(a, b)]
+            return pa.table([pa.array(x, table.schema.field("node").type) for x in (a, b)], ["a", "b"])
+        n = dict.fromkeys([*a, *b], 0)
+        for x, y in zip(a, b):
+            n[x] += copies[place[y]]
+            n[y] += copies[place[x]]
+        return pa.table(
+            [pa.array(list(n), table.schema.field("node").type), pa.array(list(n.values()), pa.int64())], ["node", "n"]
+        )
+
+    schema = f"node {kind}, n long" if counted else f"a {kind}, b {kind}"
+    return rows.groupBy("component_id", "lo", "hi").applyInArrow(run, schema)
+
+
+def pairs(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, **options
+) -> DataFrame:
+    """(a, b), a < b: every link between two classes, by their smallest keys. With the classes of
+    ``link`` these are all links: texts of one class link with one another as well."""
+    linked = written(_named(link(docs, key, text, width, percent, **options), key))
+    return _compared(docs, linked, key, text, width, percent, False)
+
+
+def links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, **options
+) -> DataFrame:
+    """The columns of ``link`` and ``n_links``: how many other rows the text links with. A row whose key is
+    null and whose set no row with a key has is in no class, so it has and makes no links."""
+    linked = written(_named(link(docs, key, text, width, percent, **options), key))
+    others = _compared(docs, linked, key, text, width, percent, True).groupBy("node").agg(F.sum("n").alias("others"))
+    filled = linked.where(F.col("class_id").isNotNull() & (F.col("n_shingles") > 0))
+    copies = filled.groupBy(F.col("class_id").alias("node")).agg(F.count("*").alias("copies"))
+    # written, so that both sides of the last join are plain shuffles and Spark can split a class with very many copies
+    counts = written(copies.join(others, "node", "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("m")
+    ))
+    same = (F.col("class_id") == F.col("node")) & (F.col("n_shingles") > 0)
+    return linked.join(counts, same, "left").select(
+        F.col("key").alias(key), "n_shingles", "component_id", "class_id", F.coalesce("m", F.lit(0)).alias("n_links")
+    )
+
+
+def _named(linked: DataFrame, key: str) -> DataFrame:
+    return linked.select(F.col(key).alias("key"), "n_shingles", "component_id", "class_id")
+
+
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each class of linked texts, that of the smallest key, whole.
 

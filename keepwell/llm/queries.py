@@ -21,7 +21,7 @@ def op2_attribution(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.link(table(spark, folder, "documents"))
+    return jaccard.links(table(spark, folder, "documents"))
 
 
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:

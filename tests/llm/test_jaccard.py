@@ -154,3 +154,46 @@ def test_near_copies_make_few_pairs(spark):
     finally:
         J.verified = whole
     assert sum(made) < 4 * len(rows)  # all pairs would be 200 times the rows
+
+
+def brute_links(texts, percent=85):
+    sets = {k: shingles(t) for k, t in texts.items()}
+    keys = [k for k in sorted(texts) if sets[k]]
+    return {
+        (a, b)
+        for i, a in enumerate(keys)
+        for b in keys[i + 1 :]
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    }
+
+
+@pytest.mark.parametrize("block", [3, 128])
+def test_every_link_is_found_and_counted(spark, planted, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    docs = spark.createDataFrame(list(planted.items()), "doc_id long, text string").repartition(5)
+    want = brute_links(planted)
+    rows = J.links(docs).collect()
+    n = dict.fromkeys(planted, 0)
+    for pair in want:
+        for k in pair:
+            n[k] += 1
+    assert {r.doc_id: r.n_links for r in rows} == n
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(planted)
+    of = {r.doc_id: r.class_id for r in rows}
+    found_pairs = [tuple(r) for r in J.pairs(docs).collect()]
+    assert len(found_pairs) == len(set(found_pairs))
+    assert set(found_pairs) == {(of[a], of[b]) for a, b in want if of[a] != of[b] and a == of[a] and b == of[b]}
+
+
+def test_the_query_returns_the_links_of_near_copies(spark):
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(words[:-1] + [f"x{i}"])) for i in range(40)] + [(100, " ".join(words[:-1] + ["x0"]))]
+    found = J.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.n_links for r in found} == {40}
+
+
+def test_links_of_odd_texts(odd_docs, empty_docs):
+    rows = J.links(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    assert {r.doc_id: r.n_links for r in rows} == {None: 0, **dict.fromkeys(range(12), 0), 5: 3, 6: 3, 7: 3}
+    assert J.links(empty_docs).count() == 0 == J.pairs(empty_docs).count()
