@@ -3,17 +3,17 @@
 Text is encoded as the library does: spaces become a visible mark, one more mark is
 put in front, and the best-scoring adjacent pair of pieces is merged again and again
 (leftmost first among equals). A candidate merge is skipped with probability
-``dropout``, decided by a hash of the seed, the unit's text and variant, and the places
-where the two pieces begin, meet and end. So a seed always gives the same
+``dropout``, decided by a hash of the seed, the document's key, the unit's text and number, and the
+places where the two pieces begin, meet and end. So a seed always gives the same
 segmentation, whatever the partitions and retries, another seed another one, and
 dropout 0 gives the library's own encoding.
 
 No piece holds the mark after another character (checked when the model is loaded), so
 no merge crosses from a word to the mark after it: a text falls into units, a run of
-marks with the characters that follow. A unit's variant is one of ``VARIANTS``, chosen by
-a hash of the seed, the document's key and the unit's number, so equal units of a block
-are encoded once for each variant. All units of a block are merged side by side in numpy;
-one that is longer than ``WIDEST`` goes through an ordinary agenda.
+marks with the characters that follow. Every occurrence of a unit draws its own skips. Equal
+units of a block are merged once without dropout; an occurrence for which none of the
+candidates met on that way is skipped has the same pieces, all others are merged on their own,
+side by side in numpy. A unit that is longer than ``WIDEST`` goes through an ordinary agenda.
 
 Characters without a piece, and the mark itself where a text holds it, become byte pieces,
 so that every text decodes to itself. Nulls and empty texts have no pieces; a null stays
@@ -39,7 +39,8 @@ from keepwell.session import ship_package
 
 DROPOUT = 0.1
 SEED = 13
-VARIANTS = 4
+#: values an occurrence's hash can take: all of them, none is folded onto another
+VARIANTS = (1 << 64) - 1
 WIDEST = 64
 MARK = "▁"
 
@@ -120,7 +121,7 @@ def default_path() -> str:
 
 
 def skipped(unit: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
-    """Whether the keyed hash skips each candidate; ``unit`` carries seed, text and variant."""
+    """Whether the keyed hash skips each candidate; ``unit`` carries seed, key, number and text."""
     place = (start.astype(_U) << _U(42)) ^ (middle.astype(_U) << _U(21)) ^ end.astype(_U)
     return mix(unit ^ mix(place + _U(1))) >> _U(11) < _U(int(dropout * (1 << 53)))
 
@@ -155,9 +156,11 @@ def agenda(symbols: list[int], unit: int, model: Model, dropout: float) -> list[
     return [(symbols[i], i) for i in range(n) if alive[i]]
 
 
-def _merge(symbols: np.ndarray, size: np.ndarray, unit: np.ndarray, model: Model, dropout: float):
-    """Rows of symbols (``size`` of them used) merged side by side: (symbols, places, sizes)."""
+def _merge(symbols: np.ndarray, size: np.ndarray, unit: np.ndarray, model: Model, dropout: float, met: list | None):
+    """Rows of symbols (``size`` of them used) merged side by side: (symbols, places, sizes).
+    All candidates met are added to ``met`` as (row, start, middle, end)."""
     n, width = symbols.shape
+    number = np.arange(n)
     place = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
     place = np.minimum(place, size[:, None])
     column = np.arange(width)
@@ -168,6 +171,10 @@ def _merge(symbols: np.ndarray, size: np.ndarray, unit: np.ndarray, model: Model
         real = (k >= 0) & (k + 1 < size[rows])
         r, c = rows[real], k[real]
         rank = model.rank(symbols[r, c], symbols[r, c + 1])
+        if met is not None:
+            some = np.flatnonzero(rank < _NEVER)
+            a, b = r[some], c[some]
+            met.append((number[a], place[a, b], place[a, b + 1], place[a, b + 2]))
         if dropout:
             some = np.flatnonzero(rank < _NEVER)
             a, b = r[some], c[some]
@@ -180,7 +187,6 @@ def _merge(symbols: np.ndarray, size: np.ndarray, unit: np.ndarray, model: Model
     rank = candidates(rows, np.tile(column[: width - 1], n), symbols, place, size, unit).reshape(n, width - 1)
     rank = np.concatenate((rank, np.full((n, 1), _NEVER, np.int32)), axis=1)
     done_symbols, done_place, done_size = symbols.copy(), place.copy(), size.copy()
-    number = np.arange(n)
     while len(number):
         k = rank.argmin(axis=1)
         rows = np.arange(len(number))
@@ -211,6 +217,51 @@ def _utf8_size(code: np.ndarray) -> np.ndarray:
     return 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
 
 
+def _units(code, start, size, unit, model: Model, dropout: float, met: list | None = None):
+    """(piece ids, places of their first characters, numbers of their units) of the units, by unit."""
+    ids, origin, which = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    least = 0
+    for width in (4, 8, 16, 32, WIDEST):
+        rows = np.flatnonzero((size > least) & (size <= width))
+        least = width
+        for part in np.array_split(rows, max(1, len(rows) * width // (1 << 19))):
+            if not len(part):
+                continue
+            at = start[part][:, None] + np.arange(width)
+            table = model.symbol[code[np.minimum(at, len(code) - 1)]]
+            found = None if met is None else []
+            symbols, place, n = _merge(table, size[part], unit[part], model, dropout, found)
+            if met is not None:
+                met += [(part[row], *places) for row, *places in found]
+            used = np.arange(width)[None, :] < n[:, None]
+            ids.append(symbols[used])
+            origin.append((start[part][:, None] + place[:, :width])[used])
+            which.append(np.repeat(part, n))
+    for row in np.flatnonzero(size > WIDEST).tolist():
+        s = int(start[row])
+        found = agenda(model.symbol[code[s : s + size[row]]].tolist(), int(unit[row]), model, dropout)
+        ids.append(np.array([x for x, _ in found], np.int32))
+        origin.append(np.array([s + i for _, i in found], np.int64))
+        which.append(np.full(len(found), row))
+    ids, origin, which = np.concatenate(ids), np.concatenate(origin), np.concatenate(which)
+    sort = np.argsort(which, kind="stable")
+    return ids[sort], origin[sort], which[sort]
+
+
+def _skips(met: list, text: np.ndarray, n: int, unit: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether any candidate that the unit's text (one of ``n``) meets without dropout is skipped for the unit."""
+    row, *places = (np.concatenate(x) for x in zip(*met)) if met else [np.empty(0, np.int64)] * 4
+    order = np.argsort(row, kind="stable")
+    places = [x[order] for x in places]
+    count = np.bincount(row, minlength=n)
+    first, out = np.cumsum(count) - count, np.zeros(len(unit), bool)
+    for part in np.array_split(np.arange(len(unit)), max(1, len(unit) >> 16)):
+        each = count[text[part]]
+        at, owner = ragged(first[text[part]], each), np.repeat(part, each)
+        out[owner[skipped(unit[owner], *(x[at] for x in places), dropout)]] = True
+    return out
+
+
 def encode(texts: list[str], keys: list, model: Model, dropout: float = DROPOUT, seed: int = SEED):
     """(all piece ids in order, number of ids of each text)."""
     full = [" " + t if t else "" for t in texts]
@@ -229,47 +280,34 @@ def encode(texts: list[str], keys: list, model: Model, dropout: float = DROPOUT,
     units = np.bincount(owner, minlength=len(full))
     number = np.arange(len(begin)) - (np.cumsum(units) - units)[owner]
     unit = spans_hash(mix(code.astype(_U) + _U(1)), begin, end)
+    size = end - begin
+    value, first, inverse = np.unique(unit, return_index=True, return_inverse=True)
     if dropout:
         keyed = np.array([xxhash.xxh64_intdigest(str(k), seed) for k in keys], _U)
         variant = mix(keyed[owner] + number.astype(_U)) % _U(VARIANTS)
         unit = mix(unit ^ mix(variant + _U(seed << 8) + _U(1)))
-    value, first, inverse = np.unique(unit, return_index=True, return_inverse=True)
-
-    start, size = begin[first], (end - begin)[first]
-    ids, origin, count = [], [], np.zeros(len(value), np.int64)
-    which = []
-    least = 0
-    for width in (4, 8, 16, 32, WIDEST):
-        rows = np.flatnonzero((size > least) & (size <= width))
-        least = width
-        for part in np.array_split(rows, max(1, len(rows) * width // (1 << 19))):
-            if not len(part):
-                continue
-            at = start[part][:, None] + np.arange(width)
-            table = model.symbol[code[np.minimum(at, len(code) - 1)]]
-            symbols, place, n = _merge(table, size[part], value[part], model, dropout)
-            used = np.arange(width)[None, :] < n[:, None]
-            ids.append(symbols[used])
-            origin.append((start[part][:, None] + place[:, :width])[used])
-            which.append(np.repeat(part, n))
-            count[part] = n
-    for row in np.flatnonzero(size > WIDEST).tolist():
-        s = int(start[row])
-        found = agenda(model.symbol[code[s : s + size[row]]].tolist(), int(value[row]), model, dropout)
-        ids.append(np.array([x for x, _ in found], np.int32))
-        origin.append(np.array([s + i for _, i in found], np.int64))
-        which.append(np.full(len(found), row))
-        count[row] = len(found)
-    ids, origin, which = np.concatenate(ids), np.concatenate(origin), np.concatenate(which)
-    sort = np.argsort(which, kind="stable")
-    ids, origin = ids[sort], origin[sort]
+        short = size[first] <= WIDEST
+        kept, met = first[short], []
+        ids, origin, which = _units(code, begin[kept], size[kept], value[short], model, 0.0, met)
+        text = (np.cumsum(short) - 1)[inverse]
+        own = ~short[inverse]
+        some = np.flatnonzero(~own)
+        own[some] = _skips(met, text[some], len(kept), unit[some], dropout)
+        rows = np.flatnonzero(own)
+        more = _units(code, begin[rows], size[rows], unit[rows], model, dropout)
+        ids, origin, which = (np.concatenate(x) for x in zip((ids, origin, which), (*more[:2], more[2] + len(kept))))
+        inverse = np.where(own, len(kept) + np.cumsum(own) - 1, text)
+        n = len(kept) + len(rows)
+    else:
+        n = len(value)
+        ids, origin, which = _units(code, begin[first], size[first], value, model, dropout)
+    count = np.bincount(which, minlength=n)
 
     lost = np.flatnonzero(ids == model.unknown)
     if len(lost):  # spelled as bytes
         spread = np.ones(len(ids), np.int64)
         spread[lost] = _utf8_size(code[origin[lost]])
-        owner_of = np.repeat(np.arange(len(value)), count)
-        count = np.rint(np.bincount(owner_of, spread, minlength=len(value))).astype(np.int64)
+        count = np.rint(np.bincount(which, spread, minlength=n)).astype(np.int64)
         ids = np.repeat(ids, spread)
         spelled = np.frombuffer(code[origin[lost]].tobytes().decode("utf-32-le").encode(), np.uint8)
         ids[ids == model.unknown] = model.byte_ids[spelled]

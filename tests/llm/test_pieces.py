@@ -89,3 +89,17 @@ def test_partitioning_changes_nothing(documents):
     one = {r.doc_id: r.ids_crc32 for r in P.pieces(documents.coalesce(1)).collect()}
     many = {r.doc_id: r.ids_crc32 for r in P.pieces(documents.repartition(7)).collect()}
     assert one == many
+
+
+def test_every_occurrence_draws_its_own_skips(model):
+    text = "international " * 3000
+    ids, _ = P.encode([text], [1], model, 0.3)
+    seen, word = set(), []
+    for piece in ids.tolist():
+        if model.bytes[piece].startswith(b" ") and word:
+            seen.add(tuple(word))
+            word = []
+        word.append(piece)
+    assert len(seen) > 20  # four variants for the whole corpus would give four at most
+    both = P.encode([text] * 2, [1, 2], model, 0.3)
+    assert both[0][: both[1][0]].tolist() == ids.tolist() != both[0][both[1][0] :].tolist()
