@@ -30,8 +30,9 @@ from keepwell.session import ship_package, written
 #: paths of a page that vote
 VOTES = 1
 ENOUGH = 0.25
-#: hosts' winning paths are broadcast up to this number
+#: votes, rows of (host, path), are broadcast up to this number
 MOST_HOSTS = 200_000
+MOST_BYTES = 16 << 20
 #: containers of a path at most that a page remembers apart; deeper ones count for their parent
 DEEPEST = 60
 
@@ -268,16 +269,33 @@ def best_paths(page: Page, n: int = VOTES) -> list[tuple[str, float]]:
     return [(p, scores[p] / scores[top[0]]) for p in top]
 
 
+def fitting(page: Page) -> list[str]:
+    """The page's paths that its host may choose among, its own best one first."""
+    scores = page.by_path()
+    if not scores:
+        return []
+    own = best_paths(page, 1)[0][0]
+    return [own, *sorted(p for p in scores if p != own and scores[p] >= ENOUGH * scores[own])]
+
+
 def extract(source: str | None, winners: list[str]) -> tuple[str, str]:
     """(text, path) of a page, given its host's paths from most votes to least."""
-    if not source:
+    page = read(source) if source else None
+    paths = fitting(page) if page else []
+    if not paths:
         return "", ""
-    page = read(source)
-    scores = page.by_path()
-    if not scores:
+    agreed = next((p for p in winners if p in paths), paths[0])
+    return page.text(agreed), agreed
+
+
+def chosen(source: str | None, votes: dict[str, int]) -> tuple[str, str]:
+    """(text, path) of a page, given the votes of its host's paths."""
+    page = read(source) if source else None
+    paths = fitting(page) if page else []
+    if not paths:
         return "", ""
-    own = best_paths(page, 1)[0][0]
-    agreed = next((p for p in winners if p in scores and scores[p] >= ENOUGH * scores[own]), own)
+    voted = [p for p in paths if p in votes]
+    agreed = min(voted, key=lambda p: (-votes[p], p)) if voted else paths[0]
     return page.text(agreed), agreed
 
 
@@ -288,8 +306,8 @@ def host(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), HOST, 1))
 
 
-def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int = 16) -> DataFrame:
-    """(host, paths): each host's paths by votes, most first, at most ``keep`` of them."""
+def ballots(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
+    """(host, path, votes): all votes of every host's pages, summed."""
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +329,12 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int =
     cast = pages.select(host(url).alias("host"), F.col(source).alias("html")).mapInArrow(
         run, "host string, path string, votes long"
     )
-    summed = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+
+
+def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int = 16) -> DataFrame:
+    """(host, paths): a host's ``keep`` foremost paths by votes, most first; ``main_text`` uses all votes."""
+    summed = ballots(pages, url, source)
     # the limit is applied in each task before the hosts' rows meet, so a host of many paths is no large group
     place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
     first = summed.withColumn("place", place).where(F.col("place") <= keep)
@@ -319,19 +342,52 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int =
     return ranked.select("host", F.transform("r", lambda x: x["path"]).alias("paths"))
 
 
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(host, d, path): the paths that each page's host may choose among; equal pages once in each task's batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[tuple[str, str, str], None] = {}
+            for name, d, source in zip(*(c.to_pylist() for c in batch.columns)):
+                out.update(dict.fromkeys((name, d, p) for p in fitting(read(source))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], pa.string()) for i in range(3)], ["host", "d", "path"]
+            )
+
+    return rows.mapInArrow(run, "host string, d string, path string")
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """Per page: key, url, main text, its code points, host and the path it was found on."""
     spark = pages.sparkSession
     ship_package(spark)
-    winners = written(votes(pages, url, source))
+    summed = written(ballots(pages, url, source))
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), host(url).alias("host"), F.col(source).alias("h"))
-    small = winners.limit(MOST_HOSTS + 1).count() <= MOST_HOSTS
-    rows = rows.join(F.broadcast(winners) if small else winners, "host", "left")
-    rows = rows.select("k", "u", "host", "paths", "h")
+    size = summed.agg(F.count("*").alias("n"), F.sum(F.octet_length("host") + F.octet_length("path")).alias("b")).first()
+    shared = None
+    if size.n <= MOST_HOSTS and (size.b or 0) <= MOST_BYTES:
+        by_host: dict[str, dict[str, int]] = {}
+        for r in summed.toLocalIterator():
+            by_host.setdefault(r.host, {})[r.path] = r.votes
+        shared = spark.sparkContext.broadcast(by_host)
+        rows = rows.withColumn("agreed", F.lit(None).cast("string"))
+    else:
+        # what a host's page agrees on depends on its source alone, so that equal pages are one row
+        digest = F.sha2(F.col("h"), 256)
+        places = written(_candidates(rows.where("h <> ''").select("host", digest.alias("d"), "h")))
+        best = places.join(summed, ["host", "path"]).groupBy("host", "d").agg(
+            F.min_by("path", F.struct((-F.col("votes")).alias("v"), "path")).alias("agreed")
+        )
+        rows = rows.withColumn("d", digest).join(written(best), ["host", "d"], "left")
+    rows = rows.select("k", "u", "host", "agreed", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [extract(h, p or []) for p, h in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            hosts, agreed, sources = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            if shared is not None:
+                found = [chosen(h, shared.value.get(name, {})) for name, h in zip(hosts, sources)]
+            else:
+                found = [extract(h, [p] if p else []) for p, h in zip(agreed, sources)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -105,3 +105,15 @@ def test_empty_table_and_extra_columns(spark):
 )
 def test_markup(source, text):
     assert H.extract(source, [])[0] == text
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_all_templates_of_a_host_have_their_votes(spark, monkeypatch, most):
+    monkeypatch.setattr(H, "MOST_HOSTS", most)
+    story, talk = "<p>" + "A story. " * 40 + "</p>", "<p>" + "Much talk. " * 60 + "</p>"
+    make = lambda c, talk="": f"<html><body><div class='{c}'>{story}</div><div class='chat'>{talk}</div></body></html>"
+    names = [f"make-{a}" for a in "abcdefghijklmnopqrstuvwxyz"]
+    more = [(90, "http://g/", make(c)) for c in names for _ in range(3)] + [(91, "http://g/", make(names[-1], talk))]
+    found = H.main_text(spark.createDataFrame(more, "page_id long, url string, html string")).collect()
+    (last,) = [r for r in found if r.page_id == 91]
+    assert last.path == "/html/body/div.make-z" and last.text.startswith("A story")
