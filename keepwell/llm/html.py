@@ -7,7 +7,9 @@ container it stands in and half of it to the next one out. The best container of
 page votes, by generalised path (tags with classes, digits taken out), for their host. Votes are
 added up in Spark, and every page is read again: its text is that of the elements on the
 path its host voted for most, among those the page has; where that holds less than
-``ENOUGH`` of the best container's score, as on a page of another make, the page's own best one.
+``ENOUGH`` of the best container's score, as on a page of another make, or only a part of the text
+of the page's own best one, that one. The own container is widened first to the article around
+it: from lists, tables and sections to what holds them and the paragraphs beside them.
 
 White space inside a block becomes one space, blocks are joined in page order by one
 space, character references are decoded, nothing else is dropped or cut. A null or empty page has an
@@ -36,6 +38,14 @@ MOST_BYTES = 16 << 20
 #: containers of a path at most that a page remembers apart; deeper ones count for their parent
 DEEPEST = 60
 
+#: share of the own container's text that a host's path inside or around it must cover
+NEARLY = 0.9
+#: elements that are parts of a text, never a whole article for themselves
+FLOW = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption "
+    "details summary hgroup address".split()
+)
+
 # fixed values: the elements of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noframes".split())
@@ -119,6 +129,7 @@ class Page:
         self.parent: list[int] = [-1]
         self.score: list[float] = [0.0]
         self.blocks: list[tuple[int, str]] = []  # (innermost container, text)
+        self.worth: list[tuple[float, int]] = []  # of each block: length less that of links twice, length
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -135,6 +146,7 @@ class Page:
                 if block:
                     self.blocks.append((here, block))
                     worth = max(0.0, len(block) - 2.0 * linked)
+                    self.worth.append((worth, len(block)))
                     self.score[here] += worth
                     # a paragraph speaks for what it stands in, and half for the next container out
                     outer = self.parent[here]
@@ -247,13 +259,60 @@ class Page:
                 out[path] = out.get(path, 0.0) + score
         return out
 
-    def text(self, path: str) -> str:
-        """Text of all blocks inside elements on a path, in page order."""
+    def inside(self, path: str) -> list[bool]:
+        """Of each container, whether it is in an element on a path, or is one."""
         inside = [False] * len(self.paths)
         for i, p in enumerate(self.paths):
             inside[i] = p == path or self.parent[i] >= 0 and inside[self.parent[i]]
+        return inside
+
+    def text(self, path: str) -> str:
+        """Text of all blocks inside elements on a path, in page order."""
+        inside = self.inside(path)
         return " ".join(block for i, block in self.blocks if inside[i])
 
+    def widened(self, path: str) -> str:
+        """The path of the whole article that the elements on ``path`` are part of: the widest one
+        around them whose further text belongs to it, as in lists, tables and sections beside paragraphs."""
+        at, out = path, path
+        held = self.inside(path)
+        while "/" in at and _tag(at) not in ("article", "main", "body", "html"):
+            part = _tag(at) in FLOW
+            at = at.rpartition("/")[0]
+            if _tag(at) == "html" or not at:
+                break
+            now = self.inside(at)
+            more = [n for n, (i, _) in enumerate(self.blocks) if now[i] and not held[i]]
+            if not more:
+                continue
+            if sum(self.worth[n][0] for n in more) < sum(self.worth[n][1] for n in more) / 2:
+                break  # mostly links
+            # a part's own element, or an article, holds one text; elsewhere only what stands in the text's flow
+            whole = _tag(at) in ("article", *FLOW) or part and _tag(at) not in ("body", "main")
+            titled = any(held[i] and self.paths[i].endswith("/h1") for i, _ in self.blocks)
+            if not whole and (_tag(at) == "body" and not part or titled or not all(self._flows(self.blocks[n][0], at) for n in more)):
+                break
+            held, out = now, at
+        return out
+
+    def _flows(self, i: int, path: str) -> bool:
+        """Whether only parts of a text and sections lie between a container and the path around it."""
+        while self.paths[i] != path:
+            if _tag(self.paths[i]) not in FLOW and _tag(self.paths[i]) != "section":
+                return False
+            i = self.parent[i]
+        return True
+
+    def covers(self, path: str, own: str) -> float:
+        """Share of the link-free text inside ``own`` that is inside ``path``, too."""
+        a, b = self.inside(path), self.inside(own)
+        whole = sum(w for (i, _), (w, _) in zip(self.blocks, self.worth) if b[i])
+        return sum(w for (i, _), (w, _) in zip(self.blocks, self.worth) if a[i] and b[i]) / whole if whole else 0.0
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
 
 def read(source: str) -> Page:
     """A page; one whose whole text stands inside a form is read with forms."""
@@ -274,8 +333,15 @@ def fitting(page: Page) -> list[str]:
     scores = page.by_path()
     if not scores:
         return []
-    own = best_paths(page, 1)[0][0]
-    return [own, *sorted(p for p in scores if p != own and scores[p] >= ENOUGH * scores[own])]
+    best = best_paths(page, 1)[0][0]
+    own = page.widened(best)
+    out = [own]
+    for path in sorted(p for p in scores if p != own and scores[p] >= ENOUGH * scores[best]):
+        # a path elsewhere in the page is the host's choice; one that shares text with the own must not cut it
+        share = page.covers(path, own)
+        if share == 0 or share >= NEARLY:
+            out.append(path)
+    return out
 
 
 def extract(source: str | None, winners: list[str]) -> tuple[str, str]:
@@ -315,7 +381,9 @@ def ballots(pages: DataFrame, url: str = "url", source: str = "html") -> DataFra
             sums: dict[tuple[str, str], float] = {}
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
-                    for path, share in best_paths(read(page)):
+                    page = read(page)
+                    for path, share in best_paths(page):
+                        path = page.widened(path)
                         sums[name, path] = sums.get((name, path), 0.0) + share
             yield pa.RecordBatch.from_arrays(
                 [

@@ -117,3 +117,27 @@ def test_all_templates_of_a_host_have_their_votes(spark, monkeypatch, most):
     found = H.main_text(spark.createDataFrame(more, "page_id long, url string, html string")).collect()
     (last,) = [r for r in found if r.page_id == 91]
     assert last.path == "/html/body/div.make-z" and last.text.startswith("A story")
+
+
+LONG = "Some more words of this long text. " * 30
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<article><h1>Head</h1><p>Lead.</p><section><p>{LONG}</p></section><section><p>{LONG}</p></section></article>",
+        f"<div class=post><h2>Head</h2><p>Lead.</p><section><p>{LONG}</p></section><section><p>{LONG}</p></section></div>",
+        f"<div class=post><h1>Head</h1><p>Lead.</p><ul><li>{LONG}<li>{LONG}</ul><p>End.</p></div>",
+        f"<article><p>Lead.</p><table><tr><td>{LONG}<td>{LONG}<tr><td>{LONG}</table><p>End.</p></article>",
+        f"<article><div class=a><div class=b><p>{LONG}</p></div></div><p>End.</p></article>",
+    ],
+)
+def test_an_article_keeps_what_stands_beside_its_largest_part(article):
+    want = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", article)).strip()
+    talk = "<div class='talk'><p>Some talk about it.</p></div>"
+    assert H.extract(f"<html><body>{article}{talk}</body></html>", [])[0] == want
+
+
+def test_a_hosts_path_does_not_cut_an_article():
+    source = f"<html><body><article><div class=a><p>{LONG}</p></div><div class=b><p>{LONG * 2}</p></div></article></body></html>"
+    assert H.extract(source, ["/html/body/article/div.a"])[0] == (LONG * 3).strip()
