@@ -133,3 +133,29 @@ def test_odd_texts(odd_docs, empty_docs, weights):
 
 def test_overlapping_spans_are_masked_together():
     assert P.masked("abcdefgh", [(1, 3, 4), (2, 2, 6)]) == "a<PHONE>gh"
+
+
+def test_secrets_of_any_length_and_without_digits_are_found():
+    rng = random.Random(9)
+    make = lambda n, among: "".join(rng.choice(among) for _ in range(n))
+    lines = []
+    for _ in range(120):
+        lines.append(f"password={make(rng.randint(8, 14), 'abcdefghijklmnop')} and so on")
+        lines.append(f"token={make(128, '0123456789abcdef')} and so on")
+        lines.append("secret: " + "-".join(make(3, "0123456789abc") for _ in range(14)) + " for you")
+        lines.append(f"version {make(1, '123')}.{make(1, '123')} of {make(4, '123')}, costs {make(3, '123')}.50")
+    weights = P.fit([e for line in lines for e in P.examples(line)])
+    for secret in ("correcthorse", make(128, "0123456789abcdef"), "-".join(make(3, "0123456789abc") for _ in range(14))):
+        for cue in ("password=", "token="):
+            text = f"the {cue}{secret} is mine"
+            assert [(P.KINDS[k], text[s:e]) for s, k, e in P.model_spans(text, [], weights)] == [("secret", secret)]
+    assert P.model_spans("the password is correct, version 2.0 of 1999", [], weights) == []
+
+
+def test_every_labelled_secret_is_a_candidate():
+    for text in ("api_key = abcdefgh", "pwd='" + "a-" * 40 + "1'", "token: " + "F" * 300, "secret=" + "ab/" * 30):
+        ((_, k, e),) = P.labelled(text)
+        (s, _, _) = P.labelled(text)[0]
+        ((begin, end),) = P.parts(text)
+        units, found = P.segments(text, begin, end)
+        assert (s, e) in {(units[i][0], units[j - 1][1]) for i, j, _ in found} and k == 4
