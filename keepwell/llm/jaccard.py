@@ -513,9 +513,9 @@ def _named(linked: DataFrame, key: str) -> DataFrame:
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each class of linked texts, that of the smallest key, whole.
 
-    A key that occurs several times keeps one row. Rows with a null key cannot be told
-    apart and stay.
+    A key that occurs several times with one text keeps one row; different texts under it stay. Rows with a
+    null key cannot be told apart and stay.
     """
     kept = link(docs, key, text, **options).where(f"`{key}` = component_id").select(key)
-    one = docs.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    one = docs.join(kept, key, "left_semi").dropDuplicates([key, text]).select(*docs.columns)
     return one.union(docs.where(F.col(key).isNull()))

@@ -197,3 +197,9 @@ def test_links_of_odd_texts(odd_docs, empty_docs):
     assert len(rows) == odd_docs.count()
     assert {r.doc_id: r.n_links for r in rows} == {None: 0, **dict.fromkeys(range(12), 0), 5: 3, 6: 3, 7: 3}
     assert J.links(empty_docs).count() == 0 == J.pairs(empty_docs).count()
+
+
+def test_different_texts_under_one_key_stay(spark):
+    rows = [(1, "one two three four five"), (1, "one two three four five"), (1, "quite another text that is kept as well")]
+    kept = J.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in kept) == sorted(set(rows))
