@@ -25,7 +25,7 @@ def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(queries.SQL) <= set(entry.oracle_sql())
 
 
