@@ -200,8 +200,8 @@ class Slices:
             more[on] = (more[on] & self.with_letter(col, i - 1, letter)) | before
             less[on] = (less[on] | before) & self.with_letter(col, i + 1, letter)
             exact[on] = before & here
-        equal = size == m[word]
-        near = np.where(equal, (replaced & short[column]) | ((less | exact) & long[column]), more & short[column])
+        near = np.where(size == m[word], (replaced & short[column]) | ((less | exact) & long[column]), _U(0))
+        near |= np.where(size == m[word] + 1, more & short[column], _U(0))
         hit = np.flatnonzero(near)
         bits = np.unpackbits(near[hit].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         row, bit = np.nonzero(bits)
