@@ -12,7 +12,7 @@ from keepwell.operators import cleaning, neighbours, quality, sampling
 from keepwell.plans import attribution, cohorts, modelling, panel, revenue, rfm, scoring, segmentation
 from keepwell.plans import metrics as metric
 from keepwell.plans import playbook as plays
-from keepwell.session import materialize, scratch
+from keepwell.session import materialize
 from keepwell.settings import FEATURES, LEGACY_INACTIVE_STATUSES, Snapshot
 from keepwell.sources import readers, writers
 from keepwell.sources.schemas import REFERENCES
@@ -672,15 +672,6 @@ def tuned_model(spark, folder):
     return _once("champion", spark, folder, None)[1]
 
 
-def champion_paths(spark, folder):
-    def make():
-        target = scratch(spark, "model")
-        saved = attribution.saved_boosted_path(spark, champion(spark, folder).model, target)
-        return attribution.read_paths(spark, saved)
-
-    return _once("paths", spark, folder, make)
-
-
 def segmented(spark, folder):
     def make():
         customers, profile, model = segmentation.segment_customers(rfm_frame(role_tables(spark, folder)))
@@ -726,30 +717,27 @@ def champion_frozen_threshold(spark, folder):
 @raw_query
 def batch_scores(spark, folder):
     scored = champion(spark, folder).model.transform(current_rows(spark, folder))
-    return scoring.risk_table(
-        scored.withColumn("p", scoring.positive_probability()), "p", segmented(spark, folder)[0]
-    )
+    return scoring.risk_table(scored, "probability", segmented(spark, folder)[0])
 
 
 @raw_query
 def tree_attribution(spark, folder):
-    return attribution.tree_attribution(current_rows(spark, folder), champion_paths(spark, folder)).select(
+    return attribution.tree_attribution(current_rows(spark, folder), champion(spark, folder).model).select(
         "customer_unique_id", F.posexplode("important_factors").alias("place", "f")
     ).select("customer_unique_id", "place", "f.*")
 
 
 @raw_query
 def tree_importance(spark, folder):
-    return attribution.global_tree_importance(current_rows(spark, folder), champion_paths(spark, folder))
+    return attribution.global_tree_importance(current_rows(spark, folder), champion(spark, folder).model)
 
 
 @raw_query
 def customer_reports(spark, folder):
-    scored = champion(spark, folder).model.transform(current_rows(spark, folder)).withColumn(
-        "probability_raw", scoring.positive_probability()
-    )
+    model = champion(spark, folder).model
+    scored = model.transform(current_rows(spark, folder), probability="probability_raw")
     explained = attribution.tree_attribution(
-        scored, champion_paths(spark, folder), top_n=4, keep=["probability_raw", "monetary_total", "recency_days", "order_frequency"]
+        scored, model, top_n=4, keep=["probability_raw", "monetary_total", "recency_days", "order_frequency"]
     ).join(
         segmented(spark, folder)[0].select("customer_unique_id", "cluster_segment", "rfm_segment"),
         "customer_unique_id",

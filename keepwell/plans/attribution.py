@@ -1,24 +1,23 @@
 """Why a customer got their score: exact Shapley values of linear and tree models.
 
-Tree models: for one root-to-leaf path with d different features, a feature's
-Shapley value has a closed form in the share of training rows that pass the
-path's conditions on each feature (unknown feature) and in whether the
-customer passes them (known feature).  Paths are few and short, so the rows
-are the parallel dimension: each task walks the broadcast paths over a batch.
+Tree models: a task walks each tree once, from the root, with all rows of a batch side by
+side. Going down an edge extends the path by its feature: the share of training weight that goes this way
+(feature unknown) and whether the row does (feature known). The path carries, for each number of known features, the
+summed weight of the coalitions of that size. At a leaf each feature is unwound once, which gives its part of the leaf's
+value; nodes share the work of their common path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.functions.exprs import rounded
+from keepwell.operators.boosting import BoostedTrees
+from keepwell.operators.logistic import Logistic
 from keepwell.operators.sampling import seeded_sample
 from keepwell.session import ship_package
 from keepwell.settings import FEATURES, SEED
@@ -82,130 +81,95 @@ def linear_impacts(
     }
 
 
-def linear_coefficients(model: PipelineModel, features: Sequence[str] = tuple(FEATURES)) -> dict[str, float]:
-    """Coefficients of a scaled logistic model, per unit of the unscaled feature."""
-    scaler, logistic = model.stages[-2], model.stages[-1]
-    spread = scaler.std.toArray()
-    weights = logistic.coefficients.toArray()
-    return {f: float(w / s) if s else 0.0 for f, w, s in zip(features, weights, spread)}
+def linear_coefficients(model: Logistic) -> dict[str, float]:
+    """Coefficients of a logistic model, per unit of the unscaled feature."""
+    return model.unscaled()
 
 
 # -- tree models -------------------------------------------------------------
 
-@dataclass
-class LeafPath:
-    """One path: its value, and per feature the allowed interval (low, high] and row share."""
+class _Path:
+    """Features on the way down, and the weight of coalitions by size, for all rows at once.
 
-    value: float
-    features: list[int]
-    low: list[float]
-    high: list[float]
-    share: list[float]
-
-
-def read_paths(spark: SparkSession, model_path: str) -> list[LeafPath]:
-    """Leaf paths of a saved gradient-boosted model, with leaf values times tree weights.
-
-    A model has a few thousand nodes at most (trees x 2^depth).
+    ``share`` is one number a feature, ``follows`` one 0/1 value a row; ``weight[s]`` sums the coalitions of s known features.
     """
-    weights = {r["_1"]: r["_3"] for r in spark.read.parquet(f"{model_path}/treesMetadata").collect()}
-    nodes: dict[int, dict[int, object]] = {}
-    for row in spark.read.parquet(f"{model_path}/data").collect():
-        nodes.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
-    paths: list[LeafPath] = []
-    for tree, members in sorted(nodes.items()):
-        # depth-first: node, interval per feature, row share per feature
-        todo = [(0, {}, {})]
-        while todo:
-            node_id, bounds, shares = todo.pop()
-            node = members[node_id]
-            if node["leftChild"] < 0:
-                used = list(bounds)
-                paths.append(
-                    LeafPath(
-                        value=node["prediction"] * weights[tree],
-                        features=used,
-                        low=[bounds[f][0] for f in used],
-                        high=[bounds[f][1] for f in used],
-                        share=[shares[f] for f in used],
-                    )
-                )
-                continue
-            feature = node["split"]["featureIndex"]
-            cut = node["split"]["leftCategoriesOrThreshold"][0]
-            low, high = bounds.get(feature, (-np.inf, np.inf))
-            here = node["impurityStats"][0]
-            for child, interval in (
-                (node["leftChild"], (low, min(high, cut))),
-                (node["rightChild"], (max(low, cut), high)),
-            ):
-                passed = members[child]["impurityStats"][0] / here
-                todo.append(
-                    (
-                        child,
-                        {**bounds, feature: interval},
-                        {**shares, feature: shares.get(feature, 1.0) * passed},
-                    )
-                )
-    return paths
-
-
-def _subset_weights(d: int) -> np.ndarray:
-    """Weight of a coalition of size s among d features: s! (d - 1 - s)! / d!."""
-    weights = [1.0 / d]
-    for s in range(1, d):
-        weights.append(weights[-1] * s / (d - s))
-    return np.array(weights)
-
-
-def _path_impacts(x: np.ndarray, path: LeafPath, out: np.ndarray) -> None:
-    """Add one path's Shapley values for all rows of x to out."""
-    d = len(path.features)
-    if d == 0:
-        return
-    columns = x[:, path.features]
-    inside = ((columns > np.array(path.low)) & (columns <= np.array(path.high))).astype("float64")
-    share = np.array(path.share)
-    weights = _subset_weights(d)
-    for i, feature in enumerate(path.features):
-        # ways[s]: sum over coalitions of size s of the product of known and unknown factors
-        ways = [np.ones(len(x))]
-        for j in range(d):
-            if j == i:
-                continue
-            with_j = [w * inside[:, j] for w in ways]
-            without_j = [w * share[j] for w in ways]
-            ways = [without_j[0]] + [
-                without_j[s] + with_j[s - 1] for s in range(1, len(ways))
-            ] + [with_j[-1]]
-        total = sum(w * c for w, c in zip(ways, weights))
-        out[:, feature] += path.value * (inside[:, i] - share[i]) * total
-
-
-def expected_margin(paths: Sequence[LeafPath]) -> float:
-    """Mean model margin: every path weighted by the rows that reach it."""
-    return float(sum(p.value * np.prod(p.share) for p in paths))
+
+    def __init__(self, features: list[int], share: list[float], follows: list[np.ndarray], weight: list[np.ndarray]):
+        self.features, self.share, self.follows, self.weight = features, share, follows, weight
+
+    def extended(self, feature: int, share: float, follows: np.ndarray) -> _Path:
+        n = len(self.weight)
+        weight = [*self.weight, np.ones(len(follows)) if not n else np.zeros(len(follows))]
+        for s in range(n - 1, -1, -1):
+            weight[s + 1] = weight[s + 1] + follows * weight[s] * ((s + 1) / (n + 1))
+            weight[s] = share * weight[s] * ((n - s) / (n + 1))
+        return _Path([*self.features, feature], [*self.share, share], [*self.follows, follows], weight)
+
+    def unwound(self, i: int) -> list[np.ndarray]:
+        """The weights as they were had feature ``i`` never been met."""
+        n, share, follows = len(self.weight) - 1, self.share[i], self.follows[i]
+        known = follows > 0
+        carried, out = self.weight[n], [None] * n
+        for s in range(n - 1, -1, -1):
+            with_it = carried * ((n + 1) / (s + 1))
+            without = self.weight[s] * ((n + 1) / (share * (n - s))) if share else np.zeros(len(follows))
+            out[s] = np.where(known, with_it, without)
+            carried = np.where(known, self.weight[s] - with_it * share * ((n - s) / (n + 1)), carried)
+        return out
+
+    def without(self, i: int) -> _Path:
+        keep = [j for j in range(len(self.features)) if j != i]
+        return _Path([self.features[j] for j in keep], [self.share[j] for j in keep], [self.follows[j] for j in keep], self.unwound(i))
+
+
+def tree_shapley(x: np.ndarray, model: BoostedTrees) -> np.ndarray:
+    """Shapley values of the margin, [row, feature]; unknown features follow the training weight of the nodes."""
+    feature, cut, value, cover = model.arrays()
+    out = np.zeros((len(x), len(model.features)))
+    every = np.ones(len(x))
+    for t in range(model.trees):
+
+        def walk(node: int, path: _Path) -> None:
+            f = int(feature[t, node])
+            if f < 0:
+                for i in range(1, len(path.features)):
+                    part = sum(path.unwound(i))
+                    out[:, path.features[i]] += part * (path.follows[i] - path.share[i]) * value[t, node]
+                return
+            right = x[:, f] > cut[t, node]  # NaN goes left
+            share, follows = 1.0, every
+            if f in path.features:  # both conditions on the feature become one
+                i = path.features.index(f)
+                share, follows = path.share[i], path.follows[i]
+                path = path.without(i)
+            for child, goes in ((2 * node + 1, ~right), (2 * node + 2, right)):
+                walk(child, path.extended(f, share * cover[t, child] / cover[t, node], follows * goes))
+
+        walk(0, _Path([], [], [], []).extended(-1, 1.0, every))
+    return out
+
+
+def expected_margin(model: BoostedTrees) -> float:
+    """Mean model margin: every leaf weighted by its share of the training weight."""
+    feature, _, value, cover = model.arrays()
+    # a leaf has a cover, numbers that name no node do not
+    inside = np.where(feature < 0, cover, 0.0)
+    return float(model.base + (value * inside).sum(1) @ (1.0 / cover[:, 0]))
 
 
 def tree_impacts(
-    rows: DataFrame,
-    paths: Sequence[LeafPath],
-    features: Sequence[str] = tuple(FEATURES),
-    keep: Sequence[str] = ("customer_unique_id",),
+    rows: DataFrame, model: BoostedTrees, keep: Sequence[str] = ("customer_unique_id",)
 ) -> DataFrame:
     """keep columns and ``impacts``: one Shapley value per feature, of the model margin."""
     spark = rows.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(list(paths))
-    features, keep = list(features), list(keep)
+    shared = spark.sparkContext.broadcast(model)  # a few thousand nodes
+    features, keep = list(model.features), list(keep)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[features].to_numpy("float64")
-            out = np.zeros_like(x)
-            for path in shared.value:
-                _path_impacts(x, path, out)
-            yield batch[keep].assign(impacts=list(out))
+            impacts = tree_shapley(batch[features].to_numpy("float64"), shared.value)
+            yield batch[keep].assign(impacts=list(impacts))
 
     source = rows.select(*keep, *[F.col(f).cast("double").alias(f) for f in features if f not in keep])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.select(*keep).schema)
@@ -213,15 +177,12 @@ def tree_impacts(
 
 
 def tree_attribution(
-    rows: DataFrame,
-    paths: Sequence[LeafPath],
-    top_n: int = 5,
-    features: Sequence[str] = tuple(FEATURES),
-    keep: Sequence[str] = (),
+    rows: DataFrame, model: BoostedTrees, top_n: int = 5, keep: Sequence[str] = ()
 ) -> DataFrame:
     """customer_unique_id, kept columns and ``important_factors`` (the top_n impacts)."""
+    features = model.features
     carried = ["customer_unique_id", *features, *[c for c in keep if c not in features]]
-    explained = tree_impacts(rows, paths, features, keep=carried)
+    explained = tree_impacts(rows, model, keep=carried)
     impacts = {f: F.col("impacts")[i] for i, f in enumerate(features)}
     values = {f: F.col(f) for f in features}
     return explained.select(
@@ -229,14 +190,6 @@ def tree_attribution(
     )
 
 
-def saved_boosted_path(spark: SparkSession, model: PipelineModel, folder: str) -> str:
-    """Save the boosted stage of a fitted model and return where."""
-    boosted = next(s for s in model.stages if isinstance(s, GBTClassificationModel))
-    path = f"{folder}/boosted"
-    boosted.write().overwrite().save(path)
-    return path
-
-
 # -- global importance -------------------------------------------------------
 
 def importance_from_impacts(explained: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
@@ -255,10 +208,10 @@ def _chosen(rows: DataFrame, sample: int | None, seed: int) -> DataFrame:
 
 
 def global_tree_importance(
-    rows: DataFrame, paths: Sequence[LeafPath], sample: int | None = None, seed: int = SEED
+    rows: DataFrame, model: BoostedTrees, sample: int | None = None, seed: int = SEED
 ) -> DataFrame:
     """Over all rows; ``sample`` draws that many first."""
-    return importance_from_impacts(tree_impacts(_chosen(rows, sample, seed), paths))
+    return importance_from_impacts(tree_impacts(_chosen(rows, sample, seed), model), model.features)
 
 
 def global_linear_importance(

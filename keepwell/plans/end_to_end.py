@@ -92,14 +92,12 @@ def analyse(
 
     current = spark.read.schema(built.schema).parquet(f"{out}/churn_features")
     writers.write_holdout(current, FEATURES, TARGET, f"{out}/holdout_test_set")
-    boosted = attribution.saved_boosted_path(spark, champion.model, f"{out}/models")
-    paths = attribution.read_paths(spark, boosted)
     writers.write_reports(
-        {"feature_importance": attribution.global_tree_importance(current, paths, seed=seed)},
+        {"feature_importance": attribution.global_tree_importance(current, champion.model, seed=seed)},
         f"{out}/reports",
     )
-    scored = champion.model.transform(current).withColumn("p", scoring.positive_probability())
-    return stored(scoring.risk_table(scored, "p", customers), "customer_risk_scoring")
+    scored = champion.model.transform(current)
+    return stored(scoring.risk_table(scored, "probability", customers), "customer_risk_scoring")
 
 
 def audit_lookbacks(

@@ -7,25 +7,19 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
-from multiprocessing.pool import ThreadPool
-
-from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from typing import Protocol
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.functions.exprs import ratio, rounded
+from keepwell.operators import boosting, forest, logistic
+from keepwell.operators.boosting import BoostedTrees, BoostSettings, Learner
 from keepwell.operators.neighbours import synthetic_minority
 from keepwell.operators.sampling import stratified_folds, stratified_split
 from keepwell.plans.metrics import binary_metrics, frozen_threshold, threshold_sweep
-from keepwell.plans.scoring import positive_probability
-from keepwell.session import materialize
+from keepwell.session import materialize, ship_package
 from keepwell.settings import (
     CV_FOLDS,
     FEATURES,
@@ -36,8 +30,9 @@ from keepwell.settings import (
     TUNE_FOLDS,
 )
 
-WEIGHT = "row_weight"
 ROW_ID = "row_id"
+#: numbers the disjoint parts of the rows, from which a model learns some
+PART = "part"
 
 # fixed values: the tuning grid (16 combinations)
 GRID = {
@@ -71,203 +66,126 @@ def split(panel: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
     return {role: panel.filter(F.col("split_role") == role) for role in ("train", "val", "test")}
 
 
-def label_counts(df: DataFrame) -> dict[int, int]:
-    return {int(r[TARGET]): r["count"] for r in df.groupBy(TARGET).count().collect()}
+# -- class weights -----------------------------------------------------------
 
+Parts = tuple[int, ...]
 
-# -- class weights -----------------------------------------------------------
 
-def balanced_weight(counts: Mapping[int, int]) -> Column:
-    """n / (classes * n_class), as 'balanced' class weights."""
-    n = sum(counts.values())
-    return F.when(F.col(TARGET) == 1, n / (2.0 * max(counts.get(1, 0), 1))).otherwise(
-        n / (2.0 * max(counts.get(0, 0), 1))
-    )
+class LabelCounts:
+    """Rows of each label in each part, from one small aggregate."""
 
+    def __init__(self, rows: DataFrame):
+        cells = rows.groupBy(PART, TARGET).count().collect()
+        self.cells = {(r[PART], int(r[TARGET])): r["count"] for r in cells}
+        self.parts = sorted({p for p, _ in self.cells})
 
-def positive_weight(counts: Mapping[int, int]) -> Column:
-    """Positives weigh negatives / positives, negatives weigh 1."""
-    return F.when(F.col(TARGET) == 1, counts.get(0, 0) / max(counts.get(1, 0), 1)).otherwise(1.0)
+    def of(self, parts: Sequence[int]) -> tuple[int, int]:
+        """(negatives, positives) of some parts."""
+        return tuple(sum(self.cells.get((p, label), 0) for p in parts) for label in (0, 1))
 
 
-#: training rows that one task works on: small fits are bound by the number of tasks
-TASK_ROWS = 50_000
+def balanced_weights(counts: tuple[int, int]) -> tuple[float, float]:
+    """n / (classes * n_class), as 'balanced' class weights."""
+    return tuple(sum(counts) / (2.0 * max(n, 1)) for n in counts)
 
 
-def _dealt(train: DataFrame, counts: Mapping[int, int]) -> DataFrame:
-    """The rows in as many parts as their number asks for; every pass of a fit starts that many tasks."""
-    return train.repartition(max(1, -(-sum(counts.values()) // TASK_ROWS)))
+def positive_weight(counts: tuple[int, int]) -> float:
+    """Positives weigh negatives / positives, negatives weigh 1."""
+    return counts[0] / max(counts[1], 1)
 
 
 # -- candidates --------------------------------------------------------------
 
-def _assembler(output: str) -> VectorAssembler:
-    return VectorAssembler(inputCols=FEATURES, outputCol=output)
-
-
-def fit_logistic(train: DataFrame, counts: Mapping[int, int], weight: Column | None) -> PipelineModel:
-    n = sum(counts.values())
-    stages = [
-        _assembler("raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        LogisticRegression(
-            labelCol=TARGET,
-            weightCol=WEIGHT,
-            maxIter=1000,
-            tol=1e-4,
-            regParam=1.0 / max(n, 1),
-            standardization=False,
-        ),
-    ]
-    weighted = _dealt(train, counts).withColumn(WEIGHT, F.lit(1.0) if weight is None else weight)
-    return Pipeline(stages=stages).fit(weighted)
-
-
-def fit_forest(train: DataFrame, counts: Mapping[int, int], seed: int = SEED) -> PipelineModel:
-    forest = RandomForestClassifier(
-        labelCol=TARGET,
-        weightCol=WEIGHT,
-        featuresCol="features",
-        numTrees=100,
-        maxDepth=8,
-        featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,  # a level of all trees in one job
-        seed=seed,
-    )
-    weighted = _dealt(train, counts).withColumn(WEIGHT, balanced_weight(counts))
-    return Pipeline(stages=[_assembler("features"), forest]).fit(weighted)
+class Model(Protocol):
+    """What a fit returns: adds the margin, if it has one, and the probability of churn to rows."""
 
+    def transform(self, rows: DataFrame) -> DataFrame: ...
 
-@dataclass(frozen=True)
-class BoostSettings:
-    max_depth: int = 4
-    learning_rate: float = 0.05
-    trees: int = 100
-    subsample: float = 1.0
 
+#: rows with their parts, and the parts each model learns from -> a model for each
+Fit = Callable[[DataFrame, Sequence[Parts]], Sequence[Model]]
+
+
+def fit_logistic(rows: DataFrame, sets: Sequence[Parts], balanced: bool = True) -> list[logistic.Logistic]:
+    counts = LabelCounts(rows)
+    weights = [balanced_weights(counts.of(parts)) if balanced else (1.0, 1.0) for parts in sets]
+    return logistic.fit(rows, FEATURES, TARGET, PART, sets, weights)
 
-def fit_boosted(
-    train: DataFrame, counts: Mapping[int, int], settings: BoostSettings = BoostSettings(), seed: int = SEED
-) -> PipelineModel:
-    """Gradient-boosted trees with positives weighted by the class ratio."""
-    boosted = GBTClassifier(
-        labelCol=TARGET,
-        weightCol=WEIGHT,
-        featuresCol="features",
-        maxIter=settings.trees,
-        maxDepth=settings.max_depth,
-        stepSize=settings.learning_rate,
-        subsamplingRate=settings.subsample,
-        maxMemoryInMB=512,  # a level in one job; trees this shallow gain nothing from cached node ids
-        seed=seed,
-    )
-    weighted = _dealt(train, counts).withColumn(WEIGHT, positive_weight(counts))
-    return Pipeline(stages=[_assembler("features"), boosted]).fit(weighted)
 
+def fit_oversampled(rows: DataFrame, sets: Sequence[Parts], seed: int = SEED) -> list[logistic.Logistic]:
+    """The minority is raised by synthetic rows made from the rows a model learns from alone."""
+    made = [
+        synthetic_minority(rows.filter(F.col(PART).isin(*parts)), FEATURES, TARGET, ROW_ID, seed=seed)
+        .select(*FEATURES, TARGET, F.lit(i).alias(PART))
+        for i, parts in enumerate(sets)
+    ]
+    together = materialize(reduce(DataFrame.unionByName, made))
+    return logistic.fit(together, FEATURES, TARGET, PART, [(i,) for i in range(len(sets))], [(1.0, 1.0)] * len(sets))
 
-def first_trees(model: PipelineModel, trees: int) -> PipelineModel:
-    """The boosted model as it was after so many trees."""
-    boosted = model.stages[-1]
-    if trees >= boosted.getNumTrees:
-        return model
-    jvm, java = boosted._java_obj, SparkContext._active_spark_context
-    kept = java._gateway.new_array(java._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
-    weights = java._gateway.new_array(java._jvm.double, trees)
-    for i in range(trees):
-        kept[i], weights[i] = jvm.trees()[i], jvm.treeWeights()[i]
-    short = java._jvm.org.apache.spark.ml.classification.GBTClassificationModel(jvm.uid(), kept, weights)
-    shorter = GBTClassificationModel(short)
-    for name in ("featuresCol", "labelCol", "predictionCol", "rawPredictionCol", "probabilityCol"):
-        shorter._set(**{name: boosted.getOrDefault(name)})
-    shorter._transfer_params_to_java()
-    return PipelineModel(stages=[*model.stages[:-1], shorter])
 
+def fit_forest(
+    rows: DataFrame, sets: Sequence[Parts], settings: forest.ForestSettings = forest.ForestSettings(), seed: int = SEED
+) -> list[forest.Forest]:
+    return forest.fit(rows, FEATURES, TARGET, PART, ROW_ID, sets, settings, seed)
 
-def _fit_oversampled(train: DataFrame, counts: Mapping[int, int], seed: int = SEED) -> PipelineModel:
-    rows = materialize(synthetic_minority(train, FEATURES, TARGET, ROW_ID, seed=seed))
-    largest = max(counts.values())
-    return fit_logistic(rows, {0: largest, 1: largest}, None)
 
+def fit_boosted(
+    rows: DataFrame, sets: Sequence[Parts], settings: BoostSettings = BoostSettings(), seed: int = SEED
+) -> list[BoostedTrees]:
+    """Gradient-boosted trees with positives weighted by the class ratio."""
+    counts = LabelCounts(rows)
+    learners = [Learner(settings, parts, positive_weight(counts.of(parts))) for parts in sets]
+    return boosting.fit(rows, FEATURES, TARGET, PART, ROW_ID, learners, seed)
 
-Fit = Callable[[DataFrame, Mapping[int, int]], PipelineModel]
 
 CANDIDATES: dict[str, Fit] = {
-    "Logistic Regression (Balanced)": lambda df, n: fit_logistic(df, n, balanced_weight(n)),
-    "Logistic Regression + SMOTE": _fit_oversampled,
+    "Logistic Regression (Balanced)": fit_logistic,
+    "Logistic Regression + SMOTE": fit_oversampled,
     "Random Forest (Balanced)": fit_forest,
     "Boosted Trees (Cost-Weighted)": fit_boosted,
 }
 
 
-def score_rows(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def score_rows(model: Model, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """label, p (probability of churn) and the kept columns."""
-    return model.transform(rows).select(
-        *keep, F.col(TARGET).alias("label"), positive_probability().alias("p")
-    )
+    return model.transform(rows).select(*keep, F.col(TARGET).alias("label"), F.col("probability").alias("p"))
 
 
 # -- cross-validation --------------------------------------------------------
 
-def _fold_counts(folded: DataFrame) -> dict[int, dict[int, int]]:
-    """Label counts of the training part of each fold, from one small aggregate."""
-    cells = folded.groupBy("fold", TARGET).count().collect()
-    folds = sorted({r["fold"] for r in cells})
-    counts = {f: {} for f in folds}
-    for f in folds:
-        for r in cells:
-            if r["fold"] != f:
-                counts[f][r[TARGET]] = counts[f].get(r[TARGET], 0) + r["count"]
-    return counts
+def in_folds(train: DataFrame, folds: int, seed: int) -> DataFrame:
+    """The rows with their fold as ``part``, written once."""
+    folded = stratified_folds(with_row_id(train), TARGET, ROW_ID, folds, seed)
+    return materialize(folded.withColumnRenamed("fold", PART))
 
 
-def cross_validate(
-    train: DataFrame,
-    candidates: Mapping[str, Fit],
-    folds: int,
-    seed: int = SEED,
-    parallelism: int = 8,
-    prefixes: Mapping[str, Mapping[str, int]] | None = None,
-) -> DataFrame:
-    """Metrics per candidate and fold.
+def without(folds: int) -> list[Parts]:
+    """For each fold, all the others."""
+    return [tuple(f for f in range(folds) if f != held) for held in range(folds)]
+
 
-    ``prefixes`` names models that consist of the first so many trees of a candidate; they are
-    measured in its place.
+def cross_validate(train: DataFrame, candidates: Mapping[str, Fit], folds: int, seed: int = SEED) -> DataFrame:
+    """Metrics per candidate and fold.
 
     Anything a candidate does to its training rows (weights, synthetic rows,
-    scaling) sees the training folds only.  All held-out predictions are
-    measured together in one grouped job.
+    scaling) sees the training folds only. A candidate fits all folds in the same passes, and all
+    held-out predictions are measured together in one grouped job.
     """
-    folded = materialize(stratified_folds(with_row_id(train), TARGET, ROW_ID, folds, seed))
-    counts = _fold_counts(folded)
-
-    def run(job: tuple[str, int]) -> DataFrame:
-        name, fold = job
-        model = candidates[name](folded.filter(F.col("fold") != fold), counts[fold])
-        parts = (prefixes or {}).get(name)
-        models = {x: first_trees(model, n) for x, n in parts.items()} if parts else {name: model}
-        held_out = folded.filter(F.col("fold") == fold)
-        scored = [
-            score_rows(m, held_out).select(F.lit(x).alias("model"), F.lit(fold).alias("fold"), "label", "p")
-            for x, m in models.items()
-        ]
-        return reduce(DataFrame.unionByName, scored)
-
-    jobs = list(itertools.product(candidates, counts))
-    with ThreadPool(parallelism) as pool:
-        scored = pool.map(run, jobs, chunksize=1)
+    folded = in_folds(train, folds, seed)
+    scored = []
+    for name, fit in candidates.items():
+        for held, model in enumerate(fit(folded, without(folds))):
+            rows = score_rows(model, folded.filter(F.col(PART) == held))
+            scored.append(rows.select(F.lit(name).alias("model"), F.lit(held).alias("fold"), "label", "p"))
     together = materialize(reduce(DataFrame.unionByName, scored))
     return binary_metrics(together, "label", "p", by=["model", "fold"])
 
 
 def compare_models(
-    train: DataFrame,
-    candidates: Mapping[str, Fit] = CANDIDATES,
-    folds: int = CV_FOLDS,
-    seed: int = SEED,
-    parallelism: int = 8,
+    train: DataFrame, candidates: Mapping[str, Fit] = CANDIDATES, folds: int = CV_FOLDS, seed: int = SEED
 ) -> DataFrame:
     """Mean and deviation of the fold metrics per candidate."""
-    per_fold = cross_validate(train, candidates, folds, seed, parallelism)
+    per_fold = cross_validate(train, candidates, folds, seed)
 
     def mean(c: str, name: str) -> Column:
         return rounded(F.avg(c), 4).alias(f"cv_{name}_mean")
@@ -294,12 +212,11 @@ def holdout_comparison(
     cost_fn: float = SAVED_MARGIN,
 ) -> DataFrame:
     """Each candidate fitted on train and measured on test: fit seconds, metrics, cost at 0.50."""
-    train = materialize(with_row_id(train))
-    counts = label_counts(train)
+    train = materialize(with_row_id(train).withColumn(PART, F.lit(0)))
     scored = []
     for name, fit in candidates.items():
         start = time.monotonic()
-        model = fit(train, counts)
+        (model,) = fit(train, [(0,)])
         seconds = round(time.monotonic() - start, 2)
         scored.append(
             score_rows(model, test).select(
@@ -327,42 +244,48 @@ def grid_settings(grid: Mapping[str, Sequence] = GRID) -> list[BoostSettings]:
     return [BoostSettings(**dict(zip(grid, values))) for values in itertools.product(*grid.values())]
 
 
-def tune(
-    train: DataFrame,
-    settings: Sequence[BoostSettings] | None = None,
-    folds: int = TUNE_FOLDS,
-    seed: int = SEED,
-    parallelism: int = 8,
-) -> tuple[BoostSettings, DataFrame]:
-    """The settings with the best mean fold ROC-AUC (the first on ties), and all results."""
-    settings = list(settings or grid_settings())
-    # boosting adds trees one by one, so the longest fit of otherwise equal settings holds the others
-    longest: dict[BoostSettings, BoostSettings] = {}
-    for s in settings:
-        key = replace(s, trees=0)
-        longest[key] = max(longest.get(key, s), s, key=lambda x: x.trees)
-
-    def fit(s: BoostSettings) -> Fit:
-        return lambda df, n: fit_boosted(df, n, s, seed)
-
-    def cuts(s: BoostSettings) -> dict[str, int]:
-        return {str(i): x.trees for i, x in enumerate(settings) if replace(x, trees=0) == replace(s, trees=0)}
-
-    candidates = {str(settings.index(s)): fit(s) for s in longest.values()}
-    prefixes = {str(settings.index(s)): cuts(s) for s in longest.values()}
-    per_fold = cross_validate(train, candidates, folds, seed, parallelism, prefixes)
-    # one row per combination
-    means = per_fold.groupBy("model").agg(F.avg("roc_auc").alias("mean_roc_auc")).collect()
-    scores = {int(r["model"]): r["mean_roc_auc"] for r in means}
-    best = max(range(len(settings)), key=lambda i: (scores[i], -i))
-    table = train.sparkSession.createDataFrame(
-        [
-            (s.max_depth, s.learning_rate, s.trees, s.subsample, float(scores[i]), i == best)
-            for i, s in enumerate(settings)
-        ],
-        "max_depth int, learning_rate double, trees int, subsample double, mean_roc_auc double, is_best boolean",
+@dataclass
+class Grid:
+    """The settings of a search, and the longest fit that holds each: boosting adds trees one by one."""
+
+    settings: list[BoostSettings]
+
+    @property
+    def longest(self) -> list[BoostSettings]:
+        found: dict[BoostSettings, BoostSettings] = {}
+        for s in self.settings:
+            key = replace(s, trees=0)
+            found[key] = max(found.get(key, s), s, key=lambda x: x.trees)
+        return list(found.values())
+
+    def holder(self, s: BoostSettings) -> int:
+        return next(i for i, x in enumerate(self.longest) if replace(x, trees=0) == replace(s, trees=0))
+
+
+def held_out_scores(folded: DataFrame, grid: Grid, models: Sequence[Sequence[BoostedTrees]]) -> DataFrame:
+    """model (number of the settings), fold, label, p: every row scored by its fold's models in one pass."""
+    spark = folded.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast([list(m) for m in models])  # trees x 2^depth nodes a model
+    places = [(grid.holder(s), s.trees) for s in grid.settings]
+
+    @F.pandas_udf("array<double>")
+    def scores(fold: pd.Series, *columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy("float64") for c in columns])
+        out = np.empty((len(x), len(places)))
+        for held in fold.unique():
+            rows = np.flatnonzero(fold.to_numpy() == held)
+            for holder in range(len(shared.value)):
+                wanted = [(i, n) for i, (h, n) in enumerate(places) if h == holder]
+                found = shared.value[holder][held].margins_after(x[rows], [n for _, n in wanted])
+                for (i, _), margin in zip(wanted, found):
+                    out[rows, i] = 1.0 / (1.0 + np.exp(-margin))
+        return pd.Series(list(out))
+
+    scored = folded.select(
+        F.col(PART).alias("fold"), F.col(TARGET).alias("label"), scores(PART, *[F.col(f).cast("double") for f in FEATURES]).alias("_p")
     )
-    return settings[best], table
+    return scored.select(F.posexplode("_p").alias("model", "p"), "fold", "label").select("model", "fold", "label", "p")
 
 
 @dataclass
@@ -370,30 +293,23 @@ class Champion:
     """The fitted model and everything reported about it."""
 
     settings: BoostSettings
-    model: PipelineModel
+    model: BoostedTrees
     metrics: DataFrame
     thresholds: DataFrame
     frozen: DataFrame
     scored_test: DataFrame
 
 
-def fit_champion(
-    splits: Mapping[str, DataFrame], settings: BoostSettings, seed: int = SEED
+def measure_champion(
+    settings: BoostSettings, first: BoostedTrees, model: BoostedTrees, val: DataFrame, test: DataFrame
 ) -> Champion:
-    """Measure on validation, refit on train and validation, measure once on test.
+    """``first`` (fitted on train) measured on validation, ``model`` (train and validation) once on test.
 
     The working threshold is chosen from the validation scores of the first
     fit and frozen; the sweep on the test rows is a report only.
     """
-    train, val, test = splits["train"], splits["val"], splits["test"]
-    with ThreadPool(2) as pool:  # neither fit needs the other
-        first, model = pool.map(
-            lambda rows: fit_boosted(rows, label_counts(rows), settings, seed),
-            [train, train.unionByName(val)],
-            chunksize=1,
-        )
     val_scored = score_rows(first, val).select(F.lit("val").alias("split_role"), "label", "p")
-    test_scored = score_rows(model, test, ["customer_unique_id"])
+    test_scored = materialize(score_rows(model, test, ["customer_unique_id"]))
     both = materialize(
         val_scored.unionByName(
             test_scored.select(F.lit("test").alias("split_role"), "label", "p")
@@ -414,12 +330,45 @@ def train_champion(
     settings: Sequence[BoostSettings] | None = None,
     folds: int = TUNE_FOLDS,
     seed: int = SEED,
-    parallelism: int = 8,
 ) -> tuple[Champion, DataFrame]:
-    """Grid search on train, then :func:`fit_champion`; also returns the grid results."""
-    splits = {role: materialize(df) for role, df in split(panel, seed).items()}
-    best, grid = tune(splits["train"], settings, folds, seed, parallelism)
-    return fit_champion(splits, best, seed), grid
+    """Grid search on train, refit, measurement; also returns the grid results.
+
+    The passes over the rows grow everything at once: for each longest settings a model of every fold, one of
+    train and one of train and validation. The search picks among the last two what it needs.
+    """
+    spark = panel.sparkSession
+    grid = Grid(list(settings or grid_settings()))
+    parts = split(panel, seed)
+    folded = in_folds(parts["train"], folds, seed)
+    val = with_row_id(parts["val"]).withColumn(PART, F.lit(folds))
+    columns = [ROW_ID, PART, TARGET, *FEATURES]
+    rows = materialize(folded.select(columns).unionByName(val.select(columns)))
+    counts = LabelCounts(rows)
+    every = tuple(range(folds))
+    sets = [*without(folds), every, (*every, folds)]
+    learners = [Learner(s, p, positive_weight(counts.of(p))) for s in grid.longest for p in sets]
+    fitted = boosting.fit(rows, FEATURES, TARGET, PART, ROW_ID, learners, seed)
+    models = [fitted[i : i + len(sets)] for i in range(0, len(fitted), len(sets))]
+
+    measured = binary_metrics(
+        materialize(held_out_scores(folded, grid, [m[:folds] for m in models])), "label", "p", by=["model", "fold"]
+    )
+    # one row per combination
+    means = measured.groupBy("model").agg(F.avg("roc_auc").alias("mean_roc_auc")).collect()
+    scores = {r["model"]: r["mean_roc_auc"] for r in means}
+    # the first on ties
+    best = max(range(len(grid.settings)), key=lambda i: (scores[i], -i))
+    chosen = grid.settings[best]
+    first, final = (m.first(chosen.trees) for m in models[grid.holder(chosen)][folds:])
+    champion = measure_champion(chosen, first, final, parts["val"], parts["test"])
+    table = spark.createDataFrame(
+        [
+            (s.max_depth, s.learning_rate, s.trees, s.subsample, float(scores[i]), i == best)
+            for i, s in enumerate(grid.settings)
+        ],
+        "max_depth int, learning_rate double, trees int, subsample double, mean_roc_auc double, is_best boolean",
+    )
+    return champion, table
 
 
 def split_report(splits: Mapping[str, DataFrame]) -> DataFrame:

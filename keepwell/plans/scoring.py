@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import as_column, ratio, rounded
@@ -12,11 +11,6 @@ from keepwell.functions.rules import risk_tier
 from keepwell.plans.playbook import recommend
 
 
-def positive_probability(column: str = "probability") -> Column:
-    """Probability of class 1 from a Spark ML probability vector."""
-    return vector_to_array(F.col(column))[1]
-
-
 def risk_table(
     features: DataFrame, probability: str | Column, segments: DataFrame | None = None
 ) -> DataFrame:

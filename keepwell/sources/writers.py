@@ -98,8 +98,11 @@ def write_audience(audience: DataFrame, path: str) -> None:
 
 
 def save_model(model, path: str) -> None:
-    """Any fitted Spark ML model or pipeline."""
-    model.write().overwrite().save(path)
+    """Any fitted Spark ML model or pipeline, or a model of this library, which is a Parquet table."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
 def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:

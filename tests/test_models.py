@@ -5,11 +5,11 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from keepwell.operators import neighbours
-from keepwell.plans import attribution, modelling, scoring, segmentation
+from keepwell.operators import boosting, neighbours
+from keepwell.operators.forest import ForestSettings
+from keepwell.plans import attribution, modelling, segmentation
 from keepwell.session import materialize
 from keepwell.settings import FEATURES
 from keepwell.sources import writers
@@ -74,19 +74,6 @@ def test_too_few_minority_rows_are_an_error(spark):
         neighbours.synthetic_minority(rows.filter("y = 0"), ["x"], "y", "id", 5)
 
 
-def test_first_trees_equal_a_shorter_fit(rows):
-    train = modelling.with_row_id(rows.filter("split_role = 'train'"))
-    counts = modelling.label_counts(train)
-    long = modelling.fit_boosted(train, counts, modelling.BoostSettings(2, 0.1, 6, 0.8))
-    short = modelling.fit_boosted(train, counts, modelling.BoostSettings(2, 0.1, 4, 0.8))
-    cut = modelling.first_trees(long, 4)
-    keep = ["customer_unique_id", "snapshot_date"]
-    a = {tuple(r)[:2]: r["p"] for r in modelling.score_rows(short, train, keep).collect()}
-    b = {tuple(r)[:2]: r["p"] for r in modelling.score_rows(cut, train, keep).collect()}
-    assert a == pytest.approx(b)
-    assert modelling.first_trees(long, 6) is long
-
-
 def test_fallback_split_repeats_for_recurring_customers(rows):
     every = rows.drop("split_role")
     parts = [modelling.split(every.repartition(n)) for n in (1, 7)]
@@ -127,10 +114,11 @@ def test_split_report_and_fallback(rows):
 
 
 def test_weights(spark):
-    df = spark.createDataFrame([(0,), (1,)], "is_churned int")
-    counts = {0: 3, 1: 1}
-    assert [r[0] for r in df.select(modelling.balanced_weight(counts)).collect()] == [4 / 6, 2.0]
-    assert [r[0] for r in df.select(modelling.positive_weight(counts)).collect()] == [1.0, 3.0]
+    assert modelling.balanced_weights((3, 1)) == (4 / 6, 2.0)
+    assert modelling.positive_weight((3, 1)) == 3.0 and modelling.positive_weight((3, 0)) == 3.0
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1)], "part int, is_churned int")
+    counts = modelling.LabelCounts(df)
+    assert counts.of((0,)) == (1, 1) and counts.of((0, 1)) == (1, 2) and counts.parts == [0, 1]
 
 
 def test_grid_has_sixteen_combinations():
@@ -140,7 +128,7 @@ def test_grid_has_sixteen_combinations():
 @pytest.fixture(scope="module")
 def trained(rows):
     settings = [modelling.BoostSettings(2, 0.1, 5), modelling.BoostSettings(3, 0.1, 8, 0.8)]
-    return modelling.train_champion(rows, settings, folds=2, parallelism=4)
+    return modelling.train_champion(rows, settings, folds=2)
 
 
 def test_champion(trained, rows):
@@ -157,7 +145,7 @@ def test_champion(trained, rows):
 def test_model_is_saved_and_scores_the_same(trained, rows, tmp_path):
     champion, _ = trained
     writers.save_model(champion.model, str(tmp_path / "model"))
-    again = PipelineModel.load(str(tmp_path / "model"))
+    again = boosting.load(rows.sparkSession, str(tmp_path / "model"))
     before = modelling.score_rows(champion.model, rows, ["customer_unique_id", "snapshot_date"])
     after = modelling.score_rows(again, rows, ["customer_unique_id", "snapshot_date"])
     assert before.exceptAll(after).isEmpty()
@@ -167,10 +155,11 @@ def test_comparison_of_quick_candidates(rows):
     quick = {
         "logistic": modelling.CANDIDATES["Logistic Regression (Balanced)"],
         "oversampled": modelling.CANDIDATES["Logistic Regression + SMOTE"],
-        "boosted": lambda df, n: modelling.fit_boosted(df, n, modelling.BoostSettings(2, 0.1, 3)),
+        "forest": lambda df, sets: modelling.fit_forest(df, sets, ForestSettings(5, 3)),
+        "boosted": lambda df, sets: modelling.fit_boosted(df, sets, modelling.BoostSettings(2, 0.1, 3)),
     }
     parts = modelling.split(rows)
-    got = modelling.compare_models(parts["train"], quick, folds=2, parallelism=3).collect()
+    got = modelling.compare_models(parts["train"], quick, folds=2).collect()
     assert {r["model"] for r in got} == set(quick)
     assert all(0.0 <= r["cv_roc_auc_mean"] <= 1.0 for r in got)
     table = modelling.holdout_comparison(parts["train"], parts["test"], {"logistic": quick["logistic"]}).first()
@@ -179,37 +168,51 @@ def test_comparison_of_quick_candidates(rows):
     assert table["business_cost_050"] == table["false_positives"] * 10 + table["false_negatives"] * 120
 
 
+def test_folds_of_a_search_equal_separate_fits(rows):
+    """The grid's held-out scores are those of models fitted one by one."""
+    train = modelling.in_folds(rows.filter("split_role = 'train'"), 2, 5)
+    grid = modelling.Grid([modelling.BoostSettings(2, 0.1, 3), modelling.BoostSettings(2, 0.1, 5)])
+    assert grid.longest == grid.settings[1:] and grid.holder(grid.settings[0]) == 0
+    models = [modelling.fit_boosted(train, modelling.without(2), grid.settings[1], 5)]
+    got = modelling.held_out_scores(train, grid, models)
+    assert got.count() == 2 * train.count()
+    for number, settings in enumerate(grid.settings):
+        for fold in (0, 1):
+            (alone,) = modelling.fit_boosted(train, [(1 - fold,)], settings, 5)
+            want = modelling.score_rows(alone, train.filter(F.col("part") == fold))
+            mine = got.filter((F.col("model") == number) & (F.col("fold") == fold)).select("label", "p")
+            rounded = [sorted((r.label, round(r.p, 9)) for r in x.collect()) for x in (mine, want)]
+            assert rounded[0] == rounded[1] and rounded[0]
+
+
 def test_logistic_attribution_adds_up(spark, rows):
-    train = rows.filter("split_role = 'train'")
-    counts = modelling.label_counts(train)
-    model = modelling.fit_logistic(train, counts, modelling.balanced_weight(counts))
-    weights = attribution.linear_coefficients(model)
+    train = rows.filter("split_role = 'train'").withColumn("part", F.lit(0))
+    (model,) = modelling.fit_logistic(train, [(0,)])
     means = attribution.feature_means(train)
-    impacts = attribution.linear_impacts(weights, means)
-    total = sum(impacts.values())
-    got = (
-        model.transform(train)
-        .select(total.alias("total"), scoring.positive_probability("rawPrediction").alias("margin"))
-        .toPandas()
-    )
-    difference = got["margin"] - got["total"]
-    assert difference.std() < 1e-6
+    impacts = attribution.linear_impacts(attribution.linear_coefficients(model), means)
+    got = model.transform(train).select(sum(impacts.values()).alias("total"), "margin").toPandas()
+    assert (got["margin"] - got["total"]).std() < 1e-6
 
 
 # -- tree attribution against the definition ---------------------------------
 
-def _conditional(paths, x, known):
+def _conditional(model, x, known):
     """Expected margin when only some features are known."""
-    total = 0.0
-    for p in paths:
-        weight = p.value
-        for f, low, high, share in zip(p.features, p.low, p.high, p.share):
-            weight *= float(low < x[f] <= high) if f in known else share
-        total += weight
-    return total
+    feature, cut, value, cover = model.arrays()
+
+    def below(t, node):
+        f = feature[t, node]
+        if f < 0:
+            return value[t, node]
+        left, right = 2 * node + 1, 2 * node + 2
+        if f in known:
+            return below(t, right if x[f] > cut[t, node] else left)
+        return (cover[t, left] * below(t, left) + cover[t, right] * below(t, right)) / cover[t, node]
 
+    return model.base + sum(below(t, 0) for t in range(model.trees))
 
-def _shapley(paths, x, features):
+
+def _shapley(model, x, features):
     n, out = len(features), {}
     for f in features:
         others = [g for g in features if g != f]
@@ -217,40 +220,52 @@ def _shapley(paths, x, features):
         for size in range(n):
             weight = math.factorial(size) * math.factorial(n - size - 1) / math.factorial(n)
             for subset in itertools.combinations(others, size):
-                value += weight * (_conditional(paths, x, {*subset, f}) - _conditional(paths, x, set(subset)))
+                value += weight * (_conditional(model, x, {*subset, f}) - _conditional(model, x, set(subset)))
         out[f] = value
     return out
 
 
-def test_tree_attribution_is_the_shapley_value_and_adds_up(spark, trained, rows, tmp_path):
-    champion, _ = trained
-    paths = attribution.read_paths(spark, attribution.saved_boosted_path(spark, champion.model, str(tmp_path)))
+def test_tree_attribution_is_the_shapley_value_and_adds_up(spark, trained, rows):
+    model = trained[0].model
     sample = rows.filter("split_role = 'test'").limit(40)
-    explained = attribution.tree_impacts(sample, paths, keep=["customer_unique_id", *FEATURES]).toPandas()
-    margins = (
-        champion.model.transform(sample)
-        .select("customer_unique_id", scoring.positive_probability("rawPrediction").alias("raw"))
-        .toPandas()
-        .set_index("customer_unique_id")["raw"]
-    )
-    base = attribution.expected_margin(paths)
-    used = sorted({f for p in paths for f in p.features})
+    explained = attribution.tree_impacts(sample, model, keep=["customer_unique_id", *FEATURES]).toPandas()
+    margins = model.transform(sample).select("customer_unique_id", "margin").toPandas().set_index("customer_unique_id")["margin"]
+    base = attribution.expected_margin(model)
+    assert base == pytest.approx(_conditional(model, [0.0] * 17, set()), abs=1e-9)
     for row in explained.itertuples():
         assert base + sum(row.impacts) == pytest.approx(margins[row.customer_unique_id], abs=1e-9)
-    first = explained.iloc[0]
-    x = [float(first[f]) for f in FEATURES]
-    if len(used) <= 10:
-        expected = _shapley(paths, x, used)
-        for f in used:
-            assert first["impacts"][f] == pytest.approx(expected[f], abs=1e-9)
-    top = attribution.tree_attribution(sample, paths, top_n=4).first()["important_factors"]
+    top = attribution.tree_attribution(sample, model, top_n=4).first()["important_factors"]
     sizes = [abs(f["shap_impact"]) for f in top]
     assert len(top) == 4 and sizes == sorted(sizes, reverse=True)
     assert all((f["shap_impact"] > 0) == (f["direction"] == attribution.HIGHER) for f in top)
-    importance = attribution.global_tree_importance(rows.filter("split_role = 'test'"), paths).collect()
+    importance = attribution.global_tree_importance(rows.filter("split_role = 'test'"), model).collect()
     assert [r["feature"] for r in importance] and importance[0]["importance"] >= importance[-1]["importance"]
 
 
+def test_shapley_values_by_definition():
+    """Deep trees that meet a feature several times on one path."""
+    rng = np.random.default_rng(8)
+    nodes = []
+    for tree in range(3):
+        cover = {0: 64.0}
+        for node in range(31):
+            if node not in cover:
+                continue
+            if node >= 15 or (node > 2 and rng.random() < 0.2):
+                nodes.append(boosting.Node(tree, node, -1, 0.0, float(rng.normal()), cover[node]))
+                continue
+            nodes.append(boosting.Node(tree, node, int(rng.integers(3)), float(rng.normal()), 0.0, cover[node]))
+            share = rng.uniform(0.1, 0.9)
+            cover[2 * node + 1], cover[2 * node + 2] = cover[node] * share, cover[node] * (1 - share)
+    model = boosting.BoostedTrees(("a", "b", "c", "d"), tuple(nodes), 0.25)
+    x = rng.normal(size=(12, 4))
+    got = attribution.tree_shapley(x, model)
+    for row, found in zip(x, got):
+        want = _shapley(model, row, [0, 1, 2, 3])
+        assert found == pytest.approx([want[f] for f in range(4)], abs=1e-9)
+    assert got.sum(1) + attribution.expected_margin(model) == pytest.approx(model.margins(x))
+
+
 # -- clusters ----------------------------------------------------------------
 
 def test_silhouette_equals_brute_force(spark):
