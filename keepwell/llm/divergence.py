@@ -6,16 +6,17 @@ apart from its language. All arithmetic is on integers.
 
 Strings are materialized late:
 
-1. ``tally``: tasks cut texts into terms and count them under 64-bit digests. Words of one block that
+1. ``named_groups``: languages and groups get 64-bit numbers, seeded so that no two share one.
+2. ``tally``: tasks cut texts into terms and count them under 64-bit digests. Words of one block that
    share a digest are compared byte by byte, so each row stands for one term; its text is
    stored beside the numbers, in a Parquet table whose columns are read apart.
-2. ``counts``: occurrences and documents are summed by (lang, source, digest); the rows that are shuffled hold
-   the digest, not the text.
-3. ``collisions``: the minimum and the maximum text of each digest. Where they differ the digest stands for several
+3. ``counts``: occurrences and documents are summed by (language, group, digest); the rows that are shuffled hold
+   numbers of fixed width, no text.
+4. ``collisions``: the minimum and the maximum text of each digest. Where they differ the digest stands for several
    terms; it is counted anew, split by text (``split`` holds the text there and is empty elsewhere).
-4. ``audit``: kept terms, shares, distances. Pairs of sources are summed in sparse form: a pair costs
+5. ``audit``: kept terms, shares, distances. Pairs of sources are summed in sparse form: a pair costs
    what its sources both hold, and terms that one of them lacks come from a histogram of shares.
-5. Texts are joined back for the terms that are returned, and for those that tie with the last of them.
+6. Texts are joined back for the terms that are returned, and for those that tie with the last of them.
 
 Null text, lang and source are read as empty. A text without terms counts for no term, its group still occurs.
 Repeated rows are documents of their own. Equal values are ranked by the item's UTF-8 bytes. An empty
@@ -25,6 +26,7 @@ table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ LETTERS = _class(lambda b: 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-TALLY = "lang string, source string, digest long, term string, n long, docs long"
+TALLY = "lid long, gid long, digest long, term string, n long, docs long"
 
 
 def _strings(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -78,7 +80,27 @@ def _distinct(data: np.ndarray, words: Words, digest: np.ndarray) -> tuple[np.nd
     return term, np.array(models)
 
 
-def tally(docs: DataFrame, lang: str, source: str, text: str, bits: int = DIGEST_BITS) -> DataFrame:
+def named_groups(docs: DataFrame, lang: str, source: str) -> tuple[DataFrame, int]:
+    """lang, source, lid, gid of every occurring group, and the seed that keeps the numbers apart."""
+    for seed in count():
+        names = docs.select(_plain(lang).alias("lang"), _plain(source).alias("source"))
+        groups = written(names.distinct().select("*", *_numbers(F.col("lang"), F.col("source"), seed)))
+        seen = groups.agg(
+            F.count(F.lit(1)), F.count_distinct("gid"), F.count_distinct("lang"), F.count_distinct("lid")
+        ).first()
+        if seen[0] == seen[1] and seen[2] == seen[3]:
+            return groups, seed
+
+
+def _plain(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
+def _numbers(lang: Column, source: Column, seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(seed), lang).alias("lid"), F.xxhash64(F.lit(seed), lang, source).alias("gid")]
+
+
+def tally(docs: DataFrame, lang: str, source: str, text: str, seed: int = 0, bits: int = DIGEST_BITS) -> DataFrame:
     """One row per block, group and term: its digest, text, occurrences and documents."""
     ship_package(docs.sparkSession)
     mask = np.uint64((1 << bits) - 1)
@@ -88,10 +110,8 @@ def tally(docs: DataFrame, lang: str, source: str, text: str, bits: int = DIGEST
             for part, block in blocks(batch, "text", TALLY_BYTES):
                 yield _tallied(part, block, mask)
 
-    def plain(c: str, name: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
-
-    return docs.select(plain(lang, "lang"), plain(source, "source"), plain(text, "text")).mapInArrow(run, TALLY)
+    numbers = _numbers(_plain(lang), _plain(source), seed)
+    return docs.select(*numbers, _plain(text).alias("text")).mapInArrow(run, TALLY)
 
 
 def _tallied(part: pa.RecordBatch, block: Block, mask: np.uint64) -> pa.RecordBatch:
@@ -99,10 +119,9 @@ def _tallied(part: pa.RecordBatch, block: Block, mask: np.uint64) -> pa.RecordBa
     data = _LOWER[block.data]
     digest = words.hash & mask
     term, model = _distinct(data, words, digest)
-    langs, sources = (part.column(i).dictionary_encode() for i in (0, 1))
-    width = max(len(sources.dictionary), 1)
-    group = langs.indices.to_numpy().astype(np.int64) * width + sources.indices.to_numpy()
-    cell = term * np.int64(max(len(langs.dictionary), 1) * width) + group[words.owner]
+    lid, gid = (part.column(i).to_numpy() for i in (0, 1))
+    _, one, group = np.unique(gid, return_index=True, return_inverse=True)
+    cell = term * np.int64(len(one)) + group[words.owner]
     order = np.argsort(cell, kind="stable")  # words of a text stay together
     cell, owner = cell[order], words.owner[order]
     new = np.r_[True, cell[1:] != cell[:-1]][: len(cell)]
@@ -110,27 +129,31 @@ def _tallied(part: pa.RecordBatch, block: Block, mask: np.uint64) -> pa.RecordBa
     fresh = new | np.r_[True, owner[1:] != owner[:-1]][: len(cell)]
     n = np.diff(np.r_[first, len(cell)])
     seen = np.add.reduceat(fresh.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
-    mine = group[owner[first]]
+    mine = one[group[owner[first]]]
     size = words.end - words.start
     texts = _strings(data, words.start[model], size[model])
-    which = term[order[first]]
     columns = [
-        langs.dictionary.take(pa.array(mine // width)),
-        sources.dictionary.take(pa.array(mine % width)),
+        pa.array(lid[mine]),
+        pa.array(gid[mine]),
         pa.array(digest[order[first]].view(np.int64)),
-        texts.take(pa.array(which)),
+        texts.take(pa.array(term[order[first]])),
         pa.array(n.astype(np.int64)),
         pa.array(seen),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "source", "digest", "term", "n", "docs"])
+    return pa.RecordBatch.from_arrays(columns, ["lid", "gid", "digest", "term", "n", "docs"])
 
 
 def counts(tallied: DataFrame) -> DataFrame:
-    """lang, source, digest, split, n, docs: exact counts, although digests may collide."""
+    """lid, gid, digest, split, n, docs: exact counts, although digests may collide.
+
+    Rows are combined by block already and lie together by term, so they travel as they are, dealt out by
+    language and term: sums of groups and, after them, of languages need no further shuffle.
+    """
     sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
     several = written(collisions(tallied).select("digest"))
-    single = tallied.groupBy("lang", "source", "digest").agg(*sums).join(several, "digest", "left_anti")
-    split = tallied.join(several, "digest", "left_semi").groupBy("lang", "source", "digest", F.col("term").alias("split"))
+    dealt = tallied.select("lid", "gid", "digest", "n", "docs").repartition("lid", "digest")
+    single = dealt.groupBy("lid", "gid", "digest").agg(*sums).join(several, "digest", "left_anti")
+    split = tallied.join(several, "digest", "left_semi").groupBy("lid", "gid", "digest", F.col("term").alias("split"))
     return single.withColumn("split", F.lit("")).unionByName(split.agg(*sums))
 
 
@@ -152,21 +175,18 @@ def distance(p: str, q: str) -> str:
 
 
 def _both(shares: DataFrame) -> DataFrame:
-    """lang, source, item, value: what terms that both sources hold add beyond the one-sided sums.
+    """gid, item, value: what terms that both groups hold add beyond the one-sided sums.
 
-    A task reads the sources of one term after another and sums pairs of them; of a batch of rows it gives
-    one row for each pair of sources that meets in it.
+    A task reads the groups of one term after another and sums pairs of them; of a batch of rows it gives
+    one row for each pair of groups that meets in it.
     """
     ship_package(shares.sparkSession)
 
     def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
         return (p - q) ** 2 // (p + q)
 
-    def summed(table: pa.Table) -> pa.RecordBatch | None:
-        langs, sources = (table.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
-        li, si = (x.indices.to_numpy().astype(np.int64) for x in (langs, sources))
-        run, p, base = (table.column(c).to_numpy() for c in ("run", "p", "base"))
-        width = len(sources.dictionary)
+    def summed(run: np.ndarray, gid: np.ndarray, p: np.ndarray, base: np.ndarray) -> pa.RecordBatch | None:
+        ids, number = np.unique(gid, return_inverse=True)
         codes, values = [], []
         for step in range(1, len(run)):
             a = np.flatnonzero(run[:-step] == run[step:])
@@ -174,7 +194,7 @@ def _both(shares: DataFrame) -> DataFrame:
                 break
             b = a + step
             extra = f(p[a], p[b]) - f(p[a], base[b]) - f(base[a], p[b]) + f(base[a], base[b])
-            code, place = np.unique((li[a] * width + si[a]) * width + si[b], return_inverse=True)
+            code, place = np.unique(number[a] * np.int64(len(ids)) + number[b], return_inverse=True)
             total = np.zeros(len(code), np.int64)
             np.add.at(total, place, extra)
             codes.append(code)
@@ -182,39 +202,34 @@ def _both(shares: DataFrame) -> DataFrame:
         if not codes:
             return None
         code, value = np.concatenate(codes), np.concatenate(values)
-        columns = [
-            langs.dictionary.take(pa.array(code // width // width)),
-            sources.dictionary.take(pa.array(code // width % width)),
-            sources.dictionary.take(pa.array(code % width)),
-            pa.array(value),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "item", "value"])
+        columns = [pa.array(ids[code // len(ids)]), pa.array(ids[code % len(ids)]), pa.array(value)]
+        return pa.RecordBatch.from_arrays(columns, ["gid", "item", "value"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, number, last = None, 0, None
+        rest = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            keys = list(zip(*(table.column(c).to_pylist() for c in ("lang", "digest", "split"))))
-            runs = np.empty(len(keys), np.int64)
-            for i, k in enumerate(keys):
-                if k != last:
-                    number, last = number + 1, k
-                runs[i] = number
-            table = table.select(["lang", "source", "p", "base"]).append_column("run", pa.array(runs))
-            table = table if rest is None else pa.concat_tables([rest, table])
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            lid, digest, gid, p, base = (table.column(c).to_numpy() for c in ("lid", "digest", "gid", "p", "base"))
+            split = table.column("split").combine_chunks().dictionary_encode().indices.to_numpy()
+            new = (lid[1:] != lid[:-1]) | (digest[1:] != digest[:-1]) | (split[1:] != split[:-1])
+            run = np.r_[0, np.cumsum(new)]
             # the last term may go on in the next batch
-            cut = int(np.searchsorted(table.column("run").to_numpy(), number))
-            rest = table.slice(cut)
-            if cut and (out := summed(table.slice(0, cut))) is not None:
+            cut = int(np.searchsorted(run, run[-1]))
+            rest = table.slice(cut).to_batches()[0]
+            if cut and (out := summed(run[:cut], gid[:cut], p[:cut], base[:cut])) is not None:
+                yield out
+        if rest is not None:
+            last = [rest.column(rest.schema.get_field_index(c)).to_numpy() for c in ("gid", "p", "base")]
+            if (out := summed(np.zeros(rest.num_rows), *last)) is not None:
                 yield out
-        if rest is not None and rest.num_rows and (out := summed(rest)) is not None:
-            yield out
 
-    # the language is part of the key, so one term's rows are its language's sources at most
-    dealt = shares.repartition("lang", "digest", "split").sortWithinPartitions("lang", "digest", "split", "source")
-    found = dealt.mapInArrow(pairs, "lang string, source string, item string, value long")
-    once = found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
-    return once.unionByName(once.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
+    # the language is part of the key, so one term's rows are its language's groups at most
+    dealt = shares.repartition("lid", "digest", "split").sortWithinPartitions("lid", "digest", "split", "gid")
+    found = dealt.mapInArrow(pairs, "gid long, item long, value long")
+    once = found.groupBy("gid", "item").agg(F.sum("value").alias("value"))
+    return once.unionByName(once.select(F.col("item").alias("gid"), F.col("gid").alias("item"), "value"))
 
 
 def audit(
@@ -230,54 +245,53 @@ def audit(
 
     ``bits`` is the width of the digests; fewer collide more often and give the same result.
     """
-    empty = F.lit("")
-    groups = docs.select(
-        F.coalesce(F.col(lang).cast("string"), empty).alias("lang"), F.coalesce(F.col(source).cast("string"), empty).alias("source")
-    ).distinct()
-    tallied = written(tally(docs, lang, source, text, bits))
+    named, seed = named_groups(docs, lang, source)
+    tallied = written(tally(docs, lang, source, text, seed, bits))
     counted = written(counts(tallied))
 
-    term = ["lang", "digest", "split"]
+    term = ["lid", "digest", "split"]
     kept = counted.groupBy(*term).agg(F.sum("n").alias("overall"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
     held = written(counted.drop("docs").join(kept.drop("docs"), term))
     # each kept term of a language counts once in V and with all its occurrences in N
     lone = held.groupBy(*term).agg(F.first("overall").alias("overall"))
-    sizes = lone.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("overall").alias("lang_total"))
-    totals = held.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sizes = lone.groupBy("lid").agg(F.count(F.lit(1)).alias("kept"), F.sum("overall").alias("lang_total"))
+    totals = held.groupBy("gid").agg(F.sum("n").alias("total"))
     groups = written(
-        groups.join(sizes, "lang", "left").join(totals, ["lang", "source"], "left")
+        named.select("lid", "gid").join(sizes, "lid", "left").join(totals, "gid", "left")
         .fillna(0, ["kept", "lang_total", "total"])
         .withColumn("base", F.expr(share("0", "total", "kept")))
     )
-    shares = held.join(groups, ["lang", "source"]).withColumn("p", F.expr(share("n", "total", "kept")))
+    shares = held.join(groups.drop("lid"), "gid").withColumn("p", F.expr(share("n", "total", "kept")))
 
     # pairs of sources: all kept terms at the shares of a count of 0, then what counts above 0 change
-    other = groups.select("lang", F.col("source").alias("item"), F.col("base").alias("other"))
-    both = groups.join(other, "lang").filter("source <> item").select("lang", "source", "item", "kept", "base", "other")
+    other = groups.select("lid", F.col("gid").alias("item"), F.col("base").alias("other"))
+    both = groups.join(other, "lid").filter("gid <> item").select("gid", "item", "kept", "base", "other")
     none = both.withColumn("value", F.coalesce(F.expr(f"kept * ({distance('base', 'other')})"), F.lit(0)).cast("long"))
-    seen = shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("times"))
-    one = seen.join(both, ["lang", "source"]).groupBy("lang", "source", "item").agg(
+    seen = shares.groupBy("gid", "p").agg(F.count(F.lit(1)).alias("times"))
+    one = seen.join(both, "gid").groupBy("gid", "item").agg(
         F.expr(f"sum(times * ({distance('p', 'other')} - {distance('base', 'other')}))").alias("value")
     )
-    mirrored = one.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
-    columns = ["lang", "source", "item", "value"]
-    value = none.select(columns).unionByName(one).unionByName(mirrored).unionByName(_both(shares.select(*term, "source", "p", "base")))
-    pair = value.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    mirrored = one.select(F.col("item").alias("gid"), F.col("gid").alias("item"), "value")
+    columns = ["gid", "item", "value"]
+    value = none.select(columns).unionByName(one).unionByName(mirrored).unionByName(_both(shares.select(*term, "gid", "p", "base")))
+    name_of = named.select(F.col("gid").alias("item"), F.col("source").alias("_name"))
+    pair = value.groupBy("gid", "item").agg(F.sum("value").alias("value"))
+    pair = pair.join(name_of, "item").select("gid", F.col("_name").alias("item"), "value")
 
     # terms: the foremost by number alone, ties included, before any text is read
     raised = shares.withColumn("q", F.expr(share("overall", "lang_total", "kept"))).filter("p > q")
     raised = raised.withColumn("value", F.expr(distance("p", "q")).cast("long"))
-    first = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
+    first = Window.partitionBy("gid").orderBy(F.desc("value"))
     foremost = raised.withColumn("_place", F.rank().over(first)).filter(F.col("_place") <= terms)
-    foremost = written(foremost.select("lang", "source", "digest", "split", "value"))
+    foremost = written(foremost.select("gid", "digest", "split", "value"))
     wanted = foremost.filter("split = ''").select("digest").distinct()
     texts = tallied.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("term").alias("text"))
-    named = foremost.join(texts, "digest", "left").withColumn("item", F.expr("CASE WHEN split = '' THEN text ELSE split END"))
+    found = foremost.join(texts, "digest", "left").withColumn("item", F.expr("CASE WHEN split = '' THEN text ELSE split END"))
 
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = [
-        part.withColumn("part", F.lit(name)).withColumn("rank", F.row_number().over(order))
-        for name, part in (("pair", pair), ("term", named.select(columns)))
-    ]
-    ranked[1] = ranked[1].filter(F.col("rank") <= terms)
-    return ranked[0].unionByName(ranked[1]).select("lang", "source", "part", "item", "value", "rank")
+    order = Window.partitionBy("gid").orderBy(F.desc("value"), "item")
+    pair, found = (
+        x.select(columns).withColumn("part", F.lit(part)).withColumn("rank", F.row_number().over(order))
+        for part, x in (("pair", pair), ("term", found))
+    )
+    ranked = pair.unionByName(found.filter(F.col("rank") <= terms))
+    return ranked.join(named.drop("lid"), "gid").select("lang", "source", "part", "item", "value", "rank")
