@@ -2,9 +2,10 @@
 
 A text is kept if it passes the base rules (enough words, not made of repeated
 word windows) and if its zstandard ratio, raw size over compressed size, lies
-inside a band: over the whole text, and over most of its fixed-size chunks. A
-high ratio means repetition, a ratio near one means noise. Short texts compress
-badly and long ones well, so the limits depend on the length.
+inside a band: over the whole text, and over each of its fixed-size chunks, the last
+and shorter one included. A high ratio means repetition, a ratio near one means noise. Short
+texts compress badly and long ones well, so the limits depend on the length: a chunk, too, is held
+to the band of its own length.
 
 Nulls and empty texts have no words and fail the base rules. Repeated rows are
 judged alike, ties do not occur, an empty table gives an empty result, and
@@ -26,8 +27,6 @@ from keepwell.session import ship_package
 
 LEVEL = 3
 CHUNK = 4096
-#: share of the full chunks of a text that may lie outside their band
-CHUNK_SHARE = 0.5
 #: (texts of at least so many bytes, lowest ratio, highest ratio)
 BANDS = (
     (0, 0.0, 1e9),  # too short to say anything
@@ -89,7 +88,7 @@ def band(size: int, bands=BANDS) -> tuple[float, float]:
 
 
 def compression(text: bytes, compressor: zstandard.ZstdCompressor, bands=BANDS) -> tuple[float, int, int, bool]:
-    """(ratio of the whole text, full chunks, chunks outside their band, within bands)."""
+    """(ratio of the whole text, chunks, chunks outside their band, all within bands)."""
     if not text:
         return 0.0, 0, 0, True
 
@@ -99,9 +98,9 @@ def compression(text: bytes, compressor: zstandard.ZstdCompressor, bands=BANDS)
         return ratio, low <= ratio <= high
 
     ratio, fine = judged(text)
-    n = len(text) // CHUNK
-    bad = sum(not judged(text[i * CHUNK : (i + 1) * CHUNK])[1] for i in range(n)) if n > 1 else 0
-    return ratio, n, bad, fine and bad <= CHUNK_SHARE * n
+    places = range(0, len(text), CHUNK)
+    bad = sum(not judged(text[i : i + CHUNK])[1] for i in places) if len(places) > 1 else int(not fine)
+    return ratio, len(places), bad, fine and not bad
 
 
 def assess(docs: DataFrame, key: str = "doc_id", text: str = "text", bands=BANDS) -> DataFrame:

@@ -1,8 +1,10 @@
+import base64
 import random
 import re
 from collections import Counter
 
 import pytest
+import zstandard
 
 from keepwell.llm import quality
 
@@ -24,6 +26,19 @@ def brute(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeated, len(hit), failed
 
 
+def verdict(text):
+    """Whether a text is kept, chunk by chunk."""
+    if brute(text)[-1]:
+        return False
+    data = text.encode()
+    for part in [data, *(data[i : i + 4096] for i in range(0, len(data), 4096))]:
+        ratio = len(part) / len(zstandard.ZstdCompressor(level=3).compress(part))
+        low, high = [(low, high) for least, low, high in quality.BANDS if len(part) >= least][-1]
+        if not low <= ratio <= high:
+            return False
+    return True
+
+
 def counts(row):
     return row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words, row.base_failed
 
@@ -32,7 +47,8 @@ def test_base_counts_equal_brute_force(documents, texts):
     found = {r.doc_id: r for r in quality.assess(documents).collect()}
     assert len(found) == len(texts)
     assert all(counts(found[k]) == brute(t) for k, t in texts.items())
-    assert all(not r.kept for r in found.values() if r.base_failed)
+    assert all(r.kept == verdict(texts[k]) for k, r in found.items())
+    assert 0 < sum(r.kept for r in found.values()) < len(texts)
 
 
 def test_odd_texts(odd_docs, empty_docs):
@@ -60,6 +76,28 @@ def test_bands_reject_repetition_and_noise(spark):
     assert not any(r.base_failed for r in found)
 
 
+def test_every_chunk_is_judged(spark):
+    """Noise in any part of a text: one of two chunks, some of five, a short text's half, a tail shorter than a chunk."""
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))[:n]
+
+    def noise(n):
+        coded = base64.b64encode(bytes(rng.randrange(256) for _ in range(n))).decode()
+        return " ".join(coded[i : i + 60] for i in range(0, len(coded), 60))[:n]
+
+    texts = [
+        prose(4096) + noise(4096), prose(10240) + noise(10240), prose(3500) + noise(3500), prose(8192) + noise(4095),
+        noise(4096) + prose(30000), prose(4096), prose(20480), prose(9000),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in quality.assess(df).collect()}
+    assert [found[i].kept for i in range(8)] == [False] * 5 + [True] * 3
+    assert all(found[i].kept == verdict(t) for i, t in enumerate(texts)) and found[3].n_chunks == 3
+
+
 def test_bands_are_a_parameter(documents):
     assert quality.keep(documents, bands=((0, 9e9, 9e9),)).count() == 0
 
