@@ -162,3 +162,11 @@ def blocks(batch: pa.RecordBatch, text: str, limit: int | None = None) -> Iterat
         size += len(value) + 1
     if size:
         yield batch.slice(start), Block(values[start:])
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

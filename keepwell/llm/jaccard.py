@@ -4,7 +4,8 @@ Two texts link if ``100 * |A and B| >= percent * |A or B|`` for their sets of
 ``width``-word shingles. The join finds the classes of linked texts exactly:
 
 1. ``shingle_sets``: texts with the same set form one class, found by a 128-bit
-   signature. Only classes take part in what follows, so copies cost nothing.
+   signature. Only classes take part in what follows, so copies cost nothing. A class is named by its set, not
+   by an id: different texts under one id are different classes.
 2. ``sketch``: a table of fixed size counts in how many texts the shingles of
    each hash bucket occur; it orders shingles by rarity.
 3. ``postings``: each text is filed under the shingles of its prefix. A text of n
@@ -27,7 +28,7 @@ Two texts link if ``100 * |A and B| >= percent * |A or B|`` for their sets of
    meet in one task, where numpy counts what their sets share. No link between different texts is left out.
 
 Texts without words, and nulls, have an empty set and link with nothing. Equal
-texts, ties and repeated rows fall into one class. An empty table gives an empty
+texts, ties and repeated rows fall into one class; an id that occurs with several texts has several classes. An empty table gives an empty
 result. Columns other than key and text are not read.
 """
 
@@ -39,8 +40,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from keepwell.llm.arrays import NOT_SPACE, Block, Words, blocks, mix, window_hash
+from keepwell.llm.arrays import NOT_SPACE, Block, Words, blocks, mix, unused, window_hash
 from keepwell.session import ship_package, written
 
 WIDTH = 4
@@ -252,42 +254,48 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("node"), F.col("r").alias("root"))
 
 
-def hash_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(node, hashes): the whole sets of the wanted texts, ascending 64-bit hashes."""
+def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """``wanted`` (node, key, hi, lo and more) with ``hashes``, the class's whole set: ascending 64-bit hashes.
+
+    Texts are found by the smallest key of the class; of several texts under one key the signature tells which is meant.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, block in blocks(batch, "text"):
                 owner, value = shingle_sets(block, width)
+                hi, lo = signatures(owner, value, len(block))
                 ends = np.cumsum(np.bincount(owner, minlength=len(block)))
                 blobs = [x.tobytes() for x in np.split(value, ends[:-1])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["node", "hashes"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x.view(np.int64)) for x in (hi, lo)), pa.array(blobs, pa.binary())], ["hi", "lo", "hashes"]
+                )
 
-    kind = docs.schema[key].dataType.simpleString()
-    wanted = written(wanted)
     few = wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED
-    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
-    return rows.mapInArrow(run, f"node {kind}, hashes binary").dropDuplicates(["node"])
+    keys = wanted.select("key").distinct()
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(keys) if few else keys, "key", "left_semi").select("text")
+    found = rows.mapInArrow(run, "hi long, lo long, hashes binary")
+    nodes = wanted.select("hi", "lo", "node")
+    found = found.join(F.broadcast(nodes) if few else nodes, ["hi", "lo"]).select("node", "hashes").dropDuplicates(["node"])
+    return wanted.join(found, "node")
 
 
-def alike(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes and parities do not rule a link out; the sets themselves are not needed."""
     marks = [f"b{i}" for i in range(PARITIES)]
     pairs = written(pairs)
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    few = nodes.limit(MOST_WANTED + 1).count() <= MOST_WANTED
-    met = texts.join(F.broadcast(nodes) if few else nodes, "key", "left_semi")
-    one = met.select("key", "n", *marks).dropDuplicates(["key"])
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    one = classes.join(nodes, "node", "left_semi").select("node", "n", *marks)
     x, y = (one.withColumnsRenamed({c: f"{c}{side}" for c in one.columns}) for side in "xy")
     apart = " + ".join(f"bit_count({m}x ^ {m}y)" for m in marks)
     least = f"cast(ceil({percent} * (nx + ny) / {100 + percent}) as long)"
-    both = pairs.join(x, F.col("a") == F.col("keyx")).join(y, F.col("b") == F.col("keyy"))
+    both = pairs.join(x, F.col("a") == F.col("nodex")).join(y, F.col("b") == F.col("nodey"))
     return both.where(f"{apart} <= nx + ny - 2 * {least}").select("a", "b")
 
 
 def verified(
-    docs: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, text: str, width: int, percent: int
+    docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int
 ) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough; only texts of likely pairs are read out."""
 
@@ -302,9 +310,10 @@ def verified(
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = written(alike(pairs, texts, percent))
+    pairs = written(alike(pairs, classes, percent))
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = hash_sets(docs, nodes, key, text, width)
+    wanted = written(classes.select("node", "key", "hi", "lo").join(nodes, "node", "left_semi"))
+    sets = sets_of(docs, wanted, key, text, width)
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -359,45 +368,63 @@ def crossing(lists: DataFrame, percent: int) -> DataFrame:
     return found.where("n >= m").select("a", "b")
 
 
-def link(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    width: int = WIDTH,
-    percent: int = PERCENT,
-    most: int = MOST_MATCHES,
-) -> DataFrame:
-    """(key, n_shingles, component_id, class_id): smallest key reachable by links, and
-    smallest key with the same set. Rows with a null key make no class of their own."""
+def _linked(
+    docs: DataFrame, key: str, text: str, width: int, percent: int, most: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, n, hi, lo, node, root, component, class) and classes (node, key, hi, lo, n, root, component).
+
+    A class is a set of shingles; ``node`` numbers it, in the order of its smallest key. Rows without
+    words, and rows with a null key whose set no other row has, are in no class.
+    """
+    marks = [f"b{i}" for i in range(PARITIES)]
     rows = written(members(docs, key, text, width))
     texts = rows.where("chunk is null")
     counts = sketch(rows)
-    # written, so that the last join has plain shuffles on both sides and Spark can split a class with very many copies
-    classes = written(texts.where("n > 0 and key is not null").groupBy("hi", "lo").agg(F.min("key").alias("node")))
+    same = [F.first(c).alias(c) for c in ("n", *marks)]  # they follow from the set
+    found = texts.where("n > 0 and key is not null").groupBy("hi", "lo").agg(F.min("key").alias("key"), *same)
+    # written, so that numbers stay and the last join has plain shuffles on both sides, where Spark can split a class of very many copies
+    classes = written(found.orderBy("key", "hi", "lo").withColumn("node", F.monotonically_increasing_id()))
     filed = postings(docs, counts, key, text, width, percent, most).repartition("h")
     filed = filed.groupBy("h", "hi", "lo").agg(F.min("info").alias("info"))
     filed = filed.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1").drop("n")
     lists = written(
-        filed.join(classes, ["hi", "lo"]).select(
+        filed.join(classes.select("hi", "lo", "node"), ["hi", "lo"]).select(
             "h", "node",
             F.shiftright("info", 36).alias("size"),
             F.expr("shiftright(info, 8) & 268435455").alias("place"),
             F.expr("info & 255").alias("matches"),
         )
     )
-    near = verified(docs, stars(lists.withColumn("before", F.col("place")), percent), texts, key, text, width, percent)
+    near = verified(docs, stars(lists.withColumn("before", F.col("place")), percent), classes, key, text, width, percent)
     first = components(near)
     rooted = lists.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    far = verified(docs, crossing(rooted, percent), texts, key, text, width, percent)
+    far = verified(docs, crossing(rooted, percent), classes, key, text, width, percent)
     final = components(near.union(far))
-    named = classes.join(final, "node", "left").select("hi", "lo", "node", F.coalesce("root", "node").alias("root"))
-    named = named.withColumnsRenamed({"hi": "hi_", "lo": "lo_"})
-    same = (F.col("hi") == F.col("hi_")) & (F.col("lo") == F.col("lo_")) & (F.col("n") > 0)
-    return texts.join(named, same, "left").select(
+    # the smallest node of a component has its smallest key
+    keys = classes.select(F.col("node").alias("root"), F.col("key").alias("component"))
+    named = classes.select("node", "key", "hi", "lo", "n").join(final, "node", "left")
+    named = written(named.withColumn("root", F.coalesce("root", "node")).join(keys, "root"))
+    ids = named.select(*[F.col(c).alias(f"{c}_") for c in ("hi", "lo")], "node", "root", "component", F.col("key").alias("class"))
+    meets = (F.col("hi") == F.col("hi_")) & (F.col("lo") == F.col("lo_")) & (F.col("n") > 0)
+    return texts.join(ids, meets, "left").select("key", "n", "hi", "lo", "node", "root", "component", "class"), named
+
+
+def link(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    most: int = MOST_MATCHES,
+) -> DataFrame:
+    """(key, n_shingles, component_id, class_id) of every row: smallest key reachable by links, and
+    smallest key with the same set. Different texts under one key are told apart by their sets."""
+    rows, _ = _linked(docs, key, text, width, percent, most)
+    return rows.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
-        F.coalesce("root", "key").alias("component_id"),
-        F.coalesce("node", "key").alias("class_id"),
+        F.coalesce("component", "key").alias("component_id"),
+        F.coalesce("class", "key").alias("class_id"),
     )
 
 
@@ -423,99 +450,132 @@ def shared(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], n
     return out
 
 
-def _compared(docs: DataFrame, linked: DataFrame, key: str, text: str, width: int, percent: int, counted: bool):
-    """The links (a, b) between classes, a < b, or (node, n): the rows that each class's links lead to."""
-    kind = docs.schema[key].dataType.simpleString()
-    classes = linked.where(F.col("class_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("component_id", "class_id")
-    classes = classes.agg(F.count("*").alias("copies"), F.max("n_shingles").alias("size"))
-    groups = classes.groupBy("component_id").agg(F.count("*").alias("g"), F.sum("size").alias("total"))
+def _compared(docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """The links (a, b) between classes, by node, a < b.
+
+    Near copies of one text link all with all, so the number of links grows with the square of a component's different
+    texts, and so does this: blocks of classes meet in pairs, each in one task.
+    """
+    groups = classes.groupBy("root").agg(F.count("*").alias("g"), F.sum("n").alias("total"))
     groups = groups.where("g > 1").select(
-        "component_id", F.expr(f"cast(greatest(ceil(g / {BLOCK}), ceil(total / {BLOCK_SHINGLES})) as int)").alias("blocks")
+        "root", F.expr(f"cast(greatest(ceil(g / {BLOCK}), ceil(total / {BLOCK_SHINGLES})) as int)").alias("blocks")
     )
-    wanted = classes.join(groups, "component_id").select(
-        "component_id", F.col("class_id").alias("node"), "copies", "blocks",
-        F.expr("cast(pmod(xxhash64(class_id), blocks) as int)").alias("block"),
-    )
-    wanted = written(wanted)
-    few = wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED
-    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(wanted) if few else wanted, "node")
+    wanted = written(
+        classes.join(groups, "root").select(
+            "node", "key", "hi", "lo", "root", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("block")
+        )
+    )
+    rows = sets_of(docs, wanted, key, text, width)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component_id", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "block", "node", "copies", "text",
-    )
+        "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "hashes"
+    )
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        lo, hi, block = (table.column(c).to_numpy() for c in ("lo", "hi", "block"))
-        nodes, copies, texts = (table.column(c).to_pylist() for c in ("node", "copies", "text"))
-        place = {node: i for i, node in reversed(list(enumerate(nodes)))}  # a repeated key is one class
+        x, y, block, nodes = (table.column(c).to_numpy() for c in ("x", "y", "block", "node"))
+        hashes = table.column("hashes").to_pylist()
         sides = []
-        for b in (lo[0], hi[0]):
-            mine = [i for i in place.values() if block[i] == b]
-            owner, value = shingle_sets(Block([(texts[i] or "").encode() for i in mine]), width)
-            sides.append((mine, owner, value, np.bincount(owner, minlength=len(mine))))
+        for b in (x[0], y[0]):
+            mine = np.flatnonzero(block == b)
+            sets = [np.frombuffer(hashes[i], _U) for i in mine]
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            sides.append((mine, np.repeat(np.arange(len(sets)), n), np.concatenate(sets) if sets else np.empty(0, _U), n))
         (mine, owner, value, n), (yours, owner_, value_, n_) = sides
         both = shared((owner, value), (owner_, value_), len(mine), len(yours))
         near = 100 * both >= percent * (n[:, None] + n_[None, :] - both)
-        near &= (n[:, None] > 0) & (n_[None, :] > 0)
-        if lo[0] == hi[0]:
+        if x[0] == y[0]:
             near = np.triu(near, 1)
         i, j = np.nonzero(near)
-        a, b = [nodes[mine[k]] for k in i.tolist()], [nodes[yours[k]] for k in j.tolist()]
-        if not counted:
-            a, b = [min(x) for x in zip(a, b)], [max(x) for x in zip(a, b)]
-            return pa.table([pa.array(x, table.schema.field("node").type) for x in (a, b)], ["a", "b"])
-        n = dict.fromkeys([*a, *b], 0)
-        for x, y in zip(a, b):
-            n[x] += copies[place[y]]
-            n[y] += copies[place[x]]
-        return pa.table(
-            [pa.array(list(n), table.schema.field("node").type), pa.array(list(n.values()), pa.int64())], ["node", "n"]
-        )
+        a, b = nodes[mine[i]], nodes[yours[j]]
+        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    schema = f"node {kind}, n long" if counted else f"a {kind}, b {kind}"
-    return rows.groupBy("component_id", "lo", "hi").applyInArrow(run, schema)
+    return rows.groupBy("root", "x", "y").applyInArrow(run, "a long, b long")
 
 
 def pairs(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, **options
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    most: int = MOST_MATCHES,
 ) -> DataFrame:
-    """(a, b), a < b: every link between two classes, by their smallest keys. With the classes of
+    """(a, b), a <= b: every link between two classes, by their smallest keys. With the classes of
     ``link`` these are all links: texts of one class link with one another as well."""
-    linked = written(_named(link(docs, key, text, width, percent, **options), key))
-    return _compared(docs, linked, key, text, width, percent, False)
+    _, classes = _linked(docs, key, text, width, percent, most)
+    names = [classes.select(F.col("node").alias(side), F.col("key").alias(f"key_{side}")) for side in "ab"]
+    met = _compared(docs, classes, key, text, width, percent).join(names[0], "a").join(names[1], "b")
+    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
 def links(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, **options
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    most: int = MOST_MATCHES,
 ) -> DataFrame:
     """The columns of ``link`` and ``n_links``: how many other rows the text links with. A row whose key is
     null and whose set no row with a key has is in no class, so it has and makes no links."""
-    linked = written(_named(link(docs, key, text, width, percent, **options), key))
-    others = _compared(docs, linked, key, text, width, percent, True).groupBy("node").agg(F.sum("n").alias("others"))
-    filled = linked.where(F.col("class_id").isNotNull() & (F.col("n_shingles") > 0))
-    copies = filled.groupBy(F.col("class_id").alias("node")).agg(F.count("*").alias("copies"))
+    rows, classes = _linked(docs, key, text, width, percent, most)
+    rows = written(rows)
+    copies = rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
+    met = _compared(docs, classes, key, text, width, percent)
+    met = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = met.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
     # written, so that both sides of the last join are plain shuffles and Spark can split a class with very many copies
     counts = written(copies.join(others, "node", "left").select(
-        "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("m")
+        F.col("node").alias("of"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("m")
     ))
-    same = (F.col("class_id") == F.col("node")) & (F.col("n_shingles") > 0)
-    return linked.join(counts, same, "left").select(
-        F.col("key").alias(key), "n_shingles", "component_id", "class_id", F.coalesce("m", F.lit(0)).alias("n_links")
+    return rows.join(counts, F.col("node") == F.col("of"), "left").select(
+        F.col("key").alias(key),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "key").alias("component_id"),
+        F.coalesce("class", "key").alias("class_id"),
+        F.coalesce("m", F.lit(0)).alias("n_links"),
     )
 
 
-def _named(linked: DataFrame, key: str) -> DataFrame:
-    return linked.select(F.col(key).alias("key"), "n_shingles", "component_id", "class_id")
+def representatives(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    most: int = MOST_MATCHES,
+) -> DataFrame:
+    """One row of ``docs`` for each component of linked texts, that of the smallest key, whole.
 
+    Rows without words, and rows with a null key, stay. Under a key that occurs several times a row stays if its
+    set represents its component; of rows alike in key and set that of the least text does.
+    """
+    rows, _ = _linked(docs, key, text, width, percent, most)
+    rows = written(rows.where("key is not null").select(F.col("key").alias(key), "hi", "lo", "node", "root", "component"))
+    chosen = rows.where(F.coalesce(F.col("component") == F.col(key), F.lit(True)))
+    several = written(rows.groupBy(key).count().where("count > 1").select(key))
+    one = docs.join(chosen.select(key).distinct(), key, "left_semi").join(several, key, "left_anti")
+
+    hi, lo, least = (unused(docs.columns, c) for c in ("set_hi", "set_lo", "least_text"))
+    # a component's first class is its own; the other classes of its key go
+    signs = chosen.join(several, key, "left_semi").where("node is null or node = root")
+    signs = signs.select(key, F.col("hi").alias(hi), F.col("lo").alias(lo)).distinct()
+    some = _signed(docs.join(several, key, "left_semi"), text, width, hi, lo).join(signs, [key, hi, lo], "left_semi")
+    texts = some.groupBy(key, hi, lo).agg(F.min(text).alias(least))
+    some = some.join(texts, [key, hi, lo]).where(F.col(text).eqNullSafe(F.col(least))).dropDuplicates([key, hi, lo])
+    columns = docs.columns
+    return one.select(*columns).unionByName(some.select(*columns)).unionByName(docs.where(F.col(key).isNull()))
+
+
+def _signed(docs: DataFrame, text: str, width: int, hi: str, lo: str) -> DataFrame:
+    """``docs`` with the signature of each text's set."""
+    place = docs.columns.index(text)
 
-def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for each class of linked texts, that of the smallest key, whole.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, block in blocks(batch, batch.schema.names[place]):
+                signs = signatures(*shingle_sets(block, width), len(block))
+                columns = [*part.columns, *(pa.array(x.view(np.int64)) for x in signs)]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, hi, lo])
 
-    A key that occurs several times with one text keeps one row; different texts under it stay. Rows with a
-    null key cannot be told apart and stay.
-    """
-    kept = link(docs, key, text, **options).where(f"`{key}` = component_id").select(key)
-    one = docs.join(kept, key, "left_semi").dropDuplicates([key, text]).select(*docs.columns)
-    return one.union(docs.where(F.col(key).isNull()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(hi, LongType()), StructField(lo, LongType())]))

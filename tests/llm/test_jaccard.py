@@ -203,3 +203,74 @@ def test_different_texts_under_one_key_stay(spark):
     rows = [(1, "one two three four five"), (1, "one two three four five"), (1, "quite another text that is kept as well")]
     kept = J.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in kept) == sorted(set(rows))
+
+
+def rows_brute(rows, percent=85):
+    """(component, links, kept) of each row, ids aside: texts link with texts, an id may have many."""
+    sets = [shingles(t) for _, t in rows]
+    near = [
+        {j for j in range(len(rows)) if j != i and x and sets[j] and 100 * len(x & sets[j]) >= percent * len(x | sets[j])}
+        for i, x in enumerate(sets)
+    ]
+    out = []
+    for i in range(len(rows)):
+        reached, todo = {i}, [i]
+        while todo:
+            new = near[todo.pop()] - reached
+            reached |= new
+            todo += new
+        out.append((min(rows[j][0] for j in reached), len(near[i])))
+    return out
+
+
+def repeated_ids():
+    rng = random.Random(6)
+    base = {c: [f"{c}{rng.randrange(500)}" for _ in range(60)] for c in "abcdef"}
+
+    def near(c, n):
+        words = list(base[c])
+        for i in rng.sample(range(60), n):
+            words[i] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    a, b = near("a", 0), near("b", 0)
+    rows = [(3, a), (5, near("a", 1)), (5, b), (9, b)]
+    rows += [(rng.randrange(20, 40), near(rng.choice("cdef"), rng.choice((0, 0, 1, 1, 2)))) for _ in range(120)]
+    return rows + [(50, "Same Words here now"), (50, "same  words here now"), (50, ""), (60, None), (60, "")]
+
+
+def test_links_of_repeated_ids_equal_brute_force(spark):
+    rows = repeated_ids()
+    want = sorted((k, *x) for (k, _), x in zip(rows, rows_brute(rows)))
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r.doc_id, r.component_id, r.n_links) for r in J.links(docs).collect())
+        assert got == want
+    assert [x[1] for x in rows_brute(rows)[:4]] == [1, 1, 1, 1]
+
+
+def test_no_text_is_lost_under_repeated_ids(spark):
+    """Every component keeps one row, that of its smallest id, however rows are dealt out."""
+    rows = repeated_ids()
+    results = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame([(k, t, "v") for k, t in rows], "doc_id long, text string, set_hi string").repartition(parts)
+        kept = J.representatives(docs)
+        assert kept.columns == docs.columns
+        results.append(sorted((tuple(r)[:2] for r in kept.collect()), key=str))
+    assert results[0] == results[1]
+    kept = [r for r in results[0] if shingles(r[1])]
+    components = []  # by text: which component each one is in
+    root = rows_brute(rows)
+    sets = [shingles(t) for _, t in rows]
+    near = lambda x, y: bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+    for i, x in enumerate(sets):
+        if x:
+            met = [c for c in components if any(near(x, sets[j]) for j in c)]
+            components = [c for c in components if c not in met] + [sum(met, []) + [i]]
+    assert len(kept) == len(components)
+    for c in components:
+        mine = [r for r in kept if any(r[1] == rows[j][1] for j in c)]
+        assert len(mine) == 1 and mine[0][0] == root[c[0]][0]
+    assert {r for r in results[0] if not shingles(r[1])} == {(50, ""), (60, "")}
+    assert (3, rows[0][1]) in results[0] and (5, rows[2][1]) in results[0]
