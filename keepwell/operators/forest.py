@@ -247,7 +247,7 @@ def fit(
     models = len(sets) * settings.trees
     total = rows.count()
     tasks = max(-(-total // TASK_ROWS), min(-(-total * models // TASK_PAIRS), 2 * spark.sparkContext.defaultParallelism), 1)
-    narrow = binned(rows, features, label, part, key, edges, 0).drop("margins")
+    narrow = binned(rows, features, label, part, key, edges)
     state = written(narrow.repartition(tasks))
 
     def met(found: DataFrame, models_now: int) -> DataFrame:
