@@ -12,8 +12,8 @@ The items are the given query set. They are taken in blocks of at most about
 ``BLOCK_BYTES`` of text, whatever their number; each block's index travels to
 the tasks, and documents stay where they are read (no shuffle of documents).
 
-Null and empty documents have no words and no hits. Items without an id, without
-text or without words are ignored; rows that repeat an item add nothing; several
+Null and empty documents have no words and no hits. Items without
+text or without words are ignored; the windows of items without an id count as hits, though no id is listed for them; rows that repeat an item add nothing; several
 rows of one id count as one item. Equal counts are ordered by hash. An empty item
 table contaminates nothing. Other columns pass through ``scan`` untouched.
 """
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from keepwell.llm.arrays import ALPHANUMERIC, Block, Words, blocks, ragged, window_hash
+from keepwell.llm.arrays import ALPHANUMERIC, Block, Words, blocks, ragged, unused, window_hash
 from keepwell.session import ship_package
 
 WINDOW = 10
@@ -158,8 +158,8 @@ def token_counts(docs: DataFrame, windows: Windows, text: str = "text") -> dict[
 
 
 def item_blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items with an id and text, as lists of about ``block_bytes`` of text."""
-    rows = items.select(F.col(key).cast("string").alias("id"), F.col(text).alias("t")).dropna().distinct()
+    """The items with a text, as lists of about ``block_bytes`` of text; an id may be null."""
+    rows = items.select(F.col(key).cast("string").alias("id"), F.col(text).alias("t")).dropna(subset=["t"]).distinct()
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     for i in range(n):
@@ -209,7 +209,9 @@ def scan(
                         for owner, word in zip(words.owner[inside].tolist(), inside.tolist()):
                             marks[owner].append(word - int(words.first[owner]))
                         owner = words.owner[start] if len(start) else start
-                        for o, i in sorted({(o, w.ids[i]) for o, i in zip(owner.tolist(), w.item[which].tolist())}):
+                        # an item without an id has windows, too, but nothing to be listed by
+                        named = {(o, w.ids[i]) for o, i in zip(owner.tolist(), w.item[which].tolist()) if w.ids[i] is not None}
+                        for o, i in sorted(named):
                             hits[o].append(i)
                     if not first:
                         marks = [a + b for a, b in zip(part.column(width + 1).to_pylist(), marks)]
@@ -250,6 +252,6 @@ def report(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without any window of an item."""
-    names = tuple(f"__scan_{i}" for i in range(3))
+    names = tuple(unused(docs.columns, f"__scan_{i}") for i in range(3))
     found = scan(docs, items, text, names=names, **options)
     return found.where(F.size(names[1]) == 0).drop(*names)

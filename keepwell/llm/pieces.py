@@ -34,13 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from keepwell.llm.arrays import blocks, mix, ragged, spans_hash
+from keepwell.llm.arrays import blocks, mix, ragged, spans_hash, unused
 from keepwell.session import ship_package
 
 DROPOUT = 0.1
 SEED = 13
-#: values an occurrence's hash can take: all of them, none is folded onto another
-VARIANTS = (1 << 64) - 1
 WIDEST = 64
 MARK = "▁"
 
@@ -284,7 +282,7 @@ def encode(texts: list[str], keys: list, model: Model, dropout: float = DROPOUT,
     value, first, inverse = np.unique(unit, return_index=True, return_inverse=True)
     if dropout:
         keyed = np.array([xxhash.xxh64_intdigest(str(k), seed) for k in keys], _U)
-        variant = mix(keyed[owner] + number.astype(_U)) % _U(VARIANTS)
+        variant = mix(keyed[owner] + number.astype(_U))
         unit = mix(unit ^ mix(variant + _U(seed << 8) + _U(1)))
         short = size[first] <= WIDEST
         kept, met = first[short], []
@@ -370,8 +368,10 @@ def pieces(docs: DataFrame, key="doc_id", text="text", path=None, dropout=DROPOU
 def transcribe(
     docs: DataFrame, key="doc_id", text="text", path=None, dropout=DROPOUT, seed=SEED, name="ids"
 ) -> DataFrame:
-    """``docs`` with the text as its pieces decode it, and the pieces in a last column ``name``."""
+    """``docs`` with the text as its pieces decode it, and the pieces in a last column ``name``; where
+    the input has a column of that name, underscores before it tell them apart."""
     ship_package(docs.sparkSession)
+    name = unused(docs.columns, name)
     path = path or default_path()
     place, at = docs.columns.index(text), docs.columns.index(key)
     schema = StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType()))])

@@ -106,7 +106,7 @@ WITH d AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), item_windows AS (
   SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS t
   FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
@@ -120,7 +120,7 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM hits) GROUP BY doc_id
 ), hit_items AS (
   SELECT doc_id, count(*) AS n, sha256(string_agg(id, ',' ORDER BY id)) AS h
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hw.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(hi.n, 0) AS BIGINT) AS n_items, coalesce(hi.h, sha256('')) AS items_sha256, hw.n IS NOT NULL AS contaminated

@@ -41,13 +41,13 @@ def brute(text, items):
     for i, t in items:
         w = words(t)
         n = min(10, len(w))
-        if i is None or not n:
+        if not n:
             continue
         windows = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
         for k in range(len(mine) - n + 1):
             if tuple(mine[k : k + n]) in windows:
                 hit |= set(range(k, k + n))
-                found.add(str(i))
+                found |= {str(i)} - {"None"}
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(mine), len(hit), len(found), digest, bool(hit)
 
@@ -86,6 +86,15 @@ def test_odd_texts(tables, odd_docs, empty_docs):
     assert len(none) == odd_docs.count() and not any(r.contaminated for r in none)
     kept = D.clean(odd_docs, items)
     assert kept.schema == odd_docs.schema
+    clashing = odd_docs.withColumnsRenamed({"hi": "__scan_0", "kept": "__scan_1"})
+    assert D.clean(clashing, items).columns == clashing.columns
+
+
+def test_items_without_an_id_contaminate(spark):
+    docs = spark.createDataFrame([(1, "nobody asks this"), (2, "somebody asks")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "nobody asks")], "item_id long, text string")
+    assert rows(D.report(docs, items)) == {i: brute(t, [(None, "nobody asks")]) for i, t in ((1, "nobody asks this"), (2, "somebody asks"))}
+    assert [r.doc_id for r in D.clean(docs, items).collect()] == [2]
 
 
 def test_a_window_is_filed_under_its_rarest_shingle():

@@ -46,7 +46,7 @@ def test_side_by_side_equals_the_agenda(model, dropout):
             unit = P.spans_hash(P.mix(code.astype(np.uint64) + np.uint64(1)), np.array([0]), np.array([e - s]))
             if dropout:
                 keyed = np.array([xxhash.xxh64_intdigest(str(key), P.SEED)], np.uint64)
-                variant = P.mix(keyed + np.uint64(number)) % np.uint64(P.VARIANTS)
+                variant = P.mix(keyed + np.uint64(number))
                 unit = P.mix(unit ^ P.mix(variant + np.uint64(P.SEED << 8) + np.uint64(1)))
             want += [x for x, _ in P.agenda(model.symbol[code].tolist(), int(unit[0]), model, dropout)]
     assert P.encode(words, list(range(len(words))), model, dropout)[0].tolist() == want
@@ -103,3 +103,9 @@ def test_every_occurrence_draws_its_own_skips(model):
     assert len(seen) > 20  # four variants for the whole corpus would give four at most
     both = P.encode([text] * 2, [1, 2], model, 0.3)
     assert both[0][: both[1][0]].tolist() == ids.tolist() != both[0][both[1][0] :].tolist()
+
+
+def test_a_column_of_the_same_name(odd_docs):
+    clashing = odd_docs.withColumnsRenamed({"hi": "ids"})
+    found = P.transcribe(clashing)
+    assert found.columns == [*clashing.columns, "_ids"] and found.count() == odd_docs.count()
