@@ -23,9 +23,10 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from keepwell.session import ship_package, written
 
@@ -35,9 +36,6 @@ ENOUGH = 0.25
 #: votes, rows of (host, path), are broadcast up to this number
 MOST_HOSTS = 200_000
 MOST_BYTES = 16 << 20
-#: containers of a path at most that a page remembers apart; deeper ones count for their parent
-DEEPEST = 60
-
 #: share of the own container's text that a host's path inside or around it must cover
 NEARLY = 0.9
 #: elements that are parts of a text, never a whole article for themselves
@@ -75,10 +73,17 @@ LEFT_WORDS = frozenset(
     "subscription signup login paywall comment comments commentlist disqus reply replies respond responses share sharing social "
     "related recommended recommendations trending popular pagination pager tags toolbar search skip disclaimer form".split()
 )
+# fixed values: words that say nothing of a part's content when they stand beside one of the above
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box button buttons card cell col column container content controls count desktop entry fixed global "
+    "group head heading holder icon icons id inner inline item items js label left links link list main media mobile module "
+    "more nested outer page panel parent part placeholder post posts primary right row secondary section site slot small "
+    "sticky story stories text thread title to top tree unit up user view wrap wrapper zone".split()
+)
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|>|->)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]{0,20000}\"|=\s*'[^']{0,20000}'|[^>])*+)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*+\"|=\s*'[^']*+'|[^>])*+)>",
     re.S,
 )
 _FIELD = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
@@ -91,16 +96,18 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _names_rest(token: str) -> bool:
-    """Whether a class or id says that an element does not hold article text: by its first or
-    last word, unless it tells of a neighbour, as "has-sidebar" does."""
+    """Whether a class or id says that an element does not hold article text: it names a part that is left out, and
+    nothing else, as "comment-list" does and "comment-piece" does not; nor if it tells of a neighbour, as "has-sidebar" does."""
     words = [w.lower() for w in _WORDS.findall(token)]
     if not words or not _BESIDE.isdisjoint(words):
         return False
-    return words[0] in LEFT_WORDS or words[-1] in LEFT_WORDS or bool(_COMPOUND.match(words[0]))
+    known = [w in LEFT_WORDS or bool(_COMPOUND.match(w)) for w in words]
+    return any(known) and all(k or w in PLAIN_WORDS for k, w in zip(known, words))
 
 
-def left_out(tag: str, fields: str, forms: bool = False) -> tuple[bool, str]:
-    """(whether the element is left out, its part of the path); ``forms`` may hold text."""
+def left_out(tag: str, fields: str, forms: bool = False, named: bool = True) -> tuple[bool, str]:
+    """(whether the element is left out, its part of the path); ``forms`` may hold text, and
+    without ``named`` classes and ids say nothing."""
     if tag in LEFT_OUT and not (forms and tag in _FORMS):
         return True, tag
     name, out = tag, False
@@ -113,7 +120,7 @@ def left_out(tag: str, fields: str, forms: bool = False) -> tuple[bool, str]:
                 out = True
             else:
                 # a container of everything may be called "has-sidebar" or the like
-                if tag not in ("html", "body", "article", "main"):
+                if named and tag not in ("html", "body", "article", "main"):
                     out |= any(map(_names_rest, value.split()))
                 if field == "class":
                     name += "".join(f".{_DIGITS.sub('#', c)}" for c in sorted(set(value.split())))
@@ -121,17 +128,42 @@ def left_out(tag: str, fields: str, forms: bool = False) -> tuple[bool, str]:
 
 
 class Page:
-    """Containers of a page: path, score, and the order in which blocks of text belong to them."""
-
-    def __init__(self, source: str, forms: bool = False):
-        self.forms = forms
-        self.paths: list[str] = [""]
+    """Containers of a page: path, score, and the order in which blocks of text belong to them.
+
+    A path is a number; ``steps`` gives its parent and last part, ``keys`` a digest that is the same on every page. So
+    a page's size in memory follows its elements, however deep they are nested.
+    """
+
+    def __init__(self, source: str, forms: bool = False, named: bool = True):
+        self.forms, self.named = forms, named
+        self.steps: list[tuple[int, str]] = [(-1, "")]
+        self.keys: list[bytes] = [b""]
+        self.number: dict[tuple[int, str], int] = {}
+        self.paths: list[int] = [0]  # of each container
         self.parent: list[int] = [-1]
         self.score: list[float] = [0.0]
         self.blocks: list[tuple[int, str]] = []  # (innermost container, text)
         self.worth: list[tuple[float, int]] = []  # of each block: length less that of links twice, length
         self._read(source)
 
+    def path(self, parent: int, name: str) -> int:
+        found = self.number.get((parent, name))
+        if found is None:
+            found = self.number[parent, name] = len(self.steps)
+            self.steps.append((parent, name))
+            self.keys.append(step_key(self.keys[parent], name))
+        return found
+
+    def spelled(self, path: int) -> str:
+        parts = []
+        while path > 0:
+            path, name = self.steps[path]
+            parts.append(f"/{name}")
+        return "".join(reversed(parts))
+
+    def tag(self, path: int) -> str:
+        return self.steps[path][1].partition(".")[0]
+
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int, bool]] = []  # (tag, container, left out here)
         silent = 0  # open elements that are left out
@@ -230,7 +262,7 @@ class Page:
                     close(depth)
             if m[0].endswith("/>") and tag not in INLINE and tag in ("path", "circle", "rect", "use"):
                 continue
-            out, name = left_out(tag, m[3], self.forms)
+            out, name = left_out(tag, m[3], self.forms, self.named)
             if tag in INLINE:
                 if out:
                     silent += 1
@@ -240,8 +272,8 @@ class Page:
             flush()
             stack.append((tag, here, out))
             silent += out
-            if not silent and len(stack) < DEEPEST:
-                self.paths.append(f"{self.paths[here]}/{name}")
+            if not silent:
+                self.paths.append(self.path(self.paths[here], name))
                 self.parent.append(here)
                 self.score.append(0.0)
                 here = len(self.paths) - 1
@@ -251,36 +283,49 @@ class Page:
         """Containers with a score, best first."""
         return sorted((i for i, s in enumerate(self.score) if s > 0), key=lambda i: (-self.score[i], i))
 
-    def by_path(self) -> dict[str, float]:
+    def by_path(self) -> dict[int, float]:
         """Scores of the paths: elements on one path count together."""
-        out: dict[str, float] = {}
+        out: dict[int, float] = {}
         for path, score in zip(self.paths, self.score):
             if score > 0:
                 out[path] = out.get(path, 0.0) + score
         return out
 
-    def inside(self, path: str) -> list[bool]:
+    def inside(self, path: int) -> list[bool]:
         """Of each container, whether it is in an element on a path, or is one."""
         inside = [False] * len(self.paths)
         for i, p in enumerate(self.paths):
             inside[i] = p == path or self.parent[i] >= 0 and inside[self.parent[i]]
         return inside
 
-    def text(self, path: str) -> str:
+    def holds(self) -> list[int]:
+        """The number of blocks inside each path."""
+        mine, out = [0] * len(self.paths), [0] * len(self.steps)
+        for i, _ in self.blocks:
+            mine[i] += 1
+        for i in range(len(mine) - 1, -1, -1):  # a container comes after the one around it
+            out[self.paths[i]] += mine[i]
+            if self.parent[i] >= 0:
+                mine[self.parent[i]] += mine[i]
+        return out
+
+    def text(self, path: int) -> str:
         """Text of all blocks inside elements on a path, in page order."""
         inside = self.inside(path)
         return " ".join(block for i, block in self.blocks if inside[i])
 
-    def widened(self, path: str) -> str:
+    def widened(self, path: int) -> int:
         """The path of the whole article that the elements on ``path`` are part of: the widest one
         around them whose further text belongs to it, as in lists, tables and sections beside paragraphs."""
         at, out = path, path
-        held = self.inside(path)
-        while "/" in at and _tag(at) not in ("article", "main", "body", "html"):
-            part = _tag(at) in FLOW
-            at = at.rpartition("/")[0]
-            if _tag(at) == "html" or not at:
+        held, count = self.inside(path), self.holds()
+        while at > 0 and self.tag(at) not in ("article", "main", "body", "html"):
+            part = self.tag(at) in FLOW
+            before, at = at, self.steps[at][0]
+            if at <= 0 or self.tag(at) == "html":
                 break
+            if count[at] == count[before]:
+                continue
             now = self.inside(at)
             more = [n for n, (i, _) in enumerate(self.blocks) if now[i] and not held[i]]
             if not more:
@@ -288,47 +333,60 @@ class Page:
             if sum(self.worth[n][0] for n in more) < sum(self.worth[n][1] for n in more) / 2:
                 break  # mostly links
             # a part's own element, or an article, holds one text; elsewhere only what stands in the text's flow
-            whole = _tag(at) in ("article", *FLOW) or part and _tag(at) not in ("body", "main")
-            titled = any(held[i] and self.paths[i].endswith("/h1") for i, _ in self.blocks)
-            if not whole and (_tag(at) == "body" and not part or titled or not all(self._flows(self.blocks[n][0], at) for n in more)):
+            whole = self.tag(at) in ("article", *FLOW) or part and self.tag(at) not in ("body", "main")
+            titled = any(held[i] and self.steps[self.paths[i]][1] == "h1" for i, _ in self.blocks)
+            if not whole and (self.tag(at) == "body" and not part or titled or not all(self._flows(self.blocks[n][0], at) for n in more)):
                 break
             held, out = now, at
         return out
 
-    def _flows(self, i: int, path: str) -> bool:
+    def _flows(self, i: int, path: int) -> bool:
         """Whether only parts of a text and sections lie between a container and the path around it."""
         while self.paths[i] != path:
-            if _tag(self.paths[i]) not in FLOW and _tag(self.paths[i]) != "section":
+            if self.tag(self.paths[i]) not in FLOW and self.tag(self.paths[i]) != "section":
                 return False
             i = self.parent[i]
         return True
 
-    def covers(self, path: str, own: str) -> float:
+    def covers(self, path: int, own: int) -> float:
         """Share of the link-free text inside ``own`` that is inside ``path``, too."""
         a, b = self.inside(path), self.inside(own)
         whole = sum(w for (i, _), (w, _) in zip(self.blocks, self.worth) if b[i])
         return sum(w for (i, _), (w, _) in zip(self.blocks, self.worth) if a[i] and b[i]) / whole if whole else 0.0
 
 
-def _tag(path: str) -> str:
-    return path.rpartition("/")[2].partition(".")[0]
+def step_key(parent: bytes, name: str) -> bytes:
+    """128 bits that name a path: its parent's key and its last part."""
+    return blake2b(parent + name.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def path_key(path: str) -> bytes:
+    """The key of a path as ``Page.spelled`` gives it."""
+    key = b""
+    for name in path.split("/")[1:]:
+        key = step_key(key, name)
+    return key
 
 
 def read(source: str) -> Page:
-    """A page; one whose whole text stands inside a form is read with forms."""
+    """A page. One whose whole text stands inside a form is read with forms, and one whose whole text stands in
+    parts that classes or ids call something else is read without heed to these."""
     page = Page(source)
-    return page if page.blocks else Page(source, forms=True)
+    for forms, named in ((True, True), (False, False), (True, False)):
+        if page.blocks:
+            break
+        page = Page(source, forms, named)
+    return page
 
 
-def best_paths(page: Page, n: int = VOTES) -> list[tuple[str, float]]:
+def best_paths(page: Page, n: int = VOTES) -> list[tuple[int, float]]:
     """Up to ``n`` (path, share of the best score), best first; of equals the one that opens first."""
     scores = page.by_path()
-    order = {p: i for i, p in reversed(list(enumerate(page.paths)))}
-    top = sorted(scores, key=lambda p: (-scores[p], order[p]))[:n]
+    top = sorted(scores, key=lambda p: (-scores[p], p))[:n]
     return [(p, scores[p] / scores[top[0]]) for p in top]
 
 
-def fitting(page: Page) -> list[str]:
+def fitting(page: Page) -> list[int]:
     """The page's paths that its host may choose among, its own best one first."""
     scores = page.by_path()
     if not scores:
@@ -344,25 +402,15 @@ def fitting(page: Page) -> list[str]:
     return out
 
 
-def extract(source: str | None, winners: list[str]) -> tuple[str, str]:
-    """(text, path) of a page, given its host's paths from most votes to least."""
+def chosen(source: str | None, votes: dict[bytes, int]) -> tuple[str, str]:
+    """(text, path) of a page, given the votes of its host's paths; of equals the lower key."""
     page = read(source) if source else None
     paths = fitting(page) if page else []
     if not paths:
         return "", ""
-    agreed = next((p for p in winners if p in paths), paths[0])
-    return page.text(agreed), agreed
-
-
-def chosen(source: str | None, votes: dict[str, int]) -> tuple[str, str]:
-    """(text, path) of a page, given the votes of its host's paths."""
-    page = read(source) if source else None
-    paths = fitting(page) if page else []
-    if not paths:
-        return "", ""
-    voted = [p for p in paths if p in votes]
-    agreed = min(voted, key=lambda p: (-votes[p], p)) if voted else paths[0]
-    return page.text(agreed), agreed
+    voted = [p for p in paths if page.keys[p] in votes]
+    agreed = min(voted, key=lambda p: (-votes[page.keys[p]], page.keys[p])) if voted else paths[0]
+    return page.text(agreed), page.spelled(agreed)
 
 
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
@@ -373,56 +421,48 @@ def host(url: str = "url"):
 
 
 def ballots(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """(host, path, votes): all votes of every host's pages, summed."""
+    """(host, path, votes): all votes of every host's pages, summed; paths by their keys."""
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, str], float] = {}
+            sums: dict[tuple[str, bytes], float] = {}
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if page:
                     page = read(page)
                     for path, share in best_paths(page):
-                        path = page.widened(path)
+                        path = page.keys[page.widened(path)]
                         sums[name, path] = sums.get((name, path), 0.0) + share
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([h for h, _ in sums], pa.string()),
-                    pa.array([p for _, p in sums], pa.string()),
+                    pa.array([p for _, p in sums], pa.binary()),
                     pa.array([round(v * 1e6) for v in sums.values()], pa.int64()),
                 ],
                 ["host", "path", "votes"],
             )
 
     cast = pages.select(host(url).alias("host"), F.col(source).alias("html")).mapInArrow(
-        run, "host string, path string, votes long"
+        run, "host string, path binary, votes long"
     )
     return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
 
 
-def votes(pages: DataFrame, url: str = "url", source: str = "html", keep: int = 16) -> DataFrame:
-    """(host, paths): a host's ``keep`` foremost paths by votes, most first; ``main_text`` uses all votes."""
-    summed = ballots(pages, url, source)
-    # the limit is applied in each task before the hosts' rows meet, so a host of many paths is no large group
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    first = summed.withColumn("place", place).where(F.col("place") <= keep)
-    ranked = first.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("r"))
-    return ranked.select("host", F.transform("r", lambda x: x["path"]).alias("paths"))
-
-
 def _candidates(rows: DataFrame) -> DataFrame:
     """(host, d, path): the paths that each page's host may choose among; equal pages once in each task's batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[tuple[str, str, str], None] = {}
+            out: dict[tuple[str, str, bytes], None] = {}
             for name, d, source in zip(*(c.to_pylist() for c in batch.columns)):
-                out.update(dict.fromkeys((name, d, p) for p in fitting(read(source))))
+                page = read(source)
+                out.update(dict.fromkeys((name, d, page.keys[p]) for p in fitting(page)))
+            kinds = pa.string(), pa.string(), pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in out], pa.string()) for i in range(3)], ["host", "d", "path"]
+                [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], ["host", "d", "path"]
             )
 
-    return rows.mapInArrow(run, "host string, d string, path string")
+    return rows.mapInArrow(run, "host string, d string, path binary")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -434,11 +474,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
     size = summed.agg(F.count("*").alias("n"), F.sum(F.octet_length("host") + F.octet_length("path")).alias("b")).first()
     shared = None
     if size.n <= MOST_HOSTS and (size.b or 0) <= MOST_BYTES:
-        by_host: dict[str, dict[str, int]] = {}
+        by_host: dict[str, dict[bytes, int]] = {}
         for r in summed.toLocalIterator():
-            by_host.setdefault(r.host, {})[r.path] = r.votes
+            by_host.setdefault(r.host, {})[bytes(r.path)] = r.votes
         shared = spark.sparkContext.broadcast(by_host)
-        rows = rows.withColumn("agreed", F.lit(None).cast("string"))
+        rows = rows.withColumn("agreed", F.lit(None).cast("binary"))
     else:
         # what a host's page agrees on depends on its source alone, so that equal pages are one row
         digest = F.sha2(F.col("h"), 256)
@@ -455,7 +495,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
             if shared is not None:
                 found = [chosen(h, shared.value.get(name, {})) for name, h in zip(hosts, sources)]
             else:
-                found = [extract(h, [p] if p else []) for p, h in zip(agreed, sources)]
+                found = [chosen(h, {p: 1} if p else {}) for p, h in zip(agreed, sources)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

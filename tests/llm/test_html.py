@@ -19,7 +19,7 @@ TEXT = "Title & more First para with bold and a link. Second <para> that is not
 
 
 def test_article_without_what_surrounds_it():
-    text, path = H.extract(PAGE.replace("{comment}", "Nice. " * 300), [])
+    text, path = H.chosen(PAGE.replace("{comment}", "Nice. " * 300), {})
     assert text == TEXT
     assert path == "/html/body.has-sidebar/div.wrap-#/div.post-content"
 
@@ -57,13 +57,23 @@ def test_hosts_agree_on_a_path(spark):
     assert H.main_text(pages).count() == len(rows)
 
 
-def test_a_host_keeps_its_foremost_paths(spark):
-    rows = [(i, "http://h/", page(f"<p>{'x ' * 40}</p>", tag=f"x-{'abcdefghij'[i % 10]}")) for i in range(55)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    (row,) = H.votes(pages, keep=3).collect()
-    assert len(row.paths) == 3 and all("/x-" in p for p in row.paths) and row.paths == sorted(row.paths)
-    plan = H.votes(pages, keep=3)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 1
+def test_votes_and_choices_equal_a_plain_loop(spark):
+    """Votes added up by hand, page by page, and each page's choice among them."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = pages.select("page_id", H.host("url").alias("host"), "html").collect()
+    votes = {}
+    for r in rows:
+        page = H.read(r.html)
+        for path, share in H.best_paths(page):
+            mine = votes.setdefault(r.host, {})
+            key = H.path_key(page.spelled(page.widened(path)))
+            mine[key] = mine.get(key, 0) + round(share * 1e6)
+    got = {}
+    for r in H.ballots(pages).collect():
+        got.setdefault(r.host, {})[bytes(r.path)] = r.votes
+    assert got == votes
+    want = {r.page_id: H.chosen(r.html, votes[r.host]) for r in rows}
+    assert {r.page_id: (r.text, r.path) for r in H.main_text(pages).collect()} == want
 
 
 def test_join_beyond_the_broadcast_bound(spark, monkeypatch):
@@ -104,7 +114,7 @@ def test_empty_table_and_extra_columns(spark):
     ],
 )
 def test_markup(source, text):
-    assert H.extract(source, [])[0] == text
+    assert H.chosen(source, {})[0] == text
 
 
 @pytest.mark.parametrize("most", [200_000, 0])
@@ -135,9 +145,35 @@ LONG = "Some more words of this long text. " * 30
 def test_an_article_keeps_what_stands_beside_its_largest_part(article):
     want = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", article)).strip()
     talk = "<div class='talk'><p>Some talk about it.</p></div>"
-    assert H.extract(f"<html><body>{article}{talk}</body></html>", [])[0] == want
+    assert H.chosen(f"<html><body>{article}{talk}</body></html>", {})[0] == want
 
 
 def test_a_hosts_path_does_not_cut_an_article():
     source = f"<html><body><article><div class=a><p>{LONG}</p></div><div class=b><p>{LONG * 2}</p></div></article></body></html>"
-    assert H.extract(source, ["/html/body/article/div.a"])[0] == (LONG * 3).strip()
+    assert H.chosen(source, {H.path_key("/html/body/article/div.a"): 1})[0] == (LONG * 3).strip()
+
+
+@pytest.mark.parametrize("depth", [40, 57, 80, 3000])
+def test_depth_does_not_matter(depth):
+    article = f"<div class=text><p>{LONG}</p><p>{LONG}</p></div><div class=talk><p>Another part that is shorter than that.</p></div>"
+    got, path = H.chosen("<html><body>" + "<div>" * depth + article + "</div>" * depth + "</body></html>", {})
+    assert got == (LONG * 2).strip() and path.count("/") == depth + 3
+
+
+def test_long_attributes():
+    alt = "a > b " * 5000
+    assert H.chosen(f'<html><body><article><p>{LONG}<img alt="{alt}" src=x>{LONG}</p></article></body></html>', {})[0] == (LONG + LONG).strip()
+    assert H.chosen(f"<p title='{alt}'>{LONG}</p><p>1 < 2 \"quoted\" 'text</p>", {})[0] == LONG.strip() + " 1 < 2 \"quoted\" 'text"
+
+
+@pytest.mark.parametrize(
+    "name", "share-price-report tags-article related-work search-results-analysis comment-piece notice-of-motion skip-logic comments ad".split()
+)
+def test_a_name_does_not_empty_a_page(name):
+    assert H.chosen(f"<html><body><div class='{name}'><p>{LONG}</p></div></body></html>", {})[0] == LONG.strip()
+
+
+def test_names_of_other_parts_leave_them_out():
+    rest = "comment-list related-posts ad-slot-3 sidebar-left newsletter-signup-form main-nav cookieNotice site-footer share-buttons".split()
+    parts = "".join(f"<div class='{c}'><p>{LONG} no</p></div>" for c in rest)
+    assert H.chosen(f"<html><body>{parts}<div class=post><p>{LONG}</p></div>{parts}</body></html>", {})[0] == LONG.strip()
