@@ -564,6 +564,11 @@ def silhouette(t):
     return segmentation.silhouettes(clustered_rfm(t), segmentation.RFM_COLUMNS, ["cluster_id"])
 
 
+@query
+def silhouette_euclidean(t):
+    return segmentation.euclidean_silhouettes(clustered_rfm(t), segmentation.RFM_COLUMNS, ["cluster_id"])
+
+
 # -- splits, folds, neighbours -----------------------------------------------
 
 def train_rows(t):

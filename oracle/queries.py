@@ -695,6 +695,16 @@ ab AS (SELECT id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END)
 SELECT 'cluster_id' AS label_column, {rnd('avg(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 4)} AS silhouette FROM ab""",
 )
 
+q(
+    "silhouette_euclidean",
+    ["clustered"],
+    f""", sums AS (SELECT a.customer_unique_id AS id, a.cluster_id AS own, b.cluster_id AS other, sum(sqrt({_DISTANCE})) AS total, count(*) AS n
+  FROM clustered a CROSS JOIN clustered b GROUP BY 1, 2, 3),
+ab AS (SELECT id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b,
+  max(CASE WHEN own = other THEN n END) AS size FROM sums GROUP BY 1)
+SELECT 'cluster_id' AS label_column, {rnd('avg(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END)', 4)} AS silhouette FROM ab""",
+)
+
 # -- splits, folds, neighbours -----------------------------------------------
 q(
     "fold_balance",

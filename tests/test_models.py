@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keepwell.operators import boosting, neighbours
+from keepwell.operators import boosting, kmeans, neighbours
 from keepwell.operators.forest import ForestSettings
 from keepwell.plans import attribution, modelling, segmentation
 from keepwell.session import materialize
@@ -15,6 +15,7 @@ from keepwell.settings import FEATURES
 from keepwell.sources import writers
 
 FOLDER = "/root/testdata/sf0.001"
+kmeans_move = kmeans._Move
 
 
 @pytest.fixture(scope="module")
@@ -288,6 +289,68 @@ def test_silhouette_equals_brute_force(spark):
     assert got == pytest.approx(np.mean(values), abs=1e-4)
 
 
+def test_euclidean_silhouette_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(segmentation, "_BLOCK_ROWS", 7)  # several blocks meet
+    rng = np.random.default_rng(2)
+    points = [(i, float(rng.normal()), float(rng.normal()), int(i % 3 if i < 29 else 9), "ab"[i % 2]) for i in range(30)]
+    df = spark.createDataFrame(points, "customer_unique_id long, x double, z double, c int, e string")
+    got = {r[0]: r[1] for r in segmentation.euclidean_silhouettes(df, ["x", "z"], ["c", "e"]).collect()}
+    for name, at in (("c", 3), ("e", 4)):
+        values = []
+        for p in points:
+            sums = {}
+            for q in points:
+                if q[0] != p[0]:
+                    sums.setdefault(q[at], []).append(math.dist(p[1:3], q[1:3]))
+            if p[at] not in sums:
+                values.append(0.0)
+                continue
+            a, b = np.mean(sums[p[at]]), min(np.mean(v) for d, v in sums.items() if d != p[at])
+            values.append((b - a) / max(a, b))
+        assert got[name] == pytest.approx(np.mean(values), abs=1e-4)
+
+
+def plain_kmeans(x, keys, k, restart):
+    """One fit, row by row and step by step."""
+    centres = []
+    for step in range(k):
+        weight = [min(((p - c) ** 2).sum() for c in centres) if centres else 1.0 for p in x]
+        u = kmeans._uniform(keys, restart, step)
+        centres.append(x[min((i for i in range(len(x)) if weight[i] > 0), key=lambda i: -math.log(u[i]) / weight[i])])
+    centres = np.array(centres)
+    while True:
+        own = np.array([min(range(k), key=lambda j: ((p - centres[j]) ** 2).sum()) for p in x])
+        cost = sum(((p - centres[j]) ** 2).sum() for p, j in zip(x, own))
+        moved = np.array([x[own == j].mean(0) if (own == j).any() else centres[j] for j in range(k)])
+        if ((moved - centres) ** 2).sum() <= kmeans.TOLERANCE * x.var(0).mean():
+            return centres, cost
+        centres = moved
+
+
+def test_shared_kmeans_equals_separate_plain_runs(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(m, 0.6, size=(40, 2)) for m in ((0, 0), (3, 1), (1, 4))])
+    keys = np.arange(120) * 37 + 5
+    df = spark.createDataFrame([(int(i), *map(float, p)) for i, p in zip(keys, x)], "id long, x double, z double")
+    passes = []
+    monkeypatch.setattr(kmeans, "_Move", lambda centres: (passes.append(len(centres)), kmeans_move(centres))[1])
+    got = kmeans.fit(df.repartition(3), ["x", "z"], "id", [2, 3, 5], 3, 100)
+    for k in (2, 3, 5):
+        runs = [plain_kmeans(x, keys, k, 100 + r) for r in range(3)]
+        centres, cost = min(runs, key=lambda r: r[1])
+        assert got[k].cost == pytest.approx(cost) and np.allclose(sorted(got[k].centres), sorted(map(tuple, centres)))
+    assert passes[0] == 9 and len(passes) < 60  # nine fits share each pass
+    labels = df.withColumn("c", got[3].nearest()).collect()
+    assert all(r.c == min(range(3), key=lambda j: (r.x - got[3].centres[j][0]) ** 2 + (r.z - got[3].centres[j][1]) ** 2) for r in labels)
+
+
+def test_fewer_rows_than_clusters(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 5.0)], "id long, x double")
+    assert kmeans.fit(df, ["x"], "id", [4], 1, 0)[4].cost == 0.0
+    with pytest.raises(ValueError, match="no rows"):
+        kmeans.fit(df.limit(0), ["x"], "id", [2], 1, 0)
+
+
 def test_segments_of_separate_groups(spark):
     groups = [(5.0, 9, 5000.0), (300.0, 1, 900.0), (40.0, 3, 200.0), (400.0, 1, 20.0)]
     data = [(f"c{g}_{i}", r + i % 3, f, m + i % 5) for g, (r, f, m) in enumerate(groups) for i in range(20)]
