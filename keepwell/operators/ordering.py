@@ -150,70 +150,6 @@ def quantile_bins(
     return out
 
 
-# -- exact quantiles ---------------------------------------------------------
-
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group; NULL values are ignored.
-
-    ``percentile`` keeps every distinct value of a group in one task's memory.  Here
-    equal values are counted first (combined on the map side), so a value that most rows
-    share is one row when the distinct values are sorted across tasks.
-    """
-    by = list(by)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counted_quantiles(counted, by, value, "_n", probs)
-
-
-def counted_quantiles(
-    counted: DataFrame, by: Sequence[str], value: str, count: str, probs: Mapping[str, float]
-) -> DataFrame:
-    """The same from a frame with one row per group and distinct value, and its count."""
-    by = list(by)
-    ranked = running_totals(counted, [F.col(value)], [count], by)
-    number, upto, total = F.col(value).cast("double"), F.col(f"{count}_upto"), F.col(f"{count}_total")
-    picks = []
-    for name, p in probs.items():
-        place = (total - 1) * F.lit(float(p))
-        low = F.floor(place) + 1
-
-        def at(row: Column) -> Column:
-            return F.max(F.when((upto >= row) & (upto - F.col(count) < row), number))
-
-        low_value, high_value = at(low), at(F.least(low + 1, total))
-        picks.append((low_value + (high_value - low_value) * F.max(place - F.floor(place))).alias(name))
-    return ranked.groupBy(*by).agg(*picks)
-
-
-def moments_and_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], name: str = "measure"
-) -> DataFrame:
-    """One row per column: its name, n, mean, std, low, high, zeros and the quantiles; NULLs are ignored.
-
-    The frame is written once.  Moments come from one wide aggregate without a shuffle of
-    rows; for the quantiles only the distinct values of each column travel.
-    """
-    kept = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    wide = kept.agg(
-        *[
-            F.struct(
-                F.lit(c).alias(name),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("low"),
-                F.max(c).alias("high"),
-                F.count_if(F.col(c) == 0).alias("zeros"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*[F.col(c) for c in columns])))
-    pairs = ", ".join(f"'{c}', {c}" for c in columns)
-    long = kept.selectExpr(f"stack({len(columns)}, {pairs}) AS ({name}, value)")
-    return wide.join(exact_quantiles(long, [name], "value", probs), name, "left")
-
-
 def share_rank(df: DataFrame, value: Column, id_col: str, share: float) -> DataFrame:
     """Adds ``in_top``: whether the row is among the first floor(share*n) by value descending."""
     numbered = number_rows(

@@ -29,7 +29,7 @@ from keepwell.functions.exprs import (
     rounded,
 )
 from keepwell.operators.activity import second_order_within
-from keepwell.operators.ordering import moments_and_quantiles
+from keepwell.operators.selection import moments_and_quantiles
 from keepwell.settings import (
     FEATURE_DEFAULTS,
     FEATURES,

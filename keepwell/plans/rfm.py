@@ -8,12 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from keepwell.functions.exprs import instant, not_excluded, rounded, rounded_days
 from keepwell.functions.rules import RFM_NTILE_RULES, RFM_RULES, first_match
-from keepwell.operators.ordering import (
-    moments_and_quantiles,
-    ntile_ends,
-    quantile_bins,
-    quantile_ends,
-)
+from keepwell.operators.ordering import ntile_ends, quantile_bins, quantile_ends
+from keepwell.operators.selection import moments_and_quantiles
 from keepwell.plans.revenue import net_revenue, per_order
 from keepwell.session import materialize
 from keepwell.settings import (

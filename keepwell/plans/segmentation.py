@@ -14,8 +14,8 @@ from keepwell.functions.exprs import ratio, rounded
 from keepwell.functions.rules import CLUSTER_RULES, first_match
 from keepwell.operators import kmeans
 from keepwell.operators.kmeans import Clusters
-from keepwell.operators.ordering import exact_quantiles
 from keepwell.operators.sampling import seeded_sample
+from keepwell.operators.selection import exact_quantiles
 from keepwell.session import materialize, ship_package
 from keepwell.settings import SEED
 
