@@ -3,21 +3,23 @@
 Rows are clustered, and clusters are split at medians into blocks of like rows with a
 bounding box each.  A task gets one pair of blocks, does the arithmetic in numpy and
 returns only the k best per query.  Pairs that cannot hold a nearer neighbour are left out: once
-every row has its k best within its own block, a block is compared only with
-blocks whose box is not farther away than the worst of these distances.  The number of blocks
-follows the number of rows; no pair of rows ever becomes a Spark row.
+every row has its k best within its own block, it goes only to blocks whose box is not farther
+from the row itself than the last of these.  Which blocks may meet at all follows from joins: clusters near
+enough to each other (about the root of the number of blocks), their blocks, then the single rows.
+The number of blocks follows the number of rows; no pair of rows ever becomes a Spark row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from keepwell.functions.exprs import shuffle_key
 from keepwell.operators.ordering import number_rows
@@ -27,8 +29,6 @@ _BLOCK_ROWS = 1000
 _CHUNK = 32
 #: rows of a cluster that one task splits; a larger cluster is dealt into such parts first
 _PART_ROWS = 500_000
-#: bounding boxes sent to the tasks at a time
-_BOXES = 50_000
 
 
 def _top_k(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -59,8 +59,8 @@ def _top_k(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFr
 _FOUND = "row_id long, ids array<long>, distances array<double>, vectors array<array<double>>"
 
 
-def _search(pairs: DataFrame, placed: DataFrame, k: int) -> DataFrame:
-    """Best k per query over the pairs (own, block) of blocks."""
+def _search(queries: DataFrame, placed: DataFrame, k: int) -> DataFrame:
+    """Best k per query (own, block, row_id, vector) among the rows of its ``block``."""
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
@@ -68,7 +68,7 @@ def _search(pairs: DataFrame, placed: DataFrame, k: int) -> DataFrame:
         return _top_k(q, c, k)
 
     # own column names keep the two sides of the cogroup apart
-    queries = placed.select(F.col("block").alias("own"), "row_id", "vector").join(pairs, "own")
+    pairs = queries.select("own", "block").distinct()
     candidates = placed.join(pairs, "block").select("own", "block", "row_id", "vector")
     parts = (
         queries.groupBy("own", "block")
@@ -129,45 +129,61 @@ def _place(vectors: DataFrame, seed: int) -> DataFrame:
     return split.applyInPandas(_split, "row_id long, vector array<double>, block string")
 
 
-def block_pairs(placed: DataFrame, own: DataFrame, k: int, dimensions: int) -> DataFrame:
-    """Pairs (own, block) of different blocks that may hold one of the k nearest of a row of ``own``."""
+def _gap(low: str, high: str, mine_low: str, mine_high: str, dimensions: int) -> Column:
+    """Squared distance of two boxes given as arrays; a row is a box without width."""
+    sides = [
+        F.greatest(F.lit(0.0), F.col(low)[i] - F.col(mine_high)[i], F.col(mine_low)[i] - F.col(high)[i]) for i in range(dimensions)
+    ]
+    return reduce(Column.__add__, [x * x for x in sides])
+
+
+def _within(gap: Column, reach: Column) -> Column:
+    # small slack so that rounding never drops a block
+    return F.sqrt(gap) <= reach * (1 + 1e-9) + 1e-9
+
+
+def _boxes(rows: DataFrame, by: str, dimensions: int) -> DataFrame:
+    return rows.groupBy(by).agg(
+        F.max("limit").alias("reach"),
+        F.array(*[F.min(F.col("vector")[i]) for i in range(dimensions)]).alias("low"),
+        F.array(*[F.max(F.col("vector")[i]) for i in range(dimensions)]).alias("high"),
+    )
+
+
+def near_cells(cells: list) -> list[tuple[str, str]]:
+    """Pairs of clusters of which a row of the first may need the second."""
+    low, high = (np.array([list(r[side]) for r in cells], dtype="float64") for side in ("low", "high"))
+    out = []
+    for r, mine_low, mine_high in zip(cells, low, high):
+        gap = np.maximum(0.0, np.maximum(low - mine_high, mine_low - high))
+        hit = np.sqrt((gap**2).sum(axis=1)) <= r["reach"] * (1 + 1e-9) + 1e-9
+        out += [(r["cell"], cells[i]["cell"]) for i in np.flatnonzero(hit)]
+    return out
+
+
+def visits(placed: DataFrame, own: DataFrame, k: int, dimensions: int) -> DataFrame:
+    """(own, block, row_id, vector): the other blocks that may hold one of the k nearest of a row."""
     # a row that has not found k yet must look everywhere
     limit = F.when(F.size("near") >= k, F.element_at("near", -1)["distances"]).otherwise(F.lit(float("inf")))
-    reach = (
+    rows = materialize(
         placed.join(own.select("row_id", limit.alias("limit")), "row_id", "left")
-        .groupBy("block")
-        .agg(
-            F.max(F.coalesce("limit", F.lit(float("inf")))).alias("reach"),
-            *[F.min(F.col("vector")[i]).alias(f"low_{i}") for i in range(dimensions)],
-            *[F.max(F.col("vector")[i]).alias(f"high_{i}") for i in range(dimensions)],
-        )
+        .withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+        .withColumn("cell", F.substring_index("block", "/", 1))
+    )
+    boxes = materialize(_boxes(rows, "block", dimensions).withColumn("cell", F.substring_index("block", "/", 1)))
+    # about the root of the number of blocks
+    cells = near_cells(_boxes(rows, "cell", dimensions).collect())
+    met = placed.sparkSession.createDataFrame(cells, "cell string, other string")
+    mine = boxes.select("cell", F.col("block").alias("own"), "reach", F.col("low").alias("own_low"), F.col("high").alias("own_high"))
+    yours = boxes.select(F.col("cell").alias("other"), "block", "low", "high")
+    pairs = mine.join(met, "cell").join(yours, "other").filter(
+        (F.col("own") != F.col("block")) & _within(_gap("low", "high", "own_low", "own_high", dimensions), F.col("reach"))
+    )
+    pairs = materialize(pairs.select("own", "block", "low", "high"))
+    found = rows.select(F.col("block").alias("own"), "row_id", "vector", "limit").join(pairs, "own")
+    return found.filter(_within(_gap("low", "high", "vector", "vector", dimensions), F.col("limit"))).select(
+        "own", "block", "row_id", "vector"
     )
-    lows, highs = ([f"{side}_{i}" for i in range(dimensions)] for side in ("low", "high"))
-    boxes = materialize(reach.select("block", "reach", F.array(*lows).alias("low"), F.array(*highs).alias("high")))
-    slices = ceil(boxes.count() / _BOXES)
-    found = None
-    for i in range(slices):  # the boxes to compare with, in parts that a task can hold
-        some = boxes.where(F.pmod(F.xxhash64("block"), F.lit(slices)) == i).select("block", "low", "high").collect()
-        part = boxes.mapInPandas(_near_boxes(some), "own string, block string")
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _near_boxes(some: list):
-    names = np.array([r.block for r in some], dtype=object)
-    low, high = (np.array([list(r[side]) for r in some], dtype="float64") for side in ("low", "high"))
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for own, reach, mine_low, mine_high in zip(batch["block"], batch["reach"], batch["low"], batch["high"]):
-                gap = np.maximum(0.0, np.maximum(low - np.array(mine_high), np.array(mine_low) - high))
-                # small slack so that rounding never drops a block
-                hit = np.sqrt((gap**2).sum(axis=1)) <= reach * (1 + 1e-9) + 1e-9
-                hit &= names != own
-                if hit.any():
-                    yield pd.DataFrame({"own": own, "block": names[hit]})
-
-    return compare
 
 
 def nearest(rows: DataFrame, columns: Sequence[str], id_col: str, k: int, seed: int) -> DataFrame:
@@ -180,12 +196,10 @@ def nearest(rows: DataFrame, columns: Sequence[str], id_col: str, k: int, seed:
         )
     )
     placed = materialize(_place(vectors, seed))
-    inside = placed.select(F.col("block").alias("own"), "block").distinct()
+    inside = placed.select(F.col("block").alias("own"), "block", "row_id", "vector")
     own = materialize(_search(inside, placed, k))
-    pairs = block_pairs(placed, own, k, len(columns))
-    if pairs is not None:
-        elsewhere = _search(materialize(pairs), placed, k)
-        own = _keep_k(own.unionByName(elsewhere).select("row_id", F.explode("near").alias("near")), k)
+    elsewhere = _search(materialize(visits(placed, own, k, len(columns))), placed, k)
+    own = _keep_k(own.unionByName(elsewhere).select("row_id", F.explode("near").alias("near")), k)
     return own.join(vectors, "row_id")
 
 

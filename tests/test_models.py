@@ -48,23 +48,28 @@ def test_neighbours_across_cells_and_blocks(spark, monkeypatch):
         assert got[i] == pytest.approx(expected[i], abs=1e-12), i
 
 
-def test_block_pairs_grow_slower_than_the_square(spark, monkeypatch):
+def test_rows_visit_few_blocks(spark, monkeypatch):
+    """Visits grow slower than the square, and a row leaves out blocks that another row of its block needs."""
     monkeypatch.setattr(neighbours, "_BLOCK_ROWS", 20)
     counted = []
-    pairs = neighbours.block_pairs
+    visits = neighbours.visits
 
-    def watched(*args):
-        out = materialize(pairs(*args))
-        counted.append(out.count())
+    def watched(placed, own, *args):
+        out = materialize(visits(placed, own, *args))
+        sizes = {r[0]: r[1] for r in placed.groupBy("block").count().collect()}
+        pairs = out.select("own", "block").distinct().collect()
+        counted.append((out.count(), sum(sizes[r.own] for r in pairs)))
         return out
 
-    monkeypatch.setattr(neighbours, "block_pairs", watched)
+    monkeypatch.setattr(neighbours, "visits", watched)
     rng = np.random.default_rng(3)
     for n in (400, 800):
         data = [(i, float(rng.normal()), float(rng.normal() * 5)) for i in range(n)]
         df = spark.createDataFrame(data, "id long, x double, y double")
         assert neighbours.nearest(df, ["x", "y"], "id", 3, 1).count() == n
-    assert 0 < counted[0] and counted[1] < 3.2 * counted[0]  # all pairs of blocks would be four times as many
+    rows, by_blocks = zip(*counted)
+    assert 0 < rows[0] and rows[1] < 3.2 * rows[0]  # all rows and blocks would be four times as many
+    assert rows[0] < 0.6 * by_blocks[0] and rows[1] < 0.6 * by_blocks[1]  # rows that travelled with their block's pairs
 
 
 def test_too_few_minority_rows_are_an_error(spark):
