@@ -406,7 +406,7 @@ def snapshot_frequency(t):
 
 @query
 def leakage_audit(t):
-    return panel.leakage_audit(t["fact_orders"], SNAPSHOTS, (180, 365, None))
+    return panel.leakage_audit(panel.lookback_panels(t, SNAPSHOTS, (180, 365, None), instants=True))
 
 
 @query

@@ -153,6 +153,7 @@ def _order_grain(
     reviews = facts("fact_order_reviews").groupBy("order_id").agg(
         *[F.sum(F.when(c, F.col("review_score"))).alias(f"review_sum_{i}") for i, c in enumerate(seen)],
         *[F.count(F.when(c, F.col("review_score"))).alias(f"review_count_{i}") for i, c in enumerate(seen)],
+        *[F.max(F.when(c, F.col("review_creation_date"))).alias(f"review_last_{i}") for i, c in enumerate(seen)],
     )
     customers = tables["dim_customers"].select("customer_id", "customer_unique_id")
     grain = (
@@ -187,8 +188,13 @@ def lookback_panels(
     snapshots: Sequence[Snapshot] = SNAPSHOTS,
     lookbacks: Sequence[int | None] = LOOKBACKS,
     extras: bool = False,
+    instants: bool = False,
 ) -> DataFrame:
-    """Panels for several lookbacks in one pass; adds ``lookback_days`` (NULL = all time)."""
+    """Panels for several lookbacks in one pass; adds ``lookback_days`` (NULL = all time).
+
+    With ``instants`` each row also has the latest purchase, delivery and review that went into its sums and
+    the number of deliveries left out because they lie after the snapshot.
+    """
     windows = _windows(snapshots, lookbacks)
     ts = F.col("ts")
     sold = not_excluded("order_status", INACTIVE_STATUSES)
@@ -225,6 +231,14 @@ def lookback_panels(
         return F.sum(F.when(condition, as_column(c) * F.col("copies")))
 
     extra_sums = _extra_aggregates(seen, total, delay) if extras else {}
+    if instants:
+        review_last = F.element_at(F.array(*[F.col(f"review_last_{i}") for i in range(n)]), snapshot_no)
+        extra_sums |= {
+            "last_purchase": F.max(F.when(seen, ts)),
+            "last_delivery": F.max(F.when(delay.isNotNull(), F.col("delivered"))),
+            "last_review": F.max(F.when(seen, review_last)),
+            "hidden_deliveries": total(F.lit(1), seen & (F.col("delivered") >= F.col("at"))),
+        }
     sums = rows.groupBy("customer_unique_id", "window_no").agg(
         F.min(F.when(seen, ts)).alias("first_ts"),
         F.max(F.when(seen, ts)).alias("last_ts"),
@@ -278,10 +292,14 @@ def lookback_panels(
         _per_window(windows, lambda w: F.lit(w.snapshot.role)).alias("split_role"),
         _per_window(windows, lambda w: F.lit(w.lookback).cast("int")).alias("lookback_days"),
         *(_extra_features() if extras else []),
+        *(INSTANTS if instants else []),
     )
     return out
 
 
+INSTANTS = ["last_purchase", "last_delivery", "last_review", "hidden_deliveries"]
+
+
 def _distinct_bits(masks: Sequence[str]) -> Column:
     """How many bits are set in all masks; NULL where there is none, as without any named category."""
     counts = [F.bit_count(F.coalesce(F.col(m), F.lit(0).cast("bigint"))) for m in masks]
@@ -457,38 +475,25 @@ def lookback_summary(panels: DataFrame) -> DataFrame:
     )
 
 
-def leakage_audit(
-    orders: DataFrame,
-    snapshots: Sequence[Snapshot] = SNAPSHOTS,
-    lookbacks: Sequence[int | None] = (None,),
-) -> DataFrame:
-    """Per window: latest purchase used, whether any is from the future, deliveries hidden."""
-    windows = _windows(snapshots, lookbacks)
-    ts = F.col("order_purchase_timestamp")
-    rows = (
-        orders.filter(_in_reach(ts, windows, labels=False))
-        .select(
-            ts,
-            F.col("order_delivered_customer_date").alias("delivered"),
-            F.explode(
-                F.array(*[F.when(w.observes(ts), F.lit(k)) for k, w in enumerate(windows)])
-            ).alias("window_no"),
+def leakage_audit(panels: DataFrame) -> DataFrame:
+    """Per window of panels with ``instants``: latest purchase used, whether anything used lies on or after the
+    snapshot (a purchase, delivery or review, or a negative recency), deliveries hidden.
+
+    It looks at what entered the rows' sums, not at a filter of its own, so a fault of the panel shows.
+    """
+    at = F.col("snapshot_date").cast("timestamp_ntz")
+    late = [F.coalesce(F.col(c) >= at, F.lit(False)) for c in ("last_purchase", "last_delivery", "last_review")]
+    future = reduce(Column.__or__, late, F.col("recency_days") < 0)
+    return (
+        panels.groupBy("snapshot_date", "lookback_days")
+        .agg(
+            F.max("last_purchase").alias("max_purchase_timestamp"),
+            F.max(future.cast("int")).alias("future_purchase_detected"),
+            F.sum(F.coalesce("hidden_deliveries", F.lit(0))).alias("clamped_future_deliveries"),
         )
-        .filter(F.col("window_no").isNotNull())
-        .withColumn("at", _per_window(windows, lambda w: w.at))
-    )
-    found = rows.groupBy("window_no").agg(
-        F.max("order_purchase_timestamp").alias("max_purchase_timestamp"),
-        F.max((ts >= F.col("at")).cast("int")).alias("future_purchase_detected"),
-        F.count_if(F.col("delivered") >= F.col("at")).alias("clamped_future_deliveries"),
+        .select("snapshot_date", "lookback_days", "max_purchase_timestamp", "future_purchase_detected", "clamped_future_deliveries")
+        .orderBy("lookback_days", "snapshot_date")
     )
-    return found.select(
-        _per_window(windows, lambda w: F.lit(w.snapshot.date)).alias("snapshot_date"),
-        _per_window(windows, lambda w: F.lit(w.lookback).cast("int")).alias("lookback_days"),
-        "max_purchase_timestamp",
-        "future_purchase_detected",
-        "clamped_future_deliveries",
-    ).orderBy("lookback_days", "snapshot_date")
 
 
 def feature_stats(panel: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:

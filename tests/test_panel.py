@@ -175,3 +175,21 @@ def test_second_order(spark):
     )
     got = {r["customer"]: r["has_second_order"] for r in second_order_within(rows, "customer", "ts", 60).collect()}
     assert got == {"a": 1, "b": 0, "c": 1, "d": 0}
+
+
+def test_leakage_audit_sees_what_entered_the_rows(spark):
+    """Panels whose sums hold something of the future are caught, whichever instant it is."""
+    from datetime import datetime
+
+    early, late = datetime(2018, 1, 1), datetime(2018, 3, 1)
+    schema = (
+        "snapshot_date string, lookback_days int, recency_days double, last_purchase timestamp_ntz, last_delivery timestamp_ntz, "
+        "last_review timestamp_ntz, hidden_deliveries long"
+    )
+    good = ("2018-03-01", None, 59.0, early, early, None, 2)
+    bad = [("2018-03-01", None, 0.0, late, None, None, 0), ("2018-03-01", None, 1.0, early, late, None, 0),
+           ("2018-03-01", None, 1.0, early, None, late, 0), ("2018-03-01", None, -0.5, early, None, None, None)]
+    (row,) = panel.leakage_audit(spark.createDataFrame([good, good], schema)).collect()
+    assert tuple(row) == ("2018-03-01", None, early, 0, 4)
+    for one in bad:
+        assert panel.leakage_audit(spark.createDataFrame([good, one], schema)).first()["future_purchase_detected"] == 1

@@ -129,3 +129,33 @@ def test_audience_filters_are_optional(spark):
     assert scoring.audience(risk, ["All"]).count() == 2
     assert scoring.audience(risk, ["HIGH"], min_spend=6.0).count() == 0
     assert scoring.audience(risk, segment="b").first()["risk_tier"] == "LOW"
+
+
+def test_stored_scores_are_pruned_and_joined_in_place(spark, tmp_path):
+    """One customer's sheet reads one bucket; scores and segments of equal buckets join without an exchange."""
+    from keepwell.sources import writers
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS scores_test LOCATION '{tmp_path}/s'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        scored = spark.range(500).select(
+            F.col("id").alias("customer_unique_id"), (F.col("id") / 500).alias("probability_raw"), F.lit(10.0).alias("monetary_total"),
+            F.lit(3.0).alias("recency_days"), F.lit(2).alias("order_frequency"),
+        )
+        segments = scored.select("customer_unique_id", F.lit("Champions").alias("cluster_segment"), F.lit("Loyal").alias("rfm_segment"))
+        stored = writers.write_bucketed(scored, "scores_test.scores", buckets=8)
+        named = writers.write_bucketed(segments, "scores_test.segments", buckets=8)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        both = stored.join(named, "customer_unique_id")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert both.count() == 500
+        sheet = scoring.customer_report(both, 77)
+        plan = sheet._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 1 out of 8" in plan and "Exchange" not in plan
+        (row,) = sheet.collect()
+        assert (row.customer_id, row.churn_probability, row.segment) == (77, 0.154, "Champions")
+        assert stored.filter("customer_unique_id = 77").inputFiles() and len(stored.inputFiles()) <= 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE IF EXISTS scores_test CASCADE")
