@@ -38,7 +38,7 @@ STATE_EVERY = 4
 #: after so many trees margins are made from the bins anew, so that lineage stays short
 REPLAY = 32
 #: (row, model) pairs that a task of a small fit works on, and rows that a task of a large one does
-TASK_PAIRS, TASK_ROWS = 15_000, 500_000
+TASK_PAIRS, TASK_ROWS = 200_000, 500_000
 #: sums of so many tasks meet on the driver; those of more meet in tasks first
 FEW_TASKS = 16
 _UNIT = float(1 << 20)
@@ -333,19 +333,19 @@ def _stepped(block: Block, steps: Sequence[_Pass]) -> Block:
     return block
 
 
-def best_split(g: np.ndarray, h: np.ndarray) -> tuple[float, int, int]:
-    """(gain, feature, bin) of the best cut of a node's [feature, bin] sums; bins up to it go left."""
-    left_g, left_h = np.cumsum(g, 1)[:, :-1], np.cumsum(h, 1)[:, :-1]
-    all_g, all_h = g[0].sum(), h[0].sum()
+def best_splits(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gain, feature, bin) of the best cut of each node's [node, feature, bin] sums; bins up to it go left."""
+    left_g, left_h = np.cumsum(g, 2)[:, :, :-1], np.cumsum(h, 2)[:, :, :-1]
+    all_g, all_h = (x[:, 0].sum(1)[:, None, None] for x in (g, h))
     right_g, right_h = all_g - left_g, all_h - left_h
 
     def score(a, b):
         return a * a / (b + PENALTY)
 
     gain = score(left_g, left_h) + score(right_g, right_h) - score(all_g, all_h)
-    gain = np.where((left_h >= LEAST_HESSIAN) & (right_h >= LEAST_HESSIAN), gain, -np.inf)
-    best = int(gain.argmax())
-    return float(gain.flat[best]), *map(int, np.unravel_index(best, gain.shape))
+    gain = np.where((left_h >= LEAST_HESSIAN) & (right_h >= LEAST_HESSIAN), gain, -np.inf).reshape(len(g), -1)
+    best = gain.argmax(1)
+    return gain[np.arange(len(g)), best], *np.divmod(best, g.shape[2] - 1)
 
 
 class _Level:
@@ -381,6 +381,11 @@ class _Level:
 def _split(level: _Level, grown: Grown, depth_now: int, bins: int) -> _Level:
     """Split or close every open node; returns the next level."""
     ahead = _Level([])
+    asked = [(m, n) for m, nodes in level.nodes.items() for n in nodes if depth_now < grown.learners[m].settings.max_depth]
+    found = {}
+    if asked:
+        sums = np.stack([level.known[k] for k in asked])
+        found = dict(zip(asked, zip(*(x.tolist() for x in best_splits(sums[:, 0], sums[:, 1])))))
     for m, nodes in level.nodes.items():
         settings = grown.learners[m].settings
         ahead.nodes[m], ahead.summed[m] = [], []
@@ -388,7 +393,7 @@ def _split(level: _Level, grown: Grown, depth_now: int, bins: int) -> _Level:
             g, h = level.known[m, node]
             all_g, all_h = g[0].sum(), h[0].sum()
             grown.real[m, node], grown.cover[m, node] = True, all_h
-            gain, feature, cut = best_split(g, h) if depth_now < settings.max_depth else (-np.inf, 0, 0)
+            gain, feature, cut = found.get((m, node), (-np.inf, 0, 0))
             if gain <= LEAST_GAIN:
                 _close(grown, m, node, -all_g / (all_h + PENALTY) * settings.learning_rate)
                 continue
