@@ -450,8 +450,11 @@ def shared(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], n
     return out
 
 
-def _compared(docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The links (a, b) between classes, by node, a < b.
+def _compared(
+    docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int, counted: bool = False
+) -> DataFrame:
+    """The links (a, b) between classes, by node, a < b; or (node, n), the rows that a class's links lead to,
+    added up by ``copies`` where the links are found.
 
     Near copies of one text link all with all, so the number of links grows with the square of a component's different
     texts, and so does this: blocks of classes meet in pairs, each in one task.
@@ -462,13 +465,15 @@ def _compared(docs: DataFrame, classes: DataFrame, key: str, text: str, width: i
     )
     wanted = written(
         classes.join(groups, "root").select(
-            "node", "key", "hi", "lo", "root", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("block")
+            "node", "key", "hi", "lo", "root", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("block"),
+            *(["copies"] if counted else []),
         )
-    )
+    )
     rows = sets_of(docs, wanted, key, text, width)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "hashes"
-    )
+        "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "hashes",
+        *(["copies"] if counted else []),
+    )
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -486,10 +491,17 @@ def _compared(docs: DataFrame, classes: DataFrame, key: str, text: str, width: i
         if x[0] == y[0]:
             near = np.triu(near, 1)
         i, j = np.nonzero(near)
+        if counted:
+            copies = table.column("copies").to_numpy()
+            n = np.zeros(len(nodes), np.int64)
+            np.add.at(n, mine[i], copies[yours[j]])
+            np.add.at(n, yours[j], copies[mine[i]])
+            some = n > 0
+            return pa.table([pa.array(nodes[some]), pa.array(n[some])], ["node", "n"])
         a, b = nodes[mine[i]], nodes[yours[j]]
         return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return rows.groupBy("root", "x", "y").applyInArrow(run, "a long, b long")
+    return rows.groupBy("root", "x", "y").applyInArrow(run, "node long, n long" if counted else "a long, b long")
 
 
 def pairs(
@@ -520,10 +532,9 @@ def links(
     null and whose set no row with a key has is in no class, so it has and makes no links."""
     rows, classes = _linked(docs, key, text, width, percent, most)
     rows = written(rows)
-    copies = rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
-    met = _compared(docs, classes, key, text, width, percent)
-    met = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = met.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    copies = written(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("copies")))
+    met = _compared(docs, classes.join(copies, "node"), key, text, width, percent, True)
+    others = met.groupBy("node").agg(F.sum("n").alias("others"))
     # written, so that both sides of the last join are plain shuffles and Spark can split a class with very many copies
     counts = written(copies.join(others, "node", "left").select(
         F.col("node").alias("of"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("m")
