@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegralType
 
 from keepwell.llm.arrays import NOT_SPACE, Block, Words, blocks, ragged
 from keepwell.session import ship_package
@@ -68,6 +69,38 @@ def tokenizer(path: str):
     return out
 
 
+# fixed values: how the vocabulary that the shortcut below is made for normalises and splits
+WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+@lru_cache(maxsize=2)
+def wordwise(path: str) -> bool:
+    """Whether a file normalises and splits as the shortcut expects."""
+    settings = json.loads(tokenizer(path).to_str())
+    return settings["model"]["type"] == "BPE" and all(settings[k] == v for k, v in WORDWISE.items())
+
+
 def _byte_letters() -> dict[int, str]:
     """The letters that byte-level vocabularies write bytes with, for characters up to 255."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -82,14 +115,15 @@ class Encoder:
     The library spends most of its time on normalising and splitting. Chunks of visible ASCII and of
     Latin-1 letters need no composition, and their case and splitting follow from a pattern on
     few characters, so their pieces go straight to the library's model; all others through the
-    whole library.
+    whole library. That holds for files that normalise and split as ``WORDWISE`` says; with any other, whole
+    texts go through the library.
     """
 
     SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str, end_id: int = END_ID):
-        self.library, self.end_id = tokenizer(path), end_id
+        self.library, self.end_id, self.wordwise = tokenizer(path), end_id, wordwise(path)
         self.model, self.letters = self.library.model, _byte_letters()
         # ids as the bytes of 32-bit numbers: joined without a loop over numbers
         self.known: dict[bytes, bytes] = {}
@@ -119,6 +153,10 @@ class Encoder:
 
     def __call__(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with an end id after each, number of each text's ids)."""
+        if not self.wordwise:
+            whole = self.library.encode_batch([t.decode() for t in block.texts], add_special_tokens=False)
+            lists = [[*e.ids, self.end_id] for e in whole]
+            return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
         words = Words(block, NOT_SPACE)
         _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         data = block.data.tobytes()
@@ -140,6 +178,8 @@ def write(
     spark = docs.sparkSession
     ship_package(spark)
     path = path or default_path()
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise ValueError(f"the files hold keys as 64-bit integers; {key} is {docs.schema[key].dataType.simpleString()}")
     kind = "<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root)

@@ -85,3 +85,20 @@ def test_reads_in_ranges(monkeypatch, spark, documents, library, tmp_path):
             assert len(keys) <= 3 and len(place) == len(keys) + 1 and place[-1] - place[0] == len(ids)
             seen += len(keys)
     assert seen == 50
+
+
+def test_another_vocabulary_equals_the_library(texts, odd_texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert T.wordwise(T.default_path()) and not T.wordwise(path)
+    some = [*odd_texts, *list(texts.values())[:40]]
+    some = [t or "" for t in some]
+    ids, count = T.Encoder(path, 7)(Block([t.encode() for t in some]))
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    want = [library.encode(t, add_special_tokens=False).ids + [7] for t in some]
+    assert ids.tolist() == [i for x in want for i in x] and count.tolist() == [len(x) for x in want]
+
+
+def test_keys_must_be_integers(documents, tmp_path):
+    with pytest.raises(ValueError, match="64-bit integers"):
+        T.write(documents.withColumn("doc_id", documents.doc_id.cast("string")), str(tmp_path))
