@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Protocol
 
 import numpy as np
@@ -114,11 +115,13 @@ def fit_logistic(rows: DataFrame, sets: Sequence[Parts], balanced: bool = True)
 
 def fit_oversampled(rows: DataFrame, sets: Sequence[Parts], seed: int = SEED) -> list[logistic.Logistic]:
     """The minority is raised by synthetic rows made from the rows a model learns from alone."""
-    made = [
-        synthetic_minority(rows.filter(F.col(PART).isin(*parts)), FEATURES, TARGET, ROW_ID, seed=seed)
-        .select(*FEATURES, TARGET, F.lit(i).alias(PART))
-        for i, parts in enumerate(sets)
-    ]
+    def oversampled(job: tuple[int, Parts]) -> DataFrame:
+        i, parts = job
+        some = synthetic_minority(rows.filter(F.col(PART).isin(*parts)), FEATURES, TARGET, ROW_ID, seed=seed)
+        return some.select(*FEATURES, TARGET, F.lit(i).alias(PART))
+
+    with ThreadPool(min(8, len(sets))) as pool:  # the sets need nothing of each other
+        made = pool.map(oversampled, list(enumerate(sets)), chunksize=1)
     together = materialize(reduce(DataFrame.unionByName, made))
     return logistic.fit(together, FEATURES, TARGET, PART, [(i,) for i in range(len(sets))], [(1.0, 1.0)] * len(sets))
 
