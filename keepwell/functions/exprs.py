@@ -23,7 +23,7 @@ def rounded(c: str | Column, digits: int) -> Column:
     12.499999998 stays below 12.5.
     """
     c = as_column(c)
-    exact = F.round(c.cast("decimal(38,10)"), digits).cast("double")
+    exact = F.round(c, digits).cast("double")
     near = F.round(c.cast("double") * F.lit(1 + 1e-14), digits)
     # the type is known when the plan is made, so only one of the two remains
     return F.when(F.startswith(F.typeof(c), F.lit("decimal")), exact).otherwise(near)

@@ -29,6 +29,12 @@ def test_rounding_keeps_decimal_ties(spark):
     assert got == [0.15, 1.01, -0.15, 2.5, None]
 
 
+def test_decimals_are_rounded_once(spark):
+    df = spark.sql("SELECT CAST('0.1449999999999' AS DECIMAL(20,13)) AS x, CAST('12345678901234567890.125' AS DECIMAL(38,3)) AS y, 3 AS z")
+    got = df.select(exprs.rounded("x", 2), exprs.rounded("y", 2), exprs.rounded("z", 2)).first()
+    assert tuple(got) == (0.14, 12345678901234567890.13, 3.0)
+
+
 def test_at_least_keeps_null_and_ratio_handles_zero(spark):
     df = spark.createDataFrame([(None, 0.0), (1.0, 2.0)], "a double, b double")
     got = df.select(exprs.at_least("a", 5.0), exprs.ratio("b", F.lit(0))).collect()
