@@ -2,8 +2,8 @@
 
 Rows are binned to bytes once. A pass over them sums gradients and Hessians by (model, node, feature,
 bin), so the number of jobs follows depth x trees, however many settings and folds are fitted. Only
-the smaller child of a split is summed; its sibling is the parent minus it. What reaches the driver is the
-summed histograms, whose size depends on models, nodes, features and bins alone.
+the smaller child of a split is summed; its sibling is the parent minus it. The tasks' histograms meet by model in
+tasks, which keep them for the next level and choose the best splits; only splits reach the driver.
 
 * The loss is the logistic one; positives of a model weigh ``weight``. A split gains
   GL^2/(HL+1) + GR^2/(HR+1) - G^2/(H+1), needs a Hessian of 1 on each side, and goes to the first feature and
@@ -15,6 +15,8 @@ summed histograms, whose size depends on models, nodes, features and bins alone.
   ``STATE_EVERY`` trees new margins take their place, and a pass adds the trees since then. Hundreds of short passes over
   partitions' own state are what RDDs are for: a pass takes a quarter of the time that a planned query does. A lost block is made
   again from the written table of bins and at most ``REPLAY`` trees' steps.
+* A block holds the rows of one part and the margins of the models that learn from it. Its rows are taken in pieces that stay in the
+  processor's cache; features with few bins are counted together, as one feature with a bin for each combination.
 
 Missing and NaN features lie in the lowest bin and go left.
 """
@@ -39,8 +41,10 @@ STATE_EVERY = 4
 REPLAY = 32
 #: (row, model) pairs that a task of a small fit works on, and rows that a task of a large one does
 TASK_PAIRS, TASK_ROWS = 200_000, 500_000
-#: sums of so many tasks meet on the driver; those of more meet in tasks first
-FEW_TASKS = 16
+#: rows that are worked on at once, and bins that features counted together have at most
+PIECE_ROWS, JOINT_BINS = 1 << 15, 1 << 12
+#: nodes of so many levels are compared side by side, those of deeper levels row by row
+SIDE_BY_SIDE = 6
 _UNIT = float(1 << 20)
 
 
@@ -190,27 +194,47 @@ def binned(
 
 @dataclass
 class Block:
-    """The rows of a partition: ``bins`` is [feature, row], ``margins`` [model, row]."""
+    """The rows of a partition and a part: ``bins`` is [feature, row], ``margins`` [model that learns from the part, row]."""
 
     key: np.ndarray
-    part: np.ndarray
+    part: int
     label: np.ndarray
     bins: np.ndarray
-    margins: np.ndarray
+    margins: np.ndarray | None = None  # all zero
 
+    def pieces(self) -> Iterator[slice]:
+        for start in range(0, len(self.key), PIECE_ROWS):
+            yield slice(start, start + PIECE_ROWS)
 
-def _block(rows: Iterator, features: int, models: int) -> Iterator[Block]:
+
+def _blocks(rows: Iterator, features: int) -> Iterator[Block]:
     key, part, label, bins = [], [], [], []
     for r in rows:
         key.append(r[0])
         part.append(r[1])
         label.append(r[2])
         bins.append(bytes(r[3]))
+    key, part, label = np.array(key, np.int64), np.array(part, np.int32), np.array(label, np.int32)
     table = np.frombuffer(b"".join(bins), np.uint8).reshape(-1, features)
-    yield Block(
-        np.array(key, np.int64), np.array(part, np.int32), np.array(label, np.int32), np.ascontiguousarray(table.T),
-        np.zeros((models, len(key))),
-    )
+    for p in np.unique(part).tolist():
+        mine = np.flatnonzero(part == p)
+        yield Block(key[mine], p, label[mine], np.ascontiguousarray(table[mine].T))
+
+
+def together(widths: Sequence[int]) -> list[list[int]]:
+    """Features dealt out so that those of a group have at most ``JOINT_BINS`` combinations of bins, if more than one."""
+    groups: list[list[int]] = []
+    size: list[int] = []
+    for f in sorted(range(len(widths)), key=lambda f: (-widths[f], f)):
+        for i, taken in enumerate(size):
+            if taken * widths[f] <= JOINT_BINS:
+                groups[i].append(f)
+                size[i] *= widths[f]
+                break
+        else:
+            groups.append([f])
+            size.append(widths[f])
+    return groups
 
 
 # -- growing -----------------------------------------------------------------
@@ -256,14 +280,29 @@ class Grown:
         self.real = np.zeros(shape, bool)
 
     def place(self, model: int, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node of each row (``bins`` is [feature, row]) after so many levels."""
-        at = np.zeros(bins.shape[1], np.int64)
-        rows = np.arange(bins.shape[1])
+        """The node of each row (``bins`` is [feature, row]) after so many levels, counted from the first of its level."""
         feature, cut = self.feature[model], self.cut[model]
-        for _ in range(levels):
-            at = 2 * at + 1 + (bins[feature[at], rows] > cut[at])
+        at = np.zeros(bins.shape[1], np.uint8)
+        path: list[np.ndarray] = []
+        for level in range(min(levels, SIDE_BY_SIDE)):
+            first = 2**level - 1
+            right = [(bins[feature[n]] > int(cut[n])).view(np.uint8) for n in range(first, 2 * first + 1)]
+            for turn in reversed(path):  # the last turn decides between neighbours
+                right = [a ^ (turn & (a ^ b)) for a, b in zip(right[::2], right[1::2])]
+            path.append(right[0])
+            at = at * np.uint8(2) + right[0]
+        if levels <= SIDE_BY_SIDE:
+            return at
+        at, rows = at.astype(np.int64), np.arange(bins.shape[1])
+        for level in range(SIDE_BY_SIDE, levels):
+            node = at + 2**level - 1
+            at = 2 * at + (bins[feature[node], rows] > cut[node])
         return at
 
+    def below(self, model: int, levels: int) -> np.ndarray:
+        """The values of the nodes after so many levels."""
+        return self.value[model, 2**levels - 1 : 2 ** (levels + 1) - 1]
+
 
 @dataclass
 class _Pass:
@@ -278,55 +317,90 @@ class _Pass:
     seed: int
     #: for each model, the slot of each node of this level or -1
     slots: dict[int, np.ndarray]
-    features: int
-    bins: int
+    #: bins of each feature
+    widths: list[int]
+
+    def learning(self, part: int) -> list[int]:
+        """The models whose margins a block of the part holds."""
+        return [m for m, x in enumerate(self.learners) if part in x.parts]
 
-    def margins(self, model: int, bins: np.ndarray, stored: np.ndarray) -> np.ndarray:
-        out = stored.copy()
+    def margins(self, model: int, bins: np.ndarray, stored: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        out = stored[rows].copy()
         depth = self.learners[model].settings.max_depth
         for grown in self.recent:
-            out += grown.value[model][grown.place(model, bins, depth)]
+            out += grown.below(model, depth).take(grown.place(model, bins, depth)[rows])
         return out
 
-    def histograms(self, blocks: Iterator[Block]) -> Iterator[dict[int, np.ndarray]]:
-        """For each model its summed gradients and Hessians by (slot, feature, bin)."""
-        cell = self.features * self.bins
-        total = {m: np.zeros((2, (self.slots[m].max(initial=-1) + 1) * cell)) for m in self.active}
-        first = 2**self.level - 1
-        offset = np.arange(self.features)[:, None] * self.bins
+    def histograms(self, blocks: Iterator[Block]) -> Iterator[tuple[int, tuple]]:
+        """For each model its summed gradients and Hessians as [2, slot, bins of all features in turn]."""
+        groups = together(self.widths)
+        cells = [int(np.prod([self.widths[f] for f in g])) for g in groups]
+        number = {m: self.slots[m].max(initial=-1) + 1 for m in self.active}
+        total = {m: [np.zeros((2, number[m] * c)) for c in cells] for m in self.active}
         for block in blocks:
-            drawn: dict[float, np.ndarray] = {}
-            for m in self.active:
-                learner = self.learners[m]
-                share = learner.settings.subsample
-                if share not in drawn:
-                    drawn[share] = in_sample(block.key, self.tree, share, self.seed)
-                rows = np.flatnonzero(np.isin(block.part, learner.parts) & drawn[share])
-                x = block.bins[:, rows]
-                slot = self.slots[m][self.growing.place(m, x, self.level) - first]
-                wanted = slot >= 0
-                if not wanted.all():
-                    rows, x, slot = rows[wanted], x[:, wanted], slot[wanted]
-                if not len(rows):
-                    continue
-                g, h = gradients(self.margins(m, x, block.margins[m, rows]), block.label[rows], learner.weight)
-                at = (x + (offset + slot * cell)).ravel()
-                for i, v in enumerate((g, h)):
-                    total[m][i] += np.bincount(at, np.tile(v, self.features), minlength=total[m].shape[1])
-        yield total
+            models = [(i, m) for i, m in enumerate(self.learning(block.part)) if m in total]
+            for piece in block.pieces():
+                bins, label, key = block.bins[:, piece], block.label[piece], block.key[piece]
+                zero = np.zeros(len(key))
+                codes = []
+                for group in groups:
+                    code = bins[group[0]].astype(np.intp)
+                    for f in group[1:]:
+                        code *= self.widths[f]
+                        code += bins[f]
+                    codes.append(code)
+                drawn = {s: in_sample(key, self.tree, s, self.seed) for s in {self.learners[m].settings.subsample for _, m in models}}
+                drawn = {s: None if mask.all() else mask for s, mask in drawn.items()}
+                some = {s: None if mask is None else np.flatnonzero(mask) for s, mask in drawn.items()}
+                taken = {s: codes if rows is None else [c.take(rows) for c in codes] for s, rows in some.items()}
+                for i, m in models:
+                    learner = self.learners[m]
+                    share = learner.settings.subsample
+                    stored = zero if block.margins is None else block.margins[i, piece]
+                    slot = None
+                    if self.level:
+                        at = self.growing.place(m, bins, self.level)
+                        wanted = (self.slots[m] >= 0).take(at)
+                        if drawn[share] is not None:
+                            wanted &= drawn[share]
+                        rows = np.flatnonzero(wanted)
+                        if not len(rows):
+                            continue
+                        mine = [c.take(rows) for c in codes]
+                        if number[m] > 1:
+                            slot = self.slots[m].take(at[rows])
+                    else:
+                        rows = slice(None) if some[share] is None else some[share]
+                        mine = taken[share]
+                    g, h = gradients(self.margins(m, bins, stored, rows), label[rows], learner.weight)
+                    for out, code, c in zip(total[m], mine, cells):
+                        if slot is not None:
+                            code += slot * c
+                        for j, v in enumerate((g, h)):
+                            out[j] += np.bincount(code, v, minlength=out.shape[1])
+        for m in self.active:
+            yield m, (None, self.apart(total[m], groups, int(number[m])))
+
+    def apart(self, sums: list[np.ndarray], groups: list[list[int]], slots: int) -> np.ndarray:
+        """The sums of each feature's own bins."""
+        found: dict[int, np.ndarray] = {}
+        for group, joint in zip(groups, sums):
+            joint = joint.reshape(2, slots, *[self.widths[f] for f in group])
+            for i, f in enumerate(group):
+                found[f] = joint.sum(tuple(2 + j for j in range(len(group)) if j != i))
+        return np.concatenate([found[f] for f in range(len(self.widths))], axis=2)
 
     def stored(self, block: Block) -> Block:
         """The rows with their margins brought up to date."""
-        now = block.margins.copy()
-        for m in self.active:
-            now[m] = self.margins(m, block.bins, block.margins[m])
+        models = self.learning(block.part)
+        now = np.zeros((len(models), len(block.key))) if block.margins is None else block.margins.copy()
+        for piece in block.pieces():
+            for i, m in enumerate(models):
+                if m in self.active:
+                    now[i, piece] = self.margins(m, block.bins[:, piece], now[i, piece])
         return Block(block.key, block.part, block.label, block.bins, now)
 
 
-def _added(a: dict[int, np.ndarray], b: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    return {m: a[m] + b[m] for m in a}
-
-
 def _stepped(block: Block, steps: Sequence[_Pass]) -> Block:
     for step in steps:
         block = step.stored(block)
@@ -348,14 +422,12 @@ def best_splits(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return gain[np.arange(len(g)), best], *np.divmod(best, g.shape[2] - 1)
 
 
+@dataclass
 class _Level:
-    """The open nodes of all models: histograms of each, and which are summed next."""
+    """The open nodes of all models, and which are summed next; the others are their parents minus these."""
 
-    def __init__(self, active: Sequence[int]):
-        self.nodes = {m: [0] for m in active}  # nodes that may be split
-        self.summed = {m: [0] for m in active}  # those among them that tasks sum
-        self.parents: dict[tuple[int, int], np.ndarray] = {}
-        self.known: dict[tuple[int, int], np.ndarray] = {}
+    nodes: dict[int, list[int]]  # nodes that may be split
+    summed: dict[int, list[int]]  # those among them that tasks sum
 
     def slots(self, level: int) -> dict[int, np.ndarray]:
         out = {}
@@ -365,49 +437,60 @@ class _Level:
             out[m] = slot
         return out
 
-    def take(self, sums: Mapping[int, np.ndarray], features: int, bins: int) -> None:
-        """Histograms of the summed nodes, and of their siblings by subtraction."""
-        for m, nodes in self.summed.items():
-            if not nodes:
-                continue
-            found = sums[m].reshape(2, len(nodes), features, bins)
-            for i, node in enumerate(nodes):
-                self.known[m, node] = found[:, i]
+    def choose(self, found: Iterator[tuple[int, tuple]], widths: Sequence[int], bins: int) -> Iterator[tuple[int, tuple]]:
+        """(model, (open nodes, their histograms, their choices)) from the tasks' sums and the level before.
+
+        A choice is gain, feature, cut and the sums of gradients and Hessians in the node, left and right of the cut.
+        """
+        sums: dict[int, np.ndarray] = {}
+        parents: dict[int, dict[int, np.ndarray]] = {}
+        for m, (nodes, histograms) in found:
+            if nodes is None:
+                sums[m] = sums[m] + histograms if m in sums else histograms
+            else:
+                parents[m] = dict(zip(nodes, histograms))
+        ends = np.cumsum(widths)
+        for m, summed in sums.items():
+            known = {}
+            for i, node in enumerate(self.summed[m]):
+                known[node] = summed[:, i]
                 if node:
-                    sibling = node + 1 if node % 2 else node - 1
-                    self.known[m, sibling] = self.parents[m, (node - 1) // 2] - found[:, i]
-
-
-def _split(level: _Level, grown: Grown, depth_now: int, bins: int) -> _Level:
+                    known[node + 1 if node % 2 else node - 1] = parents[m][(node - 1) // 2] - summed[:, i]
+            nodes = self.nodes[m]
+            histograms = np.stack([known[n] for n in nodes])
+            table = np.zeros((len(nodes), 2, len(widths), bins))
+            for f, (end, width) in enumerate(zip(ends, widths)):
+                table[:, :, f, :width] = histograms[:, :, end - width : end]
+            gain, feature, cut = best_splits(table[:, 0], table[:, 1])
+            chosen = table[np.arange(len(nodes)), :, feature]  # [node, 2, bin]
+            left = np.where(np.arange(bins) <= cut[:, None, None], chosen, 0.0).sum(2)
+            inside = table[:, :, 0].sum(2)
+            yield m, (nodes, histograms, np.column_stack([gain, feature, cut, inside, left, chosen.sum(2) - left]))
+
+
+def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth_now: int) -> _Level:
     """Split or close every open node; returns the next level."""
-    ahead = _Level([])
-    asked = [(m, n) for m, nodes in level.nodes.items() for n in nodes if depth_now < grown.learners[m].settings.max_depth]
-    found = {}
-    if asked:
-        sums = np.stack([level.known[k] for k in asked])
-        found = dict(zip(asked, zip(*(x.tolist() for x in best_splits(sums[:, 0], sums[:, 1])))))
+    ahead = _Level({}, {})
     for m, nodes in level.nodes.items():
+        if not nodes:
+            continue
         settings = grown.learners[m].settings
         ahead.nodes[m], ahead.summed[m] = [], []
-        for node in nodes:
-            g, h = level.known[m, node]
-            all_g, all_h = g[0].sum(), h[0].sum()
+        for node, (gain, feature, cut, all_g, all_h, *sides) in zip(nodes, choices[m].tolist()):
             grown.real[m, node], grown.cover[m, node] = True, all_h
-            gain, feature, cut = found.get((m, node), (-np.inf, 0, 0))
-            if gain <= LEAST_GAIN:
+            if depth_now >= settings.max_depth or gain <= LEAST_GAIN:
                 _close(grown, m, node, -all_g / (all_h + PENALTY) * settings.learning_rate)
                 continue
-            grown.inner[m, node], grown.feature[m, node], grown.cut[m, node] = True, feature, cut
+            grown.inner[m, node], grown.feature[m, node], grown.cut[m, node] = True, int(feature), int(cut)
             left, right = 2 * node + 1, 2 * node + 2
+            left_g, left_h, right_g, right_h = sides
             if depth_now + 1 == settings.max_depth:  # sums of the children are known, so no pass is needed
-                for child, part in ((left, slice(0, cut + 1)), (right, slice(cut + 1, bins))):
-                    child_g, child_h = g[feature, part].sum(), h[feature, part].sum()
+                for child, child_g, child_h in ((left, left_g, left_h), (right, right_g, right_h)):
                     grown.real[m, child], grown.cover[m, child] = True, child_h
                     _close(grown, m, child, -child_g / (child_h + PENALTY) * settings.learning_rate)
                 continue
             ahead.nodes[m] += [left, right]
-            ahead.summed[m].append(left if h[feature, : cut + 1].sum() <= h[feature, cut + 1 :].sum() else right)
-            ahead.parents[m, node] = level.known[m, node]
+            ahead.summed[m].append(left if left_h <= right_h else right)
     return ahead
 
 
@@ -432,12 +515,14 @@ def fit(
     """The model of each learner. ``part`` numbers the disjoint parts of the rows that learners choose from."""
     spark = rows.sparkSession
     edges = cuts(rows, features, bins)
-    total = rows.count()
-    tasks = max(-(-total // TASK_ROWS), min(-(-total * len(learners) // TASK_PAIRS), spark.sparkContext.defaultParallelism))
-    table = written(binned(rows, features, label, part, key, edges).repartition(max(tasks, 1)))
-    k, models = len(features), len(learners)
-    base = table.rdd.mapPartitions(lambda r: _block(r, k, models))
-    state = base.persist(StorageLevel.MEMORY_AND_DISK)
+    total, at_once = rows.count(), spark.sparkContext.defaultParallelism
+    tasks = max(-(-total // TASK_ROWS), min(-(-total * len(learners) // TASK_PAIRS), at_once), 1)
+    if tasks > at_once:  # whole rounds
+        tasks = -(-tasks // at_once) * at_once
+    table = written(binned(rows, features, label, part, key, edges).repartition(tasks))
+    k, widths = len(features), [len(e) + 1 for e in edges]
+    base = table.rdd.mapPartitions(lambda r: _blocks(r, k)).persist(StorageLevel.MEMORY_AND_DISK)
+    state = base
     most = max(x.settings.trees for x in learners)
     recent: list[Grown] = []
     since: list[_Pass] = []  # the steps from the bins to the margins stored now
@@ -445,13 +530,23 @@ def fit(
     for tree in range(most):
         active = [m for m, x in enumerate(learners) if tree < x.settings.trees]
         grown = Grown(learners)
-        level, depth = _Level(active), 0
+        level, depth = _Level({m: [0] for m in active}, {m: [0] for m in active}), 0
+        known = None  # the histograms of the level before
         while any(level.nodes.values()):
-            now = [m for m in active if level.summed[m]]
-            work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), k, bins)
-            level.take(state.mapPartitions(work.histograms).treeReduce(_added, 1 if tasks <= FEW_TASKS else 2), k, bins)
-            level = _split(level, grown, depth, bins)
+            now = [m for m in active if level.summed.get(m)]
+            work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), widths)
+            found = state.mapPartitions(work.histograms)
+            if known is not None:
+                found = found.union(known.mapValues(lambda x: x[:2]))
+            meet = min(tasks, len(now))
+            found = found.coalesce(1) if tasks == 1 else found.partitionBy(meet, lambda m: m)
+            last, known = known, found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins))
+            known = known.persist(StorageLevel.MEMORY_AND_DISK)
+            level = _split(level, known.mapValues(lambda x: x[2]).collectAsMap(), grown, depth)
             depth += 1
+            if last is not None:
+                last.unpersist()
+        known.unpersist()
         for m in active:
             for node in np.flatnonzero(grown.real[m]).tolist():
                 inner = bool(grown.inner[m, node])
@@ -462,14 +557,16 @@ def fit(
         recent.append(grown)
         if len(recent) == STATE_EVERY and tree + 1 < most:
             before = state
-            step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, k, bins)
+            step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, widths)
             since.append(step)
             anew = (tree + 1) % REPLAY == 0
             steps = list(since) if anew else [step]
             state = (base if anew else before).map(lambda block, steps=steps: _stepped(block, steps))
             state = state.persist(StorageLevel.MEMORY_AND_DISK)
             state.count()
-            before.unpersist()
+            if before is not base:
+                before.unpersist()
             recent = []
     state.unpersist()
+    base.unpersist()
     return [BoostedTrees(tuple(features), tuple(n)) for n in nodes]

@@ -1,8 +1,11 @@
 """Boosting, forests and logistic regression fitted for several sets of rows at once, against plain loops."""
 
+import pickle
+
 import duckdb
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from keepwell.operators import boosting, forest, logistic
@@ -98,6 +101,41 @@ def test_boosting_does_not_depend_on_the_parts(rows, monkeypatch):
     assert [m.nodes for m in one] == [m.nodes for m in again]
 
 
+def test_only_splits_reach_the_driver(rows, monkeypatch):
+    sent, collect = [], RDD.collect
+
+    def counted(self):
+        found = collect(self)
+        sent.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    boosting.fit(rows, NAMES, "churned", "part", "id", LEARNERS, 3, 64)
+    assert sent and max(sent) < 3000  # the histograms of two roots have 2 x 2 x 3 x 64 doubles
+
+
+def test_rows_fall_to_their_nodes():
+    rng = np.random.default_rng(1)
+    grown = boosting.Grown([boosting.Learner(boosting.BoostSettings(8, 0.1, 1), (0,), 1.0)])
+    grown.feature[:], grown.cut[:] = rng.integers(0, 4, grown.feature.shape), rng.integers(0, 9, grown.cut.shape)
+    grown.cut[0, 2] = 255
+    bins = rng.integers(0, 10, (4, 500)).astype(np.uint8)
+    for levels in range(9):
+        want = np.zeros(500, int)
+        for i in range(500):
+            for _ in range(levels):
+                want[i] = 2 * want[i] + 1 + (bins[grown.feature[0, want[i]], i] > grown.cut[0, want[i]])
+        assert (grown.place(0, bins, levels) + 2**levels - 1 == want).all()
+
+
+def test_features_are_counted_together():
+    widths = [64, 20, 64, 64, 3, 1, 5, 64]
+    groups = boosting.together(widths)
+    assert sorted(f for g in groups for f in g) == list(range(8)) and len(groups) < 8
+    assert all(len(g) == 1 or np.prod([widths[f] for f in g]) <= boosting.JOINT_BINS for g in groups)
+    assert boosting.together([9000, 2, 2]) == [[0], [1, 2]]
+
+
 def test_a_prefix_is_a_shorter_fit(rows):
     long, short = boosting.Learner(boosting.BoostSettings(2, 0.2, 6), (0, 1, 2), 1.0), boosting.Learner(boosting.BoostSettings(2, 0.2, 2), (0, 1, 2), 1.0)
     a, b = boosting.fit(rows, NAMES, "churned", "part", "id", [long, short], 3, 8)
