@@ -80,7 +80,12 @@ class Model:
         sort = np.argsort(key)
         self.keys, self.ranks = key[sort], np.fromiter(self.merges.values(), np.int32, len(key))[sort]
         self.flags = np.zeros(1 << 22, bool)
-        self.flags[self._slot(self.keys)] = True
+        slot = self._slot(self.keys)
+        self.flags[slot] = True
+        # the key's number by its slot; keys that share a slot with others are searched for
+        self.number = np.zeros(1 << 22, np.int32)
+        self.number[slot] = np.arange(len(slot))
+        self.alone = len(np.unique(slot)) == len(slot)
         self.unknown = n  # the symbol of a character without a piece
         self.symbol = np.full(0x110000, n, np.int32)
         for p, i in plain.items():
@@ -101,9 +106,13 @@ class Model:
         """Rank of the piece that each pair merges into, ``_NEVER`` if none."""
         key = left.astype(np.int64) * (self.size + 1) + right
         out = np.full(len(key), _NEVER, np.int32)
-        at = np.flatnonzero(self.flags[self._slot(key)])
-        number = np.minimum(np.searchsorted(self.keys, key[at]), len(self.keys) - 1)
-        out[at] = np.where(self.keys[number] == key[at], self.ranks[number], _NEVER)
+        slot = self._slot(key)
+        at = np.flatnonzero(self.flags[slot])
+        key = key[at]
+        number = self.number[slot[at]]
+        if not self.alone and len(other := np.flatnonzero(self.keys[number] != key)):
+            number[other] = np.minimum(np.searchsorted(self.keys, key[other]), len(self.keys) - 1)
+        out[at] = np.where(self.keys[number] == key, self.ranks[number], _NEVER)
         return out
 
 
@@ -192,18 +201,20 @@ def _merge(symbols: np.ndarray, size: np.ndarray, unit: np.ndarray, model: Model
         more = found < _NEVER
         if not more.all():
             ended = number[~more]
-            done_symbols[ended], done_place[ended], done_size[ended] = symbols[~more], place[~more], size[~more]
+            done_symbols[ended, :width], done_place[ended, : width + 1] = symbols[~more], place[~more]
+            done_size[ended] = size[~more]
             number, symbols, place, size, rank, unit = (x[more] for x in (number, symbols, place, size, rank, unit))
             k, found, rows = k[more], found[more], np.arange(len(number))
             if not len(number):
                 break
         symbols[rows, k] = model.piece_of_rank[found]
-        drop = column[None, :] + (column[None, :] > k[:, None])
-        symbols = np.take_along_axis(symbols, np.minimum(drop, width - 1), axis=1)
-        rank = np.take_along_axis(rank, np.minimum(drop, width - 1), axis=1)
-        wide = np.arange(width + 1)
-        shift = np.minimum(wide[None, :] + (wide[None, :] > k[:, None]), width)
-        place = np.take_along_axis(place, shift, axis=1)
+        # every row loses the place after its merge, so all get narrower by one
+        kept = np.ones((len(rows), width + 1), bool)
+        kept[rows, k + 1] = False
+        place = place[kept].reshape(-1, width)
+        kept = np.flatnonzero(kept[:, :width])
+        symbols, rank = (x.ravel().take(kept).reshape(-1, width - 1) for x in (symbols, rank))
+        width -= 1
         size = size - 1
         rank[rows, k] = candidates(rows, k, symbols, place, size, unit)
         left = rows[k > 0]

@@ -109,3 +109,12 @@ def test_a_column_of_the_same_name(odd_docs):
     clashing = odd_docs.withColumnsRenamed({"hi": "ids"})
     found = P.transcribe(clashing)
     assert found.columns == [*clashing.columns, "_ids"] and found.count() == odd_docs.count()
+
+
+def test_merges_are_found_by_their_slot(model):
+    found = model.keys[model.number[model._slot(model.keys)]] == model.keys
+    assert found.mean() > 0.9  # the rest share a slot and are searched for
+    left, right = np.array(list(model.merges)).T
+    assert (model.rank(left, right) == list(model.merges.values())).all()
+    other = np.array([p for p in zip(left, right[::-1]) if tuple(map(int, p)) not in model.merges][:5000])
+    assert (model.rank(*other.T) == P._NEVER).all()
