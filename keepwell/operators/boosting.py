@@ -43,6 +43,8 @@ REPLAY = 32
 TASK_PAIRS, TASK_ROWS = 200_000, 500_000
 #: rows that are worked on at once, and bins that features counted together have at most
 PIECE_ROWS, JOINT_BINS = 1 << 15, 1 << 12
+#: rows of a task for each of these bins: few rows would be lost among many bins
+ROWS_A_BIN = 8
 #: nodes of so many levels are compared side by side, those of deeper levels row by row
 SIDE_BY_SIDE = 6
 _UNIT = float(1 << 20)
@@ -221,13 +223,13 @@ def _blocks(rows: Iterator, features: int) -> Iterator[Block]:
         yield Block(key[mine], p, label[mine], np.ascontiguousarray(table[mine].T))
 
 
-def together(widths: Sequence[int]) -> list[list[int]]:
-    """Features dealt out so that those of a group have at most ``JOINT_BINS`` combinations of bins, if more than one."""
+def together(widths: Sequence[int], most: int = JOINT_BINS) -> list[list[int]]:
+    """Features dealt out so that those of a group have at most so many combinations of bins, if more than one."""
     groups: list[list[int]] = []
     size: list[int] = []
     for f in sorted(range(len(widths)), key=lambda f: (-widths[f], f)):
         for i, taken in enumerate(size):
-            if taken * widths[f] <= JOINT_BINS:
+            if taken * widths[f] <= most:
                 groups[i].append(f)
                 size[i] *= widths[f]
                 break
@@ -317,8 +319,9 @@ class _Pass:
     seed: int
     #: for each model, the slot of each node of this level or -1
     slots: dict[int, np.ndarray]
-    #: bins of each feature
+    #: bins of each feature, and bins that features counted together have at most
     widths: list[int]
+    joint: int
 
     def learning(self, part: int) -> list[int]:
         """The models whose margins a block of the part holds."""
@@ -333,7 +336,7 @@ class _Pass:
 
     def histograms(self, blocks: Iterator[Block]) -> Iterator[tuple[int, tuple]]:
         """For each model its summed gradients and Hessians as [2, slot, bins of all features in turn]."""
-        groups = together(self.widths)
+        groups = together(self.widths, self.joint)
         cells = [int(np.prod([self.widths[f] for f in g])) for g in groups]
         number = {m: self.slots[m].max(initial=-1) + 1 for m in self.active}
         total = {m: [np.zeros((2, number[m] * c)) for c in cells] for m in self.active}
@@ -451,12 +454,10 @@ class _Level:
                 parents[m] = dict(zip(nodes, histograms))
         ends = np.cumsum(widths)
         for m, summed in sums.items():
-            known = {}
-            for i, node in enumerate(self.summed[m]):
-                known[node] = summed[:, i]
-                if node:
-                    known[node + 1 if node % 2 else node - 1] = parents[m][(node - 1) // 2] - summed[:, i]
             nodes = self.nodes[m]
+            known = {node: summed[:, i] for i, node in enumerate(self.summed[m])}
+            for node in set(nodes) - set(known):
+                known[node] = parents[m][(node - 1) // 2] - known[node + 1 if node % 2 else node - 1]
             histograms = np.stack([known[n] for n in nodes])
             table = np.zeros((len(nodes), 2, len(widths), bins))
             for f, (end, width) in enumerate(zip(ends, widths)):
@@ -468,8 +469,8 @@ class _Level:
             yield m, (nodes, histograms, np.column_stack([gain, feature, cut, inside, left, chosen.sum(2) - left]))
 
 
-def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth_now: int) -> _Level:
-    """Split or close every open node; returns the next level."""
+def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth_now: int, both: bool) -> _Level:
+    """Split or close every open node; returns the next level, of which the smaller or ``both`` children are summed."""
     ahead = _Level({}, {})
     for m, nodes in level.nodes.items():
         if not nodes:
@@ -490,7 +491,7 @@ def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth
                     _close(grown, m, child, -child_g / (child_h + PENALTY) * settings.learning_rate)
                 continue
             ahead.nodes[m] += [left, right]
-            ahead.summed[m].append(left if left_h <= right_h else right)
+            ahead.summed[m] += [left, right] if both else [left if left_h <= right_h else right]
     return ahead
 
 
@@ -521,7 +522,9 @@ def fit(
         tasks = -(-tasks // at_once) * at_once
     table = written(binned(rows, features, label, part, key, edges).repartition(tasks))
     k, widths = len(features), [len(e) + 1 for e in edges]
-    base = table.rdd.mapPartitions(lambda r: _blocks(r, k)).persist(StorageLevel.MEMORY_AND_DISK)
+    joint = min(JOINT_BINS, total // tasks // ROWS_A_BIN)
+    alone = tasks == 1  # a single task sums both children and needs no histograms of the level before
+    base = (table.coalesce(1) if alone else table).rdd.mapPartitions(lambda r: _blocks(r, k)).persist(StorageLevel.MEMORY_AND_DISK)
     state = base
     most = max(x.settings.trees for x in learners)
     recent: list[Grown] = []
@@ -531,22 +534,24 @@ def fit(
         active = [m for m, x in enumerate(learners) if tree < x.settings.trees]
         grown = Grown(learners)
         level, depth = _Level({m: [0] for m in active}, {m: [0] for m in active}), 0
-        known = None  # the histograms of the level before
+        last = known = None  # the histograms of the level before
         while any(level.nodes.values()):
             now = [m for m in active if level.summed.get(m)]
-            work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), widths)
+            work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), widths, joint)
             found = state.mapPartitions(work.histograms)
             if known is not None:
                 found = found.union(known.mapValues(lambda x: x[:2]))
-            meet = min(tasks, len(now))
-            found = found.coalesce(1) if tasks == 1 else found.partitionBy(meet, lambda m: m)
-            last, known = known, found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins))
-            known = known.persist(StorageLevel.MEMORY_AND_DISK)
-            level = _split(level, known.mapValues(lambda x: x[2]).collectAsMap(), grown, depth)
+            if not alone:
+                found = found.partitionBy(min(tasks, len(now)), lambda m: m)
+            chosen = found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins))
+            if not alone:
+                last, known = known, chosen.persist(StorageLevel.MEMORY_AND_DISK)
+            level = _split(level, chosen.mapValues(lambda x: x[2]).collectAsMap(), grown, depth, alone)
             depth += 1
             if last is not None:
                 last.unpersist()
-        known.unpersist()
+        if known is not None:
+            known.unpersist()
         for m in active:
             for node in np.flatnonzero(grown.real[m]).tolist():
                 inner = bool(grown.inner[m, node])
@@ -557,7 +562,7 @@ def fit(
         recent.append(grown)
         if len(recent) == STATE_EVERY and tree + 1 < most:
             before = state
-            step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, widths)
+            step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, widths, joint)
             since.append(step)
             anew = (tree + 1) % REPLAY == 0
             steps = list(since) if anew else [step]
