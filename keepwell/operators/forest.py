@@ -91,7 +91,10 @@ def _hash(*values: np.ndarray | int) -> np.ndarray:
 def copies(key: np.ndarray, model: int, seed: int) -> np.ndarray:
     """How often each row stands in a tree's bag."""
     share = (_hash(key, model, seed) >> np.uint64(11)).astype(float) / float(1 << 53)
-    return np.searchsorted(_AT_MOST, share, "right")
+    number = np.zeros(len(share), np.int64)
+    for chance in _AT_MOST:
+        number += share >= chance
+    return number
 
 
 def tried(model: int, node: np.ndarray, features: int, number: int, seed: int) -> np.ndarray:
@@ -138,14 +141,17 @@ class _Pass:
 
     def opened(self, batch: pa.RecordBatch):
         key, part, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        bins = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, self.features)
-        return key, part, label, np.ascontiguousarray(bins.T).astype(np.int64)
+        fixed = batch.column(3).cast(pa.binary(self.features))
+        bins = np.frombuffer(fixed.buffers()[1] or b"", np.uint8, len(fixed) * self.features, fixed.offset * self.features)
+        bins = bins.reshape(-1, self.features)
+        return key, part, label, np.ascontiguousarray(bins.T)
 
     def place(self, model: int, bins: np.ndarray) -> np.ndarray:
         at = np.zeros(bins.shape[1], np.int64)
-        rows = np.arange(bins.shape[1])
+        rows, flat = np.arange(bins.shape[1]), bins.ravel()
+        start, cut = self.feature[model].astype(np.int64) * bins.shape[1], self.cut[model]
         for _ in range(self.level):
-            at = 2 * at + 1 + (bins[self.feature[model, at], rows] > self.cut[model, at])
+            at = 2 * at + 1 + (flat.take(start.take(at) + rows) > cut.take(at))
         return at
 
     def counts(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,10 +168,12 @@ class _Pass:
                 slot[self.open[m] - first] = np.arange(len(self.open[m]))
                 slot = slot[self.place(m, x) - first]
                 rows = np.flatnonzero(slot >= 0)
-                slot, base = slot[rows], slot[rows] * width + label[rows]
-                for i in range(self.tried):
-                    at = base + i * cell + x[may[m][slot, i], rows] * 2
-                    total[m] += np.bincount(at, number[rows], minlength=len(total[m])).astype(np.int64)
+                slot, copied = slot[rows], number[rows].astype(float)
+                at = may[m].T.take(slot, axis=1) * x.shape[1] + rows  # [tried feature, row]
+                at = 2 * x.ravel().take(at).astype(np.int64) + (slot * width + label[rows])
+                at += np.arange(self.tried)[:, None] * cell
+                found = np.bincount(at.ravel(), np.tile(copied, self.tried), minlength=len(total[m]))
+                total[m] += found.astype(np.int64)
         yield _sums(total)
 
     def choose(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import pickle
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import RDD
 from pyspark.sql import functions as F
@@ -252,3 +253,17 @@ def test_logistic_of_missing_values_and_one_label(rows):
     assert model.transform(rows).filter("probability IS NULL").count() == 0
     one = logistic.fit(rows.withColumn("churned", F.lit(0)), NAMES, "churned", "part", [(0,)], [(1.0, 1.0)])[0]
     assert one.intercept < -5
+
+
+def test_bins_are_read_as_bytes():
+    work = forest._Pass([(0,)], forest.ForestSettings(2), 1, 3, 8, 0, [0], np.zeros((1, 1), int), np.zeros((1, 1), int))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5, 6, 7]), pa.array([0, 0, 0], pa.int32()), pa.array([1, 0, 1], pa.int32()), pa.array([b"abc", b"def", b"ghi"])],
+        ["key", "part", "label", "bins"],
+    )
+    *_, bins = work.opened(batch.slice(1))
+    assert bins.dtype == np.uint8 and bins.T.tobytes() == b"defghi"  # eight times less to gather
+    assert work.opened(batch.slice(3))[3].shape == (3, 0)
+    assert forest.copies(np.arange(9), 0, 1).tolist() == np.searchsorted(
+        forest._AT_MOST, (forest._hash(np.arange(9), 0, 1) >> np.uint64(11)).astype(float) / 2.0**53, "right"
+    ).tolist()
