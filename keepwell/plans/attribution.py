@@ -89,14 +89,18 @@ def linear_coefficients(model: Logistic) -> dict[str, float]:
 # -- tree models -------------------------------------------------------------
 
 class _Path:
-    """Features on the way down, and the weight of coalitions by size, for all rows at once.
+    """Features on the way down, and the weight of coalitions by size, for every pattern of turns that a row may share.
 
-    ``share`` is one number a feature, ``follows`` one 0/1 value a row; ``weight[s]`` sums the coalitions of s known features.
+    ``share`` is one number a feature, ``follows`` one 0/1 value a pattern; ``weight[s]`` sums the coalitions of s known features.
     """
 
     def __init__(self, features: list[int], share: list[float], follows: list[np.ndarray], weight: list[np.ndarray]):
         self.features, self.share, self.follows, self.weight = features, share, follows, weight
 
+    def doubled(self) -> _Path:
+        """Each pattern twice: for one more turn that a row does not or does share."""
+        return _Path(self.features, self.share, *([x.repeat(2) for x in xs] for xs in (self.follows, self.weight)))
+
     def extended(self, feature: int, share: float, follows: np.ndarray) -> _Path:
         n = len(self.weight)
         weight = [*self.weight, np.ones(len(follows)) if not n else np.zeros(len(follows))]
@@ -122,31 +126,61 @@ class _Path:
         return _Path([self.features[j] for j in keep], [self.share[j] for j in keep], [self.follows[j] for j in keep], self.unwound(i))
 
 
-def tree_shapley(x: np.ndarray, model: BoostedTrees) -> np.ndarray:
-    """Shapley values of the margin, [row, feature]; unknown features follow the training weight of the nodes."""
-    feature, cut, value, cover = model.arrays()
-    out = np.zeros((len(x), len(model.features)))
-    every = np.ones(len(x))
+#: for each tree and leaf, the features on its path and what they add by pattern: 2^depth doubles each
+Impacts = list[dict[int, list[tuple[int, np.ndarray]]]]
+
+
+def leaf_impacts(model: BoostedTrees) -> Impacts:
+    """What each leaf adds to the features on its path; it depends on a row only by which turns of the path the row takes too.
+
+    Patterns of turns are numbered as binary numbers, the first turn highest.
+    """
+    feature, _, value, cover = model.arrays()
+    found: Impacts = []
     for t in range(model.trees):
+        leaves = {}
 
         def walk(node: int, path: _Path) -> None:
             f = int(feature[t, node])
             if f < 0:
-                for i in range(1, len(path.features)):
-                    part = sum(path.unwound(i))
-                    out[:, path.features[i]] += part * (path.follows[i] - path.share[i]) * value[t, node]
+                leaves[node] = [
+                    (path.features[i], sum(path.unwound(i)) * (path.follows[i] - path.share[i]) * value[t, node])
+                    for i in range(1, len(path.features))
+                ]
                 return
-            right = x[:, f] > cut[t, node]  # NaN goes left
-            share, follows = 1.0, every
+            path = path.doubled()
+            taken = np.arange(len(path.weight[0])) % 2 == 1
+            share, follows = 1.0, np.ones(len(taken))
             if f in path.features:  # both conditions on the feature become one
                 i = path.features.index(f)
                 share, follows = path.share[i], path.follows[i]
                 path = path.without(i)
+            for child in (2 * node + 1, 2 * node + 2):
+                walk(child, path.extended(f, share * cover[t, child] / cover[t, node], follows * taken))
+
+        walk(0, _Path([], [], [], []).extended(-1, 1.0, np.ones(1)))
+        found.append(leaves)
+    return found
+
+
+def tree_shapley(x: np.ndarray, model: BoostedTrees, impacts: Impacts | None = None) -> np.ndarray:
+    """Shapley values of the margin, [row, feature]; unknown features follow the training weight of the nodes."""
+    feature, cut, _, _ = model.arrays()
+    columns = np.ascontiguousarray(x.T)
+    out = np.zeros((len(model.features), len(x)))
+    for t, leaves in enumerate(leaf_impacts(model) if impacts is None else impacts):
+
+        def walk(node: int, pattern: np.ndarray) -> None:
+            if node in leaves:
+                for f, impact in leaves[node]:
+                    out[f] += impact.take(pattern)
+                return
+            right = columns[feature[t, node]] > cut[t, node]  # NaN goes left
             for child, goes in ((2 * node + 1, ~right), (2 * node + 2, right)):
-                walk(child, path.extended(f, share * cover[t, child] / cover[t, node], follows * goes))
+                walk(child, 2 * pattern + goes)
 
-        walk(0, _Path([], [], [], []).extended(-1, 1.0, every))
-    return out
+        walk(0, np.zeros(len(x), np.int64))
+    return np.ascontiguousarray(out.T)
 
 
 def expected_margin(model: BoostedTrees) -> float:
@@ -167,8 +201,9 @@ def tree_impacts(
     features, keep = list(model.features), list(keep)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_leaves = leaf_impacts(shared.value)
         for batch in batches:
-            impacts = tree_shapley(batch[features].to_numpy("float64"), shared.value)
+            impacts = tree_shapley(batch[features].to_numpy("float64"), shared.value, of_leaves)
             yield batch[keep].assign(impacts=list(impacts))
 
     source = rows.select(*keep, *[F.col(f).cast("double").alias(f) for f in features if f not in keep])

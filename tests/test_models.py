@@ -272,6 +272,23 @@ def test_shapley_values_by_definition():
     assert got.sum(1) + attribution.expected_margin(model) == pytest.approx(model.margins(x))
 
 
+def test_shapley_work_on_paths_does_not_grow_with_the_rows(monkeypatch):
+    """A leaf's impacts are worked out for each pattern of turns, whatever the number of rows."""
+    nodes = [(0, 0, 0.1, 9.0), (1, 1, 0.2, 6.0), (2, 0, 0.7, 3.0), (3, -1, 0.5, 2.0), (4, 1, 1.0, 4.0), (5, -1, -2.0, 1.0), (6, -1, 1.5, 2.0)]
+    nodes += [(9, -1, 3.0, 3.0), (10, -1, -1.0, 1.0)]
+    tree = [boosting.Node(0, n, f, v if f >= 0 else 0.0, 0.0 if f >= 0 else v, cover) for n, f, v, cover in nodes]
+    model = boosting.BoostedTrees(("a", "b"), tuple(tree))
+    sizes, extended = [], attribution._Path.extended
+    monkeypatch.setattr(attribution._Path, "extended", lambda self, f, share, follows: sizes.append(len(follows)) or extended(self, f, share, follows))
+    x = np.random.default_rng(3).normal(size=(500, 2))
+    x[::9, 0], x[::7, 1] = np.nan, np.nan
+    got = attribution.tree_shapley(x, model)
+    assert max(sizes) == 8 and len(sizes) == len(tree)
+    for i in range(0, 500, 21):
+        want = _shapley(model, x[i], [0, 1])
+        assert got[i] == pytest.approx([want[0], want[1]], abs=1e-9)
+
+
 # -- clusters ----------------------------------------------------------------
 
 def test_silhouette_equals_brute_force(spark):
