@@ -11,12 +11,13 @@ tasks, which keep them for the next level and choose the best splits; only split
 * Gradients and Hessians are rounded to multiples of 2^-20, so sums are exact up to 2^33 and do
   not depend on how the rows are dealt out; a task that is run again adds the same numbers.
 * The rows of a tree's subsample follow from a hash of (row key, tree), so repeated keys share their fate.
-* The binned rows stay in the executors as one block of arrays for each partition, with the margins of all models; every
+* The binned rows stay in the executors as blocks of arrays, with the margins of all models; every
   ``STATE_EVERY`` trees new margins take their place, and a pass adds the trees since then. Hundreds of short passes over
   partitions' own state are what RDDs are for: a pass takes a quarter of the time that a planned query does. A lost block is made
   again from the written table of bins and at most ``REPLAY`` trees' steps.
-* A block holds the rows of one part and the margins of the models that learn from it. Its rows are taken in pieces that stay in the
-  processor's cache; features with few bins are counted together, as one feature with a bin for each combination.
+* A block holds ``PIECE_ROWS`` rows of one part and the margins of the models that learn from it, so that a task works on one while the next
+  comes. Features with few bins are counted together, as one feature with a bin for each combination, and gradients and Hessians are
+  added as one number.
 
 Missing and NaN features lie in the lowest bin and go left.
 """
@@ -36,18 +37,20 @@ from keepwell.session import ship_package, written
 BINS = 64
 #: L2 penalty of leaves, least Hessian of a child, least gain
 PENALTY, LEAST_HESSIAN, LEAST_GAIN = 1.0, 1.0, 1e-6
-STATE_EVERY = 4
+STATE_EVERY = 2
 #: after so many trees margins are made from the bins anew, so that lineage stays short
 REPLAY = 32
 #: (row, model) pairs that a task of a small fit works on, and rows that a task of a large one does
 TASK_PAIRS, TASK_ROWS = 200_000, 500_000
-#: rows that are worked on at once, and bins that features counted together have at most
-PIECE_ROWS, JOINT_BINS = 1 << 15, 1 << 12
+#: rows of a block, and bins that features counted together have at most
+PIECE_ROWS, JOINT_BINS = 1 << 15, 1 << 13
 #: rows of a task for each of these bins: few rows would be lost among many bins
 ROWS_A_BIN = 8
 #: nodes of so many levels are compared side by side, those of deeper levels row by row
 SIDE_BY_SIDE = 6
 _UNIT = float(1 << 20)
+#: low bits of a number that hold a sum of Hessians, and rows of weight 1 that a cell takes before its two sums could meet
+HESSIAN_BITS, PACKED_ROWS = 31, 4095
 
 
 @dataclass(frozen=True)
@@ -199,10 +202,13 @@ def load(spark: SparkSession, path: str) -> BoostedTrees:
 def cuts(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Ascending cuts of each feature: quantiles at even steps, equal ones once."""
     steps = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    found = rows.agg(
-        *[F.percentile_approx(F.nanvl(F.col(f).cast("double"), F.lit(None)), steps, F.lit(100_000)).alias(f) for f in features]
-    ).first()
-    return [np.unique(np.array(found[f] or [], float)) for f in features]
+    values = F.array(*[F.nanvl(F.col(f).cast("double"), F.lit(None)) for f in features])
+    # one row a feature, so that the tasks' sketches of different features meet in different tasks
+    found = rows.select(F.posexplode(values).alias("feature", "x")).groupBy("feature").agg(
+        F.percentile_approx("x", steps, F.lit(100_000)).alias("cuts")
+    ).collect()
+    known = {r["feature"]: r["cuts"] for r in found}
+    return [np.unique(np.array(known.get(i) or [], float)) for i in range(len(features))]
 
 
 def binned(
@@ -230,7 +236,7 @@ def binned(
 
 @dataclass
 class Block:
-    """The rows of a partition and a part: ``bins`` is [feature, row], ``margins`` [model that learns from the part, row]."""
+    """Some rows of a part: ``bins`` is [feature, row], ``margins`` [model that learns from the part, row]."""
 
     key: np.ndarray
     part: int
@@ -238,23 +244,41 @@ class Block:
     bins: np.ndarray
     margins: np.ndarray | None = None  # all zero
 
-    def pieces(self) -> Iterator[slice]:
-        for start in range(0, len(self.key), PIECE_ROWS):
-            yield slice(start, start + PIECE_ROWS)
 
+def gathered(rows: DataFrame, features: int, size: int = PIECE_ROWS) -> DataFrame:
+    """part, key, label and bins ([feature, row]) of up to so many rows of a part, all as bytes."""
 
-def _blocks(rows: Iterator, features: int) -> Iterator[Block]:
-    key, part, label, bins = [], [], [], []
-    for r in rows:
-        key.append(r[0])
-        part.append(r[1])
-        label.append(r[2])
-        bins.append(bytes(r[3]))
-    key, part, label = np.array(key, np.int64), np.array(part, np.int32), np.array(label, np.int32)
-    table = np.frombuffer(b"".join(bins), np.uint8).reshape(-1, features)
-    for p in np.unique(part).tolist():
-        mine = np.flatnonzero(part == p)
-        yield Block(key[mine], p, label[mine], np.ascontiguousarray(table[mine].T))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[tuple[np.ndarray, ...]]] = {}
+
+        def packed(part: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+            key, label, bins = columns
+            binary = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (key, label, bins.T)]
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *binary], ["part", "key", "label", "bins"])
+
+        for batch in batches:
+            key, part, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            bins = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, features)
+            for p in np.unique(part).tolist():
+                mine = np.flatnonzero(part == p)
+                waiting.setdefault(p, []).append((key[mine], label[mine], bins[mine]))
+                if sum(len(x[0]) for x in waiting[p]) >= size:
+                    columns = [np.concatenate(x) for x in zip(*waiting.pop(p))]
+                    whole = len(columns[0]) // size * size
+                    for start in range(0, whole, size):
+                        yield packed(p, [x[start : start + size] for x in columns])
+                    if whole < len(columns[0]):
+                        waiting[p] = [tuple(x[whole:] for x in columns)]
+        for p, left in waiting.items():
+            yield packed(p, [np.concatenate(x) for x in zip(*left)])
+
+    return rows.mapInArrow(run, "part int, key binary, label binary, bins binary")
+
+
+def _blocks(rows: Iterator) -> Iterator[Block]:
+    for part, key, label, bins in rows:
+        key = np.frombuffer(key, np.int64)
+        yield Block(key, part, np.frombuffer(label, np.int32), np.frombuffer(bins, np.uint8).reshape(-1, len(key)))
 
 
 def together(widths: Sequence[int], most: int = JOINT_BINS) -> list[list[int]]:
@@ -289,9 +313,65 @@ def in_sample(key: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray
 
 def gradients(margin: np.ndarray, label: np.ndarray, weight: float) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivative of the weighted logistic loss, rounded to multiples of 2^-20."""
-    p = 1.0 / (1.0 + np.exp(-margin))
-    w = np.where(label == 1, weight, 1.0)
-    return np.rint(w * (p - label) * _UNIT) / _UNIT, np.rint(w * p * (1.0 - p) * _UNIT) / _UNIT
+    g, h = _units(margin, label, np.where(label == 1, weight, 1.0))
+    return g / _UNIT, h / _UNIT
+
+
+def _units(margin: np.ndarray, label: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The derivatives in units of 2^-20, for rows of these weights."""
+    p = np.negative(margin)
+    np.exp(p, out=p)
+    p += 1.0
+    np.divide(1.0, p, out=p)
+    g = p - label
+    g *= weights
+    g *= _UNIT
+    h = weights * p
+    h *= np.subtract(1.0, p, out=p)
+    h *= _UNIT
+    return np.rint(g, out=g).astype(np.int64), np.rint(h, out=h).astype(np.int64)
+
+
+class Sums:
+    """Sums of gradients and Hessians by cell, in units.
+
+    Both are added as one number while no cell can hold so many rows that the Hessians reach the gradients' bits.
+    """
+
+    def __init__(self, cells: int, weight: float):
+        self.both = np.zeros(cells, np.int64)
+        self.total: np.ndarray | None = None
+        self.rows, self.most = 0, int(PACKED_ROWS / max(weight, 1.0))
+
+    def add(self, cell: np.ndarray, both: np.ndarray, rows: int) -> None:
+        """Adds gradients (high bits) and Hessians (low bits) to their cells, none of which gets more than so many rows."""
+        if rows > self.most:
+            for out, units in zip(self.unpack(), _unpacked(both)):
+                np.add.at(out, cell, units)
+            return
+        if self.rows + rows > self.most:
+            self.unpack()
+        self.rows += rows
+        np.add.at(self.both, cell, both)
+
+    def unpack(self) -> np.ndarray:
+        """The sums as [2, cell]."""
+        if self.total is None:
+            self.total = np.stack(_unpacked(self.both))
+        elif self.rows:
+            for out, units in zip(self.total, _unpacked(self.both)):
+                out += units
+        if self.rows:
+            self.both[:], self.rows = 0, 0
+        return self.total
+
+
+def _packed(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return (g << HESSIAN_BITS) + h
+
+
+def _unpacked(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return both >> HESSIAN_BITS, both & ((1 << HESSIAN_BITS) - 1)
 
 
 class Grown:
@@ -346,10 +426,11 @@ class _Pass:
         return [m for m, x in enumerate(self.learners) if part in x.parts]
 
     def margins(self, model: int, bins: np.ndarray, stored: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
-        out = stored[rows].copy()
+        out = stored[rows].copy() if isinstance(rows, slice) else _of(stored, rows)
         depth = self.learners[model].settings.max_depth
         for grown in self.recent:
-            out += grown.below(model, depth).take(grown.place(model, bins, depth)[rows])
+            at = grown.place(model, bins, depth)
+            out += _of(grown.below(model, depth), at[rows] if isinstance(rows, slice) else _of(at, rows))
         return out
 
     def histograms(self, blocks: Iterator[Block]) -> Iterator[tuple[int, tuple]]:
@@ -357,50 +438,53 @@ class _Pass:
         groups = together(self.widths, self.joint)
         cells = [int(np.prod([self.widths[f] for f in g])) for g in groups]
         number = {m: self.slots[m].max(initial=-1) + 1 for m in self.active}
-        total = {m: [np.zeros((2, number[m] * c)) for c in cells] for m in self.active}
+        total = {m: [Sums(number[m] * c, self.learners[m].weight) for c in cells] for m in self.active}
         for block in blocks:
             models = [(i, m) for i, m in enumerate(self.learning(block.part)) if m in total]
-            for piece in block.pieces():
-                bins, label, key = block.bins[:, piece], block.label[piece], block.key[piece]
-                zero = np.zeros(len(key))
-                codes = []
-                for group in groups:
-                    code = bins[group[0]].astype(np.intp)
-                    for f in group[1:]:
-                        code *= self.widths[f]
-                        code += bins[f]
-                    codes.append(code)
-                drawn = {s: in_sample(key, self.tree, s, self.seed) for s in {self.learners[m].settings.subsample for _, m in models}}
-                drawn = {s: None if mask.all() else mask for s, mask in drawn.items()}
-                some = {s: None if mask is None else np.flatnonzero(mask) for s, mask in drawn.items()}
-                taken = {s: codes if rows is None else [c.take(rows) for c in codes] for s, rows in some.items()}
-                for i, m in models:
-                    learner = self.learners[m]
-                    share = learner.settings.subsample
-                    stored = zero if block.margins is None else block.margins[i, piece]
-                    slot = None
-                    if self.level:
-                        at = self.growing.place(m, bins, self.level)
-                        wanted = (self.slots[m] >= 0).take(at)
-                        if drawn[share] is not None:
-                            wanted &= drawn[share]
-                        rows = np.flatnonzero(wanted)
-                        if not len(rows):
-                            continue
-                        mine = [c.take(rows) for c in codes]
-                        if number[m] > 1:
-                            slot = self.slots[m].take(at[rows])
-                    else:
-                        rows = slice(None) if some[share] is None else some[share]
-                        mine = taken[share]
-                    g, h = gradients(self.margins(m, bins, stored, rows), label[rows], learner.weight)
-                    for out, code, c in zip(total[m], mine, cells):
-                        if slot is not None:
-                            code += slot * c
-                        for j, v in enumerate((g, h)):
-                            out[j] += np.bincount(code, v, minlength=out.shape[1])
+            bins, label, key, zero = block.bins, block.label, block.key, np.zeros(len(block.key))
+            codes = []
+            for group in groups:
+                code = bins[group[0]].astype(np.intp)
+                for f in group[1:]:
+                    code *= self.widths[f]
+                    code += bins[f]
+                codes.append(code)
+            most = [int(np.bincount(code).max()) for code in codes]
+            positive = (label == 1).astype(np.intp)
+            weights = {w: _of(np.array([1.0, w]), positive) for w in {self.learners[m].weight for _, m in models}}
+            drawn = {s: in_sample(key, self.tree, s, self.seed) for s in {self.learners[m].settings.subsample for _, m in models}}
+            drawn = {s: None if mask.all() else mask for s, mask in drawn.items()}
+            some = {s: None if mask is None else np.flatnonzero(mask) for s, mask in drawn.items()}
+            taken = {} if self.level else {s: codes if rows is None else [_of(c, rows) for c in codes] for s, rows in some.items()}
+            for i, m in models:
+                learner = self.learners[m]
+                share = learner.settings.subsample
+                stored = zero if block.margins is None else block.margins[i]
+                slot = None
+                if self.level:
+                    at = self.growing.place(m, bins, self.level)
+                    wanted = _of(self.slots[m] >= 0, at)
+                    if drawn[share] is not None:
+                        wanted &= drawn[share]
+                    rows = np.flatnonzero(wanted)
+                    if not len(rows):
+                        continue
+                    mine = [_of(c, rows) for c in codes]
+                    if number[m] > 1:
+                        slot = _of(self.slots[m], _of(at, rows))
+                else:
+                    rows = slice(None) if some[share] is None else some[share]
+                    mine = taken[share]
+                margin = self.margins(m, bins, stored, rows)
+                whole = isinstance(rows, slice)
+                w, y = weights[learner.weight], label
+                both = _packed(*_units(margin, y if whole else _of(y, rows), w if whole else _of(w, rows)))
+                for out, code, c, n in zip(total[m], mine, cells, most):
+                    if slot is not None:
+                        code += slot * c
+                    out.add(code, both, n)
         for m in self.active:
-            yield m, (None, self.apart(total[m], groups, int(number[m])))
+            yield m, (None, self.apart([x.unpack() for x in total[m]], groups, int(number[m])) / _UNIT)
 
     def apart(self, sums: list[np.ndarray], groups: list[list[int]], slots: int) -> np.ndarray:
         """The sums of each feature's own bins."""
@@ -415,13 +499,17 @@ class _Pass:
         """The rows with their margins brought up to date."""
         models = self.learning(block.part)
         now = np.zeros((len(models), len(block.key))) if block.margins is None else block.margins.copy()
-        for piece in block.pieces():
-            for i, m in enumerate(models):
-                if m in self.active:
-                    now[i, piece] = self.margins(m, block.bins[:, piece], now[i, piece])
+        for i, m in enumerate(models):
+            if m in self.active:
+                now[i] = self.margins(m, block.bins, now[i])
         return Block(block.key, block.part, block.label, block.bins, now)
 
 
+def _of(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The values at places that are known to exist; checking each one would take longer than the rest."""
+    return values.take(places, mode="clip")
+
+
 def _stepped(block: Block, steps: Sequence[_Pass]) -> Block:
     for step in steps:
         block = step.stored(block)
@@ -538,12 +626,13 @@ def fit(
     tasks = max(-(-total // TASK_ROWS), min(-(-total * len(learners) // TASK_PAIRS), at_once), 1)
     if tasks > at_once:  # whole rounds
         tasks = -(-tasks // at_once) * at_once
-    table = written(binned(rows, features, label, part, key, edges).repartition(tasks))
-    k, widths = len(features), [len(e) + 1 for e in edges]
+    table = written(gathered(binned(rows, features, label, part, key, edges).repartition(tasks), len(features)))
+    widths = [len(e) + 1 for e in edges]
     joint = min(JOINT_BINS, total // tasks // ROWS_A_BIN)
     alone = tasks == 1  # a single task sums both children and needs no histograms of the level before
-    base = (table.coalesce(1) if alone else table).rdd.mapPartitions(lambda r: _blocks(r, k)).persist(StorageLevel.MEMORY_AND_DISK)
+    base = (table.coalesce(1) if alone else table).rdd.mapPartitions(_blocks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     state = base
+    stale = None  # margins that are no longer needed once the next ones are made
     most = max(x.settings.trees for x in learners)
     recent: list[Grown] = []
     since: list[_Pass] = []  # the steps from the bins to the margins stored now
@@ -568,6 +657,9 @@ def fit(
             depth += 1
             if last is not None:
                 last.unpersist()
+            if stale is not None:  # the first pass over the new margins has made them
+                stale.unpersist()
+                stale = None
         if known is not None:
             known.unpersist()
         for m in active:
@@ -579,16 +671,13 @@ def fit(
                 nodes[m].append(Node(tree, node, feature, cut, value, float(grown.cover[m, node])))
         recent.append(grown)
         if len(recent) == STATE_EVERY and tree + 1 < most:
-            before = state
             step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, widths, joint)
             since.append(step)
             anew = (tree + 1) % REPLAY == 0
             steps = list(since) if anew else [step]
-            state = (base if anew else before).map(lambda block, steps=steps: _stepped(block, steps))
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            state.count()
-            if before is not base:
-                before.unpersist()
+            stale = None if state is base else state
+            state = (base if anew else state).map(lambda block, steps=steps: _stepped(block, steps))
+            state = state.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             recent = []
     state.unpersist()
     base.unpersist()

@@ -102,6 +102,48 @@ def test_boosting_does_not_depend_on_the_parts(rows, monkeypatch):
     assert [m.nodes for m in one] == [m.nodes for m in again]
 
 
+@pytest.mark.parametrize("weight", [0.61, 3.0, 400.0])  # the heaviest leaves no room for two sums in a number
+def test_sums_of_crowded_cells_are_exact(weight):
+    rng = np.random.default_rng(7)
+    sums, want = boosting.Sums(5, weight), np.zeros((2, 5))
+    for _ in range(3):
+        label = (rng.random(6000) < 0.5).astype(np.int32)
+        margin, cell = rng.normal(size=6000) * 9, np.minimum(rng.integers(0, 9, 6000), 4)
+        g, h = boosting.gradients(margin, label, weight)
+        for rows in np.array_split(np.arange(6000), 4):  # few and many rows in turn
+            units = [np.rint(x[rows] * 2.0**20).astype(np.int64) for x in (g, h)]
+            sums.add(cell[rows], boosting._packed(*units), int(np.bincount(cell[rows]).max()))
+        want += [np.bincount(cell, x, minlength=5) for x in (g, h)]
+    assert (sums.unpack() / 2.0**20).tolist() == want.tolist() == (sums.unpack() / 2.0**20).tolist()
+
+
+def test_rows_are_gathered_by_part(spark):
+    rows = [(i, i % 3, i % 2, bytes([i % 251, i % 7])) for i in range(1000)]
+    spread = spark.createDataFrame(rows, "key long, part int, label int, bins binary").repartition(2, "part")
+    blocks = boosting.gathered(spread, 2, 50).rdd.mapPartitions(boosting._blocks).collect()
+    assert sorted(zip(*map(list, (
+        np.concatenate([b.key for b in blocks]),
+        np.concatenate([np.full(len(b.key), b.part) for b in blocks]),
+        np.concatenate([b.label for b in blocks]),
+        [r.tobytes() for b in blocks for r in np.ascontiguousarray(b.bins.T)],
+    )))) == rows
+    assert {len(b.key) for b in blocks} == {50, 33, 34} and len(blocks) == 21
+
+
+def test_few_rows_reach_python_again(rows, monkeypatch):
+    """Binned rows come from the table as blocks, one row for each, and not one by one."""
+    seen, blocks = [], boosting.written
+
+    def watched(df):
+        out = blocks(df)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(boosting, "written", watched)
+    boosting.fit(rows, NAMES, "churned", "part", "id", LEARNERS, 3, 8)
+    assert seen == [3]  # one task, three parts
+
+
 def test_only_splits_reach_the_driver(rows, monkeypatch):
     sent, collect = [], RDD.collect
 
