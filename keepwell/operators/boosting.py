@@ -553,7 +553,7 @@ class _Level:
         """
         sums: dict[int, np.ndarray] = {}
         parents: dict[int, dict[int, np.ndarray]] = {}
-        for m, (nodes, histograms) in found:
+        for m, (nodes, histograms, *_) in found:
             if nodes is None:
                 sums[m] = sums[m] + histograms if m in sums else histograms
             else:
@@ -575,6 +575,11 @@ class _Level:
             yield m, (nodes, histograms, np.column_stack([gain, feature, cut, inside, left, chosen.sum(2) - left]))
 
 
+def _model(number: int) -> int:
+    """Deals models out to tasks, each level in the same way."""
+    return number
+
+
 def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth_now: int, both: bool) -> _Level:
     """Split or close every open node; returns the next level, of which the smaller or ``both`` children are summed."""
     ahead = _Level({}, {})
@@ -646,11 +651,11 @@ def fit(
             now = [m for m in active if level.summed.get(m)]
             work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), widths, joint)
             found = state.mapPartitions(work.histograms)
-            if known is not None:
-                found = found.union(known.mapValues(lambda x: x[:2]))
             if not alone:
-                found = found.partitionBy(min(tasks, len(now)), lambda m: m)
-            chosen = found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins))
+                found = found.partitionBy(min(tasks, len(learners)), _model)
+            if known is not None:  # lies where the sums of its models go
+                found = found.union(known)
+            chosen = found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins), preservesPartitioning=True)
             if not alone:
                 last, known = known, chosen.persist(StorageLevel.MEMORY_AND_DISK)
             level = _split(level, chosen.mapValues(lambda x: x[2]).collectAsMap(), grown, depth, alone)
