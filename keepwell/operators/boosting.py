@@ -29,10 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
+from pyspark.serializers import NoOpSerializer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keepwell.session import ship_package, written
+from keepwell.session import java_array, java_classes, ship_package, written
 
 BINS = 64
 #: L2 penalty of leaves, least Hessian of a child, least gain
@@ -49,6 +50,8 @@ ROWS_A_BIN = 8
 #: nodes of so many levels are compared side by side, those of deeper levels row by row
 SIDE_BY_SIDE = 6
 _UNIT = float(1 << 20)
+#: numbers that tell the choice of a node
+CHOICE = 9
 #: low bits of a number that hold a sum of Hessians, and rows of weight 1 that a cell takes before its two sums could meet
 HESSIAN_BITS, PACKED_ROWS = 31, 4095
 
@@ -299,12 +302,18 @@ def together(widths: Sequence[int], most: int = JOINT_BINS) -> list[list[int]]:
 
 # -- growing -----------------------------------------------------------------
 
+def salt(tree: int, seed: int) -> int:
+    """What a tree and the seed add to a row's key, as a signed number of 64 bits."""
+    mixed = (tree + 1) * 0x9E3779B97F4A7C15 + seed * 0xD1B54A32D192ED03
+    return (mixed + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
 def in_sample(key: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
     """Whether each row is drawn for the tree: a hash of its key, the tree and the seed."""
     if share >= 1.0:
         return np.ones(len(key), bool)
     with np.errstate(over="ignore"):
-        x = key.astype(np.uint64) + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 + seed * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
+        x = key.astype(np.uint64) + np.uint64(salt(tree, seed) & 0xFFFFFFFFFFFFFFFF)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
@@ -433,7 +442,7 @@ class _Pass:
             out += _of(grown.below(model, depth), at[rows] if isinstance(rows, slice) else _of(at, rows))
         return out
 
-    def histograms(self, blocks: Iterator[Block]) -> Iterator[tuple[int, tuple]]:
+    def histograms(self, blocks: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
         """For each model its summed gradients and Hessians as [2, slot, bins of all features in turn]."""
         groups = together(self.widths, self.joint)
         cells = [int(np.prod([self.widths[f] for f in g])) for g in groups]
@@ -484,7 +493,7 @@ class _Pass:
                         code += slot * c
                     out.add(code, both, n)
         for m in self.active:
-            yield m, (None, self.apart([x.unpack() for x in total[m]], groups, int(number[m])) / _UNIT)
+            yield m, self.apart([x.unpack() for x in total[m]], groups, int(number[m])) / _UNIT
 
     def apart(self, sums: list[np.ndarray], groups: list[list[int]], slots: int) -> np.ndarray:
         """The sums of each feature's own bins."""
@@ -546,38 +555,17 @@ class _Level:
             out[m] = slot
         return out
 
-    def choose(self, found: Iterator[tuple[int, tuple]], widths: Sequence[int], bins: int) -> Iterator[tuple[int, tuple]]:
-        """(model, (open nodes, their histograms, their choices)) from the tasks' sums and the level before.
-
-        A choice is gain, feature, cut and the sums of gradients and Hessians in the node, left and right of the cut.
-        """
-        sums: dict[int, np.ndarray] = {}
-        parents: dict[int, dict[int, np.ndarray]] = {}
-        for m, (nodes, histograms, *_) in found:
-            if nodes is None:
-                sums[m] = sums[m] + histograms if m in sums else histograms
-            else:
-                parents[m] = dict(zip(nodes, histograms))
-        ends = np.cumsum(widths)
-        for m, summed in sums.items():
-            nodes = self.nodes[m]
-            known = {node: summed[:, i] for i, node in enumerate(self.summed[m])}
-            for node in set(nodes) - set(known):
-                known[node] = parents[m][(node - 1) // 2] - known[node + 1 if node % 2 else node - 1]
-            histograms = np.stack([known[n] for n in nodes])
-            table = np.zeros((len(nodes), 2, len(widths), bins))
-            for f, (end, width) in enumerate(zip(ends, widths)):
-                table[:, :, f, :width] = histograms[:, :, end - width : end]
-            gain, feature, cut = best_splits(table[:, 0], table[:, 1])
-            chosen = table[np.arange(len(nodes)), :, feature]  # [node, 2, bin]
-            left = np.where(np.arange(bins) <= cut[:, None, None], chosen, 0.0).sum(2)
-            inside = table[:, :, 0].sum(2)
-            yield m, (nodes, histograms, np.column_stack([gain, feature, cut, inside, left, chosen.sum(2) - left]))
-
-
-def _model(number: int) -> int:
-    """Deals models out to tasks, each level in the same way."""
-    return number
+
+def choices(histograms: np.ndarray, widths: Sequence[int], bins: int) -> np.ndarray:
+    """Of each node's [2, node, bins of all features in turn]: gain, feature, cut, sums in the node, left and right of the cut."""
+    nodes = histograms.shape[1]
+    table = np.zeros((nodes, 2, len(widths), bins))
+    for f, (end, width) in enumerate(zip(np.cumsum(widths), widths)):
+        table[:, :, f, :width] = histograms[:, :, end - width : end].swapaxes(0, 1)
+    gain, feature, cut = best_splits(table[:, 0], table[:, 1])
+    chosen = table[np.arange(nodes), :, feature]  # [node, 2, bin]
+    left = np.where(np.arange(bins) <= cut[:, None, None], chosen, 0.0).sum(2)
+    return np.column_stack([gain, feature, cut, table[:, :, 0].sum(2), left, chosen.sum(2) - left])
 
 
 def _split(level: _Level, choices: Mapping[int, np.ndarray], grown: Grown, depth_now: int, both: bool) -> _Level:
@@ -614,6 +602,138 @@ def _close(grown: Grown, model: int, node: int, value: float) -> None:
         grown.value[model, node] = value
 
 
+class _Passes:
+    """The passes over the blocks, their margins, and the finished trees that these do not hold yet."""
+
+    def __init__(self, base):
+        self.base = self.state = base
+        self.stale = None  # margins that are no longer needed once the next ones are made
+        self.recent, self.since = [], []  # trees since the margins stored now, steps from the bins to these
+
+    def made(self) -> None:
+        """The first pass over the new margins has made them."""
+        if self.stale is not None:
+            self.stale.unpersist()
+            self.stale = None
+
+    def store(self, step, tree: int) -> None:
+        self.since.append(step)
+        anew = (tree + 1) % REPLAY == 0
+        self.stale = None if self.state is self.base else self.state
+        self.state = self.stepped(self.base if anew else self.state, list(self.since) if anew else [step])
+        self.recent = []
+
+    def close(self) -> None:
+        self.state.unpersist()
+        self.base.unpersist()
+
+
+class _OneTask(_Passes):
+    """Few rows: a task of Python sums both children of a split."""
+
+    def __init__(self, table: DataFrame, learners: Sequence[Learner], widths: list[int], seed: int, rows: int, bins: int):
+        super().__init__(table.coalesce(1).rdd.mapPartitions(_blocks).persist(StorageLevel.MEMORY_AND_DISK_DESER))
+        self.learners, self.widths, self.seed, self.bins = list(learners), widths, seed, bins
+        self.joint = min(JOINT_BINS, rows // ROWS_A_BIN)
+
+    def _pass(self, models: list[int], grown: Grown, depth: int, tree: int, slots: dict[int, np.ndarray]) -> _Pass:
+        return _Pass(self.learners, models, self.recent, grown, depth, tree, self.seed, slots, self.widths, self.joint)
+
+    def choices(self, level: _Level, grown: Grown, depth: int, tree: int) -> Mapping[int, np.ndarray]:
+        work = self._pass([m for m, nodes in level.summed.items() if nodes], grown, depth, tree, level.slots(depth))
+        widths, bins = self.widths, self.bins
+        found = self.state.mapPartitions(work.histograms).mapValues(lambda x: choices(x, widths, bins)).collectAsMap()
+        self.made()
+        return found
+
+    def grown(self, grown: Grown, active: list[int], tree: int, last: bool) -> None:
+        self.recent.append(grown)
+        if len(self.recent) == STATE_EVERY and not last:
+            self.store(self._pass(active, grown, 0, tree, {}), tree)
+
+    def stepped(self, state, steps: list[_Pass]):
+        return state.map(lambda block: _stepped(block, steps)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+
+
+def _ints(values) -> bytes:
+    return np.asarray(values, ">i4").tobytes()
+
+
+def _doubles(values) -> bytes:
+    return np.asarray(values, ">f8").tobytes()
+
+
+class _ManyTasks(_Passes):
+    """Many rows: their blocks, margins and histograms stay in the executors' JVM, see Boosting.java."""
+
+    def __init__(self, table: DataFrame, learners: Sequence[Learner], widths: list[int], seed: int, choosing: int):
+        self.spark, self.seed, self.models, self.choosing = table.sparkSession, seed, len(learners), choosing
+        self.classes, self.constructors = java_classes(self.spark, __package__, "Boosting.java"), {}
+        context = self.spark.sparkContext
+        self.kept = context._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK_DESER)
+        super().__init__(table._jdf.toJavaRDD().map(self._new("Open")).persist(self.kept))
+        parts = 1 + max(p for x in learners for p in x.parts)
+        settings = [x.settings for x in learners]
+        self.learners = self._new(
+            "Learners", self.models, len(widths), _ints([s.max_depth for s in settings]), bytes(p in x.parts for x in learners for p in range(parts)),
+            _doubles([x.weight for x in learners]), _doubles([s.subsample for s in settings]),
+        )
+        self.offsets = _ints(np.cumsum([0, *widths]))
+        self.nothing = context._jsc.parallelize(context._jvm.java.util.ArrayList(), choosing)
+        self.before = self.nothing
+
+    def _new(self, name: str, *arguments):
+        if name not in self.constructors:
+            (self.constructors[name],) = self.classes.loadClass(f"keepwell.Boosting${name}").getConstructors()
+        return self.constructors[name].newInstance(java_array(self.spark, arguments))
+
+    def _array(self, items):
+        return java_array(self.spark, items)
+
+    def _trees(self, grown: Grown):
+        return self._new("Trees", grown.width, _ints(grown.feature.ravel()), _ints(grown.cut.ravel()), _doubles(grown.value.ravel()))
+
+    def _listed(self, nodes: Mapping[int, Sequence[int]]) -> bytes:
+        lists = [nodes.get(m, []) for m in range(self.models)]
+        return _ints([*map(len, lists), *(n for x in lists for n in x)])
+
+    def choices(self, level: _Level, grown: Grown, depth: int, tree: int) -> Mapping[int, np.ndarray]:
+        slots = np.full((self.models, 2**depth), -1)
+        for m, slot in level.slots(depth).items():
+            slots[m] = slot
+        work = self._new(
+            "Histograms", self.learners, self._array(self.recent), self._trees(grown), depth, str(salt(tree, self.seed)), self.offsets,
+            _ints(slots.ravel()),
+        )
+        choose = self._new(
+            "Choose", self.models, self.offsets, self._listed(level.nodes), self._listed(level.summed), PENALTY, LEAST_HESSIAN
+        )
+        sums = self.state.mapPartitionsToPair(work).reduceByKey(self._new("Add"), self.choosing)
+        # the histograms of the level before lie where the sums of their models go
+        chosen = sums.zipPartitions(self.before if depth else self.nothing, choose).persist(self.kept)
+        told = RDD(chosen.map(self._new("Told")), self.spark.sparkContext, NoOpSerializer()).collect()
+        self._next(chosen)
+        self.made()
+        found = (np.frombuffer(x, ">f8").astype(float) for x in told)
+        return {int(x[0]): x[1:].reshape(-1, CHOICE) for x in found}
+
+    def _next(self, chosen) -> None:
+        if self.before is not self.nothing:
+            self.before.unpersist()
+        self.before = chosen
+
+    def grown(self, grown: Grown, active: list[int], tree: int, last: bool) -> None:
+        self._next(self.nothing)
+        self.recent.append(self._trees(grown))
+        if len(self.recent) == STATE_EVERY and not last:
+            learning = bytes(m in active for m in range(self.models))
+            self.store([(trees, learning) for trees in self.recent], tree)
+
+    def stepped(self, state, steps: list[list[tuple]]):
+        trees, active = zip(*(x for step in steps for x in step))
+        return state.map(self._new("Step", self.learners, self._array(trees), self._array(active))).persist(self.kept)
+
+
 def fit(
     rows: DataFrame,
     features: Sequence[str],
@@ -633,40 +753,17 @@ def fit(
         tasks = -(-tasks // at_once) * at_once
     table = written(gathered(binned(rows, features, label, part, key, edges).repartition(tasks), len(features)))
     widths = [len(e) + 1 for e in edges]
-    joint = min(JOINT_BINS, total // tasks // ROWS_A_BIN)
     alone = tasks == 1  # a single task sums both children and needs no histograms of the level before
-    base = (table.coalesce(1) if alone else table).rdd.mapPartitions(_blocks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    state = base
-    stale = None  # margins that are no longer needed once the next ones are made
+    passes = _OneTask(table, learners, widths, seed, total, bins) if alone else _ManyTasks(table, learners, widths, seed, min(tasks, len(learners)))
     most = max(x.settings.trees for x in learners)
-    recent: list[Grown] = []
-    since: list[_Pass] = []  # the steps from the bins to the margins stored now
     nodes: list[list[Node]] = [[] for _ in learners]
     for tree in range(most):
         active = [m for m, x in enumerate(learners) if tree < x.settings.trees]
         grown = Grown(learners)
         level, depth = _Level({m: [0] for m in active}, {m: [0] for m in active}), 0
-        last = known = None  # the histograms of the level before
         while any(level.nodes.values()):
-            now = [m for m in active if level.summed.get(m)]
-            work = _Pass(list(learners), now, recent, grown, depth, tree, seed, level.slots(depth), widths, joint)
-            found = state.mapPartitions(work.histograms)
-            if not alone:
-                found = found.partitionBy(min(tasks, len(learners)), _model)
-            if known is not None:  # lies where the sums of its models go
-                found = found.union(known)
-            chosen = found.mapPartitions(lambda f, level=level: level.choose(f, widths, bins), preservesPartitioning=True)
-            if not alone:
-                last, known = known, chosen.persist(StorageLevel.MEMORY_AND_DISK)
-            level = _split(level, chosen.mapValues(lambda x: x[2]).collectAsMap(), grown, depth, alone)
+            level = _split(level, passes.choices(level, grown, depth, tree), grown, depth, alone)
             depth += 1
-            if last is not None:
-                last.unpersist()
-            if stale is not None:  # the first pass over the new margins has made them
-                stale.unpersist()
-                stale = None
-        if known is not None:
-            known.unpersist()
         for m in active:
             for node in np.flatnonzero(grown.real[m]).tolist():
                 inner = bool(grown.inner[m, node])
@@ -674,16 +771,6 @@ def fit(
                 cut = float(edges[feature][grown.cut[m, node]]) if inner else 0.0
                 value = 0.0 if inner else float(grown.value[m, node])
                 nodes[m].append(Node(tree, node, feature, cut, value, float(grown.cover[m, node])))
-        recent.append(grown)
-        if len(recent) == STATE_EVERY and tree + 1 < most:
-            step = _Pass(list(learners), active, recent, grown, 0, tree, seed, {}, widths, joint)
-            since.append(step)
-            anew = (tree + 1) % REPLAY == 0
-            steps = list(since) if anew else [step]
-            stale = None if state is base else state
-            state = (base if anew else state).map(lambda block, steps=steps: _stepped(block, steps))
-            state = state.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-            recent = []
-    state.unpersist()
-    base.unpersist()
+        passes.grown(grown, active, tree, tree + 1 == most)
+    passes.close()
     return [BoostedTrees(tuple(features), tuple(n)) for n in nodes]

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import pkgutil
 import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -100,3 +104,38 @@ def ship_package(spark: SparkSession) -> None:
     atexit.register(shutil.rmtree, folder, ignore_errors=True)  # it is served from here until then
     context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
     _SHIPPED.add(context.applicationId)
+
+
+_COMPILED: dict[tuple[str, str, str], JavaObject] = {}
+
+
+def java_classes(spark: SparkSession, package: str, source: str) -> JavaObject:
+    """The class loader of a Java file of this package, compiled and given to the executors once per application.
+
+    Spark brings the compiler along (Janino, which compiles its generated code), so nothing has to be built or installed.
+    """
+    context = spark.sparkContext
+    key = context.applicationId, package, source
+    if key not in _COMPILED:
+        compiler = context._jvm.org.codehaus.janino.SimpleCompiler()
+        compiler.setParentClassLoader(context._jvm.Thread.currentThread().getContextClassLoader())
+        compiler.cook(pkgutil.get_data(package, source).decode())
+        folder = tempfile.mkdtemp(prefix="keepwell-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # it is served from here until then
+        jar = f"{folder}/{Path(source).stem}-{uuid.uuid4().hex}.jar"
+        with zipfile.ZipFile(jar, "w") as out:
+            for name, code in compiler.getBytecodes().items():
+                out.writestr(f"{name.replace('.', '/')}.class", bytes(code))
+        context._jsc.addJar(jar)
+        _COMPILED[key] = compiler.getClassLoader()
+    return _COMPILED[key]
+
+
+def java_array(spark: SparkSession, items: Iterable) -> JavaObject:
+    """An Object[]."""
+    items = list(items)
+    out = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.java.lang.Object, len(items))
+    for i, item in enumerate(items):
+        if item is not None:
+            out[i] = item
+    return out

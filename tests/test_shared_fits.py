@@ -157,6 +157,30 @@ def test_only_splits_reach_the_driver(rows, monkeypatch):
     assert sent and max(sent) < 3000  # the histograms of two roots have 2 x 2 x 3 x 64 doubles
 
 
+def test_many_tasks_grow_the_same_trees_without_python(spark, monkeypatch):
+    """Deep trees, heavy and light positives, crowded cells, pieces of blocks and margins made anew: as one task grows them."""
+    spread = spark.range(0, 9000, 1, 3).selectExpr(
+        "id * 7919 AS id", "int(id % 3) AS part", "CASE WHEN id % 50 > 0 THEN xxhash64(id, 1) % 1000 / 1000D END AS x",
+        "double(xxhash64(id, 2) % 3) AS y", "IF(id % 7 = 0, double('NaN'), xxhash64(id, 3) % 40 / 40D) AS z",
+        "int(xxhash64(id, 4) % 1000 / 1000D + IF(id % 50 > 0, xxhash64(id, 1) % 1000 / 1000D, 0) > 0.2) AS churned",
+    )
+    learners = [
+        boosting.Learner(boosting.BoostSettings(8, 0.3, 5, 0.7), (0, 1), 3000.0),
+        boosting.Learner(boosting.BoostSettings(3, 0.1, 3, 1.0), (0, 1, 2), 0.6),
+        boosting.Learner(boosting.BoostSettings(1, 0.2, 4, 0.7), (2,), 1.7),
+    ]
+    one = boosting.fit(spread, NAMES, "churned", "part", "id", learners, 3, 32)
+    monkeypatch.setattr(boosting, "TASK_PAIRS", 9000)
+    monkeypatch.setattr(boosting, "REPLAY", 4)
+    monkeypatch.setattr(boosting, "_blocks", None)  # rows need not come to Python
+    monkeypatch.setattr(boosting._Pass, "histograms", None)
+    again = boosting.fit(spread, NAMES, "churned", "part", "id", learners, 3, 32)
+    assert [len(m.nodes) > 10 for m in one] == [True] * 3 and max(n.node for n in one[0].nodes) > 254
+    for a, b in zip(one, again):
+        assert [n[:4] for n in table(a.nodes)] == [n[:4] for n in table(b.nodes)]
+        assert np.allclose([n[4:] for n in table(a.nodes)], [n[4:] for n in table(b.nodes)], rtol=1e-9, atol=1e-9)
+
+
 def test_floats_fall_to_their_leaves():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 3))
