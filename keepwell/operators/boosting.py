@@ -18,6 +18,8 @@ tasks, which keep them for the next level and choose the best splits; only split
 * A block holds ``PIECE_ROWS`` rows of one part and the margins of the models that learn from it, so that a task works on one while the next
   comes. Features with few bins are counted together, as one feature with a bin for each combination, and gradients and Hessians are
   added as one number.
+* All this is done by Python where one task holds all rows. Blocks of several tasks, their margins and histograms stay in the executors' JVM, where
+  Boosting.java does the same: through Python's sockets, the margins of all models would come anew in each pass.
 
 Missing and NaN features lie in the lowest bin and go left.
 """
